@@ -8,7 +8,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from orefold import fixed_values as fixed
-from orefold.functions.text import strip
+from orefold.functions.text import WHITE_SPACE
+
+END_OF_TIME = "9999-12-31"
 
 
 def as_of_date(as_of: str | dt.date | None = None) -> Column:
@@ -23,7 +25,7 @@ def parse_display_date(c: Column) -> Column:
 
     Outer and repeated blanks are accepted. A two-digit year gives null.
     """
-    return F.try_to_date(F.regexp_replace(strip(c), r"\s+", " "), "d MMM yyyy")
+    return F.try_to_date(F.trim(F.regexp_replace(c, WHITE_SPACE, " ")), "d MMM yyyy")
 
 
 def iso_date(c: Column) -> Column:
@@ -53,6 +55,11 @@ def day_of(ts: Column) -> Column:
     return F.to_date(ts)
 
 
+def day_bucket(ts: Column) -> Column:
+    """The day as a never-null key; a null time sorts, and so falls, into the last one."""
+    return F.coalesce(day_of(ts), F.lit(END_OF_TIME).cast("date"))
+
+
 def report_date(trade_date: Column, lag_days: Column) -> Column:
     """Trade date plus the disclosure lag; a missing lag counts as none."""
     return F.date_add(trade_date, F.coalesce(lag_days, F.lit(0)))

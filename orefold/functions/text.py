@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from orefold import fixed_values as fixed
 
+WHITE_SPACE = r"(?U)[\s\x{FEFF}]+"
 EDGE_SPACE = r"(?U)^[\s\x{FEFF}]+|[\s\x{FEFF}]+$"
 TICKER_SHAPE = r"^[A-Z][A-Z.\-]{0,5}$"
 

@@ -101,7 +101,8 @@ def with_reason(raw: DataFrame, kind: str) -> DataFrame:
     text = F.nullif(F.trim(F.col("payload")), F.lit("null"))
     if kind == "bars":
         schema = schemas.BAR_DOC[:-1] + ",_corrupt_record:string>"
-        parsed = F.from_json(text, schema)
+        # with the mode spelt out, the parser keeps all fields, and so sees every fault
+        parsed = F.from_json(text, schema, {"mode": "PERMISSIVE"})
         records = parsed["bars"]
         malformed = parsed.isNull() | parsed["_corrupt_record"].isNotNull()
     elif kind == "trades":

@@ -9,8 +9,6 @@ from pyspark.sql import functions as F
 
 from orefold.functions import dates
 
-END_OF_TIME = "9999-12-31"
-
 
 def previous_value(
     df: DataFrame, key: str, order: str, value: str, out: str, bucket: str = "bucket"
@@ -25,8 +23,7 @@ def previous_value(
 
     ``order`` must be unique within the key.
     """
-    day = F.coalesce(dates.day_of(F.col(order)), F.lit(END_OF_TIME).cast("date"))
-    bucketed = df.withColumn(bucket, day)
+    bucketed = df.withColumn(bucket, dates.day_bucket(F.col(order)))
 
     in_bucket = Window.partitionBy(key, bucket).orderBy(F.asc_nulls_last(order))
     rows = (

@@ -28,15 +28,20 @@ from orefold.sources import bronze
 VERSION = "version"
 
 
-def _read_versions(spark: SparkSession, path: str, schema: str, day: str) -> DataFrame | None:
+BARS = f"{schemas.BARS}, bar_date date"
+TRADES = schemas.TRADES
+
+
+def _read_versions(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
     """All versions of the store, or None before the first batch."""
-    columns = schema if f" {day} " in f" {schema} " else f"{schema}, {day} date"
     try:
-        return spark.read.schema(f"{columns}, {VERSION} bigint").parquet(path)
+        versions = spark.read.schema(f"{schema}, {VERSION} bigint").parquet(path)
     except AnalysisException as e:
         if e.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
+    # always true; a filter on the version is what lets the join below prune folders
+    return versions.filter(F.col(VERSION) >= 0)
 
 
 def _current(versions: DataFrame, day: str) -> DataFrame:
@@ -59,7 +64,7 @@ def _advance(
     def merge(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         fresh = latest(parse(batch))
-        versions = _read_versions(spark, store, schema, day)
+        versions = _read_versions(spark, store, schema)
         if versions is not None:
             earlier = _current(versions.filter(F.col(VERSION) < batch_id), day)
             touched = fresh.select(day).distinct()
@@ -84,7 +89,7 @@ def _stream(spark: SparkSession, path: str, schema: str, max_files: int | None)
 
 
 def _with_bar_date(bars: DataFrame) -> DataFrame:
-    return bars.withColumn("bar_date", dates.day_of(F.col("bar_ts")))
+    return bars.withColumn("bar_date", dates.day_bucket(F.col("bar_ts")))
 
 
 def advance_prices(
@@ -98,7 +103,7 @@ def advance_prices(
     """Take in all bronze price files not seen yet."""
     _advance(
         _stream(spark, raw_path, schemas.RAW_PRICES, max_files),
-        schemas.BARS,
+        BARS,
         f"{root}/bars",
         f"{root}/_checkpoint_bars",
         "bar_date",
@@ -117,7 +122,7 @@ def advance_trades(
     """Take in all bronze trade files not seen yet."""
     _advance(
         _stream(spark, raw_path, schemas.RAW_TRADES, max_files),
-        schemas.TRADES,
+        TRADES,
         f"{root}/trades",
         f"{root}/_checkpoint_trades",
         "trade_date",
@@ -128,11 +133,19 @@ def advance_trades(
 
 def read_prices(spark: SparkSession, root: str, dim: DataFrame) -> DataFrame:
     """The current silver prices, equal to a full rebuild from the same bronze."""
-    versions = _read_versions(spark, f"{root}/bars", schemas.BARS, "bar_date")
+    versions = _read_versions(spark, f"{root}/bars", BARS)
     return silver.describe_bars(_current(versions, "bar_date"), dim)
 
 
 def read_trades(spark: SparkSession, root: str, dim: DataFrame) -> DataFrame:
     """The current silver trades, equal to a full rebuild from the same bronze."""
-    versions = _read_versions(spark, f"{root}/trades", schemas.TRADES, "trade_date")
+    versions = _read_versions(spark, f"{root}/trades", TRADES)
     return silver.describe_trades(_current(versions, "trade_date"), dim)
+
+
+def superseded(spark: SparkSession, root: str, table: str = "bars") -> DataFrame:
+    """(day, version) of the folders no reader needs any more, for clean-up."""
+    schema, day = (BARS, "bar_date") if table == "bars" else (TRADES, "trade_date")
+    folders = _read_versions(spark, f"{root}/{table}", schema).select(day, VERSION).distinct()
+    newest = folders.groupBy(day).agg(F.max(VERSION).alias(VERSION))
+    return folders.join(F.broadcast(newest), [day, VERSION], "left_anti")
