@@ -20,6 +20,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores on inputs with fewer splits than cores; others stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def symbol(key: str) -> Column:
     return F.concat(F.lit("U"), F.col(key))
 
@@ -27,7 +33,10 @@ def symbol(key: str) -> Column:
 def raw_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One bar per event: hour of the event, no close (NaN) for errors."""
     value = F.col("value")
-    return table(spark, sf_dir, "events").select(
+    events = table(spark, sf_dir, "events").select(
+        "user_id", "ts", "event_type", "value", "props"
+    )
+    return spread(events).select(
         symbol("user_id").alias("symbol"),
         F.date_format("ts", "yyyy-MM-dd'T'HH:00:00'-04:00'").alias("ts"),
         value.alias("open"),
@@ -149,7 +158,8 @@ def raw_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("$"), quantity.cast("int")).alias("price"),
     )
     landed = F.timestamp_add("DAY", quantity.cast("int"), F.col("l_shipdate").cast("timestamp"))
-    return table(spark, sf_dir, "lineitem").select(
+    lines = table(spark, sf_dir, "lineitem").drop("l_orderkey")
+    return spread(lines).select(
         F.lit("filings").alias("source"),
         landed.alias("extracted_at"),
         _to_json(F.array(trade)).alias("payload"),
@@ -159,7 +169,7 @@ def raw_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scraped cells made from orders: padded, multi-line and with blanks."""
     date = F.col("o_orderdate")
-    return table(spark, sf_dir, "orders").select(
+    return spread(table(spark, sf_dir, "orders")).select(
         F.lit("cells").alias("source"),
         F.concat(F.lit("\n Clerk "), F.col("o_custkey"), F.lit("\t ")).alias("politician"),
         F.concat(F.lit(" "), F.col("o_orderpriority")).alias("party"),

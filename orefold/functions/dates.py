@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from orefold import fixed_values as fixed
 from orefold.functions.text import WHITE_SPACE
 
+DISPLAY_DATE = "d MMM yyyy"
 END_OF_TIME = "9999-12-31"
 
 
@@ -25,7 +26,10 @@ def parse_display_date(c: Column) -> Column:
 
     Outer and repeated blanks are accepted. A two-digit year gives null.
     """
-    return F.try_to_date(F.trim(F.regexp_replace(c, WHITE_SPACE, " ")), "d MMM yyyy")
+    as_it_is = F.try_to_date(c, DISPLAY_DATE)
+    # evaluated only for the few texts that do not parse as they are
+    tidied = F.try_to_date(F.trim(F.regexp_replace(c, WHITE_SPACE, " ")), DISPLAY_DATE)
+    return F.coalesce(as_it_is, tidied)
 
 
 def iso_date(c: Column) -> Column:
