@@ -125,13 +125,15 @@ def split_raw(raw: DataFrame, kind: str) -> tuple[DataFrame, DataFrame]:
     return good, judged.filter(F.col("reason").isNotNull())
 
 
-def _document_number(max_rows: int) -> Column:
-    """Consecutive input rows share a number, at most ``max_rows`` of them.
+def _numbered(df: DataFrame, max_rows: int) -> DataFrame:
+    """Add ``_row`` and ``_doc``: consecutive rows share a document, at most ``max_rows``.
 
     This bounds a document whatever the keys look like: a key holding a third of
     all rows is spread over many documents, and so over many tasks.
     """
-    return F.floor(F.monotonically_increasing_id() / max_rows)
+    return df.withColumn("_row", F.monotonically_increasing_id()).withColumn(
+        "_doc", F.expr(f"_row div {int(max_rows)}")
+    )
 
 
 def _to_json(c: Column) -> Column:
@@ -146,7 +148,7 @@ def nest_bars(bars: DataFrame, max_rows: int = MAX_ROWS_PER_DOC) -> DataFrame:
     """
     bar = F.struct("ts", "open", "high", "low", "close", "volume")
     docs = (
-        bars.withColumn("_doc", _document_number(max_rows))
+        _numbered(bars, max_rows)
         .groupBy("symbol", "_doc")
         .agg(F.sort_array(F.collect_list(bar)).alias("bars"))
     )
@@ -158,8 +160,7 @@ def nest_trades(trades: DataFrame, max_rows: int = MAX_ROWS_PER_DOC) -> DataFram
     """Trade records with a ``source`` to (source, payload) documents, in input order."""
     fields = [c for c in trades.columns if c != "source"]
     docs = (
-        trades.withColumn("_row", F.monotonically_increasing_id())
-        .withColumn("_doc", F.floor(F.col("_row") / max_rows))
+        _numbered(trades, max_rows)
         .groupBy("source", "_doc")
         .agg(
             F.sort_array(F.collect_list(F.struct("_row", F.struct(*fields).alias("trade"))))
