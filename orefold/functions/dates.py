@@ -64,6 +64,12 @@ def day_bucket(ts: Column) -> Column:
     return F.coalesce(day_of(ts), F.lit(END_OF_TIME).cast("date"))
 
 
+def grain_start(ts: Column, grain: str) -> Column:
+    """Start of the hour, day, ... as a never-null key; a null time falls into the last one."""
+    start = F.date_trunc(grain, ts).cast("timestamp_ntz")
+    return F.coalesce(start, F.lit(END_OF_TIME).cast("timestamp_ntz"))
+
+
 def report_date(trade_date: Column, lag_days: Column) -> Column:
     """Trade date plus the disclosure lag; a missing lag counts as none."""
     return F.date_add(trade_date, F.coalesce(lag_days, F.lit(0)))

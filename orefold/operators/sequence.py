@@ -11,34 +11,43 @@ from orefold.functions import dates
 
 
 def previous_value(
-    df: DataFrame, key: str, order: str, value: str, out: str, bucket: str = "bucket"
+    df: DataFrame,
+    key: str,
+    order: str,
+    value: str,
+    out: str,
+    grains: Sequence[str] = ("day",),
+    bucket: str = "bucket",
 ) -> DataFrame:
     """Add ``out``: ``value`` of the key's preceding row in ``order``, null on the first.
 
-    A plain lag puts a whole key into one task. Here a key is split by calendar day:
-    the lag runs inside (key, day), and only the first row of a day looks further
-    back, through a small table with the last value of every (key, day). The result
-    stays partitioned by (key, ``bucket``), where ``bucket`` is the added day column;
-    later aggregates that group by both need no further shuffle.
+    A plain lag puts a whole key into one task. Here a key is split by the first of
+    ``grains`` (a unit of time): the lag runs inside (key, grain), and only the first row
+    of a grain looks further back, through a table with the last value of every (key,
+    grain). That table is treated likewise with the remaining grains, so no task ever
+    holds more than the rows of one key in one unit of time.
+
+    Choose the first grain so that a key has few rows in it: ``day`` for hourly bars,
+    ``minute`` and then ``day`` for dense events. The result stays partitioned by (key,
+    ``bucket``), where ``bucket`` is the added start of the grain; later aggregates that
+    group by both need no further shuffle.
 
     ``order`` must be unique within the key.
     """
-    bucketed = df.withColumn(bucket, dates.day_bucket(F.col(order)))
+    if not grains:
+        in_key = Window.partitionBy(key).orderBy(F.asc_nulls_last(order))
+        return df.withColumn(out, F.lag(value).over(in_key))
 
+    bucketed = df.withColumn(bucket, dates.grain_start(F.col(order), grains[0]))
     in_bucket = Window.partitionBy(key, bucket).orderBy(F.asc_nulls_last(order))
     rows = (
         bucketed.repartition(key, bucket)
         .withColumn("_prev", F.lag(value).over(in_bucket))
         .withColumn("_rn", F.row_number().over(in_bucket))
     )
-
-    in_key = Window.partitionBy(key).orderBy(bucket)
-    carry = (
-        bucketed.groupBy(key, bucket)
-        .agg(F.max_by(value, order).alias("_last"))
-        .select(key, bucket, F.lag("_last").over(in_key).alias("_carry"))
-    )
-    return rows.join(carry, [key, bucket], "left").select(
+    last = bucketed.groupBy(key, bucket).agg(F.max_by(value, order).alias("_last"))
+    carry = previous_value(last, key, bucket, "_last", "_carry", grains[1:], f"{bucket}_")
+    return rows.join(carry.select(key, bucket, "_carry"), [key, bucket], "left").select(
         *df.columns,
         bucket,
         F.when(F.col("_rn") == 1, F.col("_carry")).otherwise(F.col("_prev")).alias(out),

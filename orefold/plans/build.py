@@ -25,8 +25,9 @@ def build_all(
 ) -> dict[str, DataFrame]:
     """Rebuild every table from bronze; the first failing data test stops the run.
 
-    Each table is written once and the next layer reads the written files, so nothing
-    is computed twice and a lost executor costs its own tasks only. The dimension's and
+    Each table is written once, tested as written, and published only then. The next
+    layer reads the written files, so nothing is computed twice and a lost executor costs
+    its own tasks only. The dimension's and
     the weights' keys are tested before they are joined: a repeated key would multiply
     facts.
     """
@@ -38,8 +39,9 @@ def build_all(
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
 
     def publish(df: DataFrame, name: str, checks, by: tuple[str, ...] = ()) -> DataFrame:
-        written = tables.full_refresh(df, prefix + name, root, run_id, by)
-        return quality.gate(written, checks, name)
+        path = tables.run_path(root, name, run_id)
+        quality.gate(tables.write_run(df, path, by), checks, name)
+        return tables.publish(spark, prefix + name, path)
 
     prices = publish(
         silver.silver_stock_prices(raw_prices, dim).withColumn("bar_date", F.to_date("bar_ts")),

@@ -15,10 +15,10 @@ def bar_returns(silver: DataFrame) -> DataFrame:
     """Return of each bar on the symbol's preceding bar; the first bar has none.
 
     The predecessor may lie on an earlier day. Needs symbol, bar_ts and close; any
-    other column is carried along, plus the calendar day as ``bar_date``.
+    other column is carried along, plus the start of the day as ``bar_day``.
     """
     with_prev = sequence.previous_value(
-        silver, "symbol", "bar_ts", "close", "prev_close", bucket="bar_date"
+        silver, "symbol", "bar_ts", "close", "prev_close", ("day",), bucket="bar_day"
     )
     return with_prev.filter(F.col("prev_close").isNotNull()).withColumn(
         "pct_change", numeric.simple_return(F.col("close"), F.col("prev_close"))
@@ -44,14 +44,14 @@ def sector_hourly_perf(silver: DataFrame, weights: DataFrame) -> DataFrame:
     )
     return (
         bar_returns(weighted)
-        .groupBy("bar_date", "bar_ts", "sector")
+        .groupBy("bar_day", "bar_ts", "sector")
         .agg(
             numeric.weighted_mean(F.col("pct_change"), F.col("market_cap_b")).alias(
                 "sector_pct_change"
             ),
             F.countDistinct("symbol").alias("n_tickers"),
         )
-        .drop("bar_date")
+        .drop("bar_day")
     )
 
 

@@ -4,19 +4,37 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def full_refresh(
-    df: DataFrame, name: str, root: str, run_id: str, partition_by: Sequence[str] = ()
-) -> DataFrame:
-    """Write ``df`` to a folder of its own, then point the view ``name`` at it.
+def run_path(root: str, name: str, run_id: str) -> str:
+    return f"{root.rstrip('/')}/{name}/{run_id}"
 
-    Readers see the previous run until the new one is complete. A run that dies, or
-    is repeated under the same ``run_id``, leaves nothing half-visible.
+
+def write_run(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
+    """Write one run's table to a folder of its own and return it as written.
+
+    With ``partition_by``, rows are first brought together by partition: adaptive
+    execution splits large partitions and merges small ones, so a partition gets few
+    files of even size rather than one from every task.
     """
-    path = f"{root.rstrip('/')}/{name}/{run_id}"
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
-    spark = df.sparkSession
+    return df.sparkSession.read.parquet(path)
+
+
+def publish(spark: SparkSession, name: str, path: str) -> DataFrame:
+    """Point the view ``name`` at a written run. Readers see the old run or the new one."""
     spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM parquet.`{path}`")
     return spark.table(name)
+
+
+def full_refresh(
+    df: DataFrame, name: str, root: str, run_id: str, partition_by: Sequence[str] = ()
+) -> DataFrame:
+    """Write, then publish. A run that dies, or is repeated under the same ``run_id``,
+    leaves nothing half-visible."""
+    path = run_path(root, name, run_id)
+    write_run(df, path, partition_by)
+    return publish(df.sparkSession, name, path)

@@ -70,7 +70,9 @@ def _advance(
             touched = fresh.select(day).distinct()
             kept = earlier.join(F.broadcast(touched), day, "left_semi")
             fresh = latest(fresh.unionByName(kept.select(*fresh.columns)))
-        fresh.write.mode("overwrite").partitionBy(day).parquet(f"{store}/{VERSION}={batch_id}")
+        fresh.hint("rebalance", day).write.mode("overwrite").partitionBy(day).parquet(
+            f"{store}/{VERSION}={batch_id}"
+        )
 
     query = (
         raw.writeStream.foreachBatch(merge)

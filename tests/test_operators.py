@@ -179,7 +179,8 @@ def test_union_keep_first(spark):
 
 # sequence
 
-def test_previous_value_equals_plain_lag(spark):
+@pytest.mark.parametrize("grains", [(), ("day",), ("hour", "day"), ("minute", "week", "year")])
+def test_previous_value_equals_plain_lag(spark, grains):
     rng = random.Random(1)
     data = {}
     for _ in range(600):
@@ -189,7 +190,7 @@ def test_previous_value_equals_plain_lag(spark):
     df = spark.createDataFrame(
         [(k, t, v) for (k, t), v in data.items()], "k string, t timestamp_ntz, v double"
     )
-    got = {(r.k, r.t): r.p for r in sequence.previous_value(df, "k", "t", "v", "p").collect()}
+    got = {(r.k, r.t): r.p for r in sequence.previous_value(df, "k", "t", "v", "p", grains).collect()}
     want, last = {}, {}
     for key, ts in sorted(data):
         want[(key, ts)] = last.get(key)
