@@ -10,20 +10,42 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orefold.operators.nested import _to_json
+from orefold.operators.nested import json_text
 
 PRICES_AS_OF = "2024-02-10"
 TRADES_AS_OF = "2001-11-01"
 
 
+TABLES = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+    "value double, props string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+    "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, "
+    "o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+    "c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+    "p_retailprice double",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
+
 
+def spread(df: DataFrame, *unique: str) -> DataFrame:
+    """Use all cores on inputs with fewer splits than cores; others stay as they are.
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores on inputs with fewer splits than cores; others stay as they are."""
+    Rows go by a hash of their ``unique`` columns: evenly, and the same way again when a
+    lost task is repeated.
+    """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *unique)
 
 
 def symbol(key: str) -> Column:
@@ -33,10 +55,7 @@ def symbol(key: str) -> Column:
 def raw_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One bar per event: hour of the event, no close (NaN) for errors."""
     value = F.col("value")
-    events = table(spark, sf_dir, "events").select(
-        "user_id", "ts", "event_type", "value", "props"
-    )
-    return spread(events).select(
+    return spread(table(spark, sf_dir, "events"), "event_id").select(
         symbol("user_id").alias("symbol"),
         F.date_format("ts", "yyyy-MM-dd'T'HH:00:00'-04:00'").alias("ts"),
         value.alias("open"),
@@ -63,7 +82,7 @@ def raw_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("volume").cast("bigint").alias("volume"),
     )
     doc = F.struct("symbol", F.lit("1h").alias("interval"), F.array(bar).alias("bars"))
-    return bars.select("symbol", "extracted_at", _to_json(doc).alias("payload"))
+    return bars.select("symbol", "extracted_at", json_text(doc).alias("payload"))
 
 
 def damaged_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -158,18 +177,18 @@ def raw_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("$"), quantity.cast("int")).alias("price"),
     )
     landed = F.timestamp_add("DAY", quantity.cast("int"), F.col("l_shipdate").cast("timestamp"))
-    lines = table(spark, sf_dir, "lineitem").drop("l_orderkey")
-    return spread(lines).select(
+    lines = table(spark, sf_dir, "lineitem")
+    return spread(lines, "l_orderkey", "l_linenumber", "l_partkey").select(
         F.lit("filings").alias("source"),
         landed.alias("extracted_at"),
-        _to_json(F.array(trade)).alias("payload"),
+        json_text(F.array(trade)).alias("payload"),
     )
 
 
 def raw_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scraped cells made from orders: padded, multi-line and with blanks."""
     date = F.col("o_orderdate")
-    return spread(table(spark, sf_dir, "orders")).select(
+    return spread(table(spark, sf_dir, "orders"), "o_orderkey").select(
         F.lit("cells").alias("source"),
         F.concat(F.lit("\n Clerk "), F.col("o_custkey"), F.lit("\t ")).alias("politician"),
         F.concat(F.lit(" "), F.col("o_orderpriority")).alias("party"),

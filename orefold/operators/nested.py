@@ -136,7 +136,8 @@ def _numbered(df: DataFrame, max_rows: int) -> DataFrame:
     )
 
 
-def _to_json(c: Column) -> Column:
+def json_text(c: Column) -> Column:
+    """Serialise with explicit nulls."""
     return F.to_json(c, {"ignoreNullFields": "false"})
 
 
@@ -153,7 +154,7 @@ def nest_bars(bars: DataFrame, max_rows: int = MAX_ROWS_PER_DOC) -> DataFrame:
         .agg(F.sort_array(F.collect_list(bar)).alias("bars"))
     )
     body = F.struct("symbol", F.lit(fixed.BAR_INTERVAL).alias("interval"), "bars")
-    return docs.select("symbol", _to_json(body).alias("payload"))
+    return docs.select("symbol", json_text(body).alias("payload"))
 
 
 def nest_trades(trades: DataFrame, max_rows: int = MAX_ROWS_PER_DOC) -> DataFrame:
@@ -167,4 +168,4 @@ def nest_trades(trades: DataFrame, max_rows: int = MAX_ROWS_PER_DOC) -> DataFram
             .getField("trade").alias("trades")
         )
     )
-    return docs.select("source", _to_json(F.col("trades")).alias("payload"))
+    return docs.select("source", json_text(F.col("trades")).alias("payload"))

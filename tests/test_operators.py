@@ -253,6 +253,34 @@ def test_size_check_decides_on_broadcast(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_hot_key_is_split_when_the_dimension_is_large(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    kept = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        fact = spark.range(0, 300_000, 1, 12).selectExpr(
+            "if(id % 3 = 0, 'hot', cast(id as string)) symbol", "id", "uuid() x"
+        )
+        table = spark.range(1000).selectExpr("cast(id as string) ticker", "id sector").union(
+            spark.range(1).selectExpr("'hot'", "-1L")
+        )
+        sized = joins.size_checked(table, max_rows=10)
+        joined = joins.attach(fact, sized, "symbol", "ticker")
+        assert joined.filter("sector = -1").count() == 100_000
+        joined.collect()
+        assert "skew=true" in plan(joined)
+    finally:
+        for k, v in kept.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def test_left_join_keeps_unmatched(spark):
     fact = spark.createDataFrame([("AAA",), ("ZZZ",)], "symbol string")
     got = joins.attach(fact, dim(spark), "symbol", "ticker").select("symbol", "sector")
