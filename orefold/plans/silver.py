@@ -15,7 +15,7 @@ TRADE_KEY = ("member", "ticker", "trade_date", "txn_type", "txn_value_band")
 
 def bars(raw: DataFrame, mode: str = "strict", clock: str = "wall") -> DataFrame:
     """Every landed bar of every extraction, typed."""
-    return nested.type_bars(nested.explode_bars(raw, mode), mode, clock)
+    return nested.read_bars(raw, mode, clock)
 
 
 def trades(raw: DataFrame, mode: str = "strict") -> DataFrame:

@@ -14,6 +14,11 @@ BAR_DOC = (
     "struct<bars:array<struct<ts:string,open:string,high:string,low:string,"
     "close:string,volume:string>>>"
 )
+# The shape bars have when written by the book: numbers as JSON numbers.
+NUMBER_BAR_DOC = (
+    "struct<bars:array<struct<ts:string,open:double,high:double,low:double,close:double,"
+    "volume:bigint>>,_corrupt_record:string>"
+)
 TRADE_DOC = (
     "array<struct<politician:string,party:string,chamber:string,state:string,"
     "issuer:string,ticker:string,trade_date_raw:string,filed_after_days:string,"

@@ -79,6 +79,44 @@ def test_whole_number_volume(spark):
     assert [r.volume for r in got] == [13, 2**40]
 
 
+ODD_DOCS = [
+    '{"bars": [{"ts": "2026-04-22T09:30:00-04:00", "open": "1.5", "close": 2, "volume": 12.6}]}',
+    '{"bars": [{"ts": "2026-04-22T09:30:00", "open": 1, "close": 1e2, "volume": "7"}]}',
+    '{"bars": [null, {"ts": null}, {"close": 12345678901234567890.123}]}',
+    '{"bars": [{"ts": "2026-04-22 10:30:00", "close": null, "volume": 9007199254740993}]}',
+    '{"bars": null}', "{}", " null ", None, '{"bars": []}',
+    ' {"extra": [1], "bars": [{"ts": "2026-04-23", "close": 0.1}], "more": {}} ',
+]
+BAD_DOCS = [
+    '{"bars": [{"ts": "2026-04-22T09:30:00", "close": "abc", "open": 1.5}]}',
+    '{"bars": [{"ts": "2026-04-22T09:30:00", "close": ""}]}',
+    '{"bars": [{"ts": "2026-04-22T09:30:00", "close": 1.5, "volume": {"a": 1}}]}',
+    '{"bars": [{"ts": "2026-04-22T09:30:00", "close": true}]}',
+    '{"bars": [{"ts": "later", "close": 1.5}]}',
+    '{"bars": [{"ts": "2026-04-22T09:30:00", "volume": 99999999999999999999}]}',
+    '{"bars": {"ts": "x"}}', '{"bars": [1]}', "[]", "no json", "", '{"bars": [{"ts": "x"}',
+]
+
+
+def test_reading_straight_to_numbers_changes_nothing(spark):
+    for mode in nested.MODES:
+        docs = ODD_DOCS + (BAD_DOCS if mode == "lenient" else [])
+        raw = prices(spark, *[("A", "2026-04-22T10:00:00+00:00", d) for d in docs])
+        want = nested.type_bars(nested.explode_bars(raw, mode), mode)
+        got = nested.read_bars(raw, mode)
+        assert got.dtypes == want.dtypes
+        assert rows(got) == rows(want) and got.count() >= 7
+
+
+@pytest.mark.parametrize("payload", BAD_DOCS)
+def test_reading_straight_to_numbers_is_as_strict(spark, payload):
+    raw = prices(spark, ("A", "2026-04-22T10:00:00+00:00", payload))
+    with pytest.raises(FAILURE):
+        nested.type_bars(nested.explode_bars(raw)).collect()
+    with pytest.raises(FAILURE):
+        nested.read_bars(raw).collect()
+
+
 def test_unknown_mode(spark):
     with pytest.raises(ValueError):
         nested.explode_bars(prices(spark, ("A", "2026-04-22T10:00:00+00:00", "{}")), "maybe")
