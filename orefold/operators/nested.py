@@ -22,13 +22,18 @@ def _checked_mode(mode: str) -> str:
     return mode
 
 
+def _text(payload: Column) -> Column:
+    """The payload without white space around it; a JSON ``null`` is a missing payload."""
+    return F.nullif(F.trim(payload, F.lit(" \t\r\n")), F.lit("null"))
+
+
 def _document(payload: Column, schema: str, mode: str) -> Column:
-    """Parse one payload. A JSON ``null`` is a missing payload in either mode."""
-    text = F.nullif(F.trim(payload), F.lit("null"))
+    """Parse one payload; its top level must be an array or an object as in the schema."""
+    text = _text(payload)
+    top_level_fits = text.startswith("[" if schema.startswith("array") else "{")
     if mode == "lenient":
-        return F.from_json(text, schema)
+        return F.when(top_level_fits, F.from_json(text, schema))
     parsed = F.from_json(text, schema, {"mode": "FAILFAST"})
-    top_level_fits = text.startswith("[" if schema.startswith("array") else "{")
     return F.when(text.isNull() | top_level_fits, parsed).otherwise(
         F.raise_error(F.concat(F.lit("payload has the wrong shape: "), F.substring(text, 1, 80)))
     )
@@ -93,7 +98,7 @@ def read_bars(raw: DataFrame, mode: str = "strict", clock: str = "wall") -> Data
     require_session(raw.sparkSession)
     _checked_mode(mode)
     opened = raw.select(
-        "symbol", "extracted_at", F.nullif(F.trim("payload"), F.lit("null")).alias("_text")
+        "symbol", "extracted_at", _text(F.col("payload")).alias("_text")
     ).withColumn(
         "_doc", F.from_json("_text", schemas.NUMBER_BAR_DOC, {"mode": "PERMISSIVE"})
     )
@@ -137,7 +142,7 @@ def with_reason(raw: DataFrame, kind: str) -> DataFrame:
     ``missing``: no payload; ``malformed``: not JSON or of the wrong shape;
     ``empty``: no record inside.
     """
-    text = F.nullif(F.trim(F.col("payload")), F.lit("null"))
+    text = _text(F.col("payload"))
     if kind == "bars":
         schema = schemas.BAR_DOC[:-1] + ",_corrupt_record:string>"
         # with the mode spelt out, the parser keeps all fields, and so sees every fault

@@ -47,6 +47,24 @@ def test_strict_trades_fail(spark, payload):
         nested.explode_trades(raw).collect()
 
 
+def test_white_space_around_a_payload(spark):
+    at = "2026-04-22T10:00:00+00:00"
+    raw = trades(spark, (at, '\n\t [{"ticker": "A"}]\r\n'), (at, "\nnull\n"))
+    assert [r.ticker for r in nested.explode_trades(raw).collect()] == ["A"]
+    assert sorted(str(r.reason) for r in nested.with_reason(raw, "trades").collect()) == [
+        "None", "missing",
+    ]
+    bars = prices(spark, ("A", at, '\n{"bars": [{"ts": "2026-04-22T09:30:00", "close": 1}]}\n'))
+    assert nested.explode_bars(bars).count() == nested.read_bars(bars).count() == 1
+
+
+def test_lenient_trades_skip_what_quarantine_holds(spark):
+    at = "2026-04-22T10:00:00+00:00"
+    raw = trades(spark, (at, '{"ticker": "A"}'), (at, "no json"), (at, [trade()]))
+    assert nested.explode_trades(raw, "lenient").count() == 1
+    assert nested.split_raw(raw, "trades")[1].count() == 2
+
+
 def test_key_access_as_text(spark):
     raw = trades(
         spark,
