@@ -138,7 +138,8 @@ def _folded(units: DataFrame, level: int) -> DataFrame:
 
 
 def mixed_copies(docs: DataFrame, max_copies: int = MAX_COPIES) -> DataFrame:
-    """``doc_id, source, size, source_size, target, copies`` for each document."""
+    """``doc_id, dup, source, size, source_size, target, copies`` for each document; ``dup``
+    numbers rows that are equal in id, source and size."""
     sized = stored(sizes(docs), "mix-sizes")
     goal = stored(targets(sized, max_copies), "mix-targets")
     counted = sized.groupBy("doc_id", "source", "size").agg(F.count(F.lit(1)).alias("times"))
@@ -154,7 +155,7 @@ def mixed_copies(docs: DataFrame, max_copies: int = MAX_COPIES) -> DataFrame:
         .select("doc_id", "dup", "source", "size", "whole", "part")
     )
     units = stored(units, "mix-units")
-    settled = [units.where(F.col("part") <= _EPS).select("doc_id", "source", "size", F.col("whole").alias("copies"))]
+    settled = [units.where(F.col("part") <= _EPS).select("doc_id", "dup", "source", "size", F.col("whole").alias("copies"))]
     open_units, level = units.where(F.col("part") > _EPS), 0
     while True:
         level += 1
@@ -180,8 +181,8 @@ def mixed_copies(docs: DataFrame, max_copies: int = MAX_COPIES) -> DataFrame:
 
 def _settle(folded: DataFrame, copies: Column) -> DataFrame:
     return folded.select(
-        F.col("unit.doc_id").alias("doc_id"), "source", F.col("unit.size").alias("size"),
-        copies.cast("long").alias("copies"),
+        F.col("unit.doc_id").alias("doc_id"), F.col("unit.dup").alias("dup"), "source",
+        F.col("unit.size").alias("size"), copies.cast("long").alias("copies"),
     )
 
 
@@ -193,31 +194,35 @@ def digest(mixed: DataFrame) -> DataFrame:
 
 
 def mixed_documents(docs: DataFrame, max_copies: int = MAX_COPIES) -> DataFrame:
-    """The documents of the mix, each as often as it is taken, all columns kept.
-
-    Rows equal in id, source and size are numbered, and the copies they take together are
-    shared out among them in order of that number.
-    """
-    taken = (
-        mixed_copies(docs, max_copies)
-        .groupBy("doc_id", "source", "size")
-        .agg(F.array_sort(F.collect_list("copies")).alias("taken"))
-        .select(F.col("doc_id").alias("of_id"), F.col("source").alias("of_source"), F.col("size").alias("of_size"), "taken")
-    )
+    """The documents of the mix, each as often as it is taken, all columns kept. Rows equal
+    in id, source and size are numbered in order of their texts' hashes."""
+    taken = stored(
+        mixed_copies(docs, max_copies).where("copies > 0 or dup = 2").select(
+            F.struct("doc_id", "source", "size").alias("__of"), F.col("dup").alias("__nth"),
+            F.col("copies").cast("int").alias("__copies"),
+        ),
+        "mix-taken",
+    )
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    key = F.struct(F.col("doc_id").cast("long").alias("i"), F.col("source").alias("s"), size.alias("n"))
-    same = Window.partitionBy("__key").orderBy(F.xxhash64("text"))
+    key = F.struct(
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("source").alias("source"), size.alias("size")
+    )
+    keyed = docs.withColumn("__key", key)
+    repeated = taken.where("__nth = 2").select(F.col("__of").alias("__again"))
+    if repeated.isEmpty():
+        keyed = keyed.withColumn("__number", F.lit(1))
+    else:
+        same = Window.partitionBy("__key").orderBy(F.xxhash64("text"))
+        again = F.col("__key").eqNullSafe(F.col("__again"))
+        alone = keyed.join(repeated, again, "left_anti").withColumn("__number", F.lit(1))
+        keyed = alone.unionByName(
+            keyed.join(repeated, again, "left_semi").withColumn("__number", F.row_number().over(same))
+        )
     return (
-        docs.withColumn("__key", key)
-        .withColumn("__nth", F.row_number().over(same))
-        .join(
-            taken,
-            F.col("__key.i").eqNullSafe(F.col("of_id"))
-            & F.col("__key.s").eqNullSafe(F.col("of_source"))
-            & F.col("__key.n").eqNullSafe(F.col("of_size")),
+        keyed.join(
+            taken.where("__copies > 0"),
+            F.col("__key").eqNullSafe(F.col("__of")) & (F.col("__number") == F.col("__nth")),
         )
-        .withColumn("__copies", F.element_at("taken", F.col("__nth")).cast("int"))
-        .where("__copies > 0")
         .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
         .select(*docs.columns)
     )

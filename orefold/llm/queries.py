@@ -5,9 +5,21 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
-from orefold.llm import decontaminate, mixing, secrets, tokens
-from orefold.llm.common import documents
+from pyspark.sql import functions as F
+
+from orefold.llm import (
+    decontaminate,
+    language,
+    mixing,
+    passages,
+    quality,
+    secrets,
+    simhash,
+    suffix_tree,
+    tokens,
+    toxicity,
+)
+from orefold.llm.common import documents, fold_of
 
 
 def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
@@ -21,10 +33,42 @@ def op1_decontamination(spark: SparkSession, d: str) -> DataFrame:
     return decontaminate.contaminated(documents(spark, d), benchmark)
 
 
+def op2_substring_dedup(spark: SparkSession, d: str) -> DataFrame:
+    return passages.passages(documents(spark, d))
+
+
+def op3_simhash(spark: SparkSession, d: str) -> DataFrame:
+    return simhash.digest(simhash.near_duplicates(documents(spark, d)))
+
+
+def op4_toxicity(spark: SparkSession, d: str) -> DataFrame:
+    """Learns from four of five folds of the ids."""
+    docs, held_out = documents(spark, d), fold_of(F.col("doc_id"), 5) == 0
+    field = toxicity.fitted(docs, spark.read.parquet(f"{d}/labels.parquet"), ~held_out)
+    return toxicity.scored(docs, field, {"held_out": held_out})
+
+
+def op5_quality(spark: SparkSession, d: str) -> DataFrame:
+    return quality.judged(documents(spark, d))
+
+
+def op6_language(spark: SparkSession, d: str) -> DataFrame:
+    """Learns from three of four folds of the ids."""
+    docs, held_out = documents(spark, d), fold_of(F.col("doc_id"), 4) == 2
+    return language.identified(docs, language.learned(docs, ~held_out), {"held_out": held_out})
+
+
 def op7_token_ids(spark: SparkSession, d: str) -> DataFrame:
     return tokens.encoded(documents(spark, d), tokenizer_file())
 
 
+def op8_language_model(spark: SparkSession, d: str) -> DataFrame:
+    """Learns from four of five folds of the ids."""
+    docs, held_out = documents(spark, d), fold_of(F.col("doc_id"), 5) == 1
+    tree, counts = suffix_tree.learned(docs.where(~held_out).select("text"))
+    return suffix_tree.scored(docs, tree, counts, {"held_out": held_out})
+
+
 def op9_source_mix(spark: SparkSession, d: str) -> DataFrame:
     return mixing.digest(mixing.mixed_copies(documents(spark, d)))
 
@@ -34,6 +78,10 @@ def op10_secrets(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_decontamination, op7_token_ids, op9_source_mix, op10_secrets)
+    f.__name__: f
+    for f in (
+        op1_decontamination, op2_substring_dedup, op3_simhash, op4_toxicity, op5_quality, op6_language, op7_token_ids,
+        op8_language_model, op9_source_mix, op10_secrets,
+    )
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op5_quality": quality.ORACLE_SQL}
