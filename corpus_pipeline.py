@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orefold.llm import decontaminate, language, mixing, simhash, tokens
-from orefold.llm.common import documents, fold_of, stored
+from orefold.llm.common import documents, fold_of, stored, with_workers
 from orefold.llm.queries import tokenizer_file
 
 
@@ -40,11 +40,11 @@ def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
-    ("language_id", language_id),
-    ("near_dedup", near_dedup),
-    ("decontamination", decontamination),
-    ("mix", mix),
-    ("token_ids", token_ids),
+    ("language_id", with_workers(language_id)),
+    ("near_dedup", with_workers(near_dedup)),
+    ("decontamination", with_workers(decontamination)),
+    ("mix", with_workers(mix)),
+    ("token_ids", with_workers(token_ids)),
 ]
 
 #: Trained models, hashes and the tokenizer have no SQL form; the tests use brute force.

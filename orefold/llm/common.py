@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+import os
 import uuid
 import zlib
 from collections.abc import Callable, Iterable, Iterator
@@ -28,6 +30,28 @@ _powers = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
 _LETTERS = np.random.default_rng(7).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
 
 
+def on_workers(spark: SparkSession) -> None:
+    """Let Python workers on this machine import the package from where the driver has it.
+    On a cluster it is installed, or passed with ``--py-files``, as any other package."""
+    sc = spark.sparkContext
+    if sc.master.startswith("local"):
+        root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+        paths = [p for p in sc.environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+        if root not in paths:
+            sc.environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
+def with_workers(query: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """A query or stage whose first argument is the session, see ``on_workers``."""
+
+    @functools.wraps(query)
+    def run(spark: SparkSession, *args) -> DataFrame:
+        on_workers(spark)
+        return query(spark, *args)
+
+    return run
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

@@ -19,7 +19,7 @@ from orefold.llm import (
     tokens,
     toxicity,
 )
-from orefold.llm.common import documents, fold_of
+from orefold.llm.common import documents, fold_of, with_workers
 
 
 def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
@@ -78,7 +78,7 @@ def op10_secrets(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f
+    f.__name__: with_workers(f)
     for f in (
         op1_decontamination, op2_substring_dedup, op3_simhash, op4_toxicity, op5_quality, op6_language, op7_token_ids,
         op8_language_model, op9_source_mix, op10_secrets,
