@@ -164,12 +164,14 @@ def mixed(h: np.ndarray, seed: int = 0) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
-    """All words `[^\\x20\\x09-\\x0D]+` of a ``large_binary`` array, and the text of each."""
+def split_words(texts: pa.Array, lower: bool = False) -> tuple[pa.Array, np.ndarray]:
+    """All words `[^\\x20\\x09-\\x0D]+` of a ``large_binary`` array, and the text of each;
+    with ``lower``, A-Z in lower case."""
     data, at = raw(texts)
     words = Words(data, at, ~SPACE)
     # bytes of the words alone, back to back
     body = data[~SPACE[data]]
+    body = LOWER[body] if lower else body
     ends = np.concatenate([[0], np.cumsum(words.ends - words.starts)]).astype(np.int64)
     flat = pa.LargeBinaryArray.from_buffers(
         pa.large_binary(), len(words.starts), [None, pa.py_buffer(ends), pa.py_buffer(body)]

@@ -231,7 +231,7 @@ with texts as (
 ),
 split as (
   select *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') as ws,
-         list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) as ls
+         [x for x in string_split(t, chr(10)) if regexp_matches(x, '[^\x20\x09-\x0D]')] as ls
   from texts
 ),
 windows as (

@@ -34,19 +34,19 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from orefold.llm.common import crc32, new_folder, slices, split_words, text_bytes
+from orefold.llm.common import crc32, new_folder, raw, slices, split_words, text_bytes
 
-BLOCK = 1024
+BLOCK = 4096
 #: The share of a block's ids that the packed width must fit.
 FIT = 0.9
-SEGMENT_BYTES = 1024 * 1024
+SEGMENT_BYTES = 4 * 1024 * 1024
 RANGE_BYTES = 32 * 1024 * 1024
 END_ID = 1
 MAGIC = b"PFR1"
 #: Distinct words that a worker remembers; beyond it, it starts anew.
-REMEMBERED = 1_000_000
+REMEMBERED = 600_000
 
-WRITTEN = "part int, segment int, base long, doc_ids binary, lengths binary, payload binary"
+WRITTEN = "part int, segment int, base long, n_ids long, doc_ids binary, lengths binary, payload binary"
 READ = "part int, segment int, doc_id long, offset long, n_tokens long, ids_crc32 long"
 
 
@@ -134,71 +134,84 @@ _TRAILING = re.compile(rb"(?<=[A-Za-z0-9])[!\"#$%&()*+,\-./:;<=>?@\[\\\]^_`{|}~]
 
 
 class WordEncoder:
-    """Ids of texts by way of their distinct words."""
+    """Ids of texts by way of their distinct words, remembered in one array."""
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
-        self.known: dict[bytes, np.ndarray] = {}
-
-    def _learn(self, pieces: list[bytes]) -> None:
-        if len(self.known) + len(pieces) > REMEMBERED:
-            self.known.clear()
+        self.forget()
+
+    def forget(self) -> None:
+        self.places: dict[bytes, int] = {}
+        self.starts, self.lengths = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64)
+        self.ids, self.used = np.zeros(1 << 14, np.uint32), 0
+
+    def _add(self, words: list[bytes], ids: np.ndarray, lengths: np.ndarray) -> None:
+        n, m = len(self.places), len(words)
+        self.starts, self.lengths = _room(self.starts, n + m), _room(self.lengths, n + m)
+        self.ids = _room(self.ids, self.used + len(ids))
+        self.places.update(zip(words, range(n, n + m)))
+        self.starts[n : n + m] = self.used + np.cumsum(lengths) - lengths
+        self.lengths[n : n + m] = lengths
+        self.ids[self.used : self.used + len(ids)] = ids
+        self.used += len(ids)
+
+    def _learn(self, words: list[bytes]) -> None:
+        ends = [m for w in words if (m := None if w[-1:].isalnum() else _TRAILING.search(w))]
+        compound = [(m.string, m.string[: m.start()], m[0]) for m in ends]
+        known = self.places
+        split = {c[0] for c in compound}
+        single = {w for w in words if w not in split}
+        single |= {p for c in compound for p in c[1:] if p not in known}
+        pieces = sorted(single)
         for i in range(0, len(pieces), 2048):
             some = pieces[i : i + 2048]
             # words as given, many to a call; the library says which ids belong to which
             made = self.whole.encode(
                 [p.decode() for p in some], is_pretokenized=True, add_special_tokens=False
             )
-            ids = np.array(made.ids, np.uint32)
-            cut = np.searchsorted(np.array(made.word_ids, np.int64), np.arange(len(some) + 1))
-            for k, piece in enumerate(some):
-                self.known[piece] = ids[cut[k] : cut[k + 1]]
-
-    def words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of distinct words, back to back, and where each word's begin."""
-        parts, owner = [], []
-        for k, word in enumerate(words):
-            if not word[-1:].isalnum() and (m := _TRAILING.search(word)):
-                parts += (word[: m.start()], m[0])
-                owner += (k, k)
-            else:
-                parts.append(word)
-                owner.append(k)
-        known = self.known
-        new = list({p for p in parts if p not in known})
-        self._learn(new)
-        if len(self.known) < len(set(parts)) or any(p not in self.known for p in parts):
-            self._learn([p for p in set(parts) if p not in self.known])
-        got = [self.known[p] for p in parts]
-        counts = np.bincount(owner, [len(g) for g in got], len(words)).astype(np.int64)
-        flat = np.concatenate(got) if got else np.zeros(0, np.uint32)
-        return flat, np.concatenate([[0], np.cumsum(counts)])
+            of = np.array(made.word_ids, np.int64)
+            self._add(some, np.array(made.ids, np.uint32), np.bincount(of, minlength=len(some)))
+        if compound:
+            at = np.array([known[p] for c in compound for p in c[1:]], np.int64)
+            lengths = self.lengths[at]
+            ids = self.ids[ragged(self.starts[at], lengths)]
+            self._add([c[0] for c in compound], ids, lengths.reshape(-1, 2).sum(axis=1))
+
+    def words(self, words: list[bytes]) -> np.ndarray:
+        """The places of distinct words."""
+        new = [w for w in words if w not in self.places]
+        if len(self.places) + 2 * len(new) > REMEMBERED:
+            self.forget()
+            new = words
+        if new:
+            self._learn(new)
+        return np.fromiter(map(self.places.__getitem__, words), np.int64, len(words))
 
     def texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts back to back, without end ids, and the number for each text."""
-        flat, doc = split_words(texts)
-        lowered = flat.cast(pa.large_string())
-        import pyarrow.compute as pc
-
-        coded = pc.ascii_lower(lowered).dictionary_encode()
-        ids, first = self.words(coded.dictionary.cast(pa.large_binary()).to_pylist())
-        which = coded.indices.to_numpy()
-        lengths = np.diff(first)[which]
-        out = ids[ragged(first[which], lengths)]
+        flat, doc = split_words(texts, lower=True)
+        coded = flat.dictionary_encode()
+        at = self.words(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
+        lengths = self.lengths[at]
+        out = self.ids[ragged(self.starts[at], lengths)]
         counts = np.bincount(doc, lengths, len(texts)).astype(np.int64)
-        special = [k for k, t in enumerate(texts.to_pylist()) if b"<|" in t]
-        if special:
+        if b"<|" in raw(texts)[0].tobytes():
             parts = np.split(out, np.cumsum(counts)[:-1])
-            for k in special:
-                made = self.whole.encode(texts[k].as_py().decode(), add_special_tokens=False)
-                parts[k] = np.array(made.ids, np.uint32)
-                counts[k] = len(parts[k])
+            for k, text in enumerate(texts.to_pylist()):
+                if b"<|" in text:
+                    made = self.whole.encode(text.decode(), add_special_tokens=False)
+                    parts[k] = np.array(made.ids, np.uint32)
+                    counts[k] = len(parts[k])
             out = np.concatenate(parts)
         return out, counts
 
 
+def _room(a: np.ndarray, n: int) -> np.ndarray:
+    return a if n <= len(a) else np.concatenate([a, np.zeros(max(n, 2 * len(a)) - len(a), a.dtype)])
+
+
 def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Positions ``start .. start + length`` of every run, back to back."""
     if not len(starts):
@@ -239,6 +252,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_I
                     "part": pa.array([part], pa.int32()),
                     "segment": pa.array([segment], pa.int32()),
                     "base": pa.array([base], pa.int64()),
+                    "n_ids": pa.array([len(ids)], pa.int64()),
                     "doc_ids": pa.array([held], pa.binary()),
                     "lengths": pa.array([encode_segment(lengths)], pa.binary()),
                     "payload": pa.array([encode_segment(ids)], pa.binary()),
@@ -286,13 +300,12 @@ def token_index(written: DataFrame) -> DataFrame:
     ``start`` adds the ids of all parts before: one row per part, bounded by the number of
     tasks that wrote, so one window over them is small.
     """
-    read = read_tokens(written)
     in_order = Window.orderBy("of").rowsBetween(Window.unboundedPreceding, -1)
     parts = (
-        read.groupBy(F.col("part").alias("of")).agg(F.sum("n_tokens").alias("n"))
+        written.groupBy(F.col("part").alias("of")).agg(F.sum("n_ids").alias("n"))
         .select("of", F.coalesce(F.sum("n").over(in_order), F.lit(0)).alias("before"))
     )
-    return read.join(F.broadcast(parts), F.col("part") == F.col("of")).select(
+    return read_tokens(written).join(F.broadcast(parts), F.col("part") == F.col("of")).select(
         "doc_id", (F.col("before") + F.col("offset")).alias("start"), "n_tokens", "ids_crc32"
     )
 
