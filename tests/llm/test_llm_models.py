@@ -15,6 +15,8 @@ from orefold.llm import language, queries, suffix_tree, toxicity
 from orefold.llm.common import binary
 
 SMALL = "/root/testdata/sf0.01"
+#: A tenth of the smaller table's labels are too few for words that only few documents hold.
+LABELLED = "/root/testdata/sf0.1"
 
 
 # language
@@ -111,15 +113,15 @@ def test_marginals_equal_enumeration():
 
 
 def test_toxicity_held_out(spark):
-    got = queries.op4_toxicity(spark, SMALL)
-    labels = spark.read.parquet(f"{SMALL}/labels.parquet").select("doc_id", "toxic")
+    got = queries.op4_toxicity(spark, LABELLED)
+    labels = spark.read.parquet(f"{LABELLED}/labels.parquet").select("doc_id", "toxic")
     held = got.where("held_out").join(labels, "doc_id").collect()
     right = sum(r.predicted == r.toxic for r in held)
-    assert right >= 0.95 * len(held)
+    assert right >= 0.98 * len(held)
     toxic = [r.score for r in held if r.toxic]
     other = [r.score for r in held if not r.toxic]
     wins = sum((a > b) + 0.5 * (a == b) for a in toxic for b in other)
-    assert wins >= 0.95 * len(toxic) * len(other)
+    assert wins >= 0.99 * len(toxic) * len(other)
     assert any(r.spans for r in held if r.toxic)
 
 
