@@ -38,24 +38,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame, *unique: str) -> DataFrame:
-    """Use all cores on inputs with fewer splits than cores; others stay as they are.
-
-    Rows go by a hash of their ``unique`` columns: evenly, and the same way again when a
-    lost task is repeated.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *unique)
-
-
 def symbol(key: str) -> Column:
     return F.concat(F.lit("U"), F.col(key))
 
 
 def raw_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One bar per event: hour of the event, no close (NaN) for errors."""
-    value = F.col("value")
-    return spread(table(spark, sf_dir, "events"), "event_id").select(
+    """One bar per event: hour of the event, a price between 50 and 75 from its value, or 0
+    now and then, and no close (NaN) for errors."""
+    value = F.when(F.col("event_id") % 97 == 0, 0.0).otherwise(F.lit(50.0) + F.col("value") % 25)
+    return table(spark, sf_dir, "events").select(
         symbol("user_id").alias("symbol"),
         F.date_format("ts", "yyyy-MM-dd'T'HH:00:00'-04:00'").alias("ts"),
         value.alias("open"),
@@ -177,8 +168,7 @@ def raw_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("$"), quantity.cast("int")).alias("price"),
     )
     landed = F.timestamp_add("DAY", quantity.cast("int"), F.col("l_shipdate").cast("timestamp"))
-    lines = table(spark, sf_dir, "lineitem")
-    return spread(lines, "l_orderkey", "l_linenumber", "l_partkey").select(
+    return table(spark, sf_dir, "lineitem").select(
         F.lit("filings").alias("source"),
         landed.alias("extracted_at"),
         json_text(F.array(trade)).alias("payload"),
@@ -188,7 +178,7 @@ def raw_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scraped cells made from orders: padded, multi-line and with blanks."""
     date = F.col("o_orderdate")
-    return spread(table(spark, sf_dir, "orders"), "o_orderkey").select(
+    return table(spark, sf_dir, "orders").select(
         F.lit("cells").alias("source"),
         F.concat(F.lit("\n Clerk "), F.col("o_custkey"), F.lit("\t ")).alias("politician"),
         F.concat(F.lit(" "), F.col("o_orderpriority")).alias("party"),

@@ -66,9 +66,6 @@ NO_TICKER = ("", "--", "N/A")
 DISCLOSURE_WINDOW_DAYS = 45
 LOOKBACK_DAYS = 45
 
-# Choices of the minimum-size selector, in USD.
-MIN_SIZE_CHOICES = (0, 15000, 50000, 100000, 250000, 1000000)
-
 # Bar interval, fallback sector and quote page.
 BAR_INTERVAL = "1h"
 OTHER_SECTOR = "Other"

@@ -10,33 +10,49 @@ MAX_BROADCAST_ROWS = 500_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
-def measured_size(df: DataFrame) -> tuple[int, int]:
-    """(rows, bytes) of a DataFrame by one aggregate: text by length, the rest by width."""
+class RepeatedKeyError(Exception):
+    """A reference table has a key twice; joining it would multiply facts."""
+
+
+def measured_size(df: DataFrame, key: str | None = None) -> tuple[int, int, int]:
+    """(rows, bytes, rows with a key seen before) of a DataFrame by one aggregate: text by
+    length, the rest by width. Without ``key`` the last figure is 0; null keys never join
+    and do not count."""
     text = [f.name for f in df.schema if isinstance(f.dataType, (T.StringType, T.BinaryType))]
     width = 16 * len(df.columns)
     text_bytes = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in text), F.lit(0))
-    rows, nbytes = df.agg(
-        F.count(F.lit(1)), F.coalesce(F.sum(text_bytes + F.lit(width)), F.lit(0))
-    ).first()
-    return rows, nbytes
+    again = F.count(key) - F.countDistinct(key) if key else F.lit(0)
+    return tuple(
+        df.agg(
+            F.count(F.lit(1)), F.coalesce(F.sum(text_bytes + F.lit(width)), F.lit(0)), again
+        ).first()
+    )
 
 
 def size_checked(
-    df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES
+    df: DataFrame,
+    max_rows: int = MAX_BROADCAST_ROWS,
+    max_bytes: int = MAX_BROADCAST_BYTES,
+    key: str | None = None,
 ) -> DataFrame:
     """Mark reference data for broadcast if, and only if, it was measured to be small.
 
+    With ``key``, the same pass checks that the key is unique and raises if not.
+
     Larger data is returned unmarked: the join then shuffles both sides, and adaptive
     execution splits the fact side's hot keys.
     """
-    rows, nbytes = measured_size(df)
+    rows, nbytes, again = measured_size(df, key)
+    if again:
+        raise RepeatedKeyError(f"{key} repeats in {again} rows")
     return F.broadcast(df) if rows <= max_rows and nbytes <= max_bytes else df
 
 
 def attach(
     fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, how: str = "left"
 ) -> DataFrame:
-    """Equi-join that keeps the fact's key column. ``dim_key`` must be unique."""
+    """Equi-join that keeps the fact's key column. ``dim_key`` must be unique, which
+    ``size_checked(dim, key=dim_key)`` tests."""
     return fact.join(dim.withColumnRenamed(dim_key, fact_key), fact_key, how)
 
 

@@ -13,7 +13,7 @@ from orefold.functions import dates, numeric
 from orefold.session import require_session
 
 MODES = ("strict", "lenient")
-MAX_ROWS_PER_DOC = 5000
+TRADE_BUCKETS = 16
 
 
 def _checked_mode(mode: str) -> str:
@@ -169,47 +169,35 @@ def split_raw(raw: DataFrame, kind: str) -> tuple[DataFrame, DataFrame]:
     return good, judged.filter(F.col("reason").isNotNull())
 
 
-def _numbered(df: DataFrame, max_rows: int) -> DataFrame:
-    """Add ``_row`` and ``_doc``: consecutive rows share a document, at most ``max_rows``.
-
-    This bounds a document whatever the keys look like: a key holding a third of
-    all rows is spread over many documents, and so over many tasks.
-    """
-    return df.withColumn("_row", F.monotonically_increasing_id()).withColumn(
-        "_doc", F.expr(f"_row div {int(max_rows)}")
-    )
-
-
 def json_text(c: Column) -> Column:
     """Serialise with explicit nulls."""
     return F.to_json(c, {"ignoreNullFields": "false"})
 
 
-def nest_bars(bars: DataFrame, max_rows: int = MAX_ROWS_PER_DOC) -> DataFrame:
+def nest_bars(bars: DataFrame) -> DataFrame:
     """Bars (symbol, ts, open..volume) to (symbol, payload) documents, bars by time.
 
-    A symbol with more than ``max_rows`` bars, or with bars scattered over the input,
-    gets several documents; unnesting them gives back the same rows.
+    A document holds one symbol's bars of one month, so its size is bounded by the
+    calendar, and the documents depend on the rows alone, not on where they lie.
     """
     bar = F.struct("ts", "open", "high", "low", "close", "volume")
-    docs = (
-        _numbered(bars, max_rows)
-        .groupBy("symbol", "_doc")
-        .agg(F.sort_array(F.collect_list(bar)).alias("bars"))
+    docs = bars.groupBy("symbol", F.substring("ts", 1, 7).alias("month")).agg(
+        F.sort_array(F.collect_list(bar)).alias("bars")
     )
     body = F.struct("symbol", F.lit(fixed.BAR_INTERVAL).alias("interval"), "bars")
     return docs.select("symbol", json_text(body).alias("payload"))
 
 
-def nest_trades(trades: DataFrame, max_rows: int = MAX_ROWS_PER_DOC) -> DataFrame:
-    """Trade records with a ``source`` to (source, payload) documents, in input order."""
+def nest_trades(trades: DataFrame) -> DataFrame:
+    """Trade records with a ``source`` to (source, payload) documents, in order of fields.
+
+    A document holds one source's trades of one month (the last two words of the display
+    date), in ``TRADE_BUCKETS`` parts by a hash of the record.
+    """
     fields = [c for c in trades.columns if c != "source"]
-    docs = (
-        _numbered(trades, max_rows)
-        .groupBy("source", "_doc")
-        .agg(
-            F.sort_array(F.collect_list(F.struct("_row", F.struct(*fields).alias("trade"))))
-            .getField("trade").alias("trades")
-        )
-    )
+    docs = trades.groupBy(
+        "source",
+        F.substring_index("trade_date_raw", " ", -2).alias("month"),
+        F.pmod(F.xxhash64(*fields), F.lit(TRADE_BUCKETS)).alias("bucket"),
+    ).agg(F.sort_array(F.collect_list(F.struct(*fields))).alias("trades"))
     return docs.select("source", json_text(F.col("trades")).alias("payload"))

@@ -38,14 +38,20 @@ def previous_value(
         in_key = Window.partitionBy(key).orderBy(F.asc_nulls_last(order))
         return df.withColumn(out, F.lag(value).over(in_key))
 
-    bucketed = df.withColumn(bucket, dates.grain_start(F.col(order), grains[0]))
+    # one exchange for the lag and for the last values, so what lies below runs once
+    bucketed = df.withColumn(bucket, dates.grain_start(F.col(order), grains[0])).repartition(
+        key, bucket
+    )
     in_bucket = Window.partitionBy(key, bucket).orderBy(F.asc_nulls_last(order))
     rows = (
-        bucketed.repartition(key, bucket)
-        .withColumn("_prev", F.lag(value).over(in_bucket))
+        bucketed.withColumn("_prev", F.lag(value).over(in_bucket))
         .withColumn("_rn", F.row_number().over(in_bucket))
     )
-    last = bucketed.groupBy(key, bucket).agg(F.max_by(value, order).alias("_last"))
+    # the whole row, not the value alone: with other columns it would be another exchange
+    whole = F.max_by(F.struct(*df.columns), order).alias("_whole")
+    last = bucketed.groupBy(key, bucket).agg(whole).select(
+        key, bucket, F.col("_whole")[value].alias("_last")
+    )
     carry = previous_value(last, key, bucket, "_last", "_carry", grains[1:], f"{bucket}_")
     return rows.join(carry.select(key, bucket, "_carry"), [key, bucket], "left").select(
         *df.columns,

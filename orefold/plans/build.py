@@ -33,7 +33,8 @@ def build_all(
     """
     quality.gate(dim, quality.DIM_SECTORS, "dim_sectors")
     quality.gate(weights, (quality.Unique("ticker"),), "weights")
-    dim, weights = joins.size_checked(dim), joins.size_checked(weights)
+    dim = joins.size_checked(dim, key="ticker")
+    weights = joins.size_checked(weights, key="ticker")
     prefix = f"{database}." if database else ""
     if database:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
@@ -41,7 +42,7 @@ def build_all(
     def publish(df: DataFrame, name: str, checks, by: tuple[str, ...] = ()) -> DataFrame:
         path = tables.run_path(root, name, run_id)
         quality.gate(tables.write_run(df, path, by), checks, name)
-        return tables.publish(spark, prefix + name, path)
+        return tables.publish(spark, prefix + name, path, df.schema)
 
     prices = publish(
         silver.silver_stock_prices(raw_prices, dim).withColumn("bar_date", F.to_date("bar_ts")),

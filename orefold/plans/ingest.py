@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 from orefold import fixed_values as fixed
 from orefold.functions import dates, numeric, text
 from orefold.operators import joins, nested
+from orefold.sources import bronze
 
 
 def normalise_bars(raw: DataFrame) -> DataFrame:
-    """Bars with NaN as null and a whole-number volume.
+    """Bars with NaN as null and a whole-number volume, null where there is none.
 
     Input: symbol, ts (text), open, high, low, close, volume (doubles).
     """
@@ -21,8 +22,21 @@ def normalise_bars(raw: DataFrame) -> DataFrame:
         numeric.nan_to_null(F.col(c).cast("double")).alias(c)
         for c in ("open", "high", "low", "close")
     ]
-    volume = numeric.nan_to_null(F.col("volume").cast("double")).cast("bigint").alias("volume")
-    return raw.select("symbol", "ts", *prices, volume)
+    volume = numeric.nan_to_null(F.col("volume").cast("double")).try_cast("bigint")
+    return raw.select("symbol", "ts", *prices, volume.alias("volume"))
+
+
+def split_bars(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(good, quarantine). A bar without a symbol or a time, or with a volume that is no
+    whole number (infinite, out of range), is set aside with ``reason``."""
+    volume = numeric.nan_to_null(F.col("volume").cast("double"))
+    reason = (
+        F.when(F.col("symbol").isNull(), "no symbol")
+        .when(F.col("ts").isNull(), "no time")
+        .when(volume.isNotNull() & volume.try_cast("bigint").isNull(), "bad volume")
+    )
+    judged = raw.withColumn("reason", reason)
+    return judged.where("reason is null").drop("reason"), judged.where("reason is not null")
 
 
 def normalise_trades(raw: DataFrame) -> DataFrame:
@@ -73,16 +87,51 @@ def without_data(watchlist: DataFrame, bars: DataFrame) -> DataFrame:
 
 
 def ingest_bars(
-    raw: DataFrame, watchlist: DataFrame | None = None, max_rows: int = nested.MAX_ROWS_PER_DOC
+    raw: DataFrame, watchlist: DataFrame | None = None
 ) -> DataFrame:
     """Raw bars to (symbol, payload) documents, ready for ``bronze.append_raw``."""
     rows = raw if watchlist is None else watched(raw, watchlist)
-    return nested.nest_bars(normalise_bars(rows), max_rows)
+    return nested.nest_bars(normalise_bars(rows))
 
 
-def ingest_trades(raw: DataFrame, max_rows: int = nested.MAX_ROWS_PER_DOC) -> DataFrame:
+def ingest_trades(raw: DataFrame) -> DataFrame:
     """Raw cells to (source, payload) documents, ready for ``bronze.append_raw``."""
-    return nested.nest_trades(normalise_trades(raw), max_rows)
+    return nested.nest_trades(normalise_trades(raw))
+
+
+def land(raw: DataFrame, kind: str, path: str, quarantine: str) -> dict[str, int]:
+    """Append landed payloads to bronze and broken ones, with a reason, to a folder beside.
+
+    ``raw`` has a key, ``extracted_at`` and ``payload``; ``kind`` is ``bars`` or ``trades``.
+    One bad payload stops nothing. Returns the run's figures, counted while writing:
+    ``rows`` landed, ``failed`` rows set aside.
+    """
+    good, bad = nested.split_raw(raw, kind)
+    dated = F.to_date("extracted_at")
+    landed, rows = counted(good.withColumn(bronze.PARTITION, dated), "landed")
+    landed.write.mode("append").partitionBy(bronze.PARTITION).parquet(path)
+    aside, failed = counted(bad.withColumn(bronze.PARTITION, dated), "failed")
+    aside.write.mode("append").partitionBy(bronze.PARTITION).parquet(quarantine)
+    return {"rows": rows.get["rows"], "failed": failed.get["rows"]}
+
+
+def land_bars(
+    raw: DataFrame, path: str, quarantine: str, run_ts: str, watchlist: DataFrame | None = None
+) -> dict[str, int]:
+    """Raw bars to documents in bronze; bad bars, with a reason, to a folder beside.
+
+    Returns ``rows`` (documents), ``failed`` (bars set aside) and, with a watchlist,
+    ``missing`` (watched symbols without data).
+    """
+    good, bad = split_bars(raw)
+    docs, rows = counted(ingest_bars(good, watchlist), "landed")
+    bronze.append_raw(docs, path, run_ts)
+    aside, failed = counted(bronze.dated(bad, run_ts), "failed")
+    aside.write.mode("append").partitionBy(bronze.PARTITION).parquet(quarantine)
+    out = {"rows": rows.get["rows"], "failed": failed.get["rows"]}
+    if watchlist is not None:
+        out["missing"] = without_data(watchlist, raw).count()
+    return out
 
 
 def counted(df: DataFrame, name: str = "run", **counts: Column) -> tuple[DataFrame, Observation]:

@@ -22,16 +22,18 @@ def read_raw_trades(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(f"{schemas.RAW_TRADES}, {PARTITION} date").parquet(path)
 
 
-def stamped(docs: DataFrame, run_ts: str | dt.datetime) -> DataFrame:
+def dated(df: DataFrame, run_ts: str | dt.datetime) -> DataFrame:
     """Add the run's one timestamp, and its date as the partition column."""
-    key = docs.columns[0]
-    return (
-        docs.withColumn("extracted_at", F.lit(str(run_ts)).cast("timestamp"))
-        .withColumn(PARTITION, F.to_date("extracted_at"))
-        .select(key, "extracted_at", "payload", PARTITION)
+    return df.withColumn("extracted_at", F.lit(str(run_ts)).cast("timestamp")).withColumn(
+        PARTITION, F.to_date("extracted_at")
     )
 
 
+def stamped(docs: DataFrame, run_ts: str | dt.datetime) -> DataFrame:
+    """(key, payload) documents as rows of the raw table."""
+    return dated(docs, run_ts).select(docs.columns[0], "extracted_at", "payload", PARTITION)
+
+
 def append_raw(docs: DataFrame, path: str, run_ts: str | dt.datetime) -> None:
     """Add one run's (key, payload) documents to a folder; earlier runs stay untouched.
 

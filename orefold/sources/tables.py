@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 
 def run_path(root: str, name: str, run_id: str) -> str:
@@ -21,12 +22,22 @@ def write_run(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> Dat
     if partition_by:
         df = df.hint("rebalance", *partition_by)
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return read_run(df.sparkSession, path, df.schema)
 
 
-def publish(spark: SparkSession, name: str, path: str) -> DataFrame:
+def read_run(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """A written run with its declared schema: one without rows may have no file to infer
+    it from."""
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
+
+
+def publish(spark: SparkSession, name: str, path: str, schema: StructType) -> DataFrame:
     """Point the view ``name`` at a written run. Readers see the old run or the new one."""
-    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM parquet.`{path}`")
+    body = f"SELECT * FROM parquet.`{path}`"
+    if read_run(spark, path, schema).isEmpty():
+        columns = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in schema)
+        body = f"SELECT {columns} WHERE false"
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS {body}")
     return spark.table(name)
 
 
@@ -37,4 +48,4 @@ def full_refresh(
     leaves nothing half-visible."""
     path = run_path(root, name, run_id)
     write_run(df, path, partition_by)
-    return publish(df.sparkSession, name, path)
+    return publish(df.sparkSession, name, path, df.schema)

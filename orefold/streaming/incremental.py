@@ -1,15 +1,18 @@
 """Incremental silver: each run reads only the bronze files that arrived since the last.
 
 The store keeps the latest version of every record, in folders
-``version=<batch>/<day>=<date>/``. A batch finds the days its records touch, takes those
-days' current rows, adds the new ones, chooses the latest again and writes the result as
-a new version of just these days. Choosing the latest is associative, so the outcome
-equals a full rebuild, in whatever order the files arrive. Null closes stay in the store
-(an older value must not come back), and company and sector are joined when reading.
-
-Nothing is overwritten in place: a batch that dies half-way is replayed by the stream
-into the same version folder, and earlier versions stay readable throughout. Store and
-stream checkpoint share one root; drop both or none.
+``version=<batch>/<day>=<date>/``. A batch parses its files once, finds the days they
+touch, takes those days' current rows, adds the new ones, chooses the latest again and
+writes the result as a new version of just these days. Choosing the latest is associative,
+so the outcome equals a full rebuild, in whatever order the files arrive. Null closes stay
+in the store (an older value must not come back), and company and sector are joined when
+reading.
+
+A manifest names the newest version of each day: a batch adds one small file of (day,
+version) after its data. Readers and batches open only the folders that the manifest
+names, however many versions there are; ``expire`` deletes the others. A batch that dies
+before its manifest is invisible, and is replayed by the stream into the same folders.
+Store and stream checkpoint share one root; drop both or none.
 """
 
 from __future__ import annotations
@@ -23,7 +26,7 @@ from pyspark.sql import functions as F
 from orefold import schemas
 from orefold.functions import dates
 from orefold.plans import silver
-from orefold.sources import bronze
+from orefold.sources import bronze, tables
 
 VERSION = "version"
 
@@ -32,24 +35,32 @@ BARS = f"{schemas.BARS}, bar_date date"
 TRADES = schemas.TRADES
 
 
-def _read_versions(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
-    """All versions of the store, or None before the first batch."""
+def _manifest(spark: SparkSession, store: str, before: int | None = None) -> DataFrame:
+    """(day, version): the newest version of each day; no rows before the first batch."""
+    schema = f"day date, {VERSION} bigint, batch bigint"
     try:
-        versions = spark.read.schema(f"{schema}, {VERSION} bigint").parquet(path)
+        named = spark.read.schema(schema).parquet(f"{store}/_manifest")
     except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
-    # always true; a filter on the version is what lets the join below prune folders
-    return versions.filter(F.col(VERSION) >= 0)
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        named = spark.createDataFrame([], schema)
+    if before is not None:
+        named = named.where(F.col("batch") < before)
+    return named.groupBy("day").agg(F.max(VERSION).alias(VERSION))
 
 
-def _current(versions: DataFrame, day: str) -> DataFrame:
-    """Each day's rows of its highest version. Both columns are folder names: choosing
-    the version reads no data columns, and the join prunes the folders of old versions.
-    The broadcast side has at most one row per calendar day."""
-    newest = versions.groupBy(day).agg(F.max(VERSION).alias(VERSION))
-    return versions.join(F.broadcast(newest), [day, VERSION], "left_semi").drop(VERSION)
+def _folder(store: str, day: str, row) -> str:
+    value = "__HIVE_DEFAULT_PARTITION__" if row["day"] is None else row["day"].isoformat()
+    return f"{store}/{VERSION}={row[VERSION]}/{day}={value}"
+
+
+def _rows_of(spark: SparkSession, store: str, schema: str, day: str, newest: DataFrame) -> DataFrame:
+    """The rows of the given versions of days; the driver holds one name for each day."""
+    paths = [_folder(store, day, r) for r in newest.collect()]
+    if not paths:
+        return spark.createDataFrame([], schema)
+    rows = spark.read.schema(f"{schema}, {VERSION} bigint").option("basePath", store).parquet(*paths)
+    return rows.drop(VERSION)
 
 
 def _advance(
@@ -63,16 +74,19 @@ def _advance(
 ) -> None:
     def merge(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        fresh = latest(parse(batch))
-        versions = _read_versions(spark, store, schema)
-        if versions is not None:
-            earlier = _current(versions.filter(F.col(VERSION) < batch_id), day)
-            touched = fresh.select(day).distinct()
-            kept = earlier.join(F.broadcast(touched), day, "left_semi")
-            fresh = latest(fresh.unionByName(kept.select(*fresh.columns)))
-        fresh.hint("rebalance", day).write.mode("overwrite").partitionBy(day).parquet(
+        parsed = latest(parse(batch))
+        fresh = tables.write_run(parsed, f"{store}/_fresh/{VERSION}={batch_id}")
+        touched = fresh.select(F.col(day).alias("day")).distinct()
+        newest = _manifest(spark, store, batch_id)
+        wanted = newest.join(touched, newest["day"].eqNullSafe(touched["day"]), "left_semi")
+        kept = _rows_of(spark, store, schema, day, wanted)
+        merged = latest(fresh.unionByName(kept.select(*fresh.columns)))
+        merged.hint("rebalance", day).write.mode("overwrite").partitionBy(day).parquet(
             f"{store}/{VERSION}={batch_id}"
         )
+        touched.select("day", F.lit(batch_id).cast("bigint").alias(VERSION)).coalesce(1).write.mode(
+            "overwrite"
+        ).parquet(f"{store}/_manifest/batch={batch_id}")
 
     query = (
         raw.writeStream.foreachBatch(merge)
@@ -134,20 +148,44 @@ def advance_trades(
 
 
 def read_prices(spark: SparkSession, root: str, dim: DataFrame) -> DataFrame:
-    """The current silver prices, equal to a full rebuild from the same bronze."""
-    versions = _read_versions(spark, f"{root}/bars", BARS)
-    return silver.describe_bars(_current(versions, "bar_date"), dim)
+    """The current silver prices, equal to a full rebuild from the same bronze; none before
+    the first batch."""
+    store = f"{root}/bars"
+    current = _rows_of(spark, store, BARS, "bar_date", _manifest(spark, store))
+    return silver.describe_bars(current, dim)
 
 
 def read_trades(spark: SparkSession, root: str, dim: DataFrame) -> DataFrame:
-    """The current silver trades, equal to a full rebuild from the same bronze."""
-    versions = _read_versions(spark, f"{root}/trades", TRADES)
-    return silver.describe_trades(_current(versions, "trade_date"), dim)
+    """The current silver trades, equal to a full rebuild from the same bronze; none before
+    the first batch."""
+    store = f"{root}/trades"
+    current = _rows_of(spark, store, TRADES, "trade_date", _manifest(spark, store))
+    return silver.describe_trades(current, dim)
 
 
 def superseded(spark: SparkSession, root: str, table: str = "bars") -> DataFrame:
-    """(day, version) of the folders no reader needs any more, for clean-up."""
-    schema, day = (BARS, "bar_date") if table == "bars" else (TRADES, "trade_date")
-    folders = _read_versions(spark, f"{root}/{table}", schema).select(day, VERSION).distinct()
-    newest = folders.groupBy(day).agg(F.max(VERSION).alias(VERSION))
-    return folders.join(F.broadcast(newest), [day, VERSION], "left_anti")
+    """(day, version) of the folders no reader needs any more, by the manifest alone."""
+    store = f"{root}/{table}"
+    newest = _manifest(spark, store).withColumnRenamed(VERSION, "newest")
+    try:
+        named = spark.read.schema(f"day date, {VERSION} bigint").parquet(f"{store}/_manifest")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        named = spark.createDataFrame([], f"day date, {VERSION} bigint")
+    joined = named.join(newest.withColumnRenamed("day", "of"), F.col("day").eqNullSafe(F.col("of")))
+    return joined.where(F.col(VERSION) < F.col("newest")).select("day", VERSION).distinct()
+
+
+def expire(spark: SparkSession, root: str, table: str = "bars") -> int:
+    """Delete the superseded folders and the parsed batches; returns how many days' folders
+    went. Run it while no reader works on older versions."""
+    store, day = f"{root}/{table}", "bar_date" if table == "bars" else "trade_date"
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path
+    files = path(store).getFileSystem(conf)
+    gone = 0
+    for row in superseded(spark, root, table).toLocalIterator():
+        gone += files.delete(path(_folder(store, day, row)), True)
+    files.delete(path(f"{store}/_fresh"), True)
+    return gone

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from builders import bar, dim, prices, random_price_docs, rows, trade, trades, weights
 from orefold import fixed_values as fixed
 from orefold import schemas
-from orefold.operators import nested, quality
+from orefold.operators import joins, nested, quality
 from orefold.plans import build, dimension, ingest, silver
 from orefold.sources import bronze, dimension as dim_source, tables
 from orefold.streaming import incremental
@@ -71,11 +71,46 @@ def test_ingest_round_trip_through_bronze(spark, tmp_path):
     assert missing == set(fixed.WATCHLIST) - {"BRK.B"}
 
 
-def test_ingest_trades_keeps_input_order(spark):
-    docs = ingest.ingest_trades(cells(spark).coalesce(1)).collect()
-    assert len(docs) == 1
-    assert docs[0].payload.startswith('[{"politician":"P One"')
-    assert '"politician":null' in docs[0].payload
+def test_ingest_trades_keeps_every_record(spark):
+    docs = ingest.ingest_trades(cells(spark)).collect()
+    payloads = "".join(d.payload for d in docs)
+    assert payloads.count('"politician"') == cells(spark).count()
+    assert '{"politician":"P One"' in payloads and '"politician":null' in payloads
+
+
+def test_an_infinite_volume_goes_to_quarantine(spark, tmp_path):
+    path, aside = str(tmp_path / "raw"), str(tmp_path / "aside")
+    at = "2026-04-22T09:30:00-04:00"
+    raw = spark.createDataFrame(
+        [
+            ("AAA", at, 1.0, 2.0, 0.5, 1.5, 70.0), ("BBB", at, 1.0, 2.0, 0.5, 1.5, float("inf")),
+            ("CCC", at, 1.0, 2.0, 0.5, 1.5, 1e30), (None, at, 1.0, 2.0, 0.5, 1.5, 1.0),
+            ("DDD", None, 1.0, 2.0, 0.5, 1.5, float("nan")),
+        ],
+        BARS,
+    )
+    assert ingest.normalise_bars(raw).where("volume is null").count() == 3
+    watched = dim_source.watchlist(spark, ["AAA", "BBB", "ZZZ"])
+    got = ingest.land_bars(raw, path, aside, "2026-04-22 20:00:00", watched)
+    assert got == {"rows": 1, "failed": 4, "missing": 1}
+    assert [r.symbol for r in bronze.read_raw_prices(spark, path).collect()] == ["AAA"]
+    kept = spark.read.parquet(aside)
+    assert sorted((r.symbol or "", r.reason) for r in kept.collect()) == [
+        ("", "no symbol"), ("BBB", "bad volume"), ("CCC", "bad volume"), ("DDD", "no time"),
+    ]
+    nothing = ingest.land_bars(raw.where("false"), path, aside, "2026-04-23 20:00:00")
+    assert nothing == {"rows": 0, "failed": 0}
+
+
+def test_broken_payloads_stop_nothing(spark, tmp_path):
+    path, aside = str(tmp_path / "raw"), str(tmp_path / "aside")
+    at = "2026-04-22T12:00:00+00:00"
+    raw = prices(
+        spark, ("AAA", at, [bar("2026-04-22T09:30:00", 9.0)]), ("BBB", at, "{oops"), ("CCC", at, None)
+    )
+    assert ingest.land(raw, "bars", path, aside) == {"rows": 1, "failed": 2}
+    assert silver.silver_stock_prices(bronze.read_raw_prices(spark, path), dim(spark)).count() == 1
+    assert sorted(r.reason for r in spark.read.parquet(aside).collect()) == ["malformed", "missing"]
 
 
 def test_raw_tables_are_created_once(spark):
@@ -214,6 +249,24 @@ def test_build_stops_on_a_repeated_dimension_key(spark, tmp_path):
         build.build_all(spark, raw_prices, late, sectors, caps, str(tmp_path), "r2")
 
 
+def test_build_all_of_an_empty_extraction(spark, tmp_path):
+    _, _, sectors, caps = inputs(spark)
+    raw_prices = prices(spark, ("AAA", "2026-04-23T00:00:00+00:00", []))
+    raw_trades = trades(spark, ("2026-04-23T00:00:00+00:00", []))
+    out = build.build_all(
+        spark, raw_prices, raw_trades, sectors, caps, str(tmp_path), "r1", "2026-05-01", "empty_db"
+    )
+    assert {name: df.count() for name, df in out.items()} == dict.fromkeys(out, 0)
+    assert "close" in spark.table("empty_db.silver_stock_prices").columns
+
+
+def test_a_repeated_reference_key_is_refused(spark):
+    sectors = dim(spark)
+    joins.size_checked(sectors, key="ticker")
+    with pytest.raises(joins.RepeatedKeyError, match="ticker"):
+        joins.size_checked(sectors.unionByName(sectors), key="ticker")
+
+
 def land(raw, path):
     raw.withColumn("extraction_date", F.to_date("extracted_at")).coalesce(1).write.mode(
         "append"
@@ -232,7 +285,33 @@ def test_incremental_prices_equal_a_full_rebuild(spark, tmp_path, max_files):
         assert rows(incremental.read_prices(spark, root, sectors)) == rows(full)
     incremental.advance_prices(spark, path, root)  # nothing new
     assert rows(incremental.read_prices(spark, root, sectors)) == rows(full)
-    assert incremental.superseded(spark, root).count() > 0
+    old = incremental.superseded(spark, root).count()
+    assert old > 0 and incremental.expire(spark, root) == old
+    assert rows(incremental.read_prices(spark, root, sectors)) == rows(full)
+
+
+def test_incremental_reads_before_the_first_batch(spark, tmp_path):
+    root = str(tmp_path / "store")
+    assert incremental.read_prices(spark, root, dim(spark)).count() == 0
+    assert incremental.read_trades(spark, root, dim(spark)).columns == list(schemas.SILVER_TRADES)
+    assert incremental.superseded(spark, root).count() == 0
+
+
+def test_a_batch_reads_only_the_days_it_touches(spark, tmp_path):
+    path, root = str(tmp_path / "raw"), str(tmp_path / "store")
+    at = "2026-04-{:02d}T12:00:00+00:00"
+    for d in (21, 22, 23):
+        land(prices(spark, ("AAA", at.format(d), [bar(f"2026-04-{d}T09:30:00", float(d))])), path)
+        incremental.advance_prices(spark, path, root)
+    # the days that are not touched may even be gone: nothing opens them
+    for d in (21, 22):
+        for folder in (tmp_path / "store/bars").glob(f"version=*/bar_date=2026-04-{d}"):
+            folder.rename(tmp_path / f"moved-{d}")
+    land(prices(spark, ("BBB", at.format(23), [bar("2026-04-23T10:30:00", 1.0)])), path)
+    incremental.advance_prices(spark, path, root)
+    for d in (21, 22):
+        (tmp_path / f"moved-{d}").rename(next((tmp_path / "store/bars").glob(f"version={d - 21}")) / f"bar_date=2026-04-{d}")
+    assert incremental.read_prices(spark, root, dim(spark)).count() == 4
 
 
 def test_incremental_null_close_is_remembered(spark, tmp_path):

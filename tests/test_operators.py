@@ -170,41 +170,57 @@ def test_quarantine_of_trades(spark):
     assert sorted(r.reason for r in bad.collect()) == ["empty", "malformed", "malformed", "missing"]
 
 
-@pytest.mark.parametrize("max_rows", [1, 3, 1000])
-def test_nesting_is_an_identity(spark, max_rows):
+def twenty_bars(spark):
     schema = "symbol string, ts string, open double, high double, low double, close double, volume bigint"
     data = [
-        ("AB"[i % 2], f"2026-04-22T{i:02d}:30:00", 1.5 * i, 2.0, None, None if i % 5 == 0 else i / 3, i)
+        ("AB"[i % 2], f"2026-{4 + i // 10:02d}-22T{i:02d}:30:00", 1.5 * i, 2.0, None, None if i % 5 == 0 else i / 3, i)
         for i in range(20)
     ]
-    bars = spark.createDataFrame(data, schema)
-    docs = nested.nest_bars(bars, max_rows)
-    sizes = [len(json.loads(r.payload)["bars"]) for r in docs.collect()]
-    assert sum(sizes) == 20 and max(sizes) <= max_rows
+    return spark.createDataFrame(data, schema)
+
+
+def test_nesting_is_an_identity(spark):
+    bars = twenty_bars(spark)
+    docs = nested.nest_bars(bars)
     landed = docs.withColumn("extracted_at", F.lit("2026-04-22 00:00:00").cast("timestamp"))
     back = nested.type_bars(nested.explode_bars(landed)).drop("extracted_at")
     want = bars.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
     assert rows(back) == rows(want)
 
 
+def test_documents_depend_on_the_rows_alone(spark):
+    """One document for a symbol and month, in whatever layout the rows come."""
+    bars = twenty_bars(spark)
+    want = rows(nested.nest_bars(bars.coalesce(1)))
+    assert len(want) == 4
+    assert rows(nested.nest_bars(bars.repartition(7).sortWithinPartitions(F.rand(3)))) == want
+    trades = spark.range(300).selectExpr(
+        "'s' source", "concat('P', id) politician", "concat(id % 28 + 1, ' Apr 2026') trade_date_raw"
+    )
+    want = rows(nested.nest_trades(trades.coalesce(1)))
+    assert 1 < len(want) <= nested.TRADE_BUCKETS
+    assert rows(nested.nest_trades(trades.repartition(5))) == want
+
+
 def test_one_hot_symbol_is_spread_over_documents(spark):
     bars = spark.range(1000).selectExpr(
-        "'HOT' symbol", "cast(id as string) ts", "1d open", "1d high", "1d low", "1d close", "id volume"
+        "'HOT' symbol", "cast(date_add(date'2020-01-01', cast(id as int)) as string) ts", "1d open",
+        "1d high", "1d low", "1d close", "id volume",
     )
-    docs = nested.nest_bars(bars, 50).collect()
-    assert len(docs) >= 20
-    assert all(len(json.loads(d.payload)["bars"]) <= 50 for d in docs)
+    docs = nested.nest_bars(bars).collect()
+    assert len(docs) == 33
+    assert all(len(json.loads(d.payload)["bars"]) <= 31 for d in docs)
 
 
 def test_document_keeps_nulls_and_order(spark):
     bars = spark.createDataFrame(
-        [("A", "t2", 1.0, 1.0, 1.0, None, None), ("A", "t1", 1.0, 1.0, 1.0, 2.0, 3)],
+        [("A", "2026-04-2", 1.0, 1.0, 1.0, None, None), ("A", "2026-04-1", 1.0, 1.0, 1.0, 2.0, 3)],
         "symbol string, ts string, open double, high double, low double, close double, volume bigint",
     ).coalesce(1)
     (doc,) = nested.nest_bars(bars).collect()
     payload = json.loads(doc.payload)
     assert (payload["symbol"], payload["interval"]) == ("A", "1h")
-    assert [b["ts"] for b in payload["bars"]] == ["t1", "t2"]
+    assert [b["ts"] for b in payload["bars"]] == ["2026-04-1", "2026-04-2"]
     assert payload["bars"][1]["close"] is None and "volume" in payload["bars"][1]
 
 
@@ -295,7 +311,7 @@ def plan(df):
 def test_size_check_decides_on_broadcast(spark):
     fact = spark.range(100).selectExpr("cast(id as string) k")
     table = spark.range(50).selectExpr("cast(id as string) ticker", "id x")
-    assert joins.measured_size(table) == (50, 50 * 32 + sum(len(str(i)) for i in range(50)))
+    assert joins.measured_size(table) == (50, 50 * 32 + sum(len(str(i)) for i in range(50)), 0)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         small = joins.attach(fact, joins.size_checked(table), "k", "ticker")

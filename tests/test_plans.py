@@ -50,8 +50,10 @@ def test_gold_shuffles_the_facts_once(spark, stored, no_adaptive):
     caps = joins.size_checked(adapters.weights(spark, SF))
     text = plan(gold.sector_hourly_perf(spark.read.parquet(stored), caps))
     shuffles = [line for line in text.splitlines() if "Exchange hashpartitioning" in line]
-    # facts by (symbol, day); the last closes three times; the sector results
-    assert sum("REPARTITION_BY_COL" in s for s in shuffles) == 1
+    # facts by (symbol, day), once for the lag and the last closes; these twice more; the
+    # sector results
+    assert sum("REPARTITION_BY_COL" in s and "Reused" not in s for s in shuffles) == 1
+    assert sum("Reused" in s for s in shuffles) == 1
     assert len(shuffles) == 5
     facts = text.split("SortMergeJoin")[0] if "SortMergeJoin" in text else text
     # the distinct count runs on the lag's partitioning: nothing but the final
@@ -59,6 +61,13 @@ def test_gold_shuffles_the_facts_once(spark, stored, no_adaptive):
     assert facts.count("Exchange hashpartitioning") == 1
 
 
+def test_flagship_computes_silver_once(spark, no_adaptive):
+    sectors = joins.size_checked(adapters.dim_sectors(spark, SF))
+    prices = silver.silver_stock_prices(adapters.raw_prices(spark, SF), sectors)
+    text = plan(gold.sector_hourly_perf(prices, joins.size_checked(adapters.weights(spark, SF))))
+    assert text.count("Generate explode") == 1 and "ReusedExchange" in text
+
+
 def test_gold_reads_four_columns(spark, stored, no_adaptive):
     text = plan(gold.sector_hourly_perf(spark.read.parquet(stored), weights(spark, U1=1)))
     schemas = [s.split("ReadSchema: ")[1] for s in text.splitlines() if "ReadSchema" in s]
