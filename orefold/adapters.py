@@ -39,7 +39,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def symbol(key: str) -> Column:
-    return F.concat(F.lit("U"), F.col(key))
+    """A ticker from a key; every seventh one has a share class."""
+    share_class = F.when(F.col(key) % 7 == 3, ".B").otherwise("")
+    return F.concat(F.lit("U"), F.col(key), share_class)
 
 
 def raw_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -120,14 +122,24 @@ def weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Upper ends of all bands but the open one; below the first there is no band.
+BAND_ENDS = (
+    (1e3, "< 1K"), (15e3, "1K–15K"), (50e3, "15K–50K"), (100e3, "50K–100K"),
+    (250e3, "100K–250K"), (500e3, "250K–500K"), (1e6, "500K–1M"), (5e6, "1M–5M"),
+    (25e6, "5M–25M"), (50e6, "25M–50M"),
+)
+
+
 def size_band(amount: Column) -> Column:
-    return (
-        F.when(amount < 1000, "< 1K")
-        .when(amount < 15000, "1K–15K")
-        .when(amount < 50000, "15K–50K")
-        .when(amount < 100000, "50K–100K")
-        .otherwise("100K–250K")
-    )
+    band = F.lit("50M+")
+    for end, label in reversed(BAND_ENDS):
+        band = F.when(amount < end, label).otherwise(band)
+    return band
+
+
+def trade_amount() -> Column:
+    """The line's price, up to a thousand times, so that every band occurs."""
+    return F.col("l_extendedprice") * F.pow(F.lit(10.0), F.col("l_linenumber") % 4)
 
 
 def trade_lag() -> Column:
@@ -153,7 +165,7 @@ def raw_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(quantity == 1, "")
         .when(quantity == 2, "--")
         .when(quantity == 3, "n/a")
-        .when(quantity > 4, F.concat(F.lit("u"), F.col("l_suppkey")))
+        .when(quantity > 4, F.lower(symbol("l_suppkey")))
         .alias("ticker"),
         F.when((F.col("l_tax") == 0.08) & (F.col("l_discount") == 0.1), "Yesterday")
         .otherwise(F.date_format("l_shipdate", "d MMM yyyy"))
@@ -164,7 +176,7 @@ def raw_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("l_returnflag") == "A", "Sell")
         .otherwise("Exchange")
         .alias("tx_type"),
-        size_band(F.col("l_extendedprice")).alias("size"),
+        size_band(trade_amount()).alias("size"),
         F.concat(F.lit("$"), quantity.cast("int")).alias("price"),
     )
     landed = F.timestamp_add("DAY", quantity.cast("int"), F.col("l_shipdate").cast("timestamp"))
