@@ -11,7 +11,7 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from orefold.session import shared_folder
@@ -73,6 +73,26 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def first_by_hash(rows: DataFrame, by: str, key: str, most: dict) -> DataFrame:
+    """At most ``most[value]`` rows for each value of ``by``, those first by a hash of
+    ``key``; values without an entry give none.
+
+    A cut by hash leaves about twice the wanted rows of each value, wherever they lie; only
+    these are ranked.
+    """
+    sizes = {r[0]: r[1] for r in rows.where(F.col(by).isin(list(most))).groupBy(by).count().collect()}
+    place = F.pmod(F.xxhash64(key), F.lit(1 << 30))
+    near, wanted = F.lit(False), F.lit(0)
+    for value, n in sorted(sizes.items()):
+        near |= (F.col(by) == value) & (place <= int((1 << 30) * min(1.0, 2 * most[value] / n)))
+        wanted = F.when(F.col(by) == value, most[value]).otherwise(wanted)
+    ranked = Window.partitionBy(by).orderBy(place, key)
+    return (
+        rows.where(near).withColumn("nth", F.row_number().over(ranked))
+        .where(F.col("nth") <= wanted).drop("nth")
+    )
+
+
 def text_bytes(docs: DataFrame, column: str = "text") -> int:
     """Bytes of all texts."""
     return docs.agg(F.coalesce(F.sum(F.octet_length(column).cast("long")), F.lit(0))).first()[0]

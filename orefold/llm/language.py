@@ -8,8 +8,8 @@ adds them up by their counts, which is the same sum with a fraction of the work.
 more than ``PIECE`` bytes are read in pieces of that size.
 
 Training is numpy on the driver, by backpropagation through time over the words of at most
-``SAMPLE`` labelled documents per language, chosen by a hash of the id; of these the
-``MAX_WORDS`` most frequent words per language are taken. At most ``MAX_LANGS`` languages
+``SAMPLE`` labelled documents per language, chosen by a hash of the id; of these the most
+frequent words are taken, ``MAX_WORDS`` times the number of languages. At most ``MAX_LANGS`` languages
 (the most frequent ones) are learned. Everything else covers all rows.
 
 Defined results: ``und`` with score 0 if a text is null or has no letter, or nothing could
@@ -24,10 +24,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orefold.llm.common import LOWER, Words, over_slices, raw
+from orefold.llm.common import LOWER, Words, first_by_hash, over_slices, raw
 
 UNKNOWN = "und"
 HIDDEN = 8
@@ -177,20 +177,14 @@ def training_words(labelled: DataFrame, sample: int = SAMPLE) -> list[tuple[str,
     langs = [r[0] for r in narrow.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()]
     if not langs:
         return []
-    draw = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = (
-        narrow.where(F.col("lang").isin(langs))
-        .withColumn("nth", F.row_number().over(draw)).where(F.col("nth") <= sample)
-    )
+    chosen = first_by_hash(narrow, "lang", "doc_id", dict.fromkeys(langs, sample))
     ids = [r[0] for r in chosen.select("doc_id").distinct().collect()]
     words = (
         labelled.where(F.col("doc_id").isin(ids) & F.col("lang").isin(langs))
         .select("lang", F.explode(F.split(F.lower("text"), r"[\x00-\x40\x5B-\x60\x7B-\x7F]+")).alias("word"))
         .where("word <> ''").groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n"))
     )
-    top = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
-    words = words.withColumn("nth", F.row_number().over(top)).where(F.col("nth") <= MAX_WORDS)
-    rows = words.select("lang", "word", "n").collect()
+    rows = words.orderBy(F.desc("n"), "lang", "word").limit(MAX_WORDS * len(langs)).collect()
     return sorted((r[0], r[1].encode(), r[2]) for r in rows)
 
 

@@ -28,10 +28,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orefold.llm.common import LOWER, Words, over_slices, raw
+from orefold.llm.common import LOWER, Words, first_by_hash, over_slices, raw, stored
 
 SAMPLE = {1: 3000, 0: 6000}
 MAX_MARKERS = 20_000
@@ -234,12 +234,10 @@ def sampled(docs: DataFrame, labels: DataFrame, usable: Column) -> DataFrame:
         labels.select(F.col("doc_id").cast("long").alias("of"), F.col("toxic").cast("int").alias("toxic"))
         .where("toxic in (0, 1) and of is not null").groupBy("of").agg(F.max("toxic").alias("toxic"))
     )
-    draw = Window.partitionBy("toxic").orderBy(F.xxhash64("of"), "of")
-    most = F.when(F.col("toxic") == 1, SAMPLE[1]).otherwise(SAMPLE[0])
     trained = docs.select("doc_id").where(usable).distinct()
     ids = known.join(trained, F.col("of") == F.col("doc_id").cast("long"), "left_semi")
     # at most the two samples' sizes, whatever the input
-    chosen = F.broadcast(ids.withColumn("nth", F.row_number().over(draw)).where(F.col("nth") <= most))
+    chosen = F.broadcast(first_by_hash(stored(ids, "labelled"), "toxic", "of", SAMPLE))
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(
         chosen, F.col("doc_id") == F.col("of")
     ).select("text", "toxic")
