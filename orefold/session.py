@@ -9,12 +9,16 @@ from pyspark.sql import SparkSession
 TARGET_PARTITION_BYTES = 128 * 1024 * 1024
 
 
-def configure(spark: SparkSession, shuffle_bytes: int | None = None) -> SparkSession:
+def configure(
+    spark: SparkSession, shuffle_bytes: int | None = None, target_bytes: int = TARGET_PARTITION_BYTES
+) -> SparkSession:
     """Set the runtime options the results and the plans depend on.
 
     ``shuffle_bytes`` is the expected size of the largest shuffle. It sets the
     initial number of shuffle partitions, which adaptive execution then merges
-    down; without it the cluster's own setting stands.
+    down; without it the cluster's own setting stands. ``target_bytes`` is the size of one
+    such partition: beyond some 10 TB take 512 MB or more, since 100 TB at 128 MB would
+    make 819,200 partitions and as many map outputs to track.
     """
     settings = {
         "spark.sql.session.timeZone": "UTC",
@@ -26,7 +30,7 @@ def configure(spark: SparkSession, shuffle_bytes: int | None = None) -> SparkSes
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     }
     if shuffle_bytes is not None:
-        parts = max(1, -(-shuffle_bytes // TARGET_PARTITION_BYTES))
+        parts = max(1, -(-shuffle_bytes // target_bytes))
         settings["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(parts)
     for key, value in settings.items():
         spark.conf.set(key, value)
