@@ -8,12 +8,11 @@ the hashes with at least ``width`` shingles. Such a node is the minimum of some
 exactly ``width``, so sliding minima find the nodes and a stack over them alone finds their
 spans. Windows with the same minimum hold subsequences that share that signature.
 
-``HASHES`` functions give a passage pair of Jaccard similarity 0.8 a shared signature with
-probability 1 - 0.2^4 = 0.998; one shared signature is enough to be verified. Windows meet
-by a join on the signature, each with the first window that has it (by document, place),
-and with the first among those that also share the text next to the centre, so that a
-first window which only shares a few words does not hide a longer match between others.
-No pairs are formed within a signature; links stay linear in the windows.
+A signature is the least shingle and ``BESIDE`` words next to it (after it for every other
+function, before it for the rest), so that windows which share no more than a few frequent
+words do not meet. Of ``HASHES`` functions one shared signature is enough to be verified.
+Windows meet by a join on the signature, each with the first window that has it (by
+document, place). No pairs are formed within a signature; links stay linear in the windows.
 
 The links of a pair of documents whose spans overlap, with about the same shift, are
 joined as intervals into one candidate. Verification reads both texts: it marks the
@@ -24,7 +23,7 @@ Result: one row per passage and document, with the passage of the class represen
 equals; representatives have a row of their own.
 
 Defined results: texts shorter than a passage have none; null texts and rows without an id
-have none; repeated rows of one id are one text (the first in order of the text); a
+have none; rows that repeat an id are one document, compared by one of their texts; a
 passage that repeats within one document only is not reported; an empty table gives no
 rows; extra columns are ignored.
 """
@@ -39,18 +38,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orefold.llm.common import LOWER, SPACE, Words, mixed, over_slices, raw, stored
+from orefold.operators.joins import size_checked
 
 SHINGLE = 5
 PASSAGE_WORDS = 50
 SIMILARITY = 0.8
 HASHES = 4
-#: Words on one side of the centre that the second key adds.
-BESIDE = 8
+#: Words on one side of the least shingle that belong to the signature.
+BESIDE = 4
 #: Links of two documents go to one candidate if their shifts differ by at most this.
 DRIFT = 16
 SEED = 9
 
-WINDOWS = "signature long, doc_id long, centre int, left int, right int, beside long"
+WINDOWS = "signature long, doc_id long, centre int, left int, right int"
 PASSAGES = (
     "doc_id long, start_word int, end_word int, rep_doc_id long, rep_start_word int, "
     "rep_end_word int, similarity double"
@@ -127,21 +127,21 @@ def all_windows(docs: DataFrame, width: int, hashes: int = HASHES, size: int = S
         mine, doc = own[whole], words.doc[whole]
         beside = [run_hash(h, BESIDE + size)[whole], _before(h, BESIDE, size)[whole]]
         ids, place = batch.column("doc_id").to_numpy(), whole - words.first[doc]
-        parts: list[list[np.ndarray]] = [[] for _ in range(6)]
+        parts: list[list[np.ndarray]] = [[] for _ in range(5)]
         for f in range(hashes):
             centres, left, right = compact_windows(mixed(mine, 1000 + f), doc, width)
             for part, column in zip(
                 parts,
                 (
-                    mixed(mine[centres], 2000 + f).view(np.int64), ids[doc[centres]],
-                    place[centres], place[left], place[right], beside[f % 2][centres].view(np.int64),
+                    mixed(beside[f % 2][centres], 2000 + f).view(np.int64), ids[doc[centres]],
+                    place[centres], place[left], place[right],
                 ),
             ):
                 part.append(column)
-        types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64()]
+        types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()]
         return pa.RecordBatch.from_arrays(
             [pa.array(np.concatenate(p)).cast(t) for p, t in zip(parts, types)],
-            names=["signature", "doc_id", "centre", "left", "right", "beside"],
+            names=["signature", "doc_id", "centre", "left", "right"],
         )
 
     return docs.mapInArrow(over_slices(work), WINDOWS)
@@ -154,22 +154,18 @@ def _before(h: np.ndarray, beside: int, size: int) -> np.ndarray:
 
 
 def linked(windows: DataFrame) -> DataFrame:
-    """Each window beside the first one with its signature, and the first that also shares
-    what is beside; windows whose signature is in a single document are left out."""
+    """Each window beside the first one with its signature; windows whose signature is in a
+    single document are left out.
+
+    Most windows share nothing, so what is left of the first join is small, and is written.
+    """
     shared = (
         windows.groupBy("signature").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
         .where("lo < hi").select("signature")
     )
     held = stored(windows.join(shared, "signature"), "shared-windows")
-    window = F.struct("doc_id", "centre", "left", "right")
-    first = held.groupBy("signature").agg(F.min(window).alias("rep"))
-    closer = held.groupBy("signature", "beside").agg(F.min(window).alias("near"))
-    held = held.join(first, "signature")
-    both = held.join(closer, ["signature", "beside"]).select(
-        "doc_id", "centre", "left", "right",
-        F.explode(F.array_distinct(F.array("rep", "near"))).alias("rep"),
-    )
-    return both.where("rep.doc_id < doc_id").select(
+    first = held.groupBy("signature").agg(F.min(F.struct("doc_id", "centre", "left", "right")).alias("rep"))
+    return held.join(first, "signature").where("rep.doc_id < doc_id").select(
         "doc_id", "centre", "left", "right", F.col("rep.doc_id").alias("rep_id"),
         F.col("rep.centre").alias("rep_centre"), F.col("rep.left").alias("rep_left"),
         F.col("rep.right").alias("rep_right"),
@@ -230,19 +226,39 @@ def verified(
     a: np.ndarray, b: np.ndarray, low: int, high: int, shifts: tuple[int, int], width: int, least: float
 ) -> list[tuple[int, int, int, int, float]]:
     """Passages (start, end, start in b, end in b, similarity) in places of shingles: unions
-    of overlapping similar windows, with the similarity of their sets. Of passages that
-    overlap, found at the shifts in question, the longest one stays."""
+    of overlapping similar windows that touch ``low .. high``, with the similarity of their
+    sets. Of passages that overlap, found at the shifts in question, the longest stays.
+
+    Most copies agree place by place at one shift, which is tried first and enough by itself;
+    only what it does not settle is compared with shingles that have moved.
+    """
     found = []
     if len(a) < width or len(b) < width:
         return found
     for shift in sorted({shifts[0], shifts[1], (shifts[0] + shifts[1]) // 2}):
-        starts = similar_places(a, b, width, least, shift)
+        begin, end = max(0, shift, low - width), min(len(a), len(b) + shift, high + width + 1)
+        if end - begin < width:
+            continue
+        same = np.concatenate([[0], np.cumsum(a[begin:end] == b[begin - shift : end - shift])])
+        shared = same[width:] - same[:-width]
+        starts = begin + np.flatnonzero(shared >= least * (2 * width - shared) - 1e-9)
+        if not len(starts) and not found:
+            lead = max(0, begin - width), max(0, begin - shift - width)
+            near = similar_places(
+                a[lead[0] : end + width], b[lead[1] : end - shift + width], width, least,
+                shift - lead[0] + lead[1],
+            )
+            starts = near + lead[0]
+            starts = starts[(starts >= begin) & (starts + width <= end)]
         starts = starts[(starts + width > low) & (starts <= high)]
         if not len(starts):
             continue
         cut = np.flatnonzero(np.diff(starts) > width)
         for i, j in zip(np.concatenate([[0], cut + 1]), np.concatenate([cut, [len(starts) - 1]])):
             s, e = int(starts[i]), int(starts[j]) + width
+            # without the unlike shingles at either end
+            alike = np.flatnonzero(np.isin(a[s:e], b[s - shift : e - shift]))
+            s, e = s + int(alike[0]), s + int(alike[-1]) + 1
             t, u = s - shift, e - shift
             x, y = np.unique(a[s:e]), np.unique(b[t:u])
             both = len(np.intersect1d(x, y, assume_unique=True))
@@ -254,6 +270,17 @@ def verified(
     return sorted(out)
 
 
+def of_pair(
+    a: np.ndarray, b: np.ndarray, spans: list[dict], width: int, least: float
+) -> list[tuple[int, int, int, int, float]]:
+    """All passages of two documents. A span that lies in a passage found before is settled."""
+    out: set[tuple[int, int, int, int, float]] = set()
+    for s in sorted(spans, key=lambda s: (s["low"] - s["high"], s["low"], s["shift"])):
+        if not any(p[0] <= s["low"] and s["high"] < p[1] for p in out):
+            out.update(verified(a, b, s["low"], s["high"], (s["shift"], s["shift_to"]), width, least))
+    return sorted(out)
+
+
 def passages(
     docs: DataFrame,
     passage_words: int = PASSAGE_WORDS,
@@ -266,29 +293,38 @@ def passages(
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null")
     found = stored(candidates(linked(all_windows(texts, width, hashes, size))), "passage-candidates")
     needed = found.select("doc_id").unionByName(found.select(F.col("rep_id").alias("doc_id"))).distinct()
-    once = (
-        texts.join(needed, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
+    wanted = texts.join(size_checked(stored(needed, "passage-documents")), "doc_id", "left_semi")
+    held = stored(shingle_rows(wanted, size), "passage-texts")
+    held = held.groupBy("doc_id").agg(F.min("shingles").alias("shingles"))
+    # of the first text only the part that its spans can reach goes on to the second join
+    span = F.struct(
+        (F.col("low") - F.col("skip")).alias("low"), (F.col("high") - F.col("skip")).alias("high"),
+        (F.col("shift") - F.col("skip")).alias("shift"), (F.col("shift_to") - F.col("skip")).alias("shift_to"),
+    )
+    margin = 2 * width + DRIFT
+    reach = found.groupBy("doc_id", "rep_id").agg(
+        F.greatest(F.min("low") - margin, F.lit(0)).alias("skip"), (F.max("high") + margin).alias("until")
+    )
+    spans = found.join(reach, ["doc_id", "rep_id"]).groupBy("doc_id", "rep_id", "skip", "until").agg(
+        F.collect_list(span).alias("spans")
     )
-    held = stored(shingle_rows(once, size), "passage-texts")
+    part = F.expr("substring(shingles, 2 * skip + 1, 2 * (until - skip))")
     rows = (
-        found.groupBy("doc_id", "rep_id")
-        .agg(F.collect_list(F.struct("low", "high", "shift", "shift_to")).alias("spans"))
-        .join(held, "doc_id")
+        spans.join(held, "doc_id").select("doc_id", "rep_id", "skip", "spans", part.alias("shingles"))
         .join(held.select(F.col("doc_id").alias("rep_id"), F.col("shingles").alias("rep_shingles")), "rep_id")
     )
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            columns = [batch.column(c) for c in ("doc_id", "rep_id", "spans", "shingles", "rep_shingles")]
+            columns = [
+                batch.column(c) for c in ("doc_id", "rep_id", "skip", "spans", "shingles", "rep_shingles")
+            ]
             for k in range(batch.num_rows):
-                doc, rep, spans, own, other = (c[k].as_py() for c in columns)
-                a, b = np.frombuffer(own, np.uint32), np.frombuffer(other, np.uint32)
-                got: set = set()
-                for s in spans:
-                    got |= set(verified(a, b, s["low"], s["high"], (s["shift"], s["shift_to"]), width, similarity))
-                for s, e, t, u, j in sorted(got):
-                    out.append((doc, s, e + size - 1, rep, t, u + size - 1, j))
+                doc, rep, skip, spans, own, other = (c[k].as_py() for c in columns)
+                a, b = np.frombuffer(own, np.uint16), np.frombuffer(other, np.uint16)
+                for s, e, t, u, j in of_pair(a, b, spans, width, similarity):
+                    out.append((doc, skip + s, skip + e + size - 1, rep, t, u + size - 1, j))
                     out.append((rep, t, u + size - 1, rep, t, u + size - 1, 1.0))
             types = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.float64()]
             names = [c.split()[0] for c in PASSAGES.split(", ")]
@@ -300,13 +336,14 @@ def passages(
 
 
 def shingle_rows(texts: DataFrame, size: int) -> DataFrame:
-    """``doc_id, shingles``: 32-bit hashes of a text's shingles, in order. Comparisons are
-    local (``DRIFT``), so an accidental match is one in millions."""
+    """``doc_id, shingles``: 16-bit hashes of a text's shingles, in order. A shingle is only
+    compared with those within ``DRIFT`` places of where it should be, so two unlike ones pass
+    for equal with odds of 33 in 65,536; the candidates share 64-bit signatures."""
 
     def work(batch: pa.RecordBatch, texts: pa.Array) -> pa.RecordBatch:
         words, _, own = shingles(texts, size)
         kept = [
-            own[words.first[d] : max(words.first[d + 1] - size + 1, words.first[d])].astype(np.uint32).tobytes()
+            own[words.first[d] : max(words.first[d + 1] - size + 1, words.first[d])].astype(np.uint16).tobytes()
             for d in range(len(texts))
         ]
         return pa.RecordBatch.from_arrays(
