@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import functools
 import os
 import uuid
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 from orefold.session import shared_folder
 
 #: Bytes of text that are turned into arrays at a time; one longer text is a slice of its own.
-SLICE_BYTES = 4 * 1024 * 1024
+SLICE_BYTES = 2 * 1024 * 1024
 
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -199,6 +200,27 @@ def split_words(texts: pa.Array, lower: bool = False) -> tuple[pa.Array, np.ndar
     return flat, words.doc
 
 
+_remembered: dict = {}
+
+
+def remembered(key, make: Callable):
+    """What a worker keeps between tasks; one thing at a time, so that the operators of a
+    pipeline do not add up in it."""
+    if key not in _remembered:
+        _remembered.clear()
+        _remembered[key] = make()
+    return _remembered[key]
+
+
+def give_back() -> None:
+    """Return freed memory to the system: workers live on, and the next operator's needs
+    would come on top of what this one has left behind."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim is not None:
+        trim(0)
+
+
 def over_slices(
     work: Callable[[pa.RecordBatch, pa.Array], pa.RecordBatch | None], most: int = SLICE_BYTES
 ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -209,5 +231,7 @@ def over_slices(
             out = work(batch, texts)
             if out is not None and out.num_rows:
                 yield out
+            del out, batch, texts
+            give_back()
 
     return run

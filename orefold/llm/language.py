@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orefold.llm.common import LOWER, Words, first_by_hash, over_slices, raw
+from orefold.llm.common import LOWER, Words, first_by_hash, over_slices, raw, remembered
 
 UNKNOWN = "und"
 HIDDEN = 8
@@ -38,9 +38,9 @@ STEPS, BATCH, RATE, SEED = 900, 192, 0.02, 3
 LEAST_SCORE = 0.35
 _ROWS = 4096
 #: Distinct words that a worker remembers; beyond it, it starts anew.
-REMEMBERED = 600_000
+REMEMBERED = 300_000
 #: Bytes of text labelled at a time: larger slices repeat more words, smaller ones need less.
-WHOLE_SLICE = 12 * 1024 * 1024
+WHOLE_SLICE = 4 * 1024 * 1024
 
 #: What separates words: white space, digits, ASCII punctuation, control characters.
 INSIDE = np.zeros(256, bool)
@@ -210,16 +210,9 @@ class Labeller:
         return self.sums[[self.places[w] for w in words]]
 
 
-_labellers: dict[bytes, Labeller] = {}
-
-
 def labeller(net: Network) -> Labeller:
-    """The worker's labeller for this network; one network is remembered at a time."""
-    name = net.out.tobytes() + net.loops[0].tobytes()
-    if name not in _labellers:
-        _labellers.clear()
-        _labellers[name] = Labeller(net)
-    return _labellers[name]
+    """The worker's labeller for this network."""
+    return remembered(net.out.tobytes() + net.loops[0].tobytes(), lambda: Labeller(net))
 
 
 def word_labels(net: Network, words: list[bytes]) -> np.ndarray:

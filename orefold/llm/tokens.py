@@ -13,8 +13,10 @@ the end; blocks. Block: u32 minimum, u8 width, u16 exceptions, u16 ids; packed l
 u16 positions and u32 high bits of the exceptions.
 
 Words repeat, so each worker encodes a distinct word once: the tokenizer's own rules never
-let a piece cross white space, and trailing punctuation is a piece of its own. Texts that
-hold ``<|``, which may begin a special token, are encoded whole.
+let a piece cross white space, and trailing punctuation is a piece of its own. Words of
+lower-case Latin letters, which the tokenizer's normal form and splitting leave as they are,
+go straight to its merges. Texts that hold ``<|``, which may begin a special token, are
+encoded whole. The encoder is made for byte-level vocabularies that lower-case letters.
 
 Defined results: a null or empty text is the end id alone; rows with the same id stay
 together in order of the text; null ids come first; an empty table gives no rows; extra
@@ -26,7 +28,7 @@ from __future__ import annotations
 import re
 import struct
 from collections.abc import Iterator
-from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,12 +36,21 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from orefold.llm.common import crc32, new_folder, raw, slices, split_words, text_bytes
+from orefold.llm.common import (
+    crc32,
+    give_back,
+    new_folder,
+    raw,
+    remembered,
+    slices,
+    split_words,
+    text_bytes,
+)
 
 BLOCK = 4096
 #: The share of a block's ids that the packed width must fit.
 FIT = 0.9
-SEGMENT_BYTES = 4 * 1024 * 1024
+SEGMENT_BYTES = 2 * 1024 * 1024
 RANGE_BYTES = 32 * 1024 * 1024
 END_ID = 1
 MAGIC = b"PFR1"
@@ -133,6 +144,18 @@ def ids_at(data: bytes, start: int, n: int) -> np.ndarray:
 _TRAILING = re.compile(rb"(?<=[A-Za-z0-9])[!\"#$%&()*+,\-./:;<=>?@\[\\\]^_`{|}~]+\Z")
 
 
+#: Lower-case letters of ASCII and Latin-1: normal forms, one piece, as they are.
+_PLAIN = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+\Z")
+
+
+def byte_letters() -> dict[int, str]:
+    """The letters that byte-level vocabularies use for bytes: printable ones stand for
+    themselves, the others for the letters from 256 on, in order."""
+    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    rest = [b for b in range(256) if b not in printable]
+    return {b: chr(256 + rest.index(b)) if b in rest else chr(b) for b in range(256)}
+
+
 class WordEncoder:
     """Ids of texts by way of their distinct words, remembered in one array."""
 
@@ -140,6 +163,8 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
+        self.merges = self.whole.model
+        self.letters = byte_letters()
         self.forget()
 
     def forget(self) -> None:
@@ -164,7 +189,14 @@ class WordEncoder:
         split = {c[0] for c in compound}
         single = {w for w in words if w not in split}
         single |= {p for c in compound for p in c[1:] if p not in known}
-        pieces = sorted(single)
+        # plain pieces go straight to the library's merges, the others through all its steps
+        plain = [p for p in single if _PLAIN.match(p)]
+        made = [
+            [t.id for t in self.merges.tokenize(p.decode("latin-1").translate(self.letters))] for p in plain
+        ]
+        lengths = np.fromiter(map(len, made), np.int64, len(made))
+        self._add(plain, np.fromiter(chain.from_iterable(made), np.uint32, int(lengths.sum())), lengths)
+        pieces = [p for p in single if p not in known]
         for i in range(0, len(pieces), 2048):
             some = pieces[i : i + 2048]
             # words as given, many to a call; the library says which ids belong to which
@@ -220,9 +252,9 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.repeat(starts - (ends - lengths), lengths) + np.arange(ends[-1])
 
 
-@lru_cache(maxsize=2)
 def encoder(path: str) -> WordEncoder:
-    return WordEncoder(path)
+    """The worker's encoder for this tokenizer."""
+    return remembered(path, lambda: WordEncoder(path))
 
 
 # written table
@@ -259,6 +291,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_I
                 }
             )
             segment, base = segment + 1, base + len(ids)
+            del ids, lengths, held, batch, texts
+            give_back()
 
     made = ordered.mapInArrow(work, WRITTEN)
     made.write.parquet(path)
@@ -270,7 +304,8 @@ def read_tokens(written: DataFrame) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for k in range(batch.num_rows):  # one segment at a time
+                row = {c: batch.column(c)[k].as_py() for c in batch.schema.names}
                 lengths = decode_segment(row["lengths"]).astype(np.int64)
                 ids = decode_segment(row["payload"])
                 n = len(lengths)
@@ -290,6 +325,8 @@ def read_tokens(written: DataFrame) -> DataFrame:
                         "ids_crc32": pa.array(sums, pa.int64()),
                     }
                 )
+                del row, ids, data
+            give_back()
 
     return written.mapInArrow(work, READ)
 
