@@ -51,10 +51,12 @@ def build_all(
         ("bar_date",),
     )
     trades = publish(
-        silver.silver_congress_trades(raw_trades, dim),
+        # few trades a day: a folder for each would be thousands of tiny files, so files are
+        # sorted by day instead, and date filters skip their pages
+        silver.silver_congress_trades(raw_trades, dim)
+        .hint("rebalance").sortWithinPartitions("trade_date"),
         "silver_congress_trades",
         quality.SILVER_TRADES,
-        ("trade_date",),
     )
     perf = publish(
         gold.sector_hourly_perf(prices, weights),
