@@ -50,12 +50,12 @@ from orefold.llm.common import (
 BLOCK = 4096
 #: The share of a block's ids that the packed width must fit.
 FIT = 0.9
-SEGMENT_BYTES = 2 * 1024 * 1024
+SEGMENT_BYTES = 1024 * 1024
 RANGE_BYTES = 32 * 1024 * 1024
 END_ID = 1
 MAGIC = b"PFR1"
 #: Distinct words that a worker remembers; beyond it, it starts anew.
-REMEMBERED = 600_000
+REMEMBERED = 350_000
 
 WRITTEN = "part int, segment int, base long, n_ids long, doc_ids binary, lengths binary, payload binary"
 READ = "part int, segment int, doc_id long, offset long, n_tokens long, ids_crc32 long"
