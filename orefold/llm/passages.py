@@ -12,7 +12,11 @@ A signature is the least shingle and ``BESIDE`` words next to it (after it for e
 function, before it for the rest), so that windows which share no more than a few frequent
 words do not meet. Of ``HASHES`` functions one shared signature is enough to be verified.
 Windows meet by a join on the signature, each with the first window that has it (by
-document, place). No pairs are formed within a signature; links stay linear in the windows.
+document, place). That one may hold less of a passage than later ones, or an edited version
+of it. So a window that does not agree with it over a whole passage also meets, for each
+side and each length of context at which the two depart (``STEPS`` lengths up to a passage),
+the first window with its own context there. No pairs are formed within a signature; a
+window has at most two links for each length, so links stay linear in the windows.
 
 The links of a pair of documents whose spans overlap, with about the same shift, are
 joined as intervals into one candidate. Verification reads both texts: it marks the
@@ -20,7 +24,8 @@ windows of ``width`` shingles that have the needed similarity to the other text
 shift, and reports their union, the passage, with the similarity of its shingle sets.
 
 Result: one row per passage and document, with the passage of the class representative it
-equals; representatives have a row of their own.
+equals; representatives have a row of their own. A passage that a document has of several
+representatives is reported with the earliest.
 
 Defined results: texts shorter than a passage have none; null texts and rows without an id
 have none; rows that repeat an id are one document, compared by one of their texts; a
@@ -30,11 +35,12 @@ rows; extra columns are ignored.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orefold.llm.common import LOWER, SPACE, Words, mixed, over_slices, raw, stored
@@ -46,15 +52,20 @@ SIMILARITY = 0.8
 HASHES = 4
 #: Words on one side of the least shingle that belong to the signature.
 BESIDE = 4
+#: Lengths of context on each side of a window's least shingle, up to a passage; a hash of
+#: four bits each, one number for a side.
+STEPS = 15
 #: Links of two documents go to one candidate if their shifts differ by at most this.
 DRIFT = 16
 SEED = 9
 
-WINDOWS = "signature long, doc_id long, centre int, left int, right int"
+WINDOWS = "signature long, doc_id long, centre int, left int, right int, after long, before long"
+WINDOW = ("doc_id", "centre", "left", "right")
 PASSAGES = (
     "doc_id long, start_word int, end_word int, rep_doc_id long, rep_start_word int, "
     "rep_end_word int, similarity double"
 )
+OWN = ("start_word", "end_word", "rep_doc_id", "rep_start_word", "rep_end_word", "similarity")
 
 
 def shingles(texts: pa.Array, size: int = SHINGLE) -> tuple[Words, np.ndarray, np.ndarray]:
@@ -115,8 +126,29 @@ def compact_windows(
     return centres, np.array(left), np.array(right)
 
 
+def context_lengths(passage_words: int) -> list[int]:
+    """Words of context beyond a shingle; the last length is a passage or more."""
+    step = -(-passage_words // STEPS)
+    return [step * k for k in range(1, -(-passage_words // step) + 1)]
+
+
+def contexts(h: np.ndarray, at: np.ndarray, size: int, lengths: list[int], side: int) -> np.ndarray:
+    """For each place four bits for each length of context, the shortest one first: equal up
+    to a length if the words after (``side`` 1) or before (-1) the shingle are."""
+    out, own, done = np.zeros(len(at), np.uint64), np.zeros(len(at), np.uint64), 0
+    padded = np.concatenate([np.zeros(lengths[-1], np.uint64), h, np.zeros(lengths[-1] + size, np.uint64)])
+    edge = at + lengths[-1] + (size - 1 if side > 0 else 0)
+    for length in lengths:
+        for k in range(done + 1, length + 1):
+            own = own * np.uint64(0x9E3779B97F4A7C15) + padded[edge + side * k]
+        out = (out << np.uint64(4)) | (mixed(own, length) >> np.uint64(60))
+        done = length
+    return out.view(np.int64)
+
+
 def all_windows(docs: DataFrame, width: int, hashes: int = HASHES, size: int = SHINGLE) -> DataFrame:
     """Compact windows of every text under every hash function."""
+    lengths = context_lengths(width + size - 1)
 
     def work(batch: pa.RecordBatch, texts: pa.Array) -> pa.RecordBatch | None:
         words, h, own = shingles(texts, size)
@@ -127,7 +159,7 @@ def all_windows(docs: DataFrame, width: int, hashes: int = HASHES, size: int = S
         mine, doc = own[whole], words.doc[whole]
         beside = [run_hash(h, BESIDE + size)[whole], _before(h, BESIDE, size)[whole]]
         ids, place = batch.column("doc_id").to_numpy(), whole - words.first[doc]
-        parts: list[list[np.ndarray]] = [[] for _ in range(5)]
+        parts: list[list[np.ndarray]] = [[] for _ in range(7)]
         for f in range(hashes):
             centres, left, right = compact_windows(mixed(mine, 1000 + f), doc, width)
             for part, column in zip(
@@ -135,13 +167,14 @@ def all_windows(docs: DataFrame, width: int, hashes: int = HASHES, size: int = S
                 (
                     mixed(beside[f % 2][centres], 2000 + f).view(np.int64), ids[doc[centres]],
                     place[centres], place[left], place[right],
+                    *(contexts(h, whole[centres], size, lengths, side) for side in (1, -1)),
                 ),
             ):
                 part.append(column)
-        types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()]
+        types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64()]
         return pa.RecordBatch.from_arrays(
             [pa.array(np.concatenate(p)).cast(t) for p, t in zip(parts, types)],
-            names=["signature", "doc_id", "centre", "left", "right"],
+            names=["signature", "doc_id", "centre", "left", "right", "after", "before"],
         )
 
     return docs.mapInArrow(over_slices(work), WINDOWS)
@@ -153,9 +186,10 @@ def _before(h: np.ndarray, beside: int, size: int) -> np.ndarray:
     return np.concatenate([mixed(h[:beside], 5), out[: len(h) - beside]]) if len(h) > beside else mixed(h, 5)
 
 
-def linked(windows: DataFrame) -> DataFrame:
-    """Each window beside the first one with its signature; windows whose signature is in a
-    single document are left out.
+def linked(windows: DataFrame, passage_words: int, size: int = SHINGLE) -> DataFrame:
+    """Each window beside the first one with its signature, and beside the first ones with
+    its contexts where those differ; windows whose signature is in a single document are
+    left out.
 
     Most windows share nothing, so what is left of the first join is small, and is written.
     """
@@ -164,12 +198,40 @@ def linked(windows: DataFrame) -> DataFrame:
         .where("lo < hi").select("signature")
     )
     held = stored(windows.join(shared, "signature"), "shared-windows")
-    first = held.groupBy("signature").agg(F.min(F.struct("doc_id", "centre", "left", "right")).alias("rep"))
-    return held.join(first, "signature").where("rep.doc_id < doc_id").select(
-        "doc_id", "centre", "left", "right", F.col("rep.doc_id").alias("rep_id"),
-        F.col("rep.centre").alias("rep_centre"), F.col("rep.left").alias("rep_left"),
-        F.col("rep.right").alias("rep_right"),
+    window = F.struct(*WINDOW)
+    first = held.groupBy("signature").agg(
+        F.min(F.struct(*WINDOW, "after", "before")).alias("rep")
+    )
+    met = held.join(first, "signature")
+    lengths = context_lengths(passage_words)
+    apart = []
+    for side, name in enumerate(("after", "before")):
+        for k in range(1, len(lengths) + 1):
+            unused = 4 * (len(lengths) - k)
+            own, other = F.shiftright(name, unused), F.shiftright(f"rep.{name}", unused)
+            apart.append(F.when(own != other, F.struct(F.lit(2 * k + side).alias("length"), own.alias("context"))))
+    apart = F.filter(F.array(*apart), lambda x: x.isNotNull())
+    # words beside the shingle that agree, less two lengths that four bits may have let pass
+    agreed = (2 * len(lengths) - F.size(apart) - 2) * lengths[0] + size
+    open_ = (
+        met.where(agreed < passage_words)
+        .select("signature", *WINDOW, F.explode(apart).alias("at"))
+        .select("signature", "at.length", "at.context", *WINDOW)
+    )
+    keys = ["signature", "length", "context"]
+    closer = (
+        open_.groupBy(*keys).agg(F.min(window).alias("rep"), F.max("doc_id").alias("hi"))
+        .where("rep.doc_id < hi").drop("hi")
     )
+    links = [met.select(*WINDOW, *_of_rep()), open_.join(closer, keys).select(*WINDOW, *_of_rep())]
+    return links[0].unionByName(links[1]).where("rep_id < doc_id")
+
+
+def _of_rep() -> list[Column]:
+    return [
+        F.col("rep.doc_id").alias("rep_id"), F.col("rep.centre").alias("rep_centre"),
+        F.col("rep.left").alias("rep_left"), F.col("rep.right").alias("rep_right"),
+    ]
 
 
 def candidates(links: DataFrame) -> DataFrame:
@@ -291,7 +353,7 @@ def passages(
     """``PASSAGES``: near-duplicate passages, each with that of its representative."""
     width = passage_words - size + 1
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null")
-    found = stored(candidates(linked(all_windows(texts, width, hashes, size))), "passage-candidates")
+    found = stored(candidates(linked(all_windows(texts, width, hashes, size), passage_words, size)), "passage-candidates")
     needed = found.select("doc_id").unionByName(found.select(F.col("rep_id").alias("doc_id"))).distinct()
     wanted = texts.join(size_checked(stored(needed, "passage-documents")), "doc_id", "left_semi")
     held = stored(shingle_rows(wanted, size), "passage-texts")
@@ -325,14 +387,51 @@ def passages(
                 a, b = np.frombuffer(own, np.uint16), np.frombuffer(other, np.uint16)
                 for s, e, t, u, j in of_pair(a, b, spans, width, similarity):
                     out.append((doc, skip + s, skip + e + size - 1, rep, t, u + size - 1, j))
-                    out.append((rep, t, u + size - 1, rep, t, u + size - 1, 1.0))
-            types = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.float64()]
-            names = [c.split()[0] for c in PASSAGES.split(", ")]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([o[i] for o in out], t) for i, t in enumerate(types)], names=names
-            )
+            yield _passage_batch(out)
 
-    return rows.mapInArrow(work, PASSAGES).distinct()
+    def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for doc, own in zip(batch.column("doc_id").to_pylist(), batch.column("own").to_pylist()):
+                for p in of_earliest(own):
+                    s, e, rep, t, u, j = (p[c] for c in OWN)
+                    out += [(doc, s, e, rep, t, u, j), (rep, t, u, rep, t, u, 1.0)]
+            yield _passage_batch(out)
+
+    own = rows.mapInArrow(work, PASSAGES).groupBy("doc_id").agg(F.collect_list(F.struct(*OWN)).alias("own"))
+    return own.mapInArrow(settle, PASSAGES).distinct()
+
+
+def of_earliest(own: list[dict]) -> list[dict]:
+    """The passages of one document without those that it already has of earlier
+    representatives (all but ``DRIFT`` words of them)."""
+    kept: list[dict] = []
+    covered: list[tuple[int, int]] = []  # by earlier representatives, apart and in order
+    own = sorted(own, key=lambda p: p["rep_doc_id"])
+    for _, of_one in itertools.groupby(own, key=lambda p: p["rep_doc_id"]):
+        new = []
+        for p in of_one:
+            s, e = p["start_word"], p["end_word"]
+            shared = sum(max(min(e, b) - max(s, a), 0) for a, b in covered)
+            if not shared or e - s - shared > DRIFT:
+                new.append(p)
+        kept += new
+        merged: list[tuple[int, int]] = []
+        for a, b in sorted(covered + [(p["start_word"], p["end_word"]) for p in new]):
+            if merged and a <= merged[-1][1]:
+                merged[-1] = merged[-1][0], max(b, merged[-1][1])
+            else:
+                merged.append((a, b))
+        covered = merged
+    return kept
+
+
+def _passage_batch(out: list[tuple]) -> pa.RecordBatch:
+    types = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.float64()]
+    return pa.RecordBatch.from_arrays(
+        [pa.array([o[i] for o in out], t) for i, t in enumerate(types)],
+        names=[c.split()[0] for c in PASSAGES.split(", ")],
+    )
 
 
 def shingle_rows(texts: DataFrame, size: int) -> DataFrame:

@@ -86,6 +86,20 @@ def test_a_first_document_with_less_does_not_hide_a_longer_match(spark):
     assert 0 not in got and len(got) >= 3
 
 
+def test_a_more_edited_first_document_does_not_hide_copies(spark):
+    rng = random.Random(14)
+    docs, pairs = [], []
+    for k in range(200):
+        passage = words(rng, 50)
+        first = list(passage)
+        for p in rng.sample(range(5, 45), 2):
+            first[p] = "changed%d" % p
+        pairs.append((3 * k + 1, 3 * k + 2))
+        docs += [words(rng, 40) + p + words(rng, 40) for p in (first, passage, passage)]
+    got = {(r.rep_doc_id, r.doc_id) for r in found(spark, [" ".join(d) for d in docs])}
+    assert len(set(pairs) - got) <= 4
+
+
 def test_odd_rows_and_empty_tables(spark):
     docs = odd_rows()
     got = op.passages(frame(spark, docs, clash=True)).collect()
