@@ -236,7 +236,7 @@ def _of_rep() -> list[Column]:
 
 def candidates(links: DataFrame) -> DataFrame:
     """Interval join of the links of two documents: ``doc_id, rep_id`` and lists of
-    ``(low, high, shift)``, places of shingles that the joined windows cover in both."""
+    ``(low, high, shifts)``, places of shingles that the joined windows cover in both."""
     shift = F.col("centre") - F.col("rep_centre")
     # what both windows cover, in places of the first document
     low = F.greatest(F.col("left"), F.col("rep_left") + shift)
@@ -247,8 +247,7 @@ def candidates(links: DataFrame) -> DataFrame:
     )
     # one row per pair and band of shifts: sums that merge before the shuffle
     return spans.groupBy("doc_id", "rep_id", "band").agg(
-        F.min("low").alias("low"), F.max("high").alias("high"), F.min("shift").alias("shift"),
-        F.max("shift").alias("shift_to"),
+        F.min("low").alias("low"), F.max("high").alias("high"), F.collect_set("shift").alias("shifts"),
     )
 
 
@@ -285,39 +284,36 @@ def _present(a: np.ndarray, b: np.ndarray, shift: int) -> np.ndarray:
 
 
 def verified(
-    a: np.ndarray, b: np.ndarray, low: int, high: int, shifts: tuple[int, int], width: int, least: float
+    a: np.ndarray, b: np.ndarray, low: int, high: int, shifts: list[int], width: int, least: float
 ) -> list[tuple[int, int, int, int, float]]:
     """Passages (start, end, start in b, end in b, similarity) in places of shingles: unions
     of overlapping similar windows that touch ``low .. high``, with the similarity of their
-    sets. Of passages that overlap, found at the shifts in question, the longest stays.
+    sets, at each of ``shifts``. The longest come first; one that has ``DRIFT`` places or
+    fewer outside of longer ones is the same passage at another shift.
 
-    Most copies agree place by place at one shift, which is tried first and enough by itself;
-    only what it does not settle is compared with shingles that have moved.
+    Most copies agree place by place at one shift, which is tried first. Where windows that
+    this leaves out hold enough shingles that the other text has near them, all are compared
+    with shingles that have moved.
     """
-    found = []
+    found: list[tuple[int, int, int, int, float]] = []
     if len(a) < width or len(b) < width:
         return found
-    for shift in sorted({shifts[0], shifts[1], (shifts[0] + shifts[1]) // 2}):
+    # bounds of what can touch the span
+    bounds = {}
+    for shift in shifts:
         begin, end = max(0, shift, low - width), min(len(a), len(b) + shift, high + width + 1)
-        if end - begin < width:
-            continue
-        same = np.concatenate([[0], np.cumsum(a[begin:end] == b[begin - shift : end - shift])])
-        shared = same[width:] - same[:-width]
-        starts = begin + np.flatnonzero(shared >= least * (2 * width - shared) - 1e-9)
-        if not len(starts) and not found:
-            lead = max(0, begin - width), max(0, begin - shift - width)
-            near = similar_places(
-                a[lead[0] : end + width], b[lead[1] : end - shift + width], width, least,
-                shift - lead[0] + lead[1],
-            )
-            starts = near + lead[0]
-            starts = starts[(starts >= begin) & (starts + width <= end)]
+        if end - begin >= width:
+            bounds[shift] = begin, end
+    covered = np.zeros(len(a), bool)
+
+    def add(starts: np.ndarray, shift: int) -> None:
         starts = starts[(starts + width > low) & (starts <= high)]
         if not len(starts):
-            continue
+            return
         cut = np.flatnonzero(np.diff(starts) > width)
         for i, j in zip(np.concatenate([[0], cut + 1]), np.concatenate([cut, [len(starts) - 1]])):
             s, e = int(starts[i]), int(starts[j]) + width
+            covered[s:e] = True
             # without the unlike shingles at either end
             alike = np.flatnonzero(np.isin(a[s:e], b[s - shift : e - shift]))
             s, e = s + int(alike[0]), s + int(alike[-1]) + 1
@@ -325,21 +321,46 @@ def verified(
             x, y = np.unique(a[s:e]), np.unique(b[t:u])
             both = len(np.intersect1d(x, y, assume_unique=True))
             found.append((s, e, t, u, both / (len(x) + len(y) - both)))
+
+    for shift, (begin, end) in bounds.items():
+        shared = _sliding(a[begin:end] == b[begin - shift : end - shift], width)
+        add(begin + np.flatnonzero(shared >= least * (2 * width - shared) - 1e-9), shift)
+    for shift, (begin, end) in bounds.items():
+        # a similar window holds that many shingles of the other text, wherever they are
+        near = np.isin(a[begin:end], b[max(begin - shift - DRIFT, 0) : end - shift + DRIFT])
+        shared = _sliding(near, width)
+        enough = shared >= least * (2 * width - shared) - 1e-9
+        if not (enough & (_sliding(~covered[begin:end], width) > 0)).any():
+            continue
+        lead = max(0, begin - DRIFT), max(0, begin - shift - DRIFT)
+        starts = lead[0] + similar_places(
+            a[lead[0] : end + DRIFT], b[lead[1] : end - shift + DRIFT], width, least, shift - lead[0] + lead[1]
+        )
+        add(starts[(starts >= begin) & (starts + width <= end)], shift)
     out: list[tuple[int, int, int, int, float]] = []
+    taken = np.zeros(len(a), bool)
     for p in sorted(found, key=lambda p: (p[0] - p[1], -p[4], p[0])):  # longest first
-        if all(p[1] <= q[0] or p[0] >= q[1] for q in out):
+        free = int(np.count_nonzero(~taken[p[0] : p[1]]))
+        if free == p[1] - p[0] or free > DRIFT:
             out.append(p)
+            taken[p[0] : p[1]] = True
     return sorted(out)
 
 
+def _sliding(marks: np.ndarray, width: int) -> np.ndarray:
+    """Marks in each window of ``width``."""
+    sums = np.concatenate([[0], np.cumsum(marks)])
+    return sums[width:] - sums[:-width]
+
+
 def of_pair(
     a: np.ndarray, b: np.ndarray, spans: list[dict], width: int, least: float
 ) -> list[tuple[int, int, int, int, float]]:
     """All passages of two documents. A span that lies in a passage found before is settled."""
     out: set[tuple[int, int, int, int, float]] = set()
-    for s in sorted(spans, key=lambda s: (s["low"] - s["high"], s["low"], s["shift"])):
+    for s in sorted(spans, key=lambda s: (s["low"] - s["high"], s["low"], s["shifts"])):
         if not any(p[0] <= s["low"] and s["high"] < p[1] for p in out):
-            out.update(verified(a, b, s["low"], s["high"], (s["shift"], s["shift_to"]), width, least))
+            out.update(verified(a, b, s["low"], s["high"], s["shifts"], width, least))
     return sorted(out)
 
 
@@ -361,7 +382,7 @@ def passages(
     # of the first text only the part that its spans can reach goes on to the second join
     span = F.struct(
         (F.col("low") - F.col("skip")).alias("low"), (F.col("high") - F.col("skip")).alias("high"),
-        (F.col("shift") - F.col("skip")).alias("shift"), (F.col("shift_to") - F.col("skip")).alias("shift_to"),
+        F.transform(F.array_sort("shifts"), lambda x: x - F.col("skip")).alias("shifts"),
     )
     margin = 2 * width + DRIFT
     reach = found.groupBy("doc_id", "rep_id").agg(

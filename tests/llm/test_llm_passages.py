@@ -100,6 +100,36 @@ def test_a_more_edited_first_document_does_not_hide_copies(spark):
     assert len(set(pairs) - got) <= 4
 
 
+def test_a_copy_with_words_put_in_is_whole(spark):
+    rng = random.Random(15)
+    docs, whole = [], []
+    for k in range(30):
+        passage = words(rng, 250)
+        other = [w for i in range(0, 250, 50) for w in [*passage[i : i + 50], "more%d" % i]][:-1]
+        docs += [words(rng, 30) + passage + words(rng, 30), words(rng, 45) + other + words(rng, 20)]
+        whole.append(2 * k + 1)
+    got = {d: set() for d in whole}
+    for r in found(spark, [" ".join(d) for d in docs]):
+        if r.doc_id in got:
+            got[r.doc_id] |= set(range(r.start_word, r.end_word))
+    for d in whole:
+        assert len(got[d] & set(range(45, 299))) >= 245
+
+
+def test_two_passages_at_near_shifts_and_a_clean_one_beside_an_edited():
+    rng = np.random.default_rng(16)
+    fresh = lambda n: rng.integers(0, 1 << 62, n).astype(np.uint64)
+    one, two = fresh(60), fresh(60)
+    a, b = np.concatenate([one, fresh(40), two]), np.concatenate([one, fresh(43), two])
+    got = op.verified(a, b, 0, 159, [-3, 0], 46, 0.8)
+    assert [p[:4] for p in got] == [(0, 60, 0, 60), (100, 160, 103, 163)]
+    # shingles that moved by one place, beside a run that did not move
+    moved = np.concatenate([two[:30], two[31:], fresh(1)])
+    a, b = np.concatenate([one, fresh(60), two]), np.concatenate([one, fresh(60), moved])
+    got = op.verified(a, b, 0, 179, [0], 46, 0.8)
+    assert len(got) == 2 and got[1][0] <= 121 and got[1][1] >= 179
+
+
 def test_odd_rows_and_empty_tables(spark):
     docs = odd_rows()
     got = op.passages(frame(spark, docs, clash=True)).collect()
