@@ -9,10 +9,14 @@ The method adds credentials that come in parts. Parts are intervals of three rol
 
 * identifier: access key ids, ``user``/``login``/``client_id`` assignments, e-mail names,
 * secret: base assignments and hex runs, and weak candidates: a free-standing run of 16 or
-  more characters that mixes letters and digits, a ``pass``/``pwd``/``key`` assignment of
-  4 to 7 characters,
+  more characters that mixes letters and digits, also after ``=`` or ``:``; an assignment to
+  a name that is or ends in ``pass``, ``pwd``, ``key`` or a keyword, of 4 characters or more,
+  which is no base match,
 * endpoint: URLs with a scheme, ``host:port``, ``host``/``server``/``endpoint`` assignments.
 
+Names of assignments may have a prefix (``DB_USER``, ``db-pass``, ``accessKey``); the span
+begins at the word itself. ``scheme://user:secret@host`` is three parts that belong together.
+
 Each text is cut into scopes at blank lines. Within a scope, parts are joined by their
 intervals: two parts meet if at most ``reach`` characters lie between them. A weak
 candidate (``weak``) is reported only if it meets an identifier and, where it meets no
@@ -27,7 +31,9 @@ one; overlapping spans of different kinds are all reported; extra columns are ig
 from __future__ import annotations
 
 import bisect
+import itertools
 import re
+from collections.abc import Iterable
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -47,15 +53,18 @@ KINDS = ("assign", "access", "hex", "weak", "ident", "endpoint")
 ASSIGN_VALUE, ACCESS_LENGTH, HEX_LENGTH = 8, 16, 32
 KEYWORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 
-WEAK_ASSIGN = re.compile(rb"""(?i)\b(?:pass|pwd|key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]{4,7})(?![A-Za-z0-9+/_.=-])""")
-WEAK_RUN = re.compile(rb"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{16,}={0,2}(?![A-Za-z0-9+/_=-])")
+WEAK_ASSIGN = re.compile(
+    rb"""(?:(?<![A-Za-z0-9])(?i:pass|password|passwd|pwd|key|secret|token)|(?<=[a-z0-9])(?:Pass|Password|Pwd|Key|Secret|Token))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]{4,})"""
+)
+WEAK_RUN = re.compile(rb"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}(?![A-Za-z0-9+/_=-])")
 IDENT = re.compile(
-    rb"""(?i)\b(?:user(?:name)?|login|client_?id|account)["']?\x20*[:=]\x20*["']?[A-Za-z0-9@._-]{2,}"""
+    rb"""(?i)(?<![A-Za-z0-9])(?:user(?:name)?|login|client_?id|account)["']?\x20*[:=]\x20*["']?[A-Za-z0-9@._-]{2,}"""
 )
 MAIL = re.compile(rb"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 ENDPOINT = re.compile(
-    rb"""(?i)\b(?:[a-z][a-z0-9+.-]*://[^\s"'<>]+|(?:host|server|endpoint)["']?\x20*[:=]\x20*["']?[a-z0-9.-]{3,}(?::\d+)?|[a-z0-9-]+(?:\.[a-z0-9-]+)+:\d{2,5}\b)"""
+    rb"""(?i)(?:\b[a-z][a-z0-9+.-]*://[^\s"'<>]+|(?<![A-Za-z0-9])(?:host|server|endpoint)["']?\x20*[:=]\x20*["']?[a-z0-9.-]{3,}(?::\d+)?|\b[a-z0-9-]+(?:\.[a-z0-9-]+)+:\d{2,5}\b)"""
 )
+LOGIN = re.compile(rb"""://([^\s"'<>/@:]*):([^\s"'<>/@]+)@([^\s"'<>/?#,@]+)""")
 BLANK_LINE = re.compile(rb"\n[\x20\t\r]*\n")
 _HEX_MARK = bytes(1 if chr(b) in "0123456789abcdef" else 0 for b in range(256))
 
@@ -90,23 +99,32 @@ def linked_spans(text: bytes, base: list[tuple[int, int, str]], reach: int = REA
     """Weak candidates with complementary parts near them, and those parts."""
     if not base and b"=" not in text and b":" not in text:
         return []  # no identifier, assignment or endpoint can be there
+    logins = list(LOGIN.finditer(text)) if b"://" in text else []
+    within = Spans((m.start(), m.end()) for m in logins)
     idents = [(m.start(), m.end()) for p in (IDENT, MAIL) for m in p.finditer(text)]
+    idents = [i for i in idents if not within.overlap(i)] + [m.span(1) for m in logins if m[1]]
     access = sorted((s, e) for s, e, kind in base if kind == "access")
     if not idents and not access:
         return []
-    points = sorted((m.start(), m.end()) for m in ENDPOINT.finditer(text))
+    points = [(m.start(), m.end()) for m in ENDPOINT.finditer(text)]
+    points = sorted([p for p in points if not within.overlap(p)] + [m.span(3) for m in logins])
     if not access and not points:
         return []
-    covered = sorted((s, e) for s, e, _ in base)
-    weak = sorted(
-        {(m.start(), m.end()) for m in WEAK_ASSIGN.finditer(text)}
-        | {(m.start(), m.end()) for m in WEAK_RUN.finditer(text) if _mixed(m[0])}
-    )
-    taken = sorted(covered + points + idents)
-    weak = [w for w in weak if not _overlaps(taken, w)]
+    named = {m.span(2) for m in logins}
+    base_parts = Spans((s, e) for s, e, _ in base)
+    weak = {m.span() for m in WEAK_ASSIGN.finditer(text)}
+    weak = {w for w in weak if not within.overlap(w)} | named
+    settled = Spans(weak)
+    runs = {m.span() for m in WEAK_RUN.finditer(text) if _mixed(m[0])}
+    weak |= {r for r in runs if not settled.overlap(r)}
+    taken = Spans(points + idents)
+    weak = sorted(w for w in weak if not base_parts.overlap(w) and not taken.overlap(w))
     scopes = [m.start() for m in BLANK_LINE.finditer(text)]
     idents.sort()
     out = set()
+    for m in logins:
+        if m[1] and m.span(2) in weak:
+            out |= {(*m.span(1), "ident"), (*m.span(2), "weak"), (*m.span(3), "endpoint")}
     for w in weak:
         key = _nearest(access, w, reach, scopes)
         ident = key or _nearest(idents, w, reach, scopes)
@@ -126,10 +144,16 @@ def _mixed(run: bytes) -> bool:
     )
 
 
-def _overlaps(parts: list[tuple[int, int]], one: tuple[int, int]) -> bool:
-    """Parts sorted by start; long ones may reach over several neighbours."""
-    k = bisect.bisect_left(parts, (one[1],))
-    return any(parts[j][1] > one[0] for j in range(max(k - 8, 0), k))
+class Spans:
+    """Spans sorted by start, with the greatest end so far."""
+
+    def __init__(self, spans: Iterable[tuple[int, int]]) -> None:
+        self.spans = sorted(spans)
+        self.ends = list(itertools.accumulate((e for _, e in self.spans), max))
+
+    def overlap(self, one: tuple[int, int]) -> bool:
+        k = bisect.bisect_left(self.spans, (one[1],))
+        return k > 0 and self.ends[k - 1] > one[0]
 
 
 def _nearest(parts: list, one: tuple[int, int], reach: int, scopes: list[int]):
