@@ -20,8 +20,8 @@ begins at the word itself. ``scheme://user:secret@host`` is three parts that bel
 Each text is cut into scopes at blank lines. Within a scope, parts are joined by their
 intervals: two parts meet if at most ``reach`` characters lie between them. A weak
 candidate (``weak``) is reported only if it meets an identifier and, where it meets no
-access key id, an endpoint too. Identifiers and endpoints so linked are reported as
-``ident`` and ``endpoint``. The join is a merge of sorted positions that keeps the nearest
+access key id, an endpoint too. Base secrets are reported in any case. Identifiers and
+endpoints so linked to either are reported as ``ident`` and ``endpoint``. The join is a merge of sorted positions that keeps the nearest
 part of each role, so no pairs are formed; it needs only the text itself and no shuffle.
 
 Defined results: a null text is empty and has no spans; repeated rows are scanned one by
@@ -96,7 +96,7 @@ def base_spans(text: bytes) -> list[tuple[int, int, str]]:
 
 
 def linked_spans(text: bytes, base: list[tuple[int, int, str]], reach: int = REACH) -> list:
-    """Weak candidates with complementary parts near them, and those parts."""
+    """Weak candidates with complementary parts near them, and those parts, also of base secrets."""
     if not base and b"=" not in text and b":" not in text:
         return []  # no identifier, assignment or endpoint can be there
     logins = list(LOGIN.finditer(text)) if b"://" in text else []
@@ -120,17 +120,21 @@ def linked_spans(text: bytes, base: list[tuple[int, int, str]], reach: int = REA
     taken = Spans(points + idents)
     weak = sorted(w for w in weak if not base_parts.overlap(w) and not taken.overlap(w))
     scopes = [m.start() for m in BLANK_LINE.finditer(text)]
-    idents.sort()
     out = set()
     for m in logins:
         if m[1] and m.span(2) in weak:
             out |= {(*m.span(1), "ident"), (*m.span(2), "weak"), (*m.span(3), "endpoint")}
-    for w in weak:
-        key = _nearest(access, w, reach, scopes)
-        ident = key or _nearest(idents, w, reach, scopes)
-        point = _nearest(points, w, reach, scopes)
+    strong = Spans((s, e) for s, e, kind in base if kind != "access")
+    # an e-mail name or an assignment that reads into a base secret is no part of its own
+    idents = Spans(i for i in idents if not strong.overlap(i))
+    access, points = Spans(access), Spans(points)
+    for w, kind in sorted([(w, "weak") for w in weak] + [(s, "") for s in strong.spans]):
+        key = access.nearest(w, reach, scopes)
+        ident = key or idents.nearest(w, reach, scopes)
+        point = points.nearest(w, reach, scopes)
         if key or (ident and point):
-            out.add((*w, "weak"))
+            if kind:
+                out.add((*w, kind))
             if not key:
                 out.add((*ident, "ident"))
             if point:
@@ -149,25 +153,26 @@ class Spans:
 
     def __init__(self, spans: Iterable[tuple[int, int]]) -> None:
         self.spans = sorted(spans)
-        self.ends = list(itertools.accumulate((e for _, e in self.spans), max))
+        # up to each span, the number of the one that ends last
+        self.widest = list(
+            itertools.accumulate(range(len(self.spans)), lambda i, j: j if self.spans[j][1] >= self.spans[i][1] else i)
+        )
 
     def overlap(self, one: tuple[int, int]) -> bool:
         k = bisect.bisect_left(self.spans, (one[1],))
-        return k > 0 and self.ends[k - 1] > one[0]
-
-
-def _nearest(parts: list, one: tuple[int, int], reach: int, scopes: list[int]):
-    """The part with the smallest gap to ``one`` in its scope, the earlier one at ties."""
-    k = bisect.bisect_left(parts, one)
-    best = None
-    for j in (k - 1, k):
-        if 0 <= j < len(parts):
-            p = parts[j]
+        return k > 0 and self.spans[self.widest[k - 1]][1] > one[0]
+
+    def nearest(self, one: tuple[int, int], reach: int, scopes: list[int]) -> tuple[int, int] | None:
+        """The span with the smallest gap to ``one`` in its scope, the earlier one at ties."""
+        k = bisect.bisect_left(self.spans, one)
+        beside = [] if k == 0 else [self.spans[self.widest[k - 1]]]
+        best = None
+        for p in beside + self.spans[k : k + 1]:
             gap = max(p[0] - one[1], one[0] - p[1], 0)
             same = bisect.bisect_right(scopes, p[0]) == bisect.bisect_right(scopes, one[0])
             if gap <= reach and same and (best is None or gap < best[0]):
                 best = gap, p
-    return best[1] if best else None
+        return best[1] if best else None
 
 
 def render(spans: list[tuple[int, int, str]], text: bytes) -> str:
