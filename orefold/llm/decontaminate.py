@@ -3,10 +3,11 @@
 Symbols are runs of ASCII letters, digits and bytes above 0x7F, letters in lower case.
 The CGK walk reads one symbol a step and moves on if a random bit of that symbol is set,
 so two texts that differ by few edits fall into step again and their embeddings agree in
-many places. A repetition samples a few places of the embedding as its key. The walk of
-every window of a document starts at its first symbol and is the same for all item sizes;
-an item is keyed at several of its own offsets, so a match also says where its window
-begins. Repetitions are added until simulated edits reach the target recall. Each
+many places. A repetition has a walk of its own and samples a few places of the embedding
+as its key. The walk of every window of a document starts at its first symbol; an item is
+keyed at several of its own offsets, so a match also says where its window begins. For each
+length of items, edits are simulated: it gets the longest walk with which repetitions reach
+the target recall, and each walk as many repetitions as any of its lengths needs. Each
 candidate window is then aligned exactly (edit distance over symbols, free ends).
 
 The documents are only read, never shuffled; items are taken in blocks of bounded size.
@@ -29,13 +30,16 @@ from orefold.llm.common import LOWER, Words, binary, mixed, over_slices, raw
 #: Share of an item's symbols that may be edited.
 MAX_EDITS = 0.2
 TARGET_RECALL = 0.99
-#: Steps of the walk by item size: an item uses the longest that it has symbols for.
+#: Steps of the walk: an item uses the longest that it has symbols for and that finds it.
 WALKS = (12, 6, 4, 2, 1)
 SAMPLED = 5
 UNLIKE = 3
 ANCHOR_STRIDE = 1
 BLOCK_ITEMS, BLOCK_BYTES = 20_000, 16 * 1024 * 1024
 MAX_REPEATS = 32
+#: Simulated edits for each length; longer items are tried by their first so many symbols,
+#: as recall grows with length at the same share of edits.
+TRIALS, TRIED_SYMBOLS = 300, 60
 SEED = 1
 
 SYMBOL = np.zeros(256, bool)
@@ -57,18 +61,23 @@ def edits_allowed(n: int, share: float) -> int:
 
 
 class Sampling:
-    """Random places of the embedding for each walk length; ``repeats`` keys for each."""
+    """For each walk length and repetition, a walk and random places of its embedding.
 
-    def __init__(self, repeats: int, seed: int = SEED) -> None:
+    ``repeats`` has the number of keys for each walk length.
+    """
+
+    def __init__(self, repeats: int | dict[int, int], seed: int = SEED) -> None:
         rng = np.random.default_rng(seed)
-        self.repeats = repeats
-        self.places = {
+        self.repeats = repeats if isinstance(repeats, dict) else dict.fromkeys(WALKS, repeats)
+        places = {
             steps: [
                 np.sort(rng.choice(steps, min(SAMPLED, steps), replace=False))
-                for _ in range(repeats if steps > 1 else 1)
+                for _ in range(MAX_REPEATS if steps > 1 else 1)
             ]
             for steps in WALKS
         }
+        # the first repetitions are the same, however many there are
+        self.places = {steps: p[: self.repeats.get(steps, 0)] for steps, p in places.items()}
         self.weights = rng.integers(1, 1 << 63, (max(WALKS), MAX_REPEATS + 1), dtype=np.uint64) | 1
 
     def keys(
@@ -76,26 +85,31 @@ class Sampling:
     ) -> list[np.ndarray]:
         """A key for each repetition and start. ``h`` ends in ``steps`` symbols of padding.
 
-        ``told`` gets, for each repetition, which keys hold enough unlike symbols: a walk
-        that rests on one frequent word says little, and items are not keyed by it.
+        ``told`` gets, for each repetition, how many unlike symbols each key holds: a walk
+        that rests on one frequent word says little.
         """
-        walk = mixed(h, SEED).astype(np.uint32)
-        places = self.places[steps]
-        at, out = begin.astype(np.uint32), [np.zeros(len(begin), np.uint64) for _ in places]
-        seen: list[list] = [[] for _ in places]
-        for j in range(max(p[-1] for p in places) + 1):
-            symbol = walk[at]
-            for r, sample in enumerate(places):
+        out, start = [], begin.astype(np.uint32)
+        for r, sample in enumerate(self.places[steps]):
+            walk = mixed(h, SEED + 1000 * r).astype(np.uint32)
+            at, key, seen = start, np.zeros(len(begin), np.uint64), []
+            for j in range(sample[-1] + 1):
+                symbol = walk[at]
                 if j in sample:
-                    out[r] += symbol * self.weights[j, r]
+                    key += symbol * self.weights[j, r]
                     if told is not None:
-                        seen[r].append(symbol)
-            at += (symbol >> np.uint32(j)) & np.uint32(1)
-        if told is not None:
-            for parts in seen:
-                unlike = [len(set(row)) for row in zip(*(p.tolist() for p in parts))]
-                told.append(np.array(unlike, int) >= min(UNLIKE, max(unlike, default=0)))
-        return [mixed(k, 100 * steps + r) for r, k in enumerate(out)]
+                        seen.append(symbol)
+                at = at + ((symbol >> np.uint32(j)) & np.uint32(1))
+            if told is not None:
+                told.append((np.diff(np.sort(np.stack(seen), axis=0), axis=0) != 0).sum(axis=0) + 1)
+            out.append(mixed(key, 100 * steps + r))
+        return out
+
+
+def telling(unlike: np.ndarray, who: np.ndarray) -> np.ndarray:
+    """Keys with enough unlike symbols, or the most that any key of their item has."""
+    most = np.zeros(int(who.max(initial=-1)) + 1, np.int64)
+    np.maximum.at(most, who, unlike)
+    return unlike >= np.minimum(UNLIKE, most[who])
 
 
 class Items:
@@ -111,11 +125,12 @@ class Items:
             if first[k + 1] > first[k]:
                 self.ids.append(item)
                 self.symbols.append(h[first[k] : first[k + 1]])
-        self.sampling = Sampling(self._repeats(recall, seed), seed)
+        self.walks, repeats = self._tuned(recall, seed)
+        self.sampling = Sampling(repeats, seed)
         self.tables = self._tables()
 
     def _walk(self, item: np.ndarray) -> int:
-        return next(s for s in WALKS if s <= len(item))
+        return self.walks[min(len(item), TRIED_SYMBOLS)]
 
     def _anchored(self, sampling: Sampling) -> dict[int, list[tuple]]:
         """By walk length and repetition: keys, item numbers, offsets in the item."""
@@ -133,33 +148,61 @@ class Items:
             told: list[np.ndarray] = []
             keys = sampling.keys(np.concatenate(flat), np.concatenate(begin), steps, told)
             who, off = np.concatenate(who), np.concatenate(off)
-            out[steps] = [(key[use], who[use], off[use]) for key, use in zip(keys, told)]
+            out[steps] = [
+                (key[use], who[use], off[use]) for key, use in zip(keys, (telling(t, who) for t in told))
+            ]
         return out
 
-    def _repeats(self, recall: float, seed: int) -> int:
-        """Repetitions until items with the allowed share of edits are found often enough."""
-        rng = np.random.default_rng(seed)
-        tried = [s for s in self.symbols if len(s) >= WALKS[0]][:100]
-        if not tried:
-            return 8
-        edited = []
-        for item in tried:
-            out = item.copy()
-            for _ in range(edits_allowed(len(item), self.max_edits)):
+    def _tuned(self, recall: float, seed: int) -> tuple[dict[int, int], dict[int, int]]:
+        """By length of items the walk, and by walk the repetitions, so that simulated items
+        of each length with the allowed share of edits are found often enough."""
+        by_length: dict[int, list[np.ndarray]] = {}
+        for item in self.symbols:
+            by_length.setdefault(min(len(item), TRIED_SYMBOLS), []).append(item[:TRIED_SYMBOLS])
+        sampling = Sampling(MAX_REPEATS, seed)
+        walks, repeats = {}, {}
+        for n, some in sorted(by_length.items()):
+            edits = edits_allowed(n, self.max_edits)
+            for steps in [s for s in WALKS if s <= n]:
+                reached = self._recall(sampling, some, steps, edits, seed) >= recall
+                if reached.any() or steps == 1:
+                    walks[n] = steps
+                    needed = int(np.argmax(reached)) + 1 if reached.any() else MAX_REPEATS
+                    repeats[steps] = max(repeats.get(steps, 0), needed)
+                    break
+        return walks, repeats
+
+    def _recall(
+        self, sampling: Sampling, some: list[np.ndarray], steps: int, edits: int, seed: int
+    ) -> np.ndarray:
+        """Share of edited items of one length that are found, by number of repetitions."""
+        rng, n, pad = np.random.default_rng(seed), len(some[0]), np.zeros(steps, np.uint64)
+        trials = TRIALS if edits else len(some[:TRIALS])
+        items, edited = [some[t % len(some)] for t in range(trials)], []
+        for item in items:
+            out = item
+            for _ in range(edits):
                 p, kind = rng.integers(0, len(out)), rng.integers(0, 3)
                 new = rng.integers(1, 1 << 63, 1, dtype=np.uint64)
                 out = np.concatenate([out[:p], new[: int(kind < 2)], out[p + int(kind > 0) :]])
             edited.append(out)
-        sampling = Sampling(MAX_REPEATS, seed)
-        found = np.zeros((len(tried), MAX_REPEATS), bool)
-        steps, pad = WALKS[0], np.zeros(WALKS[0], np.uint64)
-        for k, (item, new) in enumerate(zip(tried, edited)):
-            anchors, told = np.arange(0, len(item) - steps + 1, ANCHOR_STRIDE), []
-            mine = sampling.keys(np.concatenate([item, pad]), anchors, steps, told)
-            theirs = sampling.keys(np.concatenate([new, pad]), np.arange(len(new)), steps)
-            found[k] = [np.isin(a[use], b).any() for a, b, use in zip(mine, theirs, told)]
-        reached = np.logical_or.accumulate(found, axis=1).mean(axis=0) >= recall
-        return int(np.argmax(reached)) + 1 if reached.any() else MAX_REPEATS
+        sizes = np.array([len(e) for e in edited])
+        anchors = np.arange(0, n - steps + 1, ANCHOR_STRIDE)
+        who = np.repeat(np.arange(trials), len(anchors))
+        theirs = np.repeat(np.arange(trials), sizes)
+        place = np.arange(sizes.sum()) + theirs * steps
+        told: list[np.ndarray] = []
+        mine = sampling.keys(
+            np.concatenate([x for item in items for x in (item, pad)]),
+            (np.arange(trials)[:, None] * (n + steps) + anchors).reshape(-1), steps, told,
+        )
+        other = sampling.keys(np.concatenate([x for e in edited for x in (e, pad)]), place, steps)
+        found = np.zeros((trials, len(mine)), bool)
+        for r, (a, b, unlike) in enumerate(zip(mine, other, told)):
+            use = telling(unlike, who)
+            hit = np.isin(a[use] ^ mixed(who[use].astype(np.uint64)), b ^ mixed(theirs.astype(np.uint64)))
+            found[who[use][hit], r] = True
+        return np.logical_or.accumulate(found, axis=1).mean(axis=0)
 
     def _tables(self) -> dict[int, list[tuple]]:
         tables = {}

@@ -102,3 +102,25 @@ def test_walks_agree_before_the_first_edit():
         sampling.keys(np.concatenate([h[first[d] : first[d + 1]], pad]), np.array([0]), 6) for d in range(2)
     ]
     assert all((a == b).all() for a, b in zip(*keys))
+
+
+def test_recall_of_each_length_with_a_fifth_edited():
+    rng = random.Random(4)
+    missed = {}
+    for n in (5, 6, 7, 10, 12, 15, 20):
+        items = [words(rng, n) for _ in range(150)]
+        made = op.Items(list(range(150)), [" ".join(i) for i in items], 0.2, 0.99)
+        texts = [" ".join(words(rng, 20) + edited(rng, i, n // 5) + words(rng, 20)) for i in items]
+        got = {(m[0], m[1]) for m in made.matches(*op.symbols(binary(pa.array(texts))))}
+        missed[n] = 150 - sum((k, k) in got for k in range(150))
+    assert max(missed.values()) <= 6, missed
+
+
+def test_every_item_has_keys_in_every_repetition():
+    rng = random.Random(5)
+    items = [words(rng, n) for n in (4, 4, 5, 5, 6, 6, 7, 7) * 10] + [["the", "the", "the", "the"]]
+    made = op.Items(list(range(len(items))), [" ".join(i) for i in items], 0.2, 0.99)
+    for repeats in made._anchored(made.sampling).values():
+        of_all = set(repeats[0][1].tolist())
+        assert all(set(who.tolist()) == of_all for _, who, _ in repeats)
+    assert sum(len(set(r[0][1].tolist())) for r in made._anchored(made.sampling).values()) == len(items)
