@@ -1,6 +1,8 @@
 """Benchmark decontamination: CGK embedding, bit-sampling LSH, exact edit verification.
 
-Symbols are runs of ASCII letters, digits and bytes above 0x7F, letters in lower case.
+Symbols are runs of letters, digits and marks, ASCII letters in lower case. In scripts that
+are written without spaces (Chinese, Japanese, Thai, Lao, Khmer, Burmese and others) each
+code point is a symbol. White space, punctuation and signs of any script separate symbols.
 The CGK walk reads one symbol a step and moves on if a random bit of that symbol is set,
 so two texts that differ by few edits fall into step again and their embeddings agree in
 many places. A repetition has a walk of its own and samples a few places of the embedding
@@ -18,6 +20,8 @@ one by one; extra columns are ignored; an empty table gives no rows.
 
 from __future__ import annotations
 
+import functools
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -52,10 +56,69 @@ SCHEMA = "doc_id long, item_id long, start_word int, end_word int, edits int, it
 def symbols(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Symbol hashes of all texts back to back, and the number before each text."""
     data, at = raw(texts)
-    words = Words(data, at, SYMBOL)
+    words = Symbols(data, at)
     return words.hashes(LOWER[data]), words.first
 
 
+#: Scripts without spaces between words: first and last code points.
+UNSPACED = (
+    (0x0E00, 0x0FFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x1950, 0x19FF), (0x1A20, 0x1AAF),
+    (0x1B00, 0x1B7F), (0x2E80, 0x2FDF), (0x3005, 0x3007), (0x3021, 0x3029), (0x3040, 0x312F),
+    (0x31A0, 0x31FF), (0x3400, 0x4DBF), (0x4E00, 0xA4CF), (0xA980, 0xA9FF), (0xAA60, 0xAADF),
+    (0xF900, 0xFAFF), (0xFF66, 0xFF9F), (0x16FE0, 0x18CFF), (0x1AFF0, 0x1B2FF), (0x20000, 0x3FFFF),
+)
+APART, INSIDE, ALONE = 0, 1, 2
+
+
+@functools.cache
+def _kinds() -> np.ndarray:
+    """For each code point: separates symbols, is part of one, or is one."""
+    out = np.full(0x110000, INSIDE, np.uint8)
+    for low, high in UNSPACED:
+        out[low : high + 1] = ALONE
+    # above 0x1FFFF there are letters, private use and what is not assigned
+    signs = [c for c in range(0x20000) if unicodedata.category(chr(c))[0] in "PZS"]
+    out[[*signs, 0x200B, 0x2060, 0xFEFF]] = APART
+    out[:128] = SYMBOL[:128]
+    return out
+
+
+class Symbols(Words):
+    """Where the symbols of concatenated texts are."""
+
+    def __init__(self, data: np.ndarray, at: np.ndarray) -> None:
+        super().__init__(data, at, SYMBOL)
+        if not len(data) or data.max() < 0x80:
+            return
+        kind = SYMBOL[data].astype(np.uint8)
+        lead = np.flatnonzero(data >= 0xC0)
+        after = np.concatenate([data, np.zeros(3, np.uint8)])
+        low = [(after[lead + k] & 0x3F).astype(np.int64) for k in range(1, 4)]
+        first = data[lead].astype(np.int64)
+        size = 2 + (first >= 0xE0) + (first >= 0xF0)
+        point = np.select(
+            [size == 2, size == 3],
+            [(first & 0x1F) << 6 | low[0], (first & 0x0F) << 12 | low[0] << 6 | low[1]],
+            (first & 0x07) << 18 | low[0] << 12 | low[1] << 6 | low[2],
+        )
+        of_lead = _kinds()[np.minimum(point, 0x10FFFF)]
+        for k in range(4):
+            there = (size > k) & (lead + k < len(data))
+            kind[lead[there] + k] = of_lead[there]
+        inside, alone = kind != APART, kind == ALONE
+        begins = at[:-1][at[:-1] < at[1:]]
+        head = inside.copy()
+        head[1:] &= ~inside[:-1] | ((data[1:] & 0xC0) != 0x80) & (alone[1:] | alone[:-1])
+        head[begins] = inside[begins]
+        tail = inside.copy()
+        tail[:-1] &= ~inside[1:] | head[1:]
+        tail[begins[1:] - 1] = inside[begins[1:] - 1]
+        self.starts, self.ends = np.flatnonzero(head), np.flatnonzero(tail) + 1
+        self.first = np.searchsorted(self.starts, at)
+        self.counts = np.diff(self.first)
+        self.doc = np.repeat(np.arange(len(at) - 1), self.counts)
+
+
 def edits_allowed(n: int, share: float) -> int:
     return int(n * share + 1e-9)
 

@@ -124,3 +124,26 @@ def test_every_item_has_keys_in_every_repetition():
         of_all = set(repeats[0][1].tolist())
         assert all(set(who.tolist()) == of_all for _, who, _ in repeats)
     assert sum(len(set(r[0][1].tolist())) for r in made._anchored(made.sampling).values()) == len(items)
+
+
+def test_symbols_of_other_scripts():
+    texts = ["Ab\u4e2d\u6587c1\u3002x", "", "\u201c\u00c9t\u00e9\u201d \u0e44\u0e17\u0e22\U00020000z", "\u3042"]
+    want = [
+        ["Ab", "\u4e2d", "\u6587", "c1", "x"], [],
+        ["\u00c9t\u00e9", "\u0e44", "\u0e17", "\u0e22", "\U00020000", "z"], ["\u3042"],
+    ]
+    data, at = op.raw(binary(pa.array(texts)))
+    got = op.Symbols(data, at)
+    cut = [bytes(data[s:e]).decode() for s, e in zip(got.starts, got.ends)]
+    assert [cut[a:b] for a, b in zip(got.first, got.first[1:])] == want
+
+
+def test_a_passage_inside_a_run_without_spaces():
+    rng = random.Random(6)
+    run = lambda n: [chr(rng.randrange(0x4E00, 0x9FA0)) for _ in range(n)]
+    item = run(40)
+    near = item[:20] + ["\u4e00"] + item[21:]
+    texts = ["".join(run(30) + part + run(25)) for part in (item, near, run(40))]
+    made = op.Items([1], ["".join(item)], 0.2, 0.99)
+    got = made.matches(*op.symbols(binary(pa.array(texts))))
+    assert [(m[0], m[1], m[2], m[3], m[4]) for m in got] == [(0, 0, 30, 70, 0), (1, 0, 30, 70, 1)]
