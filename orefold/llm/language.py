@@ -9,8 +9,8 @@ more than ``PIECE`` bytes are read in pieces of that size.
 
 Training is numpy on the driver, by backpropagation through time over the words of at most
 ``SAMPLE`` labelled documents per language, chosen by a hash of the id; of these the most
-frequent words are taken, ``MAX_WORDS`` times the number of languages. At most ``MAX_LANGS`` languages
-(the most frequent ones) are learned. Everything else covers all rows.
+frequent words are taken, ``MAX_WORDS`` times the number of languages. All languages are
+learned, with more steps for more than ``FEW_LANGS``. Everything else covers all rows.
 
 Defined results: ``und`` with score 0 if a text is null or has no letter, or nothing could
 be learned; repeated rows are scored one by one; ties go to the first language by name;
@@ -24,15 +24,18 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orefold.llm.common import LOWER, Words, first_by_hash, over_slices, raw, remembered
+from orefold.llm.common import LOWER, Words, over_slices, raw, remembered
 
 UNKNOWN = "und"
 HIDDEN = 8
 PIECE = 24
-SAMPLE, MAX_WORDS, MAX_LANGS = 300, 20_000, 32
+SAMPLE, MAX_WORDS = 300, 20_000
+#: Languages that ``STEPS`` and the sizes kept in memory are meant for; more get more steps
+#: and as much memory.
+FEW_LANGS = 32
 STEPS, BATCH, RATE, SEED = 900, 192, 0.02, 3
 #: A document is rejected below this share for its language, or without any letter.
 LEAST_SCORE = 0.35
@@ -174,17 +177,23 @@ def _gradients(net: Network, x: np.ndarray, y: np.ndarray) -> list[np.ndarray]:
 def training_words(labelled: DataFrame, sample: int = SAMPLE) -> list[tuple[str, bytes, int]]:
     """(language, word, count) of a bounded sample; ``labelled`` has ``doc_id, text, lang``."""
     narrow = labelled.select("doc_id", "lang")
-    langs = [r[0] for r in narrow.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()]
+    sizes = narrow.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    langs = sizes.count()
     if not langs:
         return []
-    chosen = first_by_hash(narrow, "lang", "doc_id", dict.fromkeys(langs, sample))
-    ids = [r[0] for r in chosen.select("doc_id").distinct().collect()]
+    # a cut by hash leaves about twice the wanted rows of each language; only these are ranked
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
+    near = narrow.join(F.broadcast(sizes), "lang").where(
+        place <= (F.least(F.lit(1.0), F.lit(2.0 * sample) / F.col("n")) * (1 << 30)).cast("long")
+    )
+    ranked = Window.partitionBy("lang").orderBy(place, "doc_id")
+    chosen = near.withColumn("nth", F.row_number().over(ranked)).where(F.col("nth") <= sample)
     words = (
-        labelled.where(F.col("doc_id").isin(ids) & F.col("lang").isin(langs))
+        labelled.join(F.broadcast(chosen.select("doc_id").distinct()), "doc_id", "left_semi")
         .select("lang", F.explode(F.split(F.lower("text"), r"[\x00-\x40\x5B-\x60\x7B-\x7F]+")).alias("word"))
         .where("word <> ''").groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n"))
     )
-    rows = words.orderBy(F.desc("n"), "lang", "word").limit(MAX_WORDS * len(langs)).collect()
+    rows = words.orderBy(F.desc("n"), "lang", "word").limit(MAX_WORDS * langs).collect()
     return sorted((r[0], r[1].encode(), r[2]) for r in rows)
 
 
@@ -195,13 +204,14 @@ class Labeller:
 
     def __init__(self, net: Network) -> None:
         self.net, self.places = net, {}
-        self.sums = np.zeros((REMEMBERED, len(net.langs)), np.float32)
+        self.most = _fewer(REMEMBERED, net)
+        self.sums = np.zeros((self.most, len(net.langs)), np.float32)
 
     def __call__(self, words: list[bytes]) -> np.ndarray:
-        if len(words) > REMEMBERED:
+        if len(words) > self.most:
             return word_labels(self.net, words)
         new = [w for w in words if w not in self.places]
-        if len(self.places) + len(new) > REMEMBERED:
+        if len(self.places) + len(new) > self.most:
             self.places.clear()
             new = words
         start = len(self.places)
@@ -210,6 +220,11 @@ class Labeller:
         return self.sums[[self.places[w] for w in words]]
 
 
+def _fewer(rows: int, net: Network) -> int:
+    """Rows of labels that take no more memory than ``rows`` of ``FEW_LANGS`` languages."""
+    return max(rows * FEW_LANGS // max(FEW_LANGS, len(net.langs)), 1)
+
+
 def labeller(net: Network) -> Labeller:
     """The worker's labeller for this network."""
     return remembered(net.out.tobytes() + net.loops[0].tobytes(), lambda: Labeller(net))
@@ -226,9 +241,10 @@ def word_labels(net: Network, words: list[bytes]) -> np.ndarray:
     lengths = np.fromiter((len(p[1]) for p in pieces), np.int64, len(pieces))
     order = np.argsort(lengths, kind="stable")
     cuts = np.flatnonzero(np.diff(lengths[order])) + 1
+    at_once = _fewer(_ROWS, net)
     for group in np.split(order, cuts):
-        for i in range(0, len(group), _ROWS):
-            some = group[i : i + _ROWS].tolist()
+        for i in range(0, len(group), at_once):
+            some = group[i : i + at_once].tolist()
             if not some:
                 continue
             x = np.frombuffer(b"".join(pieces[j][1] for j in some), np.uint8)
@@ -281,7 +297,8 @@ def predictions(net: Network | None, texts: pa.Array) -> tuple[list[str], np.nda
 def learned(docs: DataFrame, usable: Column) -> Network | None:
     """Train on rows where ``usable`` holds and the language is known."""
     rows = docs.where(usable & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    return train(training_words(rows.select("doc_id", "text", F.col("lang").cast("string").alias("lang"))))
+    words = training_words(rows.select("doc_id", "text", F.col("lang").cast("string").alias("lang")))
+    return train(words, STEPS * max(-(-len({w[0] for w in words}) // FEW_LANGS), 1))
 
 
 def identified(docs: DataFrame, net: Network | None, extra: dict[str, Column] | None = None) -> DataFrame:

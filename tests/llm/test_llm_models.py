@@ -49,6 +49,24 @@ def test_gradients_equal_differences():
             assert (up - down) / (2 * eps) == pytest.approx(grad[k], rel=0.03, abs=2e-5)
 
 
+def test_more_than_32_languages(spark):
+    rng = random.Random(8)
+    langs = ["l%02d" % k for k in range(40)]
+    made = []
+    for k, lang in enumerate(langs):
+        # 12 letters of its own script each; the last languages are the rarest
+        letters = [chr(0x4E00 + 97 * k + i) for i in range(12)]
+        for _ in range(25 if k < 32 else 12):
+            body = ["".join(rng.choice(letters) for _ in range(rng.randrange(2, 5))) for _ in range(40)]
+            made.append((len(made), " ".join(body), lang))
+    docs = spark.createDataFrame(made, "doc_id long, text string, lang string")
+    net = language.learned(docs, F.lit(True))
+    assert net.langs == langs
+    got, _ = language.predictions(net, binary(pa.array([m[1] for m in made])))
+    rare = [g == m[2] for g, m in zip(got, made) if m[2] >= "l32"]
+    assert sum(rare) >= 0.75 * len(rare)
+
+
 def test_document_shares_equal_word_by_word():
     rng = random.Random(5)
     net = language.train([("a", b"bana", 3), ("b", b"kolo", 2), ("c", b"x" * 40, 1)], steps=20)
