@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from orefold.llm import (
     decontaminate,
+    jaccard,
     language,
+    lexical,
     mixing,
     passages,
     quality,
@@ -18,6 +20,7 @@ from orefold.llm import (
     suffix_tree,
     tokens,
     toxicity,
+    vector_codes,
 )
 from orefold.llm.common import documents, fold_of, with_workers
 
@@ -77,11 +80,29 @@ def op10_secrets(spark: SparkSession, d: str) -> DataFrame:
     return secrets.digest(secrets.secrets_in(documents(spark, d)))
 
 
+def op11_jaccard_join(spark: SparkSession, d: str) -> DataFrame:
+    return jaccard.joined(documents(spark, d))
+
+
+def op12_lexical_search(spark: SparkSession, d: str) -> DataFrame:
+    return lexical.ranked(documents(spark, d), spark.read.parquet(f"{d}/benchmark.parquet"))
+
+
+def op13_vector_codes(spark: SparkSession, d: str) -> DataFrame:
+    kept = vector_codes.kept_vectors(spark.read.parquet(f"{d}/embeddings.parquet"))
+    return vector_codes.digest(kept, vector_codes.learned(kept))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: with_workers(f)
     for f in (
         op1_decontamination, op2_substring_dedup, op3_simhash, op4_toxicity, op5_quality, op6_language, op7_token_ids,
-        op8_language_model, op9_source_mix, op10_secrets,
+        op8_language_model, op9_source_mix, op10_secrets, op11_jaccard_join, op12_lexical_search, op13_vector_codes,
     )
 }
-ORACLE_SQL: dict[str, str] = {"op5_quality": quality.ORACLE_SQL}
+ORACLE_SQL: dict[str, str] = {
+    "op5_quality": quality.ORACLE_SQL,
+    "op11_jaccard_join": jaccard.ORACLE_SQL,
+    "op12_lexical_search": lexical.ORACLE_SQL,
+    "op13_vector_codes": vector_codes.oracle_sql(),
+}
