@@ -9,7 +9,8 @@ and each list a sparse table, which gives the largest impact and its place in an
 documents by two look-ups. An item starts with the interval of the whole block. The sum of
 its terms' largest impacts in an interval bounds all scores there; intervals are taken best
 bound first, some at a time, and each is split at a document of maximum impact, which is
-scored, so that both sides no longer hold it. Search ends when no bound reaches the last of
+scored, so that both sides no longer hold it; an interval with few postings left is scored
+whole. Search ends when no bound reaches the last of
 the best scores so far, which a task carries from block to block. Of an interval whose bound
 equals that score only ids below the last one's matter. A task hands on its best documents
 for each item, and those of all tasks are ranked: nothing else is shuffled.
@@ -35,16 +36,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from orefold.llm.common import LOWER, Words, binary, over_slices, raw, stored
+from orefold.llm.common import LOWER, Words, binary, over_slices, ragged, raw, stored
 
 TOP = 10
 #: Bytes of text of the items that are answered by one pass.
 ITEM_BYTES = 4 * 1024 * 1024
 #: Bytes of text of one block of the index.
 BLOCK_BYTES = 4 * 1024 * 1024
-#: Intervals taken at a time; shorter ones than LEAF documents are scored whole.
+#: Intervals taken at a time.
 WIDE = 64
-LEAF = 8
+#: An interval with no more postings of the item's terms than this is scored whole.
+LEAF = 2048
 
 TERM = np.zeros(256, bool)
 TERM[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
@@ -177,11 +179,13 @@ class Block:
         self.flat = np.concatenate(self.levels)
         self.starts = np.concatenate([[0], np.cumsum([len(x) for x in self.levels])])[:-1]
 
-    def largest(self, terms: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
-        """For each interval of places [low, high) and each term: the largest posting, impact
-        and place packed; 0 where there is none."""
+    def spans(self, terms: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For each interval of places [low, high) and each term: where its postings are."""
         a = np.searchsorted(self.key, terms << 32 | low[:, None])
-        b = np.searchsorted(self.key, terms << 32 | high[:, None])
+        return a, np.searchsorted(self.key, terms << 32 | high[:, None])
+
+    def largest(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """The largest posting of each span, impact and place packed; 0 where there is none."""
         n = b - a
         some = n > 0
         k = np.frexp(np.maximum(n, 1))[1] - 1  # floor of the logarithm
@@ -191,11 +195,12 @@ class Block:
         second = np.where(some, at + b - (1 << k), 0)
         return np.where(some, np.maximum(self.flat[first], self.flat[second]), 0)
 
-    def scores(self, terms: np.ndarray, places: np.ndarray) -> np.ndarray:
-        """Whole scores of documents."""
-        key = terms << 32 | places[:, None]
-        at = np.minimum(np.searchsorted(self.key, key), len(self.key) - 1)
-        return np.where(self.key[at] == key, self.impact[at], 0).sum(axis=1)
+    def scores(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places and whole scores of the documents in disjoint intervals, from their spans."""
+        at = ragged(a.ravel(), (b - a).ravel())
+        places, of = np.unique(self.key[at] & 0xFFFFFFFF, return_inverse=True)
+        # sums stay far below 2^53, where doubles are exact
+        return places, np.bincount(of, self.impact[at], len(places)).astype(np.int64)
 
 
 class Best:
@@ -220,49 +225,45 @@ def search(block: Block, keys: list[tuple], terms: np.ndarray, best: Best) -> No
     if not len(terms) or not len(block.key):
         return
     terms = terms.astype(np.int64)
-    low, high = np.zeros(1, np.int64), np.array([len(keys)], np.int64)
-    found = block.largest(terms, low, high)
-    # terms without a posting in the block add nothing
-    present = found[0] > 0
-    terms, found = terms[present], found[:, present]
-    bound = (found >> _PLACE).sum(axis=1)
-    peak = found.max(axis=1, initial=0)
-
-    def offer(places: np.ndarray) -> None:
-        score = block.scores(terms, places)
-        least = best.last[0]
-        good = np.flatnonzero(score >= max(least, 1))
-        # in the order of the result, so that few are taken in only to leave again
+
+    def bounded(low: np.ndarray, high: np.ndarray) -> list[np.ndarray]:
+        """Intervals with the bound on their scores, their greatest posting, and how many."""
+        a, b = block.spans(terms, low, high)
+        found = block.largest(a, b)
+        return [low, high, (found >> _PLACE).sum(axis=1), found.max(axis=1, initial=0), (b - a).sum(axis=1)]
+
+    def offer(low: np.ndarray, high: np.ndarray) -> None:
+        places, score = block.scores(*block.spans(terms, low, high))
+        good = np.flatnonzero(score >= max(best.last[0], 1))
         for i in good[np.lexsort((places[good], -score[good]))].tolist():
-            if (-score[i], keys[places[i]]) < (-best.last[0], best.last[1]):
-                best.add(int(score[i]), keys[places[i]])
+            doc = keys[places[i]]
+            if (-score[i], doc) >= (-best.last[0], best.last[1]):
+                break  # the others come after it
+            best.add(int(score[i]), doc)
 
+    low, high = np.zeros(1, np.int64), np.array([len(keys)], np.int64)
+    a, b = block.spans(terms, low, high)
+    terms = terms[a[0] < b[0]]  # the others add nothing in this block
+    open_ = bounded(low, high)
     while True:
+        low, high, bound, peak, size = open_
         least, doc = best.last
         alive = bound > least
         for i in np.flatnonzero((bound == least) & (bound > 0)).tolist():
             alive[i] = keys[low[i]] < doc
         if not alive.any():
             return
-        low, high, bound, peak = low[alive], high[alive], bound[alive], peak[alive]
+        low, high, bound, peak, size = (x[alive] for x in open_)
         order = np.lexsort((low, -bound))
         taken, rest = order[:WIDE], order[WIDE:]
-        a, b, at = low[taken], high[taken], _MASK - (peak[taken] & _MASK)
-        short = b - a <= LEAF
-        if short.any():
-            spans = [np.arange(x, y) for x, y in zip(a[short].tolist(), b[short].tolist())]
-            offer(np.concatenate(spans))
-            a, b, at = a[~short], b[~short], at[~short]
-        if len(at):
-            offer(at)
-        new_low, new_high = np.concatenate([a, at + 1]), np.concatenate([at, b])
-        open_ = new_low < new_high
-        new_low, new_high = new_low[open_], new_high[open_]
-        found = block.largest(terms, new_low, new_high)
-        low = np.concatenate([low[rest], new_low])
-        high = np.concatenate([high[rest], new_high])
-        bound = np.concatenate([bound[rest], (found >> _PLACE).sum(axis=1)])
-        peak = np.concatenate([peak[rest], found.max(axis=1, initial=0)])
+        whole = taken[size[taken] <= LEAF]
+        split = taken[size[taken] > LEAF]
+        at = _MASK - (peak[split] & _MASK)
+        offer(np.concatenate([low[whole], at]), np.concatenate([high[whole], at + 1]))
+        new_low, new_high = np.concatenate([low[split], at + 1]), np.concatenate([at, high[split]])
+        some = new_low < new_high
+        made = bounded(new_low[some], new_high[some])
+        open_ = [np.concatenate([x[rest], y]) for x, y in zip((low, high, bound, peak, size), made)]
 
 
 def answered(blocks: DataFrame, items: Items, top: int = TOP) -> DataFrame:

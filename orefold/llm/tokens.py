@@ -40,6 +40,7 @@ from orefold.llm.common import (
     crc32,
     give_back,
     new_folder,
+    ragged,
     raw,
     remembered,
     slices,
@@ -244,14 +245,6 @@ def _room(a: np.ndarray, n: int) -> np.ndarray:
     return a if n <= len(a) else np.concatenate([a, np.zeros(max(n, 2 * len(a)) - len(a), a.dtype)])
 
 
-def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """Positions ``start .. start + length`` of every run, back to back."""
-    if not len(starts):
-        return np.zeros(0, np.int64)
-    ends = np.cumsum(lengths)
-    return np.repeat(starts - (ends - lengths), lengths) + np.arange(ends[-1])
-
-
 def encoder(path: str) -> WordEncoder:
     """The worker's encoder for this tokenizer."""
     return remembered(path, lambda: WordEncoder(path))

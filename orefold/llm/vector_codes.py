@@ -136,7 +136,8 @@ def first_entries(kept: DataFrame, parts: int, entries: int) -> np.ndarray:
         among = F.coalesce(among, F.lit(True))
     least = kept.where(among).groupBy("id").agg(F.min("v").alias("v"))
     v = np.array([r["v"] for r in least.orderBy(F.asc_nulls_last("id")).collect()], np.int64)
-    return np.ascontiguousarray(v.reshape(len(v), parts, -1).transpose(1, 0, 2))
+    width = v.shape[1] // parts if len(v) else 0
+    return np.ascontiguousarray(v.reshape(len(v), parts, width).transpose(1, 0, 2))
 
 
 # parts as bytes whose order is that of the components
