@@ -8,9 +8,9 @@ has every document with the component its node belongs to. The search is exact:
    in any order all sets agree on. The order is that of hashes, but tokens that occur in many
    sets (counted over the first tokens of all sets) come last, so that what thousands of
    documents share is looked at only where a document has hardly anything else.
-2. *Stars.* Sets that agree on the least token under one of some hash functions are compared
-   with the least node among them. This joins most of a large group of near copies by as many
-   comparisons as it has members, and gives a first division into components.
+2. *Stars.* Sets of like size that agree on the least tokens under two hash functions are
+   compared with the least node among them. This joins most of a large group of near copies
+   by as many comparisons as it has members, and gives a first division into components.
 3. *Groups.* A component that exceeds a group is cut into groups of its own; other nodes are
    grouped by their least token, since similar sets mostly share it. Groups are bounded by
    their tokens. The matrix holds a row for each (token, group) of the prefixes.
@@ -22,6 +22,11 @@ has every document with the component its node belongs to. The search is exact:
    smallest fitting member is the group opened, and overlaps with all members are counted.
    Emitted links join components only, so there are fewer than queries and members.
 
+Sets are made again from the texts where they are needed, which is cheaper than keeping them:
+they are larger than the texts. Only the sets of nodes that have to be compared are shuffled.
+Which tokens come last, and which are worth looking up, is sent to the tasks as arrays of
+bounded size; beyond it fewer tokens come last, or all are looked up, with the same result.
+
 No task holds more than one bounded group and a bounded part of its queries, whatever share
 of the rows a group of copies, a token or a passage has. Near copies that are *not* linked
 with one another though they share nearly everything still cost a look of each at each group
@@ -43,7 +48,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orefold.llm.common import LOWER, SPACE, Words, mixed, over_slices, raw, stored
+from orefold.llm.common import LOWER, SPACE, Words, give_back, mixed, over_slices, ragged, raw, slices, stored
 from orefold.llm.components import components
 from orefold.operators.joins import measured_size, size_checked
 
@@ -51,177 +56,248 @@ SHINGLE = 5
 SIMILARITY = 80
 #: A token in the first tokens of more sets than this comes last in the order.
 FREQUENT = 32
-#: More frequent tokens than this are joined instead of sent to the tasks (8 bytes each).
-MOST_SENT = 1_000_000
+#: Tokens that are sent to the tasks at most (8 bytes each).
+MOST_SENT = 6_000_000
 #: Tokens of one group, and of the queries that are compared with it at a time.
 GROUP_TOKENS = 40_000
 QUERY_TOKENS = 400_000
-STARS = 3
+#: Hash functions for stars, and the pairs of them that have to agree.
+STARS = 4
+STAR_PAIRS = ((0, 1), (2, 3), (0, 2), (1, 3))
 _PAIRS = 1 << 21
+_BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
 # sets
 
-def set_of_words(words: Words, hashes: np.ndarray, shingle: int) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct shingle hashes of every text, ascending, and how many each text has."""
-    n = len(hashes)
-    texts = len(words.counts)
-    short = np.minimum(words.counts, shingle)
+def token_sets(texts: pa.Array, shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct shingle hashes of every text, ascending, back to back, and the number of each."""
+    data, at = raw(texts)
+    words = Words(data, at, ~SPACE)
+    h = words.hashes(LOWER[data])
     made = np.maximum(words.counts - shingle + 1, np.minimum(words.counts, 1))
-    doc = np.repeat(np.arange(texts), made)
-    if not len(doc):
+    ends = np.concatenate([[0], np.cumsum(made)])
+    if not len(h):
         return np.zeros(0, np.uint64), made
-    first = words.first[:-1][doc] + np.arange(len(doc)) - np.repeat(np.cumsum(made) - made, made)
-    value, length = np.zeros(len(doc), np.uint64), short[doc]
+    padded = np.concatenate([h, np.zeros(shingle, np.uint64)])
+    run = np.zeros(len(h), np.uint64)
     for k in range(shingle):
-        at = np.minimum(first + k, n - 1)
-        value += np.where(k < length, mixed(hashes[at], 101 + k), np.uint64(0))
+        run = run * _BASE + padded[k : k + len(h)]
+    value = run[ragged(words.first[:-1], made)]
+    for d in np.flatnonzero((words.counts > 0) & (words.counts < shingle)).tolist():
+        own = int(words.counts[d])  # a short sequence is no shingle of the usual length
+        for x in h[words.first[d] : words.first[d + 1]].tolist():
+            own = (own * int(_BASE) + x) % (1 << 64)
+        value[ends[d]] = own
     value = mixed(value, 7)
-    order = np.lexsort((value, doc))
-    doc, value = doc[order], value[order]
-    new = np.ones(len(doc), bool)
-    new[1:] = (doc[1:] != doc[:-1]) | (value[1:] != value[:-1])
-    return value[new], np.bincount(doc[new], minlength=texts)
+    for a, b in zip(ends[:-1].tolist(), ends[1:].tolist()):
+        if b - a > 1:
+            value[a:b].sort()
+    new = np.ones(len(value), bool)
+    new[1:] = value[1:] != value[:-1]
+    new[ends[:-1][made > 0]] = True
+    before = np.concatenate([[0], np.cumsum(new)])
+    return value[new], before[ends[1:]] - before[ends[:-1]]
+
 
+def set_names(tokens: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which sets are not empty, and a 64-bit hash of each of those."""
+    some = np.flatnonzero(n)
+    if not len(some):
+        return some, np.zeros(0, np.uint64)
+    starts = (np.cumsum(n) - n)[some]
+    return some, mixed(np.add.reduceat(mixed(tokens, 1), starts) + n[some].astype(np.uint64), 2)
 
-def sets(docs: DataFrame, shingle: int = SHINGLE, stars: int = STARS) -> DataFrame:
-    """``doc_id, node, n, least, tokens``: the set's hash, size, least token under each of some
-    functions, and its tokens in order as bytes; the node of an empty set is null. Stored."""
+
+def sets(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """``doc_id, node, n, least, keys``: the hash and size of the document's set, its least
+    token, and keys that similar sets often share; null but for ``n`` if empty. Stored."""
 
     def work(batch: pa.RecordBatch, texts: pa.Array) -> pa.RecordBatch:
-        data, at = raw(texts)
-        words = Words(data, at, ~SPACE)
-        tokens, n = set_of_words(words, words.hashes(LOWER[data]), shingle)
-        ends = np.concatenate([[0], np.cumsum(n)])
-        some = np.flatnonzero(n)
-        node = np.zeros(len(n), np.uint64)
-        least = np.zeros((len(n), stars), np.uint64)
+        tokens, n = token_sets(texts, shingle)
+        some, names = set_names(tokens, n)
+        node, least = np.zeros(len(n), np.uint64), np.zeros((STARS, len(n)), np.uint64)
+        node[some] = names
         if len(some):
-            starts = ends[:-1][some]
-            node[some] = mixed(np.add.reduceat(mixed(tokens, 1), starts) + n[some].astype(np.uint64), 2)
-            for k in range(stars):
-                least[some, k] = np.minimum.reduceat(mixed(tokens, 10 + k), starts)
-        held = pa.LargeBinaryArray.from_buffers(
-            pa.large_binary(), len(n), [None, pa.py_buffer(8 * ends.astype(np.int64)), pa.py_buffer(tokens)]
-        )
-        offsets = pa.array(np.arange(len(n) + 1, dtype=np.int32) * stars)
-        mins = pa.ListArray.from_arrays(offsets, pa.array(least.view(np.int64).ravel()))
+            starts = (np.cumsum(n) - n)[some]
+            for k in range(STARS):
+                least[k, some] = np.minimum.reduceat(mixed(tokens, 10 + k) if k else tokens, starts)
+        # sets that link are of like size
+        band = np.floor(np.log(np.maximum(n, 1)) / np.log(1.25)).astype(np.uint64)
+        keys = np.stack([mixed(mixed(least[i], j) + least[j] + band, 30 + i) for i, j in STAR_PAIRS], axis=1)
+        offsets = pa.array(np.arange(len(n) + 1, dtype=np.int32) * len(STAR_PAIRS))
         columns = [
             batch.column("doc_id"), pa.array(node.view(np.int64), mask=n == 0), pa.array(n.astype(np.int64)),
-            mins, held.cast(pa.binary()),
+            pa.array(least[0].view(np.int64), mask=n == 0),
+            pa.ListArray.from_arrays(offsets, pa.array(keys.view(np.int64).ravel())),
         ]
-        return pa.RecordBatch.from_arrays(columns, names=["doc_id", "node", "n", "least", "tokens"])
+        return pa.RecordBatch.from_arrays(columns, names=["doc_id", "node", "n", "least", "keys"])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text")).mapInArrow(
-        over_slices(work), "doc_id long, node long, n long, least array<long>, tokens binary"
+    rows = _texts(docs).mapInArrow(
+        over_slices(work), "doc_id long, node long, n long, least long, keys array<long>"
     )
     return stored(rows, "shingle-sets")
 
 
-def _tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """All tokens of a column of sets, and the number of each set."""
-    data, at = raw(column.cast(pa.large_binary()))
-    return np.frombuffer(data.tobytes(), np.uint64), np.diff(at) // 8
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
 
 
 def prefix_length(n: np.ndarray, similarity: int) -> np.ndarray:
     return n - (similarity * n + 99) // 100 + 1
 
 
-# tokens that many sets have
+# the order of tokens, and prefixes
 
-def frequent_tokens(made: DataFrame, similarity: int, frequent: int) -> DataFrame:
-    """``token``: in the first tokens, twice a prefix, of more than ``frequent`` sets. Stored."""
+def _first(tokens: np.ndarray, n: np.ndarray, most: np.ndarray) -> np.ndarray:
+    """Which tokens are among the first ``most`` of their set."""
+    return np.arange(len(tokens)) - np.repeat(np.cumsum(n) - n, n) < np.repeat(most, n)
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            tokens, n = _tokens(batch.column("tokens"))
-            if not len(tokens):
-                continue
-            starts = np.cumsum(n) - n
-            nth = np.arange(len(tokens)) - np.repeat(starts, n)
-            early = nth < np.repeat(2 * prefix_length(n, similarity), n)
-            value, count = np.unique(tokens[early], return_counts=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(value.view(np.int64)), pa.array(count.astype(np.int64))], names=["token", "count"]
-            )
 
-    counts = made.where("node is not null").select("tokens").mapInArrow(work, "token long, count long")
-    return stored(
-        counts.groupBy("token").agg(F.sum("count").alias("count")).where(F.col("count") > frequent).select("token"),
+def frequent_tokens(
+    docs: DataFrame, shingle: int, similarity: int, frequent: int, most_sent: int
+) -> np.ndarray:
+    """Ascending: the tokens among the first tokens (one and a half prefixes) of more than
+    ``frequent`` documents; of more, if those were above ``most_sent``."""
+
+    def work(batch: pa.RecordBatch, texts: pa.Array) -> pa.RecordBatch:
+        tokens, n = token_sets(texts, shingle)
+        early = tokens[_first(tokens, n, prefix_length(n, similarity) * 3 // 2)]
+        value, count = np.unique(early, return_counts=True)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(value.view(np.int64)), pa.array(count.astype(np.int64))], names=["token", "count"]
+        )
+
+    counts = docs.select("text").mapInArrow(over_slices(work), "token long, count long")
+    held = stored(
+        counts.groupBy("token").agg(F.sum("count").alias("count")).where(F.col("count") > frequent),
         "frequent-tokens",
     )
+    while held.where(F.col("count") > frequent).count() > most_sent:
+        frequent *= 2
+    return _sent(held.where(F.col("count") > frequent))
+
+
+def _sent(tokens: DataFrame) -> np.ndarray:
+    """A measured number of tokens, ascending, for the tasks."""
+    return np.sort(tokens.select("token").toArrow().column(0).to_numpy().astype(np.int64).view(np.uint64))
+
+
+def _among(tokens: np.ndarray, held: np.ndarray) -> np.ndarray:
+    if not len(held):
+        return np.zeros(len(tokens), bool)
+    return held[np.minimum(np.searchsorted(held, tokens), len(held) - 1)] == tokens
+
+
+def prefixes(texts: pa.Array, shingle: int, similarity: int, late: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(token, node) of the prefixes of all sets of a slice, each set once."""
+    tokens, n = token_sets(texts, shingle)
+    some, names = set_names(tokens, n)
+    _, once = np.unique(names, return_index=True)
+    keep = np.zeros(len(n), bool)
+    keep[some[once]] = True
+    tokens, n = tokens[np.repeat(keep, n)], n[keep]
+    names = names[np.sort(once)]
+    doc = np.repeat(np.arange(len(n)), n)
+    last = _among(tokens, late)
+    if last.any():  # stable: by hash among the frequent and among the others
+        tokens = tokens[np.argsort(2 * doc + last, kind="stable")]
+    first = _first(tokens, n, prefix_length(n, similarity))
+    return tokens[first], names[doc[first]]
+
+
+def shared_tokens(docs: DataFrame, shingle: int, similarity: int, late: np.ndarray) -> DataFrame:
+    """``token``: in the prefixes of two sets or more. Stored."""
+
+    def work(batch: pa.RecordBatch, texts: pa.Array) -> pa.RecordBatch:
+        tokens, nodes = prefixes(texts, shingle, similarity, late)
+        order = np.argsort(tokens, kind="stable")
+        tokens, nodes = tokens[order], nodes[order].view(np.int64)
+        starts = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]])) if len(tokens) else order
+        low, high = (f.reduceat(nodes, starts) if len(starts) else nodes for f in (np.minimum, np.maximum))
+        # one node alone is written once
+        return pa.RecordBatch.from_arrays(
+            [pa.array(tokens[starts].view(np.int64)), pa.array(low), pa.array(high, mask=low == high)],
+            names=["token", "low", "high"],
+        )
+
+    rows = docs.select("text").mapInArrow(over_slices(work), "token long, low long, high long")
+    spread = rows.groupBy("token").agg(F.min("low").alias("low"), F.max(F.coalesce("high", "low")).alias("high"))
+    return stored(spread.where("low < high").select("token"), "shared-tokens")
 
 
-def prefixes(
-    made: DataFrame, similarity: int = SIMILARITY, frequent: int = FREQUENT, most_sent: int = MOST_SENT
+def prefix_rows(
+    docs: DataFrame, shingle: int, similarity: int, late: np.ndarray, shared: DataFrame, most_sent: int
 ) -> DataFrame:
-    """``node, n, first, prefix``: one row for each node, with its least token and the first
-    tokens in the order that has frequent ones last. Stored."""
-    common = frequent_tokens(made, similarity, frequent)
-    rows = made.where("node is not null").select("node", "n", "tokens")
-    if measured_size(common)[0] <= most_sent:
-        sent = np.sort(np.array(common.toArrow().column(0).to_numpy(), np.int64).view(np.uint64))
-        rows = rows.withColumn("late", F.lit(None).cast("array<long>"))
-    else:
-        sent = np.zeros(0, np.uint64)
-        flat = rows.select("node", "tokens").mapInArrow(_flat, "node long, token long").distinct()
-        late = flat.join(common, "token").groupBy("node").agg(F.collect_list("token").alias("late"))
-        rows = rows.join(stored(late, "late-tokens"), "node", "left")
+    """``token, node``, each once, of the shared tokens (of all, if there are too many to
+    send: a token that one node alone has makes no candidate). Stored."""
+    wanted = _sent(shared) if measured_size(shared)[0] <= most_sent else None
+
+    def work(batch: pa.RecordBatch, texts: pa.Array) -> pa.RecordBatch:
+        tokens, nodes = prefixes(texts, shingle, similarity, late)
+        if wanted is not None:
+            held = _among(tokens, wanted)
+            tokens, nodes = tokens[held], nodes[held]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(tokens.view(np.int64)), pa.array(nodes.view(np.int64))], names=["token", "node"]
+        )
+
+    rows = docs.select("text").mapInArrow(over_slices(work), "token long, node long")
+    return stored(rows.distinct(), "matrix-rows")
+
+
+# opening groups
+
+def sets_of(docs: DataFrame, nodes: DataFrame, shingle: int) -> DataFrame:
+    """``node, tokens`` (as bytes) of ``nodes`` (node, ``rep``: the least id that has it),
+    made from the texts of those ids."""
+    texts = _texts(docs)
+    ids = size_checked(nodes.where("rep is not null").select(F.col("rep").alias("doc_id")).distinct())
+    rows = texts.join(ids, "doc_id", "left_semi")
+    if not nodes.where("rep is null").isEmpty():
+        rows = rows.unionByName(texts.where("doc_id is null"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            tokens, n = _tokens(batch.column("tokens"))
-            if not len(tokens):
-                continue
-            doc, starts = np.repeat(np.arange(len(n)), n), np.cumsum(n) - n
-            if len(sent):
-                at = np.minimum(np.searchsorted(sent, tokens), len(sent) - 1)
-                last = sent[at] == tokens
-            else:
-                last = np.zeros(len(tokens), bool)
-                for own, a, b in zip(batch.column("late").to_pylist(), starts.tolist(), (starts + n).tolist()):
-                    if own:
-                        last[a:b] = np.isin(tokens[a:b], np.array(own, np.int64).view(np.uint64))
-            first = tokens[starts]
-            order = np.lexsort((last, doc))  # stable: by hash inside
-            nth = np.arange(len(tokens)) - np.repeat(starts, n)
-            held = prefix_length(n, similarity)
-            chosen = tokens[order][nth < np.repeat(held, n)]
-            lists = pa.ListArray.from_arrays(
-                pa.array(np.concatenate([[0], np.cumsum(held)]).astype(np.int32)), pa.array(chosen.view(np.int64))
-            )
+        seen: set[int] = set()
+        for batch, texts in slices(batches):
+            tokens, n = token_sets(texts, shingle)
+            some, names = set_names(tokens, n)
+            ends = np.cumsum(n)
+            out: list[tuple[int, bytes]] = []
+            for d, name in zip(some.tolist(), names.view(np.int64).tolist()):
+                if name not in seen:
+                    seen.add(name)
+                    out.append((name, tokens[ends[d] - n[d] : ends[d]].tobytes()))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("node"), batch.column("n"), pa.array(first.view(np.int64)), lists],
-                names=["node", "n", "first", "prefix"],
+                [pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.binary())],
+                names=["node", "tokens"],
             )
+            del batch, texts, out
+            give_back()
 
-    out = rows.mapInArrow(work, "node long, n long, first long, prefix array<long>")
-    return stored(out.dropDuplicates(["node"]), "prefixes")
-
+    return rows.mapInArrow(work, "node long, tokens binary")
 
-def _flat(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        tokens, n = _tokens(batch.column("tokens"))
-        nodes = np.repeat(batch.column("node").to_numpy(), n)
-        yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(tokens.view(np.int64))], names=["node", "token"])
 
+def _tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All tokens of a column of sets, and the number of each set."""
+    data, at = raw(column.cast(pa.large_binary()))
+    return np.frombuffer(data.tobytes(), np.uint64), np.diff(at) // 8
 
-# opening groups
 
 def opened(
-    pairs: DataFrame, members: DataFrame, made: DataFrame, similarity: int,
-    query_tokens: int = QUERY_TOKENS,
+    docs: DataFrame, pairs: DataFrame, members: DataFrame, nodes: DataFrame,
+    shingle: int, similarity: int, query_tokens: int = QUERY_TOKENS,
 ) -> DataFrame:
     """Links ``a, b`` that join all queries and members which link, transitively.
 
-    ``pairs``: ``node, n, group``; ``members``: ``group, node``, bounded in tokens. A group
-    with more tokens of queries than ``query_tokens`` is compared in parts.
+    ``pairs``: ``node, n, group``; ``members``: ``group, node``, bounded in tokens; ``nodes``:
+    ``node, rep``. A group with more tokens of queries than ``query_tokens`` is compared in
+    parts.
     """
     asked = pairs.groupBy("group").agg(F.sum("n").alias("asked")).select(
         "group", F.ceil(F.col("asked") / query_tokens).cast("int").alias("parts")
     )
-    asked = stored(asked, "asked-groups")
+    asked = size_checked(stored(asked, "asked-groups"))
     pairs = pairs.join(asked, "group").select(
         "node", "group", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part"), F.lit(1).alias("role")
     )
@@ -229,9 +305,8 @@ def opened(
         "node", "group", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("role")
     )
     both = stored(pairs.unionByName(held), "asked-members")
-    nodes = size_checked(both.select("node").distinct())
-    tokens = made.join(nodes, "node", "left_semi").select("node", "tokens").dropDuplicates(["node"])
-    rows = both.join(stored(tokens, "asked-sets"), "node")
+    wanted = stored(nodes.select("node", "rep").join(both.select("node").distinct(), "node"), "asked-nodes")
+    rows = sets_of(docs, wanted, shingle).join(size_checked(both), "node")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -260,8 +335,12 @@ def opened(
 def compared(batches: list[pa.RecordBatch], similarity: int) -> Iterator[pa.RecordBatch]:
     """The links of one group's run: members first, then queries."""
     rows = pa.Table.from_batches(batches).combine_chunks()
-    role = rows.column("role").to_numpy()
-    nodes = rows.column("node").to_numpy()
+    role, nodes = rows.column("role").to_numpy(), rows.column("node").to_numpy()
+    # rows of a repeated id make a set more than once
+    first = np.ones(len(nodes), bool)
+    first[1:] = (nodes[1:] != nodes[:-1]) | (role[1:] != role[:-1])
+    if not first.all():
+        rows, role, nodes = rows.filter(pa.array(first)).combine_chunks(), role[first], nodes[first]
     tokens, n = _tokens(rows.column("tokens").chunk(0))
     split = int(np.searchsorted(role, 1))
     if split in (0, len(role)):
@@ -331,39 +410,45 @@ def compared(batches: list[pa.RecordBatch], similarity: int) -> Iterator[pa.Reco
 
 # the search
 
-def star_links(made: DataFrame, similarity: int) -> DataFrame:
-    """Links of nodes with the least node that has the same least token. Stored."""
-    nodes = made.where("node is not null").groupBy("node").agg(F.first("n").alias("n"), F.first("least").alias("least"))
-    flat = stored(nodes.select("node", "n", F.posexplode("least").alias("k", "key")), "least-tokens")
-    centres = flat.groupBy("k", "key").agg(F.min("node").alias("group"), F.count(F.lit(1)).alias("count"))
-    centres = stored(centres.where("count > 1").select("k", "key", "group"), "stars")
-    pairs = flat.join(centres, ["k", "key"]).where(F.col("node") != F.col("group"))
-    members = centres.select("group", F.col("group").alias("node")).distinct()
-    return stored(opened(pairs.select("node", "n", "group").distinct(), members, made, similarity), "star-links")
+def star_links(docs: DataFrame, nodes: DataFrame, shingle: int, similarity: int) -> DataFrame:
+    """Links of nodes with the least node that has one of their keys. Stored."""
+    flat = stored(nodes.select("node", "n", F.posexplode("keys").alias("k", "key")), "star-keys")
+    centres = flat.groupBy("k", "key").agg(
+        F.min(F.struct("node", "n")).alias("centre"), F.count(F.lit(1)).alias("count")
+    )
+    centres = stored(
+        centres.where("count > 1").select("k", "key", F.col("centre.node").alias("group"), F.col("centre.n").alias("of")),
+        "stars",
+    )
+    sized = (100 * F.least("n", "of") >= similarity * F.greatest("n", "of")) & (F.col("node") != F.col("group"))
+    pairs = flat.join(size_checked(centres), ["k", "key"]).where(sized).select("node", "n", "group").distinct()
+    pairs = stored(pairs, "star-pairs")
+    members = pairs.select("group", F.col("group").alias("node")).distinct()
+    return stored(opened(docs, pairs, members, nodes, shingle, similarity), "star-links")
 
 
 def grouped(held: DataFrame, group_tokens: int) -> DataFrame:
-    """``node, n, comp, large, group, prefix``: nodes of ``held`` (``comp`` and all of
-    ``prefixes``) in groups of bounded tokens; groups of a large component hold no others.
-    Stored."""
+    """``node, n, comp, large, group``: nodes of ``held`` (node, n, least, comp) in groups of
+    bounded tokens; groups of a large component hold no others. Stored."""
     large = held.groupBy("comp").agg(F.sum("n").alias("size"), F.count(F.lit(1)).alias("count"))
     large = stored(large.where((F.col("size") > group_tokens) & (F.col("count") > 1)).select("comp", "size"), "large")
     rows = held.join(size_checked(large), "comp", "left").withColumn("large", F.col("size").isNotNull())
-    rest = rows.where(~F.col("large")).groupBy("first").agg(F.sum("n").alias("of_first"))
-    rest = stored(rest.where(F.col("of_first") > group_tokens), "crowded")
-    rows = rows.join(size_checked(rest), "first", "left")
-    parts = F.ceil(F.coalesce("size", "of_first", F.lit(1)) / group_tokens)
+    rest = rows.where(~F.col("large")).groupBy("least").agg(F.sum("n").alias("of_least"))
+    rest = stored(rest.where(F.col("of_least") > group_tokens), "crowded")
+    rows = rows.join(size_checked(rest), "least", "left")
+    parts = F.ceil(F.coalesce("size", "of_least", F.lit(1)) / group_tokens)
     salt = F.pmod(F.xxhash64("node"), parts)
-    group = F.xxhash64("large", F.when(F.col("large"), F.col("comp")).otherwise(F.col("first")), salt)
-    return stored(rows.select("node", "n", "comp", "large", group.alias("group"), "prefix"), "groups")
+    group = F.xxhash64("large", F.when(F.col("large"), F.col("comp")).otherwise(F.col("least")), salt)
+    return stored(rows.select("node", "n", "comp", "large", group.alias("group")), "groups")
 
 
-def candidates(groups: DataFrame, similarity: int) -> DataFrame:
-    """``node, n, group``: the groups each node has to be compared with."""
-    flat = groups.select("node", "n", "comp", "large", "group", F.explode("prefix").alias("token"))
-    shared = flat.groupBy("token").agg(F.min("comp").alias("a"), F.max("comp").alias("b"))
-    shared = stored(shared.where("a <> b").select("token"), "shared-tokens")
-    met = stored(flat.join(size_checked(shared), "token", "left_semi"), "matrix-rows")
+def candidates(rows: DataFrame, groups: DataFrame, similarity: int) -> DataFrame:
+    """``node, n, group``: the groups each node has to be compared with; ``rows`` are the
+    (token, node) of prefixes."""
+    met = rows.join(size_checked(groups), "node")
+    shared = met.groupBy("token").agg(F.min("comp").alias("a"), F.max("comp").alias("b"))
+    shared = stored(shared.where("a <> b").select("token"), "met-tokens")
+    met = stored(met.join(size_checked(shared), "token", "left_semi"), "met-rows")
     # the matrix: one row for each token and group
     matrix = met.groupBy("token", "group").agg(
         F.min("n").alias("low"), F.max("n").alias("high"), F.first("large").alias("single"),
@@ -391,24 +476,31 @@ def links(
     frequent: int = FREQUENT, most_sent: int = MOST_SENT, group_tokens: int = GROUP_TOKENS,
     query_tokens: int = QUERY_TOKENS,
 ) -> tuple[DataFrame, DataFrame]:
-    """The stored sets, and links ``a, b`` that join all nodes that link, transitively."""
+    """The stored sets of documents, and links ``a, b`` that join all nodes that link,
+    transitively."""
     made = sets(docs, shingle)
-    stars = star_links(made, similarity)
-    roots = components(stars).select("node", F.col("root").alias("comp"))
-    heads = prefixes(made, similarity, frequent, most_sent)
-    held = heads.join(roots, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    nodes = made.where("node is not null").groupBy("node").agg(
+        F.min("doc_id").alias("rep"), *[F.first(c).alias(c) for c in ("n", "least", "keys")]
+    )
+    nodes = stored(nodes, "set-nodes")
+    stars = star_links(docs, nodes, shingle, similarity)
+    roots = size_checked(components(stars).select("node", F.col("root").alias("comp")))
+    held = nodes.join(roots, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     groups = grouped(held, group_tokens)
-    pairs = stored(candidates(groups, similarity), "candidates")
+    late = frequent_tokens(docs, shingle, similarity, frequent, most_sent)
+    shared = shared_tokens(docs, shingle, similarity, late)
+    rows = prefix_rows(docs, shingle, similarity, late, shared, most_sent)
+    pairs = stored(candidates(rows, groups, similarity), "candidates")
     wanted = size_checked(pairs.select("group").distinct())
     members = groups.select("group", "node").join(wanted, "group", "left_semi")
-    found = opened(pairs, members, made, similarity, query_tokens)
+    found = opened(docs, pairs, members, nodes, shingle, similarity, query_tokens)
     return made, stars.unionByName(stored(found, "group-links"))
 
 
 def joined(docs: DataFrame, **options) -> DataFrame:
-    """``doc_id, n_shingles, component_id``; see the module for the parameters."""
+    """``doc_id, n_shingles, component_id``; the options are those of ``links``."""
     made, found = links(docs, **options)
-    roots = components(found)
+    roots = size_checked(components(found))
     of = made.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least"))
     of = stored(of.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "set-roots")
     named = of.groupBy("root").agg(F.min("least").alias("component_id"))

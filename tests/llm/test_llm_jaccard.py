@@ -85,7 +85,7 @@ TIGHT = {"frequent": 1, "group_tokens": 300, "query_tokens": 400}
 
 
 @pytest.mark.parametrize(
-    "seed, options", [(1, {}), (2, TIGHT), (3, {**TIGHT, "most_sent": 0}), (4, {"frequent": 2, "group_tokens": 100})]
+    "seed, options", [(1, {}), (2, TIGHT), (3, {**TIGHT, "most_sent": 20}), (4, {"frequent": 2, "group_tokens": 100})]
 )
 def test_equals_all_pairs(spark, seed, options):
     data = corpus(seed)
