@@ -17,12 +17,14 @@ The method adds credentials that come in parts. Parts are intervals of three rol
 Names of assignments may have a prefix (``DB_USER``, ``db-pass``, ``accessKey``); the span
 begins at the word itself. ``scheme://user:secret@host`` is three parts that belong together.
 
-Each text is cut into scopes at blank lines. Within a scope, parts are joined by their
-intervals: two parts meet if at most ``reach`` characters lie between them. A weak
-candidate (``weak``) is reported only if it meets an identifier and, where it meets no
-access key id, an endpoint too. Base secrets are reported in any case. Identifiers and
-endpoints so linked to either are reported as ``ident`` and ``endpoint``. The join is a merge of sorted positions that keeps the nearest
-part of each role, so no pairs are formed; it needs only the text itself and no shuffle.
+Each text is cut into scopes at blank lines, and the parts are joined to scopes by their
+intervals, whatever lies between them. A scope is complete if it has an access key id, or an
+identifier and an endpoint. A complete scope reports all its weak candidates (``weak``), and,
+if it has any secret, base or weak, all its identifiers and endpoints (``ident``,
+``endpoint``); other scopes report none of these. Base spans are reported in any case. The
+join is a merge of sorted positions, so no pairs are formed; it needs only the text itself and
+no shuffle. Searches start from ``@``, ``:`` or a keyword, so that their time is linear in the
+text.
 
 Defined results: a null text is empty and has no spans; repeated rows are scanned one by
 one; overlapping spans of different kinds are all reported; extra columns are ignored.
@@ -33,7 +35,7 @@ from __future__ import annotations
 import bisect
 import itertools
 import re
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -41,8 +43,6 @@ from pyspark.sql import functions as F
 
 from orefold.llm.common import over_slices
 
-REACH = 200
-
 # fixed values: the base patterns, their order, and least lengths
 ASSIGN = re.compile(
     rb"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -60,10 +60,16 @@ WEAK_RUN = re.compile(rb"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}(?![A-Za-
 IDENT = re.compile(
     rb"""(?i)(?<![A-Za-z0-9])(?:user(?:name)?|login|client_?id|account)["']?\x20*[:=]\x20*["']?[A-Za-z0-9@._-]{2,}"""
 )
-MAIL = re.compile(rb"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-ENDPOINT = re.compile(
-    rb"""(?i)(?:\b[a-z][a-z0-9+.-]*://[^\s"'<>]+|(?<![A-Za-z0-9])(?:host|server|endpoint)["']?\x20*[:=]\x20*["']?[a-z0-9.-]{3,}(?::\d+)?|\b[a-z0-9-]+(?:\.[a-z0-9-]+)+:\d{2,5}\b)"""
+# what follows an anchor; what comes before it is found by going back over ``_run_before``
+MAIL_HOST = re.compile(rb"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
+HOST = re.compile(
+    rb"""(?i)(?<![A-Za-z0-9])(?:host|server|endpoint)["']?\x20*[:=]\x20*["']?[a-z0-9.-]{3,}(?::\d+)?"""
 )
+URL_REST = re.compile(rb"""://[^\s"'<>]+""")
+PORT = re.compile(rb":\d{2,5}\b")
+_MAIL_NAME = frozenset(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
+_SCHEME = frozenset(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+.-")
+_HOST_NAME = frozenset(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789.-")
 LOGIN = re.compile(rb"""://([^\s"'<>/@:]*):([^\s"'<>/@]+)@([^\s"'<>/?#,@]+)""")
 BLANK_LINE = re.compile(rb"\n[\x20\t\r]*\n")
 _HEX_MARK = bytes(1 if chr(b) in "0123456789abcdef" else 0 for b in range(256))
@@ -95,50 +101,99 @@ def base_spans(text: bytes) -> list[tuple[int, int, str]]:
     return out
 
 
-def linked_spans(text: bytes, base: list[tuple[int, int, str]], reach: int = REACH) -> list:
-    """Weak candidates with complementary parts near them, and those parts, also of base secrets."""
-    if not base and b"=" not in text and b":" not in text:
-        return []  # no identifier, assignment or endpoint can be there
+def _run_before(text: bytes, end: int, least: int, inside: frozenset) -> int:
+    """Where the run of bytes of ``inside`` that ends at ``end`` begins, not before ``least``."""
+    while end > least and text[end - 1] in inside:
+        end -= 1
+    return end
+
+
+def mails(text: bytes) -> Iterator[tuple[int, int]]:
+    """``name@host.domain``, left to right, without overlaps."""
+    done, at = 0, text.find(b"@")
+    while at >= 0:
+        start = _run_before(text, at, done, _MAIL_NAME)
+        host = MAIL_HOST.match(text, at + 1) if start < at else None
+        if host:
+            done = host.end()
+            yield start, done
+        at = text.find(b"@", at + 1)
+
+
+def urls(text: bytes) -> Iterator[tuple[int, int]]:
+    """``scheme://...``, without overlaps; a scheme begins with a letter."""
+    done, at = 0, text.find(b"://")
+    while at >= 0:
+        start = _run_before(text, at, done, _SCHEME)
+        while start < at and not text[start : start + 1].isalpha():
+            start += 1
+        rest = URL_REST.match(text, at) if start < at else None
+        if rest:
+            done = rest.end()
+            yield start, done
+        at = text.find(b"://", max(done, at + 1))
+
+
+def hosts_with_port(text: bytes) -> Iterator[tuple[int, int]]:
+    """``name.domain:port``: labels of letters, digits and hyphens."""
+    done = 0
+    for m in PORT.finditer(text):
+        run = _run_before(text, m.start(), done, _HOST_NAME)
+        name = text[run : m.start()]
+        # empty labels end a name; it begins with a letter or digit
+        start = run + name.rfind(b"..") + 2 if b".." in name else run
+        while start < m.start() and not text[start : start + 1].isalnum():
+            start += 1
+        if b"." in text[start : m.start()] and text[m.start() - 1 : m.start()] != b".":
+            done = m.end()
+            yield start, done
+
+
+def parts_of(text: bytes, base: list[tuple[int, int, str]]) -> dict[str, list[tuple[int, int]]]:
+    """Sorted spans of the parts: ``access``, ``strong`` (base secrets), ``weak``, ``ident``,
+    ``endpoint``. Where parts overlap, logins in URLs come before all others, base secrets
+    before identifiers and weak candidates, endpoints and identifiers before weak ones, and
+    assignments before runs."""
     logins = list(LOGIN.finditer(text)) if b"://" in text else []
     within = Spans((m.start(), m.end()) for m in logins)
-    idents = [(m.start(), m.end()) for p in (IDENT, MAIL) for m in p.finditer(text)]
+    strong = Spans((s, e) for s, e, kind in base if kind != "access")
+    idents = [m.span() for m in IDENT.finditer(text)] + list(mails(text))
     idents = [i for i in idents if not within.overlap(i)] + [m.span(1) for m in logins if m[1]]
-    access = sorted((s, e) for s, e, kind in base if kind == "access")
-    if not idents and not access:
-        return []
-    points = [(m.start(), m.end()) for m in ENDPOINT.finditer(text)]
-    points = sorted([p for p in points if not within.overlap(p)] + [m.span(3) for m in logins])
-    if not access and not points:
-        return []
-    named = {m.span(2) for m in logins}
-    base_parts = Spans((s, e) for s, e, _ in base)
+    points = [m.span() for m in HOST.finditer(text)] + list(urls(text)) + list(hosts_with_port(text))
+    points = [p for p in points if not within.overlap(p)] + [m.span(3) for m in logins]
+    base_parts, taken = Spans((s, e) for s, e, _ in base), Spans(points + idents)
     weak = {m.span() for m in WEAK_ASSIGN.finditer(text)}
-    weak = {w for w in weak if not within.overlap(w)} | named
+    weak = {w for w in weak if not within.overlap(w)} | {m.span(2) for m in logins}
     settled = Spans(weak)
     runs = {m.span() for m in WEAK_RUN.finditer(text) if _mixed(m[0])}
     weak |= {r for r in runs if not settled.overlap(r)}
-    taken = Spans(points + idents)
-    weak = sorted(w for w in weak if not base_parts.overlap(w) and not taken.overlap(w))
-    scopes = [m.start() for m in BLANK_LINE.finditer(text)]
-    out = set()
-    for m in logins:
-        if m[1] and m.span(2) in weak:
-            out |= {(*m.span(1), "ident"), (*m.span(2), "weak"), (*m.span(3), "endpoint")}
-    strong = Spans((s, e) for s, e, kind in base if kind != "access")
-    # an e-mail name or an assignment that reads into a base secret is no part of its own
-    idents = Spans(i for i in idents if not strong.overlap(i))
-    access, points = Spans(access), Spans(points)
-    for w, kind in sorted([(w, "weak") for w in weak] + [(s, "") for s in strong.spans]):
-        key = access.nearest(w, reach, scopes)
-        ident = key or idents.nearest(w, reach, scopes)
-        point = points.nearest(w, reach, scopes)
-        if key or (ident and point):
-            if kind:
-                out.add((*w, kind))
-            if not key:
-                out.add((*ident, "ident"))
-            if point:
-                out.add((*point, "endpoint"))
+    return {
+        "access": sorted((s, e) for s, e, kind in base if kind == "access"),
+        "strong": strong.spans,
+        "weak": sorted(w for w in weak if not base_parts.overlap(w) and not taken.overlap(w)),
+        # an e-mail name or an assignment that reads into a base secret is no part of its own
+        "ident": sorted({i for i in idents if not strong.overlap(i)}),
+        "endpoint": sorted(set(points)),
+    }
+
+
+def linked_spans(text: bytes, base: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
+    """Weak candidates of complete scopes, and the parts that complete them."""
+    if not base and b"=" not in text and b":" not in text:
+        return []  # no identifier beside an endpoint can be there
+    parts = parts_of(text, base)
+    if not parts["access"] and not (parts["ident"] and parts["endpoint"]):
+        return []
+    breaks = [m.start() for m in BLANK_LINE.finditer(text)]
+    scopes: dict[int, dict[str, list]] = {}
+    for role, spans in parts.items():
+        for span in spans:
+            scopes.setdefault(bisect.bisect_right(breaks, span[0]), {}).setdefault(role, []).append(span)
+    out = []
+    for held in scopes.values():
+        complete = "access" in held or ("ident" in held and "endpoint" in held)
+        if complete and ("weak" in held or "strong" in held):
+            out += [(*span, role) for role in ("weak", "ident", "endpoint") for span in held.get(role, ())]
     return sorted(out)
 
 
@@ -162,18 +217,6 @@ class Spans:
         k = bisect.bisect_left(self.spans, (one[1],))
         return k > 0 and self.spans[self.widest[k - 1]][1] > one[0]
 
-    def nearest(self, one: tuple[int, int], reach: int, scopes: list[int]) -> tuple[int, int] | None:
-        """The span with the smallest gap to ``one`` in its scope, the earlier one at ties."""
-        k = bisect.bisect_left(self.spans, one)
-        beside = [] if k == 0 else [self.spans[self.widest[k - 1]]]
-        best = None
-        for p in beside + self.spans[k : k + 1]:
-            gap = max(p[0] - one[1], one[0] - p[1], 0)
-            same = bisect.bisect_right(scopes, p[0]) == bisect.bisect_right(scopes, one[0])
-            if gap <= reach and same and (best is None or gap < best[0]):
-                best = gap, p
-        return best[1] if best else None
-
 
 def render(spans: list[tuple[int, int, str]], text: bytes) -> str:
     """``kind:start:end`` in code points, by start, then kind as listed, comma-joined."""
@@ -194,14 +237,14 @@ def _points(part: bytes) -> int:
     )
 
 
-def secrets_in(docs: DataFrame, reach: int = REACH) -> DataFrame:
+def secrets_in(docs: DataFrame) -> DataFrame:
     """Counts and spans of secrets for each document."""
 
     def work(batch: pa.RecordBatch, texts: pa.Array) -> pa.RecordBatch:
         counts, base_out, all_out = [[], [], [], []], [], []
         for text in texts.to_pylist():
             base = base_spans(text)
-            more = linked_spans(text, base, reach)
+            more = linked_spans(text, base)
             for c, kind in zip(counts, KINDS):
                 c.append(sum(1 for s in base + more if s[2] == kind))
             base_out.append(render(base, text) if base else "")
