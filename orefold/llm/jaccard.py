@@ -11,12 +11,14 @@ has every document with the component its node belongs to. The search is exact:
 2. *Stars.* Sets of like size that agree on the least tokens under two hash functions are
    compared with the least node among them. This joins most of a large group of near copies
    by as many comparisons as it has members, and gives a first division into components.
-3. *Groups.* A component that exceeds a group is cut into groups of its own; other nodes are
-   grouped by their least token, since similar sets mostly share it. Groups are bounded by
-   their tokens. The matrix holds a row for each (token, group) of the prefixes.
-4. *Candidates.* Nodes meet the matrix in their prefix tokens. Tokens that one component alone
-   has are left out, a large component's nodes do not ask for tokens of which they are the
-   most, and nobody asks the groups of its own large component.
+3. *Groups.* A component of several nodes is a group, or, if it is too large, several groups
+   of its own; other nodes are grouped by their least token, since similar sets mostly share
+   it. Groups are bounded by their tokens. The matrix holds a row for each (token, group) of
+   the prefixes, with the sizes of the members that have the token and its first place.
+4. *Candidates.* Nodes meet the matrix in their prefix tokens, where the tokens that follow on
+   both sides leave room for the overlap the sizes demand. Tokens that one component alone has
+   are left out, a component's nodes do not ask for tokens of which they are the most, and
+   nobody asks the groups of its own component.
 5. *Opening.* A group's task has the union of its members' tokens. The tokens a query has in
    it bound every overlap with a member; only if they reach what the similarity demands of the
    smallest fitting member is the group opened, and overlaps with all members are counted.
@@ -45,7 +47,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orefold.llm.common import LOWER, SPACE, Words, give_back, mixed, over_slices, ragged, raw, slices, stored
@@ -189,8 +191,8 @@ def _among(tokens: np.ndarray, held: np.ndarray) -> np.ndarray:
     return held[np.minimum(np.searchsorted(held, tokens), len(held) - 1)] == tokens
 
 
-def prefixes(texts: pa.Array, shingle: int, similarity: int, late: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(token, node) of the prefixes of all sets of a slice, each set once."""
+def prefixes(texts: pa.Array, shingle: int, similarity: int, late: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(token, node, place from 1) of the prefixes of all sets of a slice, each set once."""
     tokens, n = token_sets(texts, shingle)
     some, names = set_names(tokens, n)
     _, once = np.unique(names, return_index=True)
@@ -203,14 +205,15 @@ def prefixes(texts: pa.Array, shingle: int, similarity: int, late: np.ndarray) -
     if last.any():  # stable: by hash among the frequent and among the others
         tokens = tokens[np.argsort(2 * doc + last, kind="stable")]
     first = _first(tokens, n, prefix_length(n, similarity))
-    return tokens[first], names[doc[first]]
+    place = np.arange(1, len(tokens) + 1) - np.repeat(np.cumsum(n) - n, n)
+    return tokens[first], names[doc[first]], place[first]
 
 
 def shared_tokens(docs: DataFrame, shingle: int, similarity: int, late: np.ndarray) -> DataFrame:
     """``token``: in the prefixes of two sets or more. Stored."""
 
     def work(batch: pa.RecordBatch, texts: pa.Array) -> pa.RecordBatch:
-        tokens, nodes = prefixes(texts, shingle, similarity, late)
+        tokens, nodes, _ = prefixes(texts, shingle, similarity, late)
         order = np.argsort(tokens, kind="stable")
         tokens, nodes = tokens[order], nodes[order].view(np.int64)
         starts = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]])) if len(tokens) else order
@@ -229,20 +232,19 @@ def shared_tokens(docs: DataFrame, shingle: int, similarity: int, late: np.ndarr
 def prefix_rows(
     docs: DataFrame, shingle: int, similarity: int, late: np.ndarray, shared: DataFrame, most_sent: int
 ) -> DataFrame:
-    """``token, node``, each once, of the shared tokens (of all, if there are too many to
-    send: a token that one node alone has makes no candidate). Stored."""
+    """``token, node, place``, each once, of the shared tokens (of all, if there are too many
+    to send: a token that one node alone has makes no candidate). Stored."""
     wanted = _sent(shared) if measured_size(shared)[0] <= most_sent else None
 
     def work(batch: pa.RecordBatch, texts: pa.Array) -> pa.RecordBatch:
-        tokens, nodes = prefixes(texts, shingle, similarity, late)
+        found = prefixes(texts, shingle, similarity, late)
         if wanted is not None:
-            held = _among(tokens, wanted)
-            tokens, nodes = tokens[held], nodes[held]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(tokens.view(np.int64)), pa.array(nodes.view(np.int64))], names=["token", "node"]
-        )
+            held = _among(found[0], wanted)
+            found = tuple(f[held] for f in found)
+        columns = [pa.array(found[0].view(np.int64)), pa.array(found[1].view(np.int64)), pa.array(found[2], pa.int32())]
+        return pa.RecordBatch.from_arrays(columns, names=["token", "node", "place"])
 
-    rows = docs.select("text").mapInArrow(over_slices(work), "token long, node long")
+    rows = docs.select("text").mapInArrow(over_slices(work), "token long, node long, place int")
     return stored(rows.distinct(), "matrix-rows")
 
 
@@ -428,18 +430,19 @@ def star_links(docs: DataFrame, nodes: DataFrame, shingle: int, similarity: int)
 
 
 def grouped(held: DataFrame, group_tokens: int) -> DataFrame:
-    """``node, n, comp, large, group``: nodes of ``held`` (node, n, least, comp) in groups of
-    bounded tokens; groups of a large component hold no others. Stored."""
-    large = held.groupBy("comp").agg(F.sum("n").alias("size"), F.count(F.lit(1)).alias("count"))
-    large = stored(large.where((F.col("size") > group_tokens) & (F.col("count") > 1)).select("comp", "size"), "large")
-    rows = held.join(size_checked(large), "comp", "left").withColumn("large", F.col("size").isNotNull())
-    rest = rows.where(~F.col("large")).groupBy("least").agg(F.sum("n").alias("of_least"))
+    """``node, n, comp, several, group``: nodes of ``held`` (node, n, least, comp) in groups of
+    bounded tokens; groups of a component of several nodes (``several``) hold no others.
+    Stored."""
+    several = held.groupBy("comp").agg(F.sum("n").alias("size"), F.count(F.lit(1)).alias("count"))
+    several = stored(several.where("count > 1").select("comp", "size"), "components-of-several")
+    rows = held.join(size_checked(several), "comp", "left").withColumn("several", F.col("size").isNotNull())
+    rest = rows.where(~F.col("several")).groupBy("least").agg(F.sum("n").alias("of_least"))
     rest = stored(rest.where(F.col("of_least") > group_tokens), "crowded")
     rows = rows.join(size_checked(rest), "least", "left")
     parts = F.ceil(F.coalesce("size", "of_least", F.lit(1)) / group_tokens)
     salt = F.pmod(F.xxhash64("node"), parts)
-    group = F.xxhash64("large", F.when(F.col("large"), F.col("comp")).otherwise(F.col("least")), salt)
-    return stored(rows.select("node", "n", "comp", "large", group.alias("group")), "groups")
+    group = F.xxhash64("several", F.when(F.col("several"), F.col("comp")).otherwise(F.col("least")), salt)
+    return stored(rows.select("node", "n", "comp", "several", group.alias("group")), "groups")
 
 
 def candidates(rows: DataFrame, groups: DataFrame, similarity: int) -> DataFrame:
@@ -451,15 +454,15 @@ def candidates(rows: DataFrame, groups: DataFrame, similarity: int) -> DataFrame
     met = stored(met.join(size_checked(shared), "token", "left_semi"), "met-rows")
     # the matrix: one row for each token and group
     matrix = met.groupBy("token", "group").agg(
-        F.min("n").alias("low"), F.max("n").alias("high"), F.first("large").alias("single"),
-        F.min("comp").alias("of"), F.count(F.lit(1)).alias("many"),
+        F.min("n").alias("low"), F.max("n").alias("high"), F.min("place").alias("first"),
+        F.first("several").alias("single"), F.min("comp").alias("of"), F.count(F.lit(1)).alias("many"),
     )
     mains = (
-        met.where("large").groupBy("token", "comp").count()
+        met.where("several").groupBy("token", "comp").count()
         .groupBy("token").agg(F.max_by("comp", F.struct("count", "comp")).alias("main"))
     )
     asking = met.join(mains, "token", "left").where(~F.col("comp").eqNullSafe(F.col("main"))).select(
-        "token", "node", "n", "comp", "main", F.col("group").alias("own")
+        "token", "node", "n", "place", "comp", "main", F.col("group").alias("own")
     )
     foreign = ~(F.col("single") & (F.col("of") == F.col("comp")))
     # of two groups the one of lower number asks, but everyone asks those of the main component
@@ -467,8 +470,19 @@ def candidates(rows: DataFrame, groups: DataFrame, similarity: int) -> DataFrame
         (F.col("single") & F.coalesce(F.col("of") == F.col("main"), F.lit(False)))
         | (F.col("own") < F.col("group")) | ((F.col("own") == F.col("group")) & (F.col("many") > 1))
     )
-    sized = (100 * F.col("n") >= similarity * F.col("low")) & (100 * F.col("high") >= similarity * F.col("n"))
-    return asking.join(matrix, "token").where(foreign & once & sized).select("node", "n", "group").distinct()
+    # sizes of members that can link, and the overlap that the least and the largest demand;
+    # the first token two sets share has this overlap at and after it, on both sides
+    low = F.greatest("low", F.ceil(F.col("n") * similarity / 100))
+    high = F.least("high", F.floor(F.col("n") * 100 / similarity))
+
+    def demanded(other: Column) -> Column:
+        return F.ceil((F.col("n") + other) * similarity / (100 + similarity))
+
+    room = (
+        (low <= high) & (F.col("n") - F.col("place") + 1 >= demanded(low))
+        & (high - F.col("first") + 1 >= demanded(high))
+    )
+    return asking.join(matrix, "token").where(foreign & once & room).select("node", "n", "group").distinct()
 
 
 def links(
