@@ -90,6 +90,38 @@ def damaged_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def faulty_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze prices with all events of a symbol and day in one document, some of whose bars
+    have a bad leaf or are no object."""
+    event = F.col("event_id")
+    value = F.lit(50.0) + F.col("value") % 25
+    leaves = {
+        "ts": F.date_format("ts", "yyyy-MM-dd'T'HH:00:00'-04:00'"),
+        "open": value, "high": value + 1, "low": value - 1, "close": value,
+        "volume": F.get_json_object("props", "$.k").cast("bigint"),
+    }
+
+    def bar(**bad: str | None) -> Column:
+        return json_text(F.struct(*[(F.lit(bad[c]) if c in bad else v).alias(c) for c, v in leaves.items()]))
+
+    text = (
+        F.when(event % 19 == 0, "5")
+        .when(event % 17 == 0, bar(volume="many"))
+        .when(event % 13 == 0, bar(ts="soon"))
+        .when(event % 11 == 0, bar(close="abc"))
+        .when(event % 7 == 0, bar(ts=None))
+        .otherwise(bar())
+    )
+    events = table(spark, sf_dir, "events").select(
+        symbol("user_id").alias("symbol"), F.to_date("ts").alias("day"), F.col("ts"), text.alias("bar")
+    )
+    docs = events.groupBy("symbol", "day").agg(
+        F.max("ts").cast("timestamp").alias("extracted_at"), F.collect_list("bar").alias("bars")
+    )
+    body = F.concat(F.lit('{"interval":"1h","bars":['), F.array_join("bars", ","), F.lit("]}"))
+    return docs.select("symbol", "extracted_at", body.alias("payload"))
+
+
 def dim_sectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sector list: suppliers in good standing under their region.
 

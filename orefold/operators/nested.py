@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 from orefold import fixed_values as fixed
 from orefold import schemas
 from orefold.functions import dates, numeric
+from orefold.operators import cells
 from orefold.session import require_session
 
 MODES = ("strict", "lenient")
-TRADE_BUCKETS = 16
+#: Size of a document's records; one larger record is a document of its own.
+DOCUMENT_BYTES = 1024 * 1024
 
 
 def _checked_mode(mode: str) -> str:
@@ -22,14 +24,14 @@ def _checked_mode(mode: str) -> str:
     return mode
 
 
-def _text(payload: Column) -> Column:
+def payload_text(payload: Column) -> Column:
     """The payload without white space around it; a JSON ``null`` is a missing payload."""
     return F.nullif(F.trim(payload, F.lit(" \t\r\n")), F.lit("null"))
 
 
 def _document(payload: Column, schema: str, mode: str) -> Column:
     """Parse one payload; its top level must be an array or an object as in the schema."""
-    text = _text(payload)
+    text = payload_text(payload)
     top_level_fits = text.startswith("[" if schema.startswith("array") else "{")
     if mode == "lenient":
         return F.when(top_level_fits, F.from_json(text, schema))
@@ -98,7 +100,7 @@ def read_bars(raw: DataFrame, mode: str = "strict", clock: str = "wall") -> Data
     require_session(raw.sparkSession)
     _checked_mode(mode)
     opened = raw.select(
-        "symbol", "extracted_at", _text(F.col("payload")).alias("_text")
+        "symbol", "extracted_at", payload_text(F.col("payload")).alias("_text")
     ).withColumn(
         "_doc", F.from_json("_text", schemas.NUMBER_BAR_DOC, {"mode": "PERMISSIVE"})
     )
@@ -116,24 +118,28 @@ def read_bars(raw: DataFrame, mode: str = "strict", clock: str = "wall") -> Data
     )
 
 
+def trade_values(leaf: Callable[[str], Column]) -> list[Column]:
+    """Typed, canonical columns of a trade between its source and its extraction, from text
+    leaves. A bad date or lag becomes null."""
+    return [
+        leaf("politician").alias("member"),
+        F.lower(leaf("party")).alias("party"),
+        F.lower(leaf("chamber")).alias("chamber"),
+        leaf("state").alias("state"),
+        leaf("issuer").alias("issuer"),
+        F.upper(leaf("ticker")).alias("ticker"),
+        dates.parse_display_date(leaf("trade_date_raw")).alias("trade_date"),
+        numeric.tolerant_int(leaf("filed_after_days")).alias("disclosure_lag_days"),
+        leaf("owner").alias("owner"),
+        F.lower(leaf("tx_type")).alias("txn_type"),
+        leaf("size").alias("txn_value_band"),
+        leaf("price").alias("price"),
+    ]
+
+
 def type_trades(trades: DataFrame) -> DataFrame:
     """Text leaves to typed, canonical columns. A bad date or lag becomes null."""
-    return trades.select(
-        "source",
-        F.col("politician").alias("member"),
-        F.lower("party").alias("party"),
-        F.lower("chamber").alias("chamber"),
-        "state",
-        "issuer",
-        F.upper("ticker").alias("ticker"),
-        dates.parse_display_date(F.col("trade_date_raw")).alias("trade_date"),
-        numeric.tolerant_int(F.col("filed_after_days")).alias("disclosure_lag_days"),
-        "owner",
-        F.lower("tx_type").alias("txn_type"),
-        F.col("size").alias("txn_value_band"),
-        "price",
-        "extracted_at",
-    )
+    return trades.select("source", *trade_values(F.col), "extracted_at")
 
 
 def with_reason(raw: DataFrame, kind: str) -> DataFrame:
@@ -142,7 +148,7 @@ def with_reason(raw: DataFrame, kind: str) -> DataFrame:
     ``missing``: no payload; ``malformed``: not JSON or of the wrong shape;
     ``empty``: no record inside.
     """
-    text = _text(F.col("payload"))
+    text = payload_text(F.col("payload"))
     if kind == "bars":
         schema = schemas.BAR_DOC[:-1] + ",_corrupt_record:string>"
         # with the mode spelt out, the parser keeps all fields, and so sees every fault
@@ -174,30 +180,49 @@ def json_text(c: Column) -> Column:
     return F.to_json(c, {"ignoreNullFields": "false"})
 
 
-def nest_bars(bars: DataFrame) -> DataFrame:
+def nest_bars(bars: DataFrame, most_bytes: int = DOCUMENT_BYTES) -> DataFrame:
     """Bars (symbol, ts, open..volume) to (symbol, payload) documents, bars by time.
 
-    A document holds one symbol's bars of one month, so its size is bounded by the
-    calendar, and the documents depend on the rows alone, not on where they lie.
+    A document holds one symbol's bars of one month; months with more than ``most_bytes`` of
+    them are cut (see ``_records``).
     """
     bar = F.struct("ts", "open", "high", "low", "close", "volume")
-    docs = bars.groupBy("symbol", F.substring("ts", 1, 7).alias("month")).agg(
-        F.sort_array(F.collect_list(bar)).alias("bars")
-    )
-    body = F.struct("symbol", F.lit(fixed.BAR_INTERVAL).alias("interval"), "bars")
-    return docs.select("symbol", json_text(body).alias("payload"))
+    docs = _records(bars.select("symbol", F.substring("ts", 1, 7).alias("month"), json_text(bar).alias("record")), most_bytes)
+    head = json_text(F.struct("symbol", F.lit(fixed.BAR_INTERVAL).alias("interval")))
+    body = F.concat(F.rtrim(head, F.lit("}")), F.lit(',"bars":['), F.array_join("records", ","), F.lit("]}"))
+    return docs.select("symbol", body.alias("payload"))
 
 
-def nest_trades(trades: DataFrame) -> DataFrame:
+def nest_trades(trades: DataFrame, most_bytes: int = DOCUMENT_BYTES) -> DataFrame:
     """Trade records with a ``source`` to (source, payload) documents, in order of fields.
 
     A document holds one source's trades of one month (the last two words of the display
-    date), in ``TRADE_BUCKETS`` parts by a hash of the record.
+    date; blank dates are a month too); months with more than ``most_bytes`` are cut.
+    """
+    record = json_text(F.struct(*[c for c in trades.columns if c != "source"]))
+    month = F.substring_index("trade_date_raw", " ", -2)
+    docs = _records(trades.select("source", month.alias("month"), record.alias("record")), most_bytes)
+    return docs.select("source", F.concat(F.lit("["), F.array_join("records", ","), F.lit("]")).alias("payload"))
+
+
+def _records(rows: DataFrame, most_bytes: int) -> DataFrame:
+    """Rows (key, month, ``record`` as JSON) to one row for each document with its sorted
+    ``records``; no document holds more than ``most_bytes`` of them, unless it is one record.
+
+    The hash of a record is its place on an axis, which is cut where too many bytes fall (see
+    ``cells.cut``): a month without a date or a key with a third of all rows becomes many
+    documents of like size. Equal records have one place, so they are counted first, and as
+    many copies go into a piece as fit. The documents depend on the rows alone.
     """
-    fields = [c for c in trades.columns if c != "source"]
-    docs = trades.groupBy(
-        "source",
-        F.substring_index("trade_date_raw", " ", -2).alias("month"),
-        F.pmod(F.xxhash64(*fields), F.lit(TRADE_BUCKETS)).alias("bucket"),
-    ).agg(F.sort_array(F.collect_list(F.struct(*fields))).alias("trades"))
-    return docs.select("source", json_text(F.col("trades")).alias("payload"))
+    by = rows.columns[:2]
+    size = F.octet_length("record") + 1
+    fit = F.greatest(F.floor(F.lit(most_bytes) / size), F.lit(1))
+    pieces = rows.groupBy(*by, "record").agg(F.count(F.lit(1)).alias("copies")).select(
+        *by, "record", size.alias("size"), fit.alias("fit"),
+        F.posexplode(F.transform(F.sequence(F.lit(1), F.ceil(F.col("copies") / fit)),
+                                 lambda i: F.least(fit, F.col("copies") - (i - 1) * fit))).alias("piece", "copies"),
+    )
+    place = F.shiftrightunsigned(F.xxhash64("record", "piece"), 2)
+    held = cells.cut(pieces, by, place, F.col("size") * F.col("copies"), most_bytes)
+    repeated = F.flatten(F.collect_list(F.array_repeat("record", F.col("copies").cast("int"))))
+    return held.groupBy(*by, "cell").agg(F.array_sort(repeated).alias("records"))

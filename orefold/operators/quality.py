@@ -78,8 +78,8 @@ class DataQualityError(Exception):
 def report(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     """(check_name, failures) for every check.
 
-    All row checks of a table are counted in one pass; each uniqueness check is one
-    grouped count, which combines before its shuffle.
+    All row checks of a table are counted in one pass; all uniqueness checks in another,
+    as grouping sets of one grouped count, which combines before its shuffle.
     """
     parts = []
     row_checks = [c for c in checks if not isinstance(c, Unique)]
@@ -94,16 +94,34 @@ def report(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
             ]
         )
         parts.append(counts.select(F.inline(lines)))
-    for check in checks:
-        if isinstance(check, Unique):
-            parts.append(
-                check.repeated(df)
-                .agg(F.count(F.lit(1)).alias("failures"))
-                .select(F.lit(check.name).alias("check_name"), "failures")
-            )
+    unique = [c for c in checks if isinstance(c, Unique)]
+    if unique:
+        parts.append(_repeated(df, unique))
     return reduce(DataFrame.unionByName, parts)
 
 
+def _repeated(df: DataFrame, checks: Sequence[Unique]) -> DataFrame:
+    """(check_name, failures) of uniqueness checks, from one read of the rows."""
+    columns = sorted({c for check in checks for c in check.columns})
+    keys = df.select(*columns)
+    counted = keys.groupingSets([list(check.columns) for check in checks], *columns).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.grouping_id().alias("of")
+    )
+    lines = []
+    for check in checks:
+        # a bit for each column that is left out, the first column highest
+        of = sum(1 << i for i, c in enumerate(reversed(columns)) if c not in check.columns)
+        failed = (F.col("of") == of) & (F.col("n_rows") > 1)
+        if len(check.columns) == 1:
+            failed &= F.col(check.columns[0]).isNotNull()
+        lines.append((check.name, F.count(F.when(failed, 1))))
+    counts = counted.agg(*[n.alias(f"c{i}") for i, (_, n) in enumerate(lines)])
+    return counts.select(F.inline(F.array(*[
+        F.struct(F.lit(name).alias("check_name"), F.col(f"c{i}").alias("failures"))
+        for i, (name, _) in enumerate(lines)
+    ])))
+
+
 def gate(df: DataFrame, checks: Sequence[Check], table: str = "table") -> DataFrame:
     """Return ``df`` unchanged, or raise on the first failing check."""
     failures = {r["check_name"]: r["failures"] for r in report(df, checks).toLocalIterator()}

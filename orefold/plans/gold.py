@@ -20,6 +20,11 @@ def bar_returns(silver: DataFrame) -> DataFrame:
     with_prev = sequence.previous_value(
         silver, "symbol", "bar_ts", "close", "prev_close", ("day",), bucket="bar_day"
     )
+    return with_returns(with_prev)
+
+
+def with_returns(with_prev: DataFrame) -> DataFrame:
+    """``pct_change`` of bars on their ``prev_close``; bars without one go."""
     return with_prev.filter(F.col("prev_close").isNotNull()).withColumn(
         "pct_change", numeric.simple_return(F.col("close"), F.col("prev_close"))
     )
@@ -36,14 +41,23 @@ def sector_hourly_perf(silver: DataFrame, weights: DataFrame) -> DataFrame:
     the day as well keeps the distinct count on the lag's partitioning, so only
     (bar, sector) partial results are shuffled a second time.
     """
+    return perf_of_returns(bar_returns(weighted_bars(silver, weights)))
+
+
+def weighted_bars(silver: DataFrame, weights: DataFrame) -> DataFrame:
+    """Bars of a known sector with a weight: symbol, sector, bar_ts, close, market_cap_b."""
     bars = silver.filter(F.col("sector").isNotNull()).select(
         "symbol", "sector", "bar_ts", "close"
     )
-    weighted = joins.attach(
+    return joins.attach(
         bars, weights.select("ticker", "market_cap_b"), "symbol", "ticker", "inner"
     )
+
+
+def perf_of_returns(returns: DataFrame) -> DataFrame:
+    """Weighted bars with ``pct_change`` and ``bar_day`` to (bar_ts, sector) results."""
     return (
-        bar_returns(weighted)
+        returns
         .groupBy("bar_day", "bar_ts", "sector")
         .agg(
             numeric.weighted_mean(F.col("pct_change"), F.col("market_cap_b")).alias(

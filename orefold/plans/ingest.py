@@ -66,6 +66,20 @@ def normalise_trades(raw: DataFrame) -> DataFrame:
     )
 
 
+def split_cells(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(good, quarantine). A scraped row without a source, without any text, or whose trade
+    date is given but is none, is set aside with ``reason``."""
+    cells = [c for c in raw.columns if c != "source"]
+    given = text.two_line_date(F.col("traded_raw"))
+    reason = (
+        F.when(F.col("source").isNull(), "no source")
+        .when(F.coalesce(*[text.blank_to_null(F.col(c)) for c in cells]).isNull(), "empty row")
+        .when(given.isNotNull() & dates.parse_display_date(given).isNull(), "no date")
+    )
+    judged = raw.withColumn("reason", reason)
+    return judged.where("reason is null").drop("reason"), judged.where("reason is not null")
+
+
 def within_lookback(
     trades: DataFrame, as_of: str | dt.date | None = None, days: int = fixed.LOOKBACK_DAYS
 ) -> DataFrame:

@@ -7,23 +7,37 @@ from pyspark.sql import functions as F
 
 from orefold import schemas
 from orefold.functions import dates, text
-from orefold.operators import dedup, joins, nested
+from orefold.operators import dedup, faults, joins, nested
 
 BAR_KEY = ("symbol", "bar_ts")
 TRADE_KEY = ("member", "ticker", "trade_date", "txn_type", "txn_value_band")
 
 
 def bars(raw: DataFrame, mode: str = "strict", clock: str = "wall") -> DataFrame:
-    """Every landed bar of every extraction, typed."""
+    """Every landed bar of every extraction, typed.
+
+    ``mode`` says what a bad value does: ``strict`` fails, ``lenient`` nulls it, ``split``
+    leaves out its bar alone, which ``faults.aside`` reports.
+    """
+    if mode == "split":
+        return faults.good(faults.judged_bars(raw, clock))
     return nested.read_bars(raw, mode, clock)
 
 
 def trades(raw: DataFrame, mode: str = "strict") -> DataFrame:
     """Every landed trade that has a ticker and a date, typed.
 
-    These filters come before the choice of the latest version.
+    These filters come before the choice of the latest version. ``mode`` as in ``bars``.
     """
-    typed = nested.type_trades(nested.explode_trades(raw, mode))
+    if mode == "split":
+        typed = faults.good(faults.judged_trades(raw))
+    else:
+        typed = nested.type_trades(nested.explode_trades(raw, mode))
+    return with_key(typed)
+
+
+def with_key(typed: DataFrame) -> DataFrame:
+    """Trades that have a ticker and a date."""
     return typed.filter(text.has_ticker(F.col("ticker")) & F.col("trade_date").isNotNull())
 
 

@@ -35,7 +35,7 @@ BARS = f"{schemas.BARS}, bar_date date"
 TRADES = schemas.TRADES
 
 
-def _manifest(spark: SparkSession, store: str, before: int | None = None) -> DataFrame:
+def manifest(spark: SparkSession, store: str, before: int | None = None) -> DataFrame:
     """(day, version): the newest version of each day; no rows before the first batch."""
     schema = f"day date, {VERSION} bigint, batch bigint"
     try:
@@ -54,7 +54,7 @@ def _folder(store: str, day: str, row) -> str:
     return f"{store}/{VERSION}={row[VERSION]}/{day}={value}"
 
 
-def _rows_of(spark: SparkSession, store: str, schema: str, day: str, newest: DataFrame) -> DataFrame:
+def rows_of(spark: SparkSession, store: str, schema: str, day: str, newest: DataFrame) -> DataFrame:
     """The rows of the given versions of days; the driver holds one name for each day."""
     paths = [_folder(store, day, r) for r in newest.collect()]
     if not paths:
@@ -77,9 +77,9 @@ def _advance(
         parsed = latest(parse(batch))
         fresh = tables.write_run(parsed, f"{store}/_fresh/{VERSION}={batch_id}")
         touched = fresh.select(F.col(day).alias("day")).distinct()
-        newest = _manifest(spark, store, batch_id)
+        newest = manifest(spark, store, batch_id)
         wanted = newest.join(touched, newest["day"].eqNullSafe(touched["day"]), "left_semi")
-        kept = _rows_of(spark, store, schema, day, wanted)
+        kept = rows_of(spark, store, schema, day, wanted)
         merged = latest(fresh.unionByName(kept.select(*fresh.columns)))
         merged.hint("rebalance", day).write.mode("overwrite").partitionBy(day).parquet(
             f"{store}/{VERSION}={batch_id}"
@@ -151,7 +151,7 @@ def read_prices(spark: SparkSession, root: str, dim: DataFrame) -> DataFrame:
     """The current silver prices, equal to a full rebuild from the same bronze; none before
     the first batch."""
     store = f"{root}/bars"
-    current = _rows_of(spark, store, BARS, "bar_date", _manifest(spark, store))
+    current = rows_of(spark, store, BARS, "bar_date", manifest(spark, store))
     return silver.describe_bars(current, dim)
 
 
@@ -159,14 +159,14 @@ def read_trades(spark: SparkSession, root: str, dim: DataFrame) -> DataFrame:
     """The current silver trades, equal to a full rebuild from the same bronze; none before
     the first batch."""
     store = f"{root}/trades"
-    current = _rows_of(spark, store, TRADES, "trade_date", _manifest(spark, store))
+    current = rows_of(spark, store, TRADES, "trade_date", manifest(spark, store))
     return silver.describe_trades(current, dim)
 
 
 def superseded(spark: SparkSession, root: str, table: str = "bars") -> DataFrame:
     """(day, version) of the folders no reader needs any more, by the manifest alone."""
     store = f"{root}/{table}"
-    newest = _manifest(spark, store).withColumnRenamed(VERSION, "newest")
+    newest = manifest(spark, store).withColumnRenamed(VERSION, "newest")
     try:
         named = spark.read.schema(f"day date, {VERSION} bigint").parquet(f"{store}/_manifest")
     except AnalysisException as e:
