@@ -50,15 +50,15 @@ def test_gold_shuffles_the_facts_once(spark, stored, no_adaptive):
     caps = joins.size_checked(adapters.weights(spark, SF))
     text = plan(gold.sector_hourly_perf(spark.read.parquet(stored), caps))
     shuffles = [line for line in text.splitlines() if "Exchange hashpartitioning" in line]
-    # facts by (symbol, day), once for the lag and the last closes; these twice more; the
-    # sector results
-    assert sum("REPARTITION_BY_COL" in s and "Reused" not in s for s in shuffles) == 1
+    # facts by (symbol, day), once for the lag and the last closes; these by symbol, and back
+    # to the facts as carried rows; the sector results
+    assert sum("REPARTITION_BY_COL" in s and "Reused" not in s for s in shuffles) == 2
     assert sum("Reused" in s for s in shuffles) == 1
     assert len(shuffles) == 5
-    facts = text.split("SortMergeJoin")[0] if "SortMergeJoin" in text else text
-    # the distinct count runs on the lag's partitioning: nothing but the final
-    # (bar, sector) exchange lies above the lag
-    assert facts.count("Exchange hashpartitioning") == 1
+    # facts and carried rows meet without a join, and the distinct count runs on the lag's
+    # partitioning: nothing but the final (bar, sector) exchange lies above
+    above, _ = text.split("Union", 1)
+    assert above.count("Exchange hashpartitioning") == 1 and "SortMergeJoin" not in text
 
 
 def test_flagship_computes_silver_once(spark, no_adaptive):
