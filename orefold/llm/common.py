@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 
 from orefold.session import shared_folder
 
+#: Bytes that Spark hands to a worker at a time, or a single row.
+BATCH_BYTES = 8 * 1024 * 1024
 #: Bytes of text that are turned into arrays at a time; one longer text is a slice of its own.
 SLICE_BYTES = 2 * 1024 * 1024
 
@@ -43,11 +45,13 @@ def on_workers(spark: SparkSession) -> None:
 
 
 def with_workers(query: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
-    """A query or stage whose first argument is the session, see ``on_workers``."""
+    """A query or stage whose first argument is the session, see ``on_workers``; workers get
+    batches of bounded size."""
 
     @functools.wraps(query)
     def run(spark: SparkSession, *args) -> DataFrame:
         on_workers(spark)
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
         return query(spark, *args)
 
     return run
@@ -220,6 +224,13 @@ def remembered(key, make: Callable):
     return _remembered[key]
 
 
+def forget_all_but(key) -> None:
+    """Drop what another operator of a pipeline has left in this worker."""
+    if _remembered and key not in _remembered:
+        _remembered.clear()
+        give_back()
+
+
 def give_back() -> None:
     """Return freed memory to the system: workers live on, and the next operator's needs
     would come on top of what this one has left behind."""
@@ -230,11 +241,13 @@ def give_back() -> None:
 
 
 def over_slices(
-    work: Callable[[pa.RecordBatch, pa.Array], pa.RecordBatch | None], most: int = SLICE_BYTES
+    work: Callable[[pa.RecordBatch, pa.Array], pa.RecordBatch | None], most: int = SLICE_BYTES, keep=None
 ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """A function for ``mapInArrow`` that handles bounded pieces one after another."""
+    """A function for ``mapInArrow`` that handles bounded pieces one after another; ``keep``
+    is the key of what the work itself remembers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_all_but(keep)
         for batch, texts in slices(batches, most=most):
             out = work(batch, texts)
             if out is not None and out.num_rows:

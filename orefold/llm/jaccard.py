@@ -62,7 +62,7 @@ FREQUENT = 32
 MOST_SENT = 6_000_000
 #: Tokens of one group, and of the queries that are compared with it at a time.
 GROUP_TOKENS = 40_000
-QUERY_TOKENS = 400_000
+QUERY_TOKENS = 100_000
 #: Hash functions for stars, and the pairs of them that have to agree.
 STARS = 4
 STAR_PAIRS = ((0, 1), (2, 3), (0, 2), (1, 3))

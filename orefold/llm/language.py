@@ -4,8 +4,8 @@ The network reads a word's bytes from both sides and labels every position; a do
 distribution is the mean of the labels' distributions over all positions of all its words.
 States start anew at each word (white space, digits and ASCII punctuation separate words),
 so equal words have equal labels: each slice of texts labels its distinct words once and
-adds them up by their counts, which is the same sum with a fraction of the work. Words of
-more than ``PIECE`` bytes are read in pieces of that size.
+adds them up by their counts, which is the same sum with a fraction of the work. Learning and
+labelling read words in lower case, in every script that has one. Words of more than ``PIECE`` bytes are read in pieces of that size.
 
 Training is numpy on the driver, by backpropagation through time over the words of at most
 ``SAMPLE`` labelled documents per language, chosen by a hash of the id; of these the most
@@ -43,7 +43,7 @@ _ROWS = 4096
 #: Distinct words that a worker remembers; beyond it, it starts anew.
 REMEMBERED = 300_000
 #: Bytes of text labelled at a time: larger slices repeat more words, smaller ones need less.
-WHOLE_SLICE = 4 * 1024 * 1024
+WHOLE_SLICE = 1024 * 1024
 
 #: What separates words: white space, digits, ASCII punctuation, control characters.
 INSIDE = np.zeros(256, bool)
@@ -194,7 +194,8 @@ def training_words(labelled: DataFrame, sample: int = SAMPLE) -> list[tuple[str,
         .where("word <> ''").groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n"))
     )
     rows = words.orderBy(F.desc("n"), "lang", "word").limit(MAX_WORDS * langs).collect()
-    return sorted((r[0], r[1].encode(), r[2]) for r in rows)
+    # in the lower case of the labelled words: that of Spark may differ for rare letters
+    return sorted((r[0], lower_word(r[1].encode()), r[2]) for r in rows)
 
 
 # labelling
@@ -227,7 +228,11 @@ def _fewer(rows: int, net: Network) -> int:
 
 def labeller(net: Network) -> Labeller:
     """The worker's labeller for this network."""
-    return remembered(net.out.tobytes() + net.loops[0].tobytes(), lambda: Labeller(net))
+    return remembered(_key(net), lambda: Labeller(net))
+
+
+def _key(net: Network | None) -> bytes | None:
+    return None if net is None else net.out.tobytes() + net.loops[0].tobytes()
 
 
 def word_labels(net: Network, words: list[bytes]) -> np.ndarray:
@@ -263,16 +268,26 @@ def document_shares(net: Network, texts: pa.Array) -> np.ndarray:
         pa.large_binary(), len(words.starts), [None, pa.py_buffer(ends), pa.py_buffer(body)]
     )
     coded = flat.dictionary_encode()
-    labels = labeller(net)(coded.dictionary.to_pylist())
-    which = coded.indices.to_numpy()
+    distinct = [lower_word(w) for w in coded.dictionary.to_pylist()]
+    # capitals of other scripts may make a word that the slice has in lower case too
+    place: dict[bytes, int] = {}
+    of = np.fromiter((place.setdefault(w, len(place)) for w in distinct), np.int64, len(distinct))
+    labels = labeller(net)(list(place))
+    which = of[coded.indices.to_numpy()]
+    lengths = np.fromiter(map(len, place), np.int64, len(place))
     total = np.zeros((len(texts) + 1, labels.shape[1]))
     for c in range(labels.shape[1]):
         sums = np.concatenate([[0.0], np.cumsum(labels[which, c], dtype=np.float64)])
         total[:-1, c] = np.diff(sums[words.first])
-    positions = np.diff(ends[words.first])
+    positions = np.diff(np.concatenate([[0], np.cumsum(lengths[which])])[words.first])
     return total[:-1] / np.maximum(positions, 1)[:, None]
 
 
+def lower_word(word: bytes) -> bytes:
+    """A word in lower case, in any script; A-Z are already."""
+    return word if word.isascii() else word.decode("utf-8", "replace").lower().encode()
+
+
 def has_letter(text: bytes) -> bool:
     """Any letter of any script; ASCII is settled without decoding."""
     if text.isascii():
@@ -316,7 +331,7 @@ def identified(docs: DataFrame, net: Network | None, extra: dict[str, Column] |
             names=[*kept, "lang_pred", "score"],
         )
 
-    return held.mapInArrow(over_slices(work, WHOLE_SLICE), f"{schema}, lang_pred string, score double")
+    return held.mapInArrow(over_slices(work, WHOLE_SLICE, _key(net)), f"{schema}, lang_pred string, score double")
 
 
 def accepted(docs: DataFrame, net: Network | None, least: float = LEAST_SCORE) -> DataFrame:
@@ -332,4 +347,4 @@ def accepted(docs: DataFrame, net: Network | None, least: float = LEAST_SCORE) -
         good = np.array([x != UNKNOWN for x in lang], bool) & (score >= least)
         return batch.filter(pa.array(good))
 
-    return docs.mapInArrow(over_slices(work, WHOLE_SLICE), docs.schema)
+    return docs.mapInArrow(over_slices(work, WHOLE_SLICE, _key(net)), docs.schema)

@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from orefold.llm.common import stored
+from orefold.operators.cells import unused
 
 MAX_COPIES = 3
 GROUP = 64
@@ -196,33 +197,33 @@ def digest(mixed: DataFrame) -> DataFrame:
 def mixed_documents(docs: DataFrame, max_copies: int = MAX_COPIES) -> DataFrame:
     """The documents of the mix, each as often as it is taken, all columns kept. Rows equal
     in id, source and size are numbered in order of their texts' hashes."""
+    names = {c: unused(docs, c) for c in ("of", "nth", "copies", "key", "again", "number", "copy")}
+    of, nth, copies, key, again, number, copy = (F.col(c) for c in names.values())
     taken = stored(
         mixed_copies(docs, max_copies).where("copies > 0 or dup = 2").select(
-            F.struct("doc_id", "source", "size").alias("__of"), F.col("dup").alias("__nth"),
-            F.col("copies").cast("int").alias("__copies"),
+            F.struct("doc_id", "source", "size").alias(names["of"]), F.col("dup").alias(names["nth"]),
+            F.col("copies").cast("int").alias(names["copies"]),
         ),
         "mix-taken",
     )
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    key = F.struct(
-        F.col("doc_id").cast("long").alias("doc_id"), F.col("source").alias("source"), size.alias("size")
+    keyed = docs.withColumn(
+        names["key"],
+        F.struct(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").alias("source"), size.alias("size")),
     )
-    keyed = docs.withColumn("__key", key)
-    repeated = taken.where("__nth = 2").select(F.col("__of").alias("__again"))
+    repeated = taken.where(nth == 2).select(of.alias(names["again"]))
     if repeated.isEmpty():
-        keyed = keyed.withColumn("__number", F.lit(1))
+        keyed = keyed.withColumn(names["number"], F.lit(1))
     else:
-        same = Window.partitionBy("__key").orderBy(F.xxhash64("text"))
-        again = F.col("__key").eqNullSafe(F.col("__again"))
-        alone = keyed.join(repeated, again, "left_anti").withColumn("__number", F.lit(1))
+        same = Window.partitionBy(names["key"]).orderBy(F.xxhash64("text"))
+        alone = keyed.join(repeated, key.eqNullSafe(again), "left_anti").withColumn(names["number"], F.lit(1))
         keyed = alone.unionByName(
-            keyed.join(repeated, again, "left_semi").withColumn("__number", F.row_number().over(same))
+            keyed.join(repeated, key.eqNullSafe(again), "left_semi").withColumn(
+                names["number"], F.row_number().over(same)
+            )
         )
     return (
-        keyed.join(
-            taken.where("__copies > 0"),
-            F.col("__key").eqNullSafe(F.col("__of")) & (F.col("__number") == F.col("__nth")),
-        )
-        .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
+        keyed.join(taken.where(copies > 0), key.eqNullSafe(of) & (number == nth))
+        .withColumn(names["copy"], F.explode(F.sequence(F.lit(1), copies)))
         .select(*docs.columns)
     )

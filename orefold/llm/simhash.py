@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 
 from orefold.llm.common import over_slices, stored
 from orefold.llm.components import components
+from orefold.operators.cells import unused
 from orefold.operators.joins import size_checked
 
 SHINGLE = 4
@@ -291,19 +292,20 @@ def one_of_each(
 ) -> DataFrame:
     """The documents whose id names their component, all columns kept; of rows with that
     same id one stays, the first in order of the text. Rows without an id all stay."""
+    key, nth = unused(docs, "key"), unused(docs, "nth")
     found = stored(near_duplicates(docs, shingle, radius, seed).select("doc_id", "component_id"), "found")
     ids = docs["doc_id"].cast("long")
-    chosen = found.where("doc_id = component_id").select(F.col("doc_id").alias("__id")).distinct()
-    held = docs.join(size_checked(chosen), ids == F.col("__id"), "left_semi")
+    chosen = found.where("doc_id = component_id").select(F.col("doc_id").alias(key)).distinct()
+    held = docs.join(size_checked(chosen), ids == F.col(key), "left_semi")
     out = held.unionByName(docs.where(ids.isNull()))
-    again = found.where("doc_id is not null").groupBy(F.col("doc_id").alias("__id")).count().where("count > 1")
-    again = stored(again.select("__id"), "repeated-ids")
+    again = found.where("doc_id is not null").groupBy(F.col("doc_id").alias(key)).count().where("count > 1")
+    again = stored(again.select(key), "repeated-ids")
     if again.isEmpty():
         return out
     again = size_checked(again)
     first = Window.partitionBy("doc_id").orderBy("text")
     one = (
-        held.join(again, ids == F.col("__id"), "left_semi")
-        .withColumn("__nth", F.row_number().over(first)).where("__nth = 1").drop("__nth")
+        held.join(again, ids == F.col(key), "left_semi")
+        .withColumn(nth, F.row_number().over(first)).where(F.col(nth) == 1).drop(nth)
     )
-    return out.join(again, ids == F.col("__id"), "left_anti").unionByName(one)
+    return out.join(again, ids == F.col(key), "left_anti").unionByName(one)

@@ -38,6 +38,7 @@ from pyspark.sql import functions as F
 
 from orefold.llm.common import (
     crc32,
+    forget_all_but,
     give_back,
     new_folder,
     ragged,
@@ -55,8 +56,10 @@ SEGMENT_BYTES = 1024 * 1024
 RANGE_BYTES = 32 * 1024 * 1024
 END_ID = 1
 MAGIC = b"PFR1"
-#: Distinct words that a worker remembers; beyond it, it starts anew.
+#: Distinct words that a worker remembers; beyond it, it keeps those of the last texts.
 REMEMBERED = 350_000
+#: Bytes of text that are encoded at a time, and cut into segments afterwards.
+ENCODED_BYTES = 4 * SEGMENT_BYTES
 
 WRITTEN = "part int, segment int, base long, n_ids long, doc_ids binary, lengths binary, payload binary"
 READ = "part int, segment int, doc_id long, offset long, n_tokens long, ids_crc32 long"
@@ -64,18 +67,39 @@ READ = "part int, segment int, doc_id long, offset long, n_tokens long, ids_crc3
 
 # blocks
 
+def _places(n: int, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """The 64-bit word in which each packed value begins, and at which bit."""
+    bit = np.arange(n, dtype=np.int64) * width
+    return bit >> 6, (bit & 63).astype(np.uint64)
+
+
 def pack(values: np.ndarray, width: int) -> bytes:
-    bits = (values[:, None] >> np.arange(width, dtype=np.uint32)) & np.uint32(1)
-    return np.packbits(bits.astype(np.uint8), bitorder="little").tobytes()
+    """Values of ``width`` bits back to back, the lowest bit first."""
+    n = len(values)
+    if width == 0 or not n:
+        return b""
+    word, bit = _places(n, width)
+    values = values.astype(np.uint64)
+    out = np.zeros(int(word[-1]) + 2, np.uint64)
+    firsts = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
+    out[word[firsts]] = np.bitwise_or.reduceat(values << bit, firsts)
+    # what does not fit goes on in the next word; one value at most crosses into it
+    over = bit + np.uint64(width) > np.uint64(64)
+    out[word[over] + 1] |= values[over] >> (np.uint64(64) - bit[over])
+    return out.astype("<u8").tobytes()[: (n * width + 7) // 8]
 
 
 def unpack(data: np.ndarray, width: int, n: int) -> np.ndarray:
-    if width == 0:
+    if width == 0 or not n:
         return np.zeros(n, np.uint32)
-    bits = np.unpackbits(data, count=n * width, bitorder="little").reshape(n, width)
-    padded = np.zeros((n, 32), np.uint8)
-    padded[:, :width] = bits
-    return np.packbits(padded, axis=1, bitorder="little").view("<u4").ravel()
+    word, bit = _places(n, width)
+    held = np.zeros((int(word[-1]) + 2) * 8, np.uint8)
+    held[: len(data)] = data
+    words = held.view("<u8")
+    out = words[word] >> bit
+    over = bit + np.uint64(width) > np.uint64(64)
+    out[over] |= words[word[over] + 1] << (np.uint64(64) - bit[over])
+    return (out & np.uint64((1 << width) - 1)).astype(np.uint32)
 
 
 def encode_block(ids: np.ndarray, fit: float = FIT) -> bytes:
@@ -173,6 +197,14 @@ class WordEncoder:
         self.starts, self.lengths = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64)
         self.ids, self.used = np.zeros(1 << 14, np.uint32), 0
 
+    def _keep(self, words: list[bytes]) -> None:
+        """Forget all words but these."""
+        at = np.fromiter(map(self.places.__getitem__, words), np.int64, len(words))
+        lengths = self.lengths[at]
+        ids = self.ids[ragged(self.starts[at], lengths)]
+        self.forget()
+        self._add(words, ids, lengths)
+
     def _add(self, words: list[bytes], ids: np.ndarray, lengths: np.ndarray) -> None:
         n, m = len(self.places), len(words)
         self.starts, self.lengths = _room(self.starts, n + m), _room(self.lengths, n + m)
@@ -191,9 +223,11 @@ class WordEncoder:
         single = {w for w in words if w not in split}
         single |= {p for c in compound for p in c[1:] if p not in known}
         # plain pieces go straight to the library's merges, the others through all its steps
-        plain = [p for p in single if _PLAIN.match(p)]
+        tokenize, letters = self.merges.tokenize, self.letters
+        plain = [p for p in single if p.isalpha() or _PLAIN.match(p)]
         made = [
-            [t.id for t in self.merges.tokenize(p.decode("latin-1").translate(self.letters))] for p in plain
+            [t.id for t in tokenize(p.decode() if p.isascii() else p.decode("latin-1").translate(letters))]
+            for p in plain
         ]
         lengths = np.fromiter(map(len, made), np.int64, len(made))
         self._add(plain, np.fromiter(chain.from_iterable(made), np.uint32, int(lengths.sum())), lengths)
@@ -216,8 +250,7 @@ class WordEncoder:
         """The places of distinct words."""
         new = [w for w in words if w not in self.places]
         if len(self.places) + 2 * len(new) > REMEMBERED:
-            self.forget()
-            new = words
+            self._keep([w for w in words if w in self.places])
         if new:
             self._learn(new)
         return np.fromiter(map(self.places.__getitem__, words), np.int64, len(words))
@@ -266,25 +299,35 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_I
     ordered = wanted.repartitionByRange(int(ranges), "doc_id").sortWithinPartitions("doc_id", "text")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_all_but(tokenizer)
         encode, part, segment, base = encoder(tokenizer), TaskContext.get().partitionId(), 0, 0
-        for batch, texts in slices(batches, most=SEGMENT_BYTES):
+        for batch, texts in slices(batches, most=ENCODED_BYTES):
             ids, lengths = with_ends(*encode.texts(texts), end_id)
             doc_ids = batch.column("doc_id")
-            missing = np.packbits(np.array(doc_ids.is_null())).tobytes() if doc_ids.null_count else b""
-            held = doc_ids.fill_null(0).to_numpy().astype("<i8").tobytes() + missing
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "part": pa.array([part], pa.int32()),
-                    "segment": pa.array([segment], pa.int32()),
-                    "base": pa.array([base], pa.int64()),
-                    "n_ids": pa.array([len(ids)], pa.int64()),
-                    "doc_ids": pa.array([held], pa.binary()),
-                    "lengths": pa.array([encode_segment(lengths)], pa.binary()),
-                    "payload": pa.array([encode_segment(ids)], pa.binary()),
-                }
-            )
-            segment, base = segment + 1, base + len(ids)
-            del ids, lengths, held, batch, texts
+            missing = np.array(doc_ids.is_null()) if doc_ids.null_count else None
+            known = doc_ids.fill_null(0).to_numpy().astype("<i8")
+            ends, at = np.cumsum(lengths), raw(texts)[1]
+            start = 0
+            while start < len(lengths):  # segments end with documents
+                stop = max(int(np.searchsorted(at, at[start] + SEGMENT_BYTES, side="right")) - 1, start + 1)
+                stop = min(stop, len(lengths))
+                own = ids[ends[start] - lengths[start] : ends[stop - 1]]
+                held = known[start:stop].tobytes()
+                if missing is not None and missing[start:stop].any():
+                    held += np.packbits(missing[start:stop]).tobytes()
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "part": pa.array([part], pa.int32()),
+                        "segment": pa.array([segment], pa.int32()),
+                        "base": pa.array([base], pa.int64()),
+                        "n_ids": pa.array([len(own)], pa.int64()),
+                        "doc_ids": pa.array([held], pa.binary()),
+                        "lengths": pa.array([encode_segment(lengths[start:stop])], pa.binary()),
+                        "payload": pa.array([encode_segment(own)], pa.binary()),
+                    }
+                )
+                segment, base, start = segment + 1, base + len(own), stop
+            del ids, lengths, batch, texts
             give_back()
 
     made = ordered.mapInArrow(work, WRITTEN)

@@ -76,7 +76,7 @@ def test_document_shares_equal_word_by_word():
         cut = "".join(chr(b) if language.INSIDE[b] else " " for b in t.encode()).encode("latin-1")
         want, n = np.zeros(3), 0
         for w in cut.split():
-            w = bytes(b + 32 if 65 <= b < 91 else b for b in w)
+            w = w.decode().lower().encode()
             for i in range(0, len(w), language.PIECE):
                 piece = np.frombuffer(w[i : i + language.PIECE], np.uint8)[None]
                 want += net.labels(piece)[0]
@@ -84,6 +84,17 @@ def test_document_shares_equal_word_by_word():
         assert share == pytest.approx(want / max(n, 1), abs=1e-4)
 
 
+def test_capitals_of_any_script_read_like_small_letters():
+    words = [("ru", w.encode(), 3) for w in "привет дорога молоко зима вода город".split()]
+    words += [("bg", w.encode(), 3) for w in "здравей пътят мляко зимата водата градът".split()]
+    net = language.train(words, steps=60)
+    for text in ("Привет ДОРОГА молоко", "ЗДРАВЕЙ Пътят мляко"):
+        texts = [text, text.lower(), text.upper()]
+        small = language.document_shares(net, binary(pa.array(texts)))
+        assert np.allclose(small[0], small[1]) and np.allclose(small[1], small[2])
+    assert language.predictions(net, binary(pa.array(["ПРИВЕТ ДОРОГА ВОДА"])))[0] == ["ru"]
+
+
 def test_language_held_out(spark):
     got = queries.op6_language(spark, SMALL)
     docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "lang", "text")

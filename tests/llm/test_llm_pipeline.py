@@ -41,6 +41,35 @@ def test_decisions_take_effect(spark, tmp_path):
     assert sum(r.n_tokens for r in out) == max(r.start + r.n_tokens for r in out)
 
 
+CLASHING = ", key long, nth int, of string, copies int, again int, number int, copy int, count long, fp long, score double"
+
+
+def test_empty_table(spark, tmp_path):
+    d = write(spark, tmp_path / "in", [], [(1, "one two three")])
+    assert corpus_pipeline.run(spark, d).collect() == []
+
+
+def test_clashing_columns_and_repeated_rows(spark, tmp_path):
+    """Columns with the names that stages use inside pass through them."""
+    rng = random.Random(2)
+    texts = [text(rng, 60) for _ in range(20)]
+    data = [(i, t, "en", "s", 1) for i, t in enumerate(texts)] + [(3, texts[3], "en", "s", 1), (None, texts[4], "en", None, 1)]
+    extra = [(*r, 1, 2, "x", 3, 4, 5, 6, 7, 8, 0.5) for r in data]
+    folder = tmp_path / "in"
+    spark.createDataFrame(extra, DOCS + CLASHING).write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame([(1, text(rng, 30))], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    columns = docs.columns
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        docs = stage(spark, docs, str(folder))
+        assert docs.columns == columns, name
+        row = docs.first()
+        assert tuple(row)[5:] == (1, 2, "x", 3, 4, 5, 6, 7, 8, 0.5)
+    assert {r.doc_id for r in docs.collect()} <= {*range(20), None}
+    out = corpus_pipeline.run(spark, str(folder)).collect()
+    assert out and sum(r.n_tokens for r in out) == max(r.start + r.n_tokens for r in out)
+
+
 def test_run_on_given_tables(spark):
     out = corpus_pipeline.run(spark, SMALL)
     assert out.columns == ["doc_id", "start", "n_tokens", "ids_crc32"] and out.count() > 0
@@ -48,6 +77,6 @@ def test_run_on_given_tables(spark):
 
 def test_registered():
     names = contract.queries()
-    assert {f"op{n}" for n in range(1, 11)} <= {n.split("_")[0] for n in names} and "pipeline" in names
-    assert len(queries.QUERIES) == 10
+    assert {f"op{n}" for n in range(1, 14)} <= {n.split("_")[0] for n in names} and "pipeline" in names
+    assert len(queries.QUERIES) == 13
     assert mixing.MAX_COPIES == 3 and simhash.RADIUS == 4
