@@ -7,6 +7,14 @@ Each stage takes what its predecessor kept, written as Parquet and read again.
 * benchmark decontamination: documents that hold a benchmark item go,
 * mixing: documents are taken as often as their source's target weight asks for,
 * token ids: the mix is encoded and written in blocks; the result is its index.
+
+Defined results: documents with a null or empty text, or without a letter, have no known
+language and go; a null id is its own: such documents are never duplicates of one another, and
+stay; rows that repeat an id are one document, the first by its text; ties in language go to
+the first by name, and of a group the least id stays; a null source is a source. Texts of any
+length are read whole. Extra columns pass through every stage but the last, whatever their
+names. Where nothing can be learned (an empty table, no language given) all documents pass the
+first stage; an empty table gives an empty index.
 """
 
 from __future__ import annotations
