@@ -56,6 +56,35 @@ def attach(
     return fact.join(dim.withColumnRenamed(dim_key, fact_key), fact_key, how)
 
 
+def attach_large(
+    fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, how: str = "left", hot_share: float = 0.001
+) -> DataFrame:
+    """As ``attach``, for reference data that is too large to broadcast, whatever the share of
+    rows that a few keys have.
+
+    Keys with more than ``hot_share`` of the facts (so at most ``1 / hot_share`` of them) are
+    counted first. Their reference rows are few, and are broadcast to the facts of these keys,
+    which are not shuffled; all other facts meet the reference data by a shuffle in which no
+    key is large. Null keys match nothing, and stay where they are too. ``fact`` is read more
+    than once: a written table. ``dim_key`` must be unique.
+    """
+    if how not in ("left", "inner"):
+        raise ValueError(f"how must be 'left' or 'inner', not {how!r}")
+    counts = fact.where(F.col(fact_key).isNotNull()).groupBy(fact_key).agg(F.count(F.lit(1)).alias("n_rows"))
+    total = fact.count()
+    hot = [r[0] for r in counts.where(F.col("n_rows") > hot_share * total).select(fact_key).collect()]
+    side = dim.withColumnRenamed(dim_key, fact_key)
+    is_hot = F.col(fact_key).isin(hot) if hot else F.lit(False)
+    rest = fact.where(F.col(fact_key).isNotNull() & ~is_hot).join(side, fact_key, how)
+    out = rest
+    if hot:
+        out = out.unionByName(fact.where(is_hot).join(F.broadcast(side.where(is_hot)), fact_key, how))
+    if how == "left":
+        empty = {f.name: F.lit(None).cast(f.dataType) for f in side.schema if f.name != fact_key}
+        out = out.unionByName(fact.where(F.col(fact_key).isNull()).withColumns(empty).select(*out.columns))
+    return out
+
+
 def keys_missing_from(df: DataFrame, dim: DataFrame, key: str, dim_key: str) -> DataFrame:
     """Rows whose key the reference data does not hold."""
     known = dim.select(F.col(dim_key).alias(key))
