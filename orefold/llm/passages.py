@@ -27,10 +27,11 @@ Result: one row per passage and document, with the passage of the class represen
 equals; representatives have a row of their own. A passage that a document has of several
 representatives is reported with the earliest.
 
-Defined results: texts shorter than a passage have none; null texts and rows without an id
-have none; rows that repeat an id are one document, compared by one of their texts; a
-passage that repeats within one document only is not reported; an empty table gives no
-rows; extra columns are ignored.
+Defined results: texts shorter than a passage have none, nor have null texts; equal rows are
+one document; rows without an id, and rows of an id that has unlike texts, are documents of
+their own, reported under their id (null for none) and after all others in the order that
+makes representatives; a passage that repeats within one document only is not reported; an
+empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -44,7 +45,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orefold.llm.common import LOWER, SPACE, Words, mixed, over_slices, raw, stored
-from orefold.operators.joins import size_checked
+from orefold.operators.joins import attach_large, size_checked
 
 SHINGLE = 5
 PASSAGE_WORDS = 50
@@ -202,7 +203,8 @@ def linked(windows: DataFrame, passage_words: int, size: int = SHINGLE) -> DataF
     first = held.groupBy("signature").agg(
         F.min(F.struct(*WINDOW, "after", "before")).alias("rep")
     )
-    met = held.join(first, "signature")
+    # a signature that many windows have meets its first window without a shuffle
+    met = attach_large(held, first, "signature", "signature", "inner")
     lengths = context_lengths(passage_words)
     apart = []
     for side, name in enumerate(("after", "before")):
@@ -373,7 +375,37 @@ def passages(
 ) -> DataFrame:
     """``PASSAGES``: near-duplicate passages, each with that of its representative."""
     width = passage_words - size + 1
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null")
+    texts, names = _documents(docs)
+    out = _passages(texts, passage_words, similarity, hashes, size, width)
+    if names is None:
+        return out
+    for column in ("doc_id", "rep_doc_id"):
+        of = names.select(F.col("key").alias(column), F.col("doc_id").alias("named"), F.lit(True).alias("own"))
+        named = F.when(F.col("own"), F.col("named")).otherwise(F.col(column))
+        out = out.join(of, column, "left").withColumn(column, named).drop("named", "own")
+    return out.select(*[c.split()[0] for c in PASSAGES.split(", ")]).distinct()
+
+
+def _documents(docs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """``doc_id, text`` with an id of its own for each text, and the ids (``key, doc_id``) of
+    those that got another one: rows without an id, and those of ids with unlike texts."""
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text")).where("text is not null")
+    h = F.xxhash64("text")
+    unlike = texts.where("doc_id is not null").groupBy("doc_id").agg(F.min(h).alias("a"), F.max(h).alias("b"))
+    unlike = stored(unlike.where("a <> b").select("doc_id", F.lit(True).alias("unlike")), "unlike-ids")
+    if unlike.isEmpty() and texts.where("doc_id is null").isEmpty():
+        return texts, None
+    # above all other ids, so that these come last
+    key = F.shiftrightunsigned(F.xxhash64("doc_id", "text"), 2) + F.lit(1 << 62)
+    marked = texts.join(size_checked(unlike), "doc_id", "left")
+    other = F.col("doc_id").isNull() | F.col("unlike").isNotNull()
+    names = stored(marked.where(other).select(key.alias("key"), "doc_id").distinct(), "other-ids")
+    return marked.select(F.when(other, key).otherwise(F.col("doc_id")).alias("doc_id"), "text"), size_checked(names)
+
+
+def _passages(
+    texts: DataFrame, passage_words: int, similarity: float, hashes: int, size: int, width: int
+) -> DataFrame:
     found = stored(candidates(linked(all_windows(texts, width, hashes, size), passage_words, size)), "passage-candidates")
     needed = found.select("doc_id").unionByName(found.select(F.col("rep_id").alias("doc_id"))).distinct()
     wanted = texts.join(size_checked(stored(needed, "passage-documents")), "doc_id", "left_semi")

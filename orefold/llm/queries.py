@@ -67,9 +67,8 @@ def op7_token_ids(spark: SparkSession, d: str) -> DataFrame:
 
 def op8_language_model(spark: SparkSession, d: str) -> DataFrame:
     """Learns from four of five folds of the ids."""
-    docs, held_out = documents(spark, d), fold_of(F.col("doc_id"), 5) == 1
-    tree, counts = suffix_tree.learned(docs.where(~held_out).select("text"))
-    return suffix_tree.scored(docs, tree, counts, {"held_out": held_out})
+    held_out = fold_of(F.col("doc_id"), 5) == 1
+    return suffix_tree.cross_scored(documents(spark, d), ~held_out, {"held_out": held_out})
 
 
 def op9_source_mix(spark: SparkSession, d: str) -> DataFrame:

@@ -1,9 +1,8 @@
-"""Language ID, toxicity and the suffix tree."""
+"""Language ID and toxicity."""
 
 import itertools
 import math
 import random
-from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -11,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpus import frame, odd_rows, rows, text
-from orefold.llm import language, queries, suffix_tree, toxicity
+from orefold.llm import language, queries, toxicity
 from orefold.llm.common import binary
 
 SMALL = "/root/testdata/sf0.01"
@@ -173,95 +172,3 @@ def test_toxic_spans_and_odd_rows(spark):
     assert toxicity.fitted(df, labels.where("toxic = 0"), F.lit(True)) is None
     assert toxicity.fitted(frame(spark, []), labels, F.lit(True)) is None
     assert {r.score for r in toxicity.scored(df, None).collect()} == {0.0}
-
-
-# suffix tree
-
-def tokenised(t):
-    return "".join(c.lower() if "A" <= c <= "Z" else c for c in t or "").encode().split() + [None]
-
-
-def base_scores(train, docs):
-    counts = Counter(w for t in train for w in tokenised(t))
-    n, v = sum(counts.values()), len(counts)
-    out = []
-    for t in docs:
-        c = [counts[w] for w in tokenised(t)]
-        out.append((len(c), sum(x > 0 for x in c), n, sum(math.log10((x + 0.5) / (n + 0.5 * (v + 1))) for x in c)))
-    return out
-
-
-def slow_score(tree, t, counts):
-    """Walks the states of the tree one token at a time."""
-    n, root = tree.size, tree.root()
-    symbols = [tree.end if w is None else tree.alphabet.get(w, tree.other) for w in tokenised(t)]
-    total = 0.0
-    for i, (s, w) in enumerate(zip(symbols, tokenised(t))):
-        p = root[s]
-        for depth, level in enumerate(tree.levels, 1):
-            if depth > i:
-                break
-            code = 0
-            for k in range(depth, 0, -1):
-                code = code * n + symbols[i - k]
-            at = np.flatnonzero(level.contexts == code)
-            if not len(at):
-                continue
-            hit = np.flatnonzero(level.pairs == code * n + s)
-            c = level.counts[hit[0]] if len(hit) else 0
-            p = (c + level.left[at[0]] * p) / (level.tokens[at[0]] + suffix_tree.SMOOTHING)
-        if s == tree.other:
-            p *= (counts.get(w, 0) + 0.5) / tree.whole / root[tree.other]
-        total += math.log10(p)
-    return total
-
-
-def patterned(rng, n):
-    """Words that follow one another, so that contexts say something."""
-    out = []
-    for _ in range(n):
-        out += rng.choice([["The", "cat", "sat"], ["the", "dog", "ran", "off"], ["a", rng.choice("xyz") + str(rng.randrange(500))]])
-    return " ".join(out)
-
-
-def test_suffix_tree_scores(spark):
-    rng = random.Random(7)
-    train = [patterned(rng, rng.randrange(5, 200)) for _ in range(40)]
-    docs = [patterned(rng, 30), text(rng, 30), "", None, "the the THE", train[0]]
-    tree, counts = suffix_tree.learned(frame(spark, rows(train)).select("text"))
-    got = {r.doc_id: r for r in suffix_tree.scored(frame(spark, rows(docs)), tree, counts).collect()}
-    table = Counter(w for t in train for w in tokenised(t))
-    assert any(len(level.contexts) for level in tree.levels[1:])
-    for i, (t, want) in enumerate(zip(docs, base_scores(train, docs))):
-        assert (got[i].n_tokens, got[i].n_known, got[i].train_tokens) == want[:3]
-        assert got[i].base_score == pytest.approx(want[3])
-        assert got[i].score == pytest.approx(slow_score(tree, t, table))
-    assert got[0].score > got[0].base_score
-
-
-def test_next_symbols_sum_to_one(spark):
-    rng = random.Random(8)
-    train = [patterned(rng, 100) for _ in range(20)]
-    tree, _ = suffix_tree.learned(frame(spark, rows(train)).select("text"))
-    n = tree.size
-    for before in ([], [0], [1, 2], [n - 2, 0, 1], [2, 1, 0]):
-        symbols = np.array([s for last in range(n) for s in (*before, last)])
-        place = np.tile(np.arange(len(before) + 1), n)
-        p = tree.probabilities(symbols, place)[len(before) :: len(before) + 1]
-        assert p.sum() == pytest.approx(1)
-
-
-def test_suffix_tree_odd_rows(spark):
-    docs = odd_rows()
-    df = frame(spark, docs, clash=True)
-    tree, counts = suffix_tree.learned(df.select("text"))
-    got = suffix_tree.scored(df, tree, counts).collect()
-    texts = [d[1] for d in docs]
-    want = sorted(round(w[3], 6) for w in base_scores(texts, texts))
-    assert sorted(round(r.base_score, 6) for r in got) == want
-    tree, counts = suffix_tree.learned(frame(spark, []).select("text"))
-    got = suffix_tree.scored(df, tree, counts).collect()
-    want = sorted(round(w[3], 6) for w in base_scores([], texts))
-    assert sorted(round(r.base_score, 6) for r in got) == want
-    assert all(r.score == r.base_score and r.n_known == 0 for r in got)
-    assert suffix_tree.scored(frame(spark, []), tree, counts).count() == 0

@@ -130,10 +130,25 @@ def test_two_passages_at_near_shifts_and_a_clean_one_beside_an_edited():
     assert len(got) == 2 and got[1][0] <= 121 and got[1][1] >= 179
 
 
+def test_every_row_of_a_repeated_id_is_compared(spark):
+    """Unlike texts under one id, and rows without an id, are documents of their own."""
+    rng = random.Random(21)
+    passage = " ".join(words(rng, 80))
+    first = f"{text(rng, 40)} {passage} {text(rng, 30)}"
+    data = [
+        (1, first), (2, text(rng, 120)), (2, f"{text(rng, 33)} {passage} {text(rng, 12)}"),
+        (2, f"{passage} {text(rng, 50)}"), (None, f"{text(rng, 9)} {passage}"), (None, text(rng, 100)), (3, text(rng, 90)),
+    ]
+    got = op.passages(frame(spark, [(i, t, "en", "a", 1) for i, t in data])).collect()
+    assert {(r.doc_id, r.rep_doc_id) for r in got} == {(1, 1), (2, 1), (None, 1)}
+    assert sorted((r.start_word, r.end_word) for r in got if r.doc_id == 2) == [(0, 80), (33, 113)]
+    assert [(r.start_word, r.end_word) for r in got if r.doc_id is None] == [(9, 89)]
+
+
 def test_odd_rows_and_empty_tables(spark):
     docs = odd_rows()
     got = op.passages(frame(spark, docs, clash=True)).collect()
-    assert {(r.doc_id, r.rep_doc_id) for r in got} == {(5, 5), (6, 5)}
+    assert {(r.doc_id, r.rep_doc_id) for r in got} == {(5, 5), (6, 5), (None, 5)}
     assert op.passages(frame(spark, [])).count() == 0
     assert op.passages(frame(spark, rows([text(random.Random(1), 20)] * 3))).count() == 0
     many = "\n".join(["be be be"] * 200)
