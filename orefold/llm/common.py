@@ -35,8 +35,11 @@ _LETTERS = np.random.default_rng(7).integers(1, 1 << 63, 256, dtype=np.uint64) |
 
 def on_workers(spark: SparkSession) -> None:
     """Let Python workers on this machine import the package from where the driver has it.
-    On a cluster it is installed, or passed with ``--py-files``, as any other package."""
+    On a cluster it is installed, or passed with ``--py-files``, as any other package. Workers
+    take memory from the system's own allocator, and so can give it back."""
     sc = spark.sparkContext
+    sc.environment["ARROW_DEFAULT_MEMORY_POOL"] = "system"
+    sc.environment["MALLOC_ARENA_MAX"] = "2"
     if sc.master.startswith("local"):
         root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
         paths = [p for p in sc.environment.get("PYTHONPATH", "").split(os.pathsep) if p]
@@ -231,6 +234,12 @@ def forget_all_but(key) -> None:
         give_back()
 
 
+def at_rest() -> None:
+    """At the end of a task: idle workers hold no arrays."""
+    _powers.update(up=np.ones(1, np.uint64), down=np.ones(1, np.uint64))
+    give_back()
+
+
 def give_back() -> None:
     """Return freed memory to the system: workers live on, and the next operator's needs
     would come on top of what this one has left behind."""
@@ -254,5 +263,6 @@ def over_slices(
                 yield out
             del out, batch, texts
             give_back()
+        at_rest()
 
     return run

@@ -39,7 +39,7 @@ WALKS = (12, 6, 4, 2, 1)
 SAMPLED = 5
 UNLIKE = 3
 ANCHOR_STRIDE = 1
-BLOCK_ITEMS, BLOCK_BYTES = 20_000, 16 * 1024 * 1024
+BLOCK_ITEMS, BLOCK_BYTES = 4_000, 1024 * 1024
 MAX_REPEATS = 32
 #: Simulated edits for each length; longer items are tried by their first so many symbols,
 #: as recall grows with length at the same share of edits.

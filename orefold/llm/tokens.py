@@ -57,7 +57,7 @@ RANGE_BYTES = 32 * 1024 * 1024
 END_ID = 1
 MAGIC = b"PFR1"
 #: Distinct words that a worker remembers; beyond it, it keeps those of the last texts.
-REMEMBERED = 350_000
+REMEMBERED = 250_000
 #: Bytes of text that are encoded at a time, and cut into segments afterwards.
 ENCODED_BYTES = SEGMENT_BYTES
 
