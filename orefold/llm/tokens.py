@@ -57,9 +57,9 @@ RANGE_BYTES = 32 * 1024 * 1024
 END_ID = 1
 MAGIC = b"PFR1"
 #: Distinct words that a worker remembers; beyond it, it keeps those of the last texts.
-REMEMBERED = 250_000
+REMEMBERED = 500_000
 #: Bytes of text that are encoded at a time, and cut into segments afterwards.
-ENCODED_BYTES = SEGMENT_BYTES
+ENCODED_BYTES = 2 * SEGMENT_BYTES
 
 WRITTEN = "part int, segment int, base long, n_ids long, doc_ids binary, lengths binary, payload binary"
 READ = "part int, segment int, doc_id long, offset long, n_tokens long, ids_crc32 long"
