@@ -40,6 +40,8 @@ SAMPLED = 5
 UNLIKE = 3
 ANCHOR_STRIDE = 1
 BLOCK_ITEMS, BLOCK_BYTES = 4_000, 1024 * 1024
+#: Bytes of documents that are searched at a time: each window has a walk for each repetition.
+READ_BYTES = 512 * 1024
 MAX_REPEATS = 32
 #: Simulated edits for each length; longer items are tried by their first so many symbols,
 #: as recall grows with length at the same share of edits.
@@ -389,7 +391,7 @@ def contaminated(
                 names=["doc_id", "item_id", "start_word", "end_word", "edits", "item_words"],
             )
 
-        part = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(over_slices(work), SCHEMA)
+        part = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(over_slices(work, READ_BYTES), SCHEMA)
         out = part if out is None else out.unionByName(part)
     return out
 
@@ -405,5 +407,5 @@ def without_contaminated(
             clean[[m[0] for m in items.matches(*symbols(texts))]] = False
             return batch.filter(pa.array(clean))
 
-        docs = docs.mapInArrow(over_slices(work), docs.schema)
+        docs = docs.mapInArrow(over_slices(work, READ_BYTES), docs.schema)
     return docs
