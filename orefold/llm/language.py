@@ -41,7 +41,7 @@ STEPS, BATCH, RATE, SEED = 900, 192, 0.02, 3
 LEAST_SCORE = 0.35
 _ROWS = 4096
 #: Distinct words that a worker remembers; beyond it, it starts anew.
-REMEMBERED = 300_000
+REMEMBERED = 150_000
 #: Bytes of text labelled at a time: larger slices repeat more words, smaller ones need less.
 WHOLE_SLICE = 1024 * 1024
 

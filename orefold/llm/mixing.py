@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from orefold.llm.common import stored
 from orefold.operators.cells import unused
+from orefold.operators.joins import size_checked
 
 MAX_COPIES = 3
 GROUP = 64
@@ -223,7 +224,8 @@ def mixed_documents(docs: DataFrame, max_copies: int = MAX_COPIES) -> DataFrame:
             )
         )
     return (
-        keyed.join(taken.where(copies > 0), key.eqNullSafe(of) & (number == nth))
+        # texts stay where they are while what is taken is small
+        keyed.join(size_checked(taken.where(copies > 0)), key.eqNullSafe(of) & (number == nth))
         .withColumn(names["copy"], F.explode(F.sequence(F.lit(1), copies)))
         .select(*docs.columns)
     )
