@@ -7,14 +7,19 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from orefold.operators import cells
+
 
 def _first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """Spark cuts each key to one row per map task before the shuffle
-    (WindowGroupLimit), so a key with very many versions does not pile up."""
-    by_key = Window.partitionBy(*keys).orderBy(*order)
-    return (
-        df.withColumn("_rn", F.row_number().over(by_key)).filter(F.col("_rn") == 1).drop("_rn")
-    )
+    (WindowGroupLimit), so a key with very many versions does not pile up.
+
+    The hash of the key leads: sorts compare rows by the first column's eight bytes, which
+    names like ``Member 1`` share, and would else compare most rows column by column."""
+    hashed = cells.unused(df, "_hash")
+    by_key = Window.partitionBy(hashed, *keys).orderBy(*order)
+    numbered = df.withColumn(hashed, F.xxhash64(*keys)).withColumn("_rn", F.row_number().over(by_key))
+    return numbered.filter(F.col("_rn") == 1).drop("_rn", hashed)
 
 
 def keep_latest(

@@ -29,9 +29,9 @@ def payload_text(payload: Column) -> Column:
     return F.nullif(F.trim(payload, F.lit(" \t\r\n")), F.lit("null"))
 
 
-def _document(payload: Column, schema: str, mode: str) -> Column:
-    """Parse one payload; its top level must be an array or an object as in the schema."""
-    text = payload_text(payload)
+def _document(text: Column, schema: str, mode: str) -> Column:
+    """Parse one ``payload_text``, a column of its own, since it is named several times and
+    trimming is dear; its top level must be an array or an object as in the schema."""
     top_level_fits = text.startswith("[" if schema.startswith("array") else "{")
     if mode == "lenient":
         return F.when(top_level_fits, F.from_json(text, schema))
@@ -41,6 +41,11 @@ def _document(payload: Column, schema: str, mode: str) -> Column:
     )
 
 
+def _opened(raw: DataFrame, key: str) -> DataFrame:
+    """``key``, ``extracted_at`` and the payload's text as ``_text``."""
+    return raw.select(key, "extracted_at", payload_text(F.col("payload")).alias("_text"))
+
+
 def explode_bars(raw: DataFrame, mode: str = "strict") -> DataFrame:
     """One row per element of ``payload.bars``, leaves as text.
 
@@ -48,8 +53,8 @@ def explode_bars(raw: DataFrame, mode: str = "strict") -> DataFrame:
     is not an object with an array of bars; ``lenient`` skips it (see ``split_raw``).
     """
     require_session(raw.sparkSession)
-    bars = _document(F.col("payload"), schemas.BAR_DOC, _checked_mode(mode))["bars"]
-    return raw.select("symbol", "extracted_at", F.explode(bars).alias("bar")).select(
+    bars = _document(F.col("_text"), schemas.BAR_DOC, _checked_mode(mode))["bars"]
+    return _opened(raw, "symbol").select("symbol", "extracted_at", F.explode(bars).alias("bar")).select(
         "symbol", "extracted_at", "bar.*"
     )
 
@@ -57,8 +62,8 @@ def explode_bars(raw: DataFrame, mode: str = "strict") -> DataFrame:
 def explode_trades(raw: DataFrame, mode: str = "strict") -> DataFrame:
     """One row per element of the payload's top-level array, leaves as text."""
     require_session(raw.sparkSession)
-    trades = _document(F.col("payload"), schemas.TRADE_DOC, _checked_mode(mode))
-    return raw.select("source", "extracted_at", F.explode(trades).alias("trade")).select(
+    trades = _document(F.col("_text"), schemas.TRADE_DOC, _checked_mode(mode))
+    return _opened(raw, "source").select("source", "extracted_at", F.explode(trades).alias("trade")).select(
         "source", "extracted_at", "trade.*"
     )
 
@@ -99,9 +104,7 @@ def read_bars(raw: DataFrame, mode: str = "strict", clock: str = "wall") -> Data
     """
     require_session(raw.sparkSession)
     _checked_mode(mode)
-    opened = raw.select(
-        "symbol", "extracted_at", payload_text(F.col("payload")).alias("_text")
-    ).withColumn(
+    opened = _opened(raw, "symbol").withColumn(
         "_doc", F.from_json("_text", schemas.NUMBER_BAR_DOC, {"mode": "PERMISSIVE"})
     )
     fits = F.col("_doc").isNotNull() & F.col("_doc._corrupt_record").isNull()

@@ -79,8 +79,10 @@ def _advance(
         touched = fresh.select(F.col(day).alias("day")).distinct()
         newest = manifest(spark, store, batch_id)
         wanted = newest.join(touched, newest["day"].eqNullSafe(touched["day"]), "left_semi")
-        kept = rows_of(spark, store, schema, day, wanted)
-        merged = latest(fresh.unionByName(kept.select(*fresh.columns)))
+        merged = fresh  # where no touched day has rows yet, the batch's latest are the latest
+        if not wanted.isEmpty():
+            kept = rows_of(spark, store, schema, day, wanted)
+            merged = latest(fresh.unionByName(kept.select(*fresh.columns)))
         merged.hint("rebalance", day).write.mode("overwrite").partitionBy(day).parquet(
             f"{store}/{VERSION}={batch_id}"
         )
