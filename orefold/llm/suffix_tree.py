@@ -45,16 +45,18 @@ from pyspark.sql import functions as F
 from orefold.llm.common import binary, forget_all_but, give_back, mixed, over_slices, raw, slices, split_words, stored, text_bytes
 
 DEPTH = 3
-LEAST_CONTEXT = 4000
-LEAST_NEXT = 40
+#: What occurs once only says nothing beyond its own text; all else may be a context.
+LEAST_CONTEXT = 2
+LEAST_NEXT = 1
 #: Tokens times relative entropy, in nats.
 EVIDENCE = 16.0
 SMOOTHING = 1.0
 CHUNK_BYTES = 8 * 1024 * 1024
 #: Bytes of text counted at a time: larger slices repeat more words.
 COUNTED_BYTES = 8 * 1024 * 1024
-#: Bytes of symbols that are counted or scored at a time.
+#: Bytes of symbols that are counted or scored at a time, and that ask for their states at once.
 SYMBOL_BYTES = 4 * 1024 * 1024
+ASKING_BYTES = 1024 * 1024
 #: Rows of a sorted array that tasks get (8 bytes each, with values 24).
 MOST_SENT = 1_500_000
 #: Pairs that a task holds before it hands them on.
@@ -507,7 +509,7 @@ def score_rows(rows: DataFrame, model: Model) -> DataFrame:
 
         return rows.mapInArrow(work, out_type)
 
-    chunks = max(-(-text_bytes(rows, "symbols") // SYMBOL_BYTES), 1)
+    chunks = max(-(-text_bytes(rows, "symbols") // ASKING_BYTES), 1)
     held = rows.withColumn("_chunk", F.pmod(F.xxhash64("symbols", "base_score", "doc_id"), F.lit(chunks)))
 
     def asks(group: pa.Table) -> pa.Table:

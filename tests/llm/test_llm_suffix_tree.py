@@ -190,3 +190,17 @@ def test_odd_rows(spark):
         round(len(tokenised(t)) * math.log10(0.5 / 0.5), 6) + 0.0 for t in texts
     )
     assert suffix_tree.scored(frame(spark, []), nothing).count() == 0
+
+
+def test_words_and_contexts_seen_twice_are_learned(spark):
+    """With the limits that the query runs with: a text that occurs twice is known as a whole."""
+    rng = random.Random(3)
+    twice = " ".join(f"w{i}" for i in range(40))
+    train = [twice, twice, *[text(rng, 40) for _ in range(500)]]
+    model = suffix_tree.learned(frame(spark, rows(train)).select("text"))
+    plain = Plain(train, least_context=2, least_next=1)
+    assert {"w0", "w39"} <= plain.named and model.words.symbols.count() == len(plain.named)
+    assert ("w0",) in plain.states and model.states.count() == len(plain.states)
+    got = {r.doc_id: r for r in suffix_tree.scored(frame(spark, rows([twice])), model).collect()}
+    check(got, plain, [twice])
+    assert got[0].score > got[0].base_score + 20
