@@ -45,9 +45,11 @@ from pyspark.sql import functions as F
 from orefold.llm.common import binary, forget_all_but, give_back, mixed, over_slices, raw, slices, split_words, stored, text_bytes
 
 DEPTH = 3
-#: What occurs once only says nothing beyond its own text; all else may be a context.
+#: What occurs once says nothing beyond its own text; all else may be a context.
 LEAST_CONTEXT = 2
-LEAST_NEXT = 1
+#: The share of next symbols seen once is what unseen ones get (Good and Turing), by way of the
+#: suffix: storing them too scores texts outside training below the base.
+LEAST_NEXT = 2
 #: Tokens times relative entropy, in nats.
 EVIDENCE = 16.0
 SMOOTHING = 1.0

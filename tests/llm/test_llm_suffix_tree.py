@@ -198,7 +198,7 @@ def test_words_and_contexts_seen_twice_are_learned(spark):
     twice = " ".join(f"w{i}" for i in range(40))
     train = [twice, twice, *[text(rng, 40) for _ in range(500)]]
     model = suffix_tree.learned(frame(spark, rows(train)).select("text"))
-    plain = Plain(train, least_context=2, least_next=1)
+    plain = Plain(train, least_context=2, least_next=2)
     assert {"w0", "w39"} <= plain.named and model.words.symbols.count() == len(plain.named)
     assert ("w0",) in plain.states and model.states.count() == len(plain.states)
     got = {r.doc_id: r for r in suffix_tree.scored(frame(spark, rows([twice])), model).collect()}
