@@ -13,7 +13,8 @@ the end; blocks. Block: u32 minimum, u8 width, u16 exceptions, u16 ids; packed l
 u16 positions and u32 high bits of the exceptions.
 
 Words repeat, so each worker encodes a distinct word once: the tokenizer's own rules never
-let a piece cross white space, and trailing punctuation is a piece of its own. Words of
+let a piece cross white space, and trailing punctuation is a piece of its own, split off before
+words are looked up. Words of
 lower-case Latin letters, which the tokenizer's normal form and splitting leave as they are,
 go straight to its merges. Texts that hold ``<|``, which may begin a special token, are
 encoded whole. The encoder is made for byte-level vocabularies that lower-case letters.
@@ -28,7 +29,7 @@ from __future__ import annotations
 import re
 import struct
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +38,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from orefold.llm.common import (
+    LOWER,
+    SPACE,
+    Words,
     crc32,
     forget_all_but,
     give_back,
@@ -45,7 +49,6 @@ from orefold.llm.common import (
     raw,
     remembered,
     slices,
-    split_words,
     text_bytes,
 )
 
@@ -57,7 +60,7 @@ RANGE_BYTES = 32 * 1024 * 1024
 END_ID = 1
 MAGIC = b"PFR1"
 #: Distinct words that a worker remembers; beyond it, it keeps those of the last texts.
-REMEMBERED = 250_000
+REMEMBERED = 350_000
 #: Bytes of text that are encoded at a time, and cut into segments afterwards.
 ENCODED_BYTES = SEGMENT_BYTES
 
@@ -166,7 +169,10 @@ def ids_at(data: bytes, start: int, n: int) -> np.ndarray:
 
 # tokenizer
 
-_TRAILING = re.compile(rb"(?<=[A-Za-z0-9])[!\"#$%&()*+,\-./:;<=>?@\[\\\]^_`{|}~]+\Z")
+_PUNCTUATION = np.zeros(256, bool)
+_PUNCTUATION[[*range(0x21, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x7F)]] = True
+_ALPHANUMERIC = np.zeros(256, bool)
+_ALPHANUMERIC[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
 
 
 #: Lower-case letters of ASCII and Latin-1: normal forms, one piece, as they are.
@@ -181,6 +187,34 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(256 + rest.index(b)) if b in rest else chr(b) for b in range(256)}
 
 
+def split_pieces(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """All words of a ``large_binary`` array, A-Z in lower case, and the text of each. The
+    punctuation that follows the last letter or digit of a word is a piece of its own, so that
+    there are fewer distinct ones."""
+    data, at = raw(texts)
+    words = Words(data, at, ~SPACE)
+    # the last byte of each word that is no punctuation
+    last = np.maximum.accumulate(np.where(_PUNCTUATION[data], -1, np.arange(len(data))))[words.ends - 1]
+    cut = (last >= words.starts) & (last < words.ends - 1) & _ALPHANUMERIC[data[last]]
+    first = np.arange(len(cut)) + np.cumsum(cut) - cut
+    lengths = np.zeros(len(cut) + np.count_nonzero(cut), np.int64)
+    lengths[first] = np.where(cut, last + 1, words.ends) - words.starts
+    lengths[first[cut] + 1] = (words.ends - last - 1)[cut]
+    body = LOWER[data[~SPACE[data]]]
+    ends = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
+    flat = pa.LargeBinaryArray.from_buffers(
+        pa.large_binary(), len(lengths), [None, pa.py_buffer(ends), pa.py_buffer(body)]
+    )
+    return flat, np.repeat(words.doc, 1 + cut)
+
+
+def _bytes_of(words: pa.Array) -> list[bytes]:
+    """A ``large_binary`` array without nulls as a list, cut from one piece of bytes."""
+    data, at = raw(words)
+    body, at = data.tobytes(), at.tolist()
+    return [body[i:j] for i, j in zip(at, at[1:])]
+
+
 class WordEncoder:
     """Ids of texts by way of their distinct words, remembered in one array."""
 
@@ -197,9 +231,8 @@ class WordEncoder:
         self.starts, self.lengths = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64)
         self.ids, self.used = np.zeros(1 << 14, np.uint32), 0
 
-    def _keep(self, words: list[bytes]) -> None:
-        """Forget all words but these."""
-        at = np.fromiter(map(self.places.__getitem__, words), np.int64, len(words))
+    def _keep(self, words: list[bytes], at: np.ndarray) -> None:
+        """Forget all words but these, which are at these places."""
         lengths = self.lengths[at]
         ids = self.ids[ragged(self.starts[at], lengths)]
         self.forget()
@@ -216,50 +249,44 @@ class WordEncoder:
         self.used += len(ids)
 
     def _learn(self, words: list[bytes]) -> None:
-        ends = [m for w in words if (m := None if w[-1:].isalnum() else _TRAILING.search(w))]
-        compound = [(m.string, m.string[: m.start()], m[0]) for m in ends]
-        known = self.places
-        split = {c[0] for c in compound}
-        single = {w for w in words if w not in split}
-        single |= {p for c in compound for p in c[1:] if p not in known}
-        # plain pieces go straight to the library's merges, the others through all its steps
+        # plain words go straight to the library's merges, the others through all its steps
         tokenize, letters = self.merges.tokenize, self.letters
-        plain = [p for p in single if p.isalpha() or _PLAIN.match(p)]
+        plain = [p for p in words if p.isalpha() or _PLAIN.match(p)]
         made = [
             [t.id for t in tokenize(p.decode() if p.isascii() else p.decode("latin-1").translate(letters))]
             for p in plain
         ]
         lengths = np.fromiter(map(len, made), np.int64, len(made))
         self._add(plain, np.fromiter(chain.from_iterable(made), np.uint32, int(lengths.sum())), lengths)
-        pieces = [p for p in single if p not in known]
-        for i in range(0, len(pieces), 2048):
-            some = pieces[i : i + 2048]
+        others = [p for p in words if p not in self.places]
+        for i in range(0, len(others), 2048):
+            some = others[i : i + 2048]
             # words as given, many to a call; the library says which ids belong to which
             made = self.whole.encode(
                 [p.decode() for p in some], is_pretokenized=True, add_special_tokens=False
             )
             of = np.array(made.word_ids, np.int64)
             self._add(some, np.array(made.ids, np.uint32), np.bincount(of, minlength=len(some)))
-        if compound:
-            at = np.array([known[p] for c in compound for p in c[1:]], np.int64)
-            lengths = self.lengths[at]
-            ids = self.ids[ragged(self.starts[at], lengths)]
-            self._add([c[0] for c in compound], ids, lengths.reshape(-1, 2).sum(axis=1))
 
     def words(self, words: list[bytes]) -> np.ndarray:
-        """The places of distinct words."""
-        new = [w for w in words if w not in self.places]
-        if len(self.places) + 2 * len(new) > REMEMBERED:
-            self._keep([w for w in words if w in self.places])
-        if new:
-            self._learn(new)
-        return np.fromiter(map(self.places.__getitem__, words), np.int64, len(words))
+        """The places of distinct words; trailing punctuation is a word of its own."""
+        at = np.fromiter(map(self.places.get, words, repeat(-1)), np.int64, len(words))
+        held, new = np.flatnonzero(at >= 0), np.flatnonzero(at < 0)
+        if not len(new):
+            return at
+        if len(self.places) + len(new) > REMEMBERED:
+            self._keep([words[i] for i in held.tolist()], at[held])
+            at[held] = np.arange(len(held))
+        unknown = [words[i] for i in new.tolist()]
+        self._learn(unknown)
+        at[new] = np.fromiter(map(self.places.__getitem__, unknown), np.int64, len(unknown))
+        return at
 
     def texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts back to back, without end ids, and the number for each text."""
-        flat, doc = split_words(texts, lower=True)
+        flat, doc = split_pieces(texts)
         coded = flat.dictionary_encode()
-        at = self.words(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
+        at = self.words(_bytes_of(coded.dictionary))[coded.indices.to_numpy()]
         lengths = self.lengths[at]
         out = self.ids[ragged(self.starts[at], lengths)]
         counts = np.bincount(doc, lengths, len(texts)).astype(np.int64)

@@ -188,6 +188,22 @@ def test_encoded_equals_whole_texts(spark):
         start += len(ids)
 
 
+def test_trailing_punctuation_is_no_new_word():
+    import pyarrow as pa
+
+    stems, tails = [f"stem{chr(97 + k % 26)}{k}" for k in range(50)], ["", ".", ",", "!?", "...", "'-"]
+    texts = [" ".join(s + t for s in stems) for t in tails] + [" ".join(tails), "é. .é, a.b.", "", "x", "!"]
+    encode = tokens.WordEncoder(queries.tokenizer_file())
+    ids, counts = encode.texts(pa.array([t.encode() for t in texts], pa.large_binary()))
+    made = [encode.whole.encode(t, add_special_tokens=False).ids for t in texts]
+    assert counts.tolist() == [len(m) for m in made]
+    assert ids.tolist() == [i for m in made for i in m]
+    assert len(encode.places) <= len(stems) + len(tails) + 10
+    # what a worker forgets and learns again has the same ids
+    again = encode.texts(pa.array([t.encode() for t in reversed(texts)], pa.large_binary()))[0]
+    assert again.tolist() == [i for m in reversed(made) for i in m]
+
+
 def test_tokens_over_many_ranges(spark, monkeypatch):
     monkeypatch.setattr(tokens, "RANGE_BYTES", 4000)
     monkeypatch.setattr(tokens, "SEGMENT_BYTES", 1500)
