@@ -87,17 +87,11 @@ def run_hash(h: np.ndarray, size: int) -> np.ndarray:
     return mixed(out, SEED)
 
 
-def compact_windows(
-    h: np.ndarray, doc: np.ndarray, width: int
-) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Centres, first and last places of the nodes of at least ``width`` shingles of the
-    Cartesian trees of texts back to back; ``doc`` is the text of each shingle.
-
-    Ties go to the place that a hash of it says, which keeps constant runs shallow.
-    """
+def window_centres(h: np.ndarray, doc: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """The centres of ``compact_windows``, and what the shingles are ordered by."""
     n = len(h)
     if n < width:
-        return (np.zeros(0, np.int64),) * 3
+        return np.zeros(0, np.int64), h
     low = np.uint64(0xFFFF)
     key = (h & ~low) | (mixed(np.arange(n, dtype=np.uint64), 77) & low)
     least, reach = np.arange(n), 1
@@ -108,8 +102,21 @@ def compact_windows(
         reach += step
     least = least[doc[: n - width + 1] == doc[width - 1 :]]
     if not len(least):
+        return least, key
+    return least[np.concatenate([[True], least[1:] != least[:-1]])], key
+
+
+def compact_windows(
+    h: np.ndarray, doc: np.ndarray, width: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Centres, first and last places of the nodes of at least ``width`` shingles of the
+    Cartesian trees of texts back to back; ``doc`` is the text of each shingle.
+
+    Ties go to the place that a hash of it says, which keeps constant runs shallow.
+    """
+    centres, key = window_centres(h, doc, width)
+    if not len(centres):
         return (np.zeros(0, np.int64),) * 3
-    centres = least[np.concatenate([[True], least[1:] != least[:-1]])]
     of = doc[centres]
     first, last = np.searchsorted(doc, of, "left"), np.searchsorted(doc, of, "right") - 1
     left, right = first.tolist(), last.tolist()
@@ -147,18 +154,31 @@ def contexts(h: np.ndarray, at: np.ndarray, size: int, lengths: list[int], side:
     return out.view(np.int64)
 
 
+def _hashed(texts: pa.Array, size: int) -> tuple[Words, np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]] | None:
+    """Words, word hashes, the shingles that end in their own text (their place among all
+    words, and hash), and the hashes of what lies after and before each."""
+    words, h, own = shingles(texts, size)
+    whole = np.flatnonzero(words.doc[size - 1 :] == words.doc[: len(h) - size + 1])
+    if not len(whole):
+        return None
+    return words, h, whole, own[whole], [run_hash(h, BESIDE + size)[whole], _before(h, BESIDE, size)[whole]]
+
+
+def _signature(beside: list[np.ndarray], centres: np.ndarray, f: int) -> np.ndarray:
+    """The signatures of windows under hash function ``f``."""
+    return mixed(beside[f % 2][centres], 2000 + f).view(np.int64)
+
+
 def all_windows(docs: DataFrame, width: int, hashes: int = HASHES, size: int = SHINGLE) -> DataFrame:
     """Compact windows of every text under every hash function."""
     lengths = context_lengths(width + size - 1)
 
     def work(batch: pa.RecordBatch, texts: pa.Array) -> pa.RecordBatch | None:
-        words, h, own = shingles(texts, size)
-        # shingles that end in their own text, and the words before each text's first one
-        whole = np.flatnonzero(words.doc[size - 1 :] == words.doc[: len(h) - size + 1])
-        if not len(whole):
+        hashed = _hashed(texts, size)
+        if hashed is None:
             return None
-        mine, doc = own[whole], words.doc[whole]
-        beside = [run_hash(h, BESIDE + size)[whole], _before(h, BESIDE, size)[whole]]
+        words, h, whole, mine, beside = hashed
+        doc = words.doc[whole]
         ids, place = batch.column("doc_id").to_numpy(), whole - words.first[doc]
         parts: list[list[np.ndarray]] = [[] for _ in range(7)]
         for f in range(hashes):
@@ -166,7 +186,7 @@ def all_windows(docs: DataFrame, width: int, hashes: int = HASHES, size: int = S
             for part, column in zip(
                 parts,
                 (
-                    mixed(beside[f % 2][centres], 2000 + f).view(np.int64), ids[doc[centres]],
+                    _signature(beside, centres, f), ids[doc[centres]],
                     place[centres], place[left], place[right],
                     *(contexts(h, whole[centres], size, lengths, side) for side in (1, -1)),
                 ),
@@ -181,13 +201,34 @@ def all_windows(docs: DataFrame, width: int, hashes: int = HASHES, size: int = S
     return docs.mapInArrow(over_slices(work), WINDOWS)
 
 
+def all_signatures(docs: DataFrame, width: int, hashes: int = HASHES, size: int = SHINGLE) -> DataFrame:
+    """``signature, doc_id`` of ``all_windows`` alone: spans and contexts are not needed to see
+    which signatures several documents have."""
+
+    def work(batch: pa.RecordBatch, texts: pa.Array) -> pa.RecordBatch | None:
+        hashed = _hashed(texts, size)
+        if hashed is None:
+            return None
+        words, _, whole, mine, beside = hashed
+        doc = words.doc[whole]
+        ids = batch.column("doc_id").to_numpy()[doc]
+        centres = [window_centres(mixed(mine, 1000 + f), doc, width)[0] for f in range(hashes)]
+        columns = [
+            np.concatenate([_signature(beside, c, f) for f, c in enumerate(centres)]),
+            np.concatenate([ids[c] for c in centres]),
+        ]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["signature", "doc_id"])
+
+    return docs.mapInArrow(over_slices(work), "signature long, doc_id long")
+
+
 def _before(h: np.ndarray, beside: int, size: int) -> np.ndarray:
     """The hash of the words from ``beside`` before a place to the end of its shingle."""
     out = run_hash(h, beside + size)
     return np.concatenate([mixed(h[:beside], 5), out[: len(h) - beside]]) if len(h) > beside else mixed(h, 5)
 
 
-def linked(windows: DataFrame, passage_words: int, size: int = SHINGLE) -> DataFrame:
+def linked(windows: DataFrame, signatures: DataFrame, passage_words: int, size: int = SHINGLE) -> DataFrame:
     """Each window beside the first one with its signature, and beside the first ones with
     its contexts where those differ; windows whose signature is in a single document are
     left out.
@@ -195,7 +236,7 @@ def linked(windows: DataFrame, passage_words: int, size: int = SHINGLE) -> DataF
     Most windows share nothing, so what is left of the first join is small, and is written.
     """
     shared = (
-        windows.groupBy("signature").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
+        signatures.groupBy("signature").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
         .where("lo < hi").select("signature")
     )
     held = stored(windows.join(shared, "signature"), "shared-windows")
@@ -274,15 +315,12 @@ def similar_places(a: np.ndarray, b: np.ndarray, width: int, least: float, shift
 
 def _present(a: np.ndarray, b: np.ndarray, shift: int) -> np.ndarray:
     """Whether ``b`` has each shingle of ``a`` at most ``DRIFT`` places from where it would be."""
-    names, code = np.unique(b, return_inverse=True)
-    scale = np.int64(len(a) + len(b) + 4 * DRIFT + abs(shift) + 2)
-    held = np.sort(code * scale + np.arange(len(b)))
-    k = np.minimum(np.searchsorted(names, a), len(names) - 1)
-    place = np.arange(len(a)) - shift
-    low = k * scale + np.clip(place - DRIFT, 0, scale - 1)
-    high = k * scale + np.clip(place + DRIFT, -1, scale - 1)
-    at = np.minimum(np.searchsorted(held, low), len(held) - 1)
-    return (names[k] == a) & (held[at] >= low) & (held[at] <= high)
+    out = np.zeros(len(a), bool)
+    for back in range(shift - DRIFT, shift + DRIFT + 1):
+        begin, end = max(0, back), min(len(a), len(b) + back)
+        if begin < end:
+            out[begin:end] |= a[begin:end] == b[begin - back : end - back]
+    return out
 
 
 def verified(
@@ -317,22 +355,22 @@ def verified(
             s, e = int(starts[i]), int(starts[j]) + width
             covered[s:e] = True
             # without the unlike shingles at either end
-            alike = np.flatnonzero(np.isin(a[s:e], b[s - shift : e - shift]))
+            alike = np.flatnonzero(_held(a[s:e], b[s - shift : e - shift]))
             s, e = s + int(alike[0]), s + int(alike[-1]) + 1
             t, u = s - shift, e - shift
-            x, y = np.unique(a[s:e]), np.unique(b[t:u])
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            found.append((s, e, t, u, both / (len(x) + len(y) - both)))
+            found.append((s, e, t, u, _jaccard(a[s:e], b[t:u])))
 
     for shift, (begin, end) in bounds.items():
         shared = _sliding(a[begin:end] == b[begin - shift : end - shift], width)
         add(begin + np.flatnonzero(shared >= least * (2 * width - shared) - 1e-9), shift)
     for shift, (begin, end) in bounds.items():
         # a similar window holds that many shingles of the other text, wherever they are
-        near = np.isin(a[begin:end], b[max(begin - shift - DRIFT, 0) : end - shift + DRIFT])
+        open_ = _sliding(~covered[begin:end], width) > 0
+        if not open_.any():
+            continue
+        near = _held(a[begin:end], b[max(begin - shift - DRIFT, 0) : end - shift + DRIFT])
         shared = _sliding(near, width)
-        enough = shared >= least * (2 * width - shared) - 1e-9
-        if not (enough & (_sliding(~covered[begin:end], width) > 0)).any():
+        if not (open_ & (shared >= least * (2 * width - shared) - 1e-9)).any():
             continue
         lead = max(0, begin - DRIFT), max(0, begin - shift - DRIFT)
         starts = lead[0] + similar_places(
@@ -351,10 +389,35 @@ def verified(
 
 def _sliding(marks: np.ndarray, width: int) -> np.ndarray:
     """Marks in each window of ``width``."""
-    sums = np.concatenate([[0], np.cumsum(marks)])
+    sums = np.zeros(len(marks) + 1, np.int64)
+    np.cumsum(marks, out=sums[1:])
     return sums[width:] - sums[:-width]
 
 
+def _marked(values: np.ndarray) -> np.ndarray:
+    """For each 16-bit number whether it is among ``values``."""
+    marks = np.zeros(1 << 16, bool)
+    marks[values] = True
+    return marks
+
+
+def _held(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Which of ``a`` are among ``b``; for 16-bit hashes by a table of all numbers."""
+    return _marked(b)[a] if a.dtype == b.dtype == np.uint16 else np.isin(a, b)
+
+
+def _jaccard(a: np.ndarray, b: np.ndarray) -> float:
+    """The similarity of two sets of hashes, given with repeats."""
+    if len(a) == len(b) and (a == b).all():
+        return 1.0
+    if a.dtype == b.dtype == np.uint16:
+        x, y = _marked(a), _marked(b)
+        both, of_a, of_b = (int(np.count_nonzero(m)) for m in (x & y, x, y))
+    else:
+        both, of_a, of_b = len(np.intersect1d(a, b)), len(np.unique(a)), len(np.unique(b))
+    return both / (of_a + of_b - both)
+
+
 def of_pair(
     a: np.ndarray, b: np.ndarray, spans: list[dict], width: int, least: float
 ) -> list[tuple[int, int, int, int, float]]:
@@ -406,7 +469,8 @@ def _documents(docs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
 def _passages(
     texts: DataFrame, passage_words: int, similarity: float, hashes: int, size: int, width: int
 ) -> DataFrame:
-    found = stored(candidates(linked(all_windows(texts, width, hashes, size), passage_words, size)), "passage-candidates")
+    windows, signatures = (made(texts, width, hashes, size) for made in (all_windows, all_signatures))
+    found = stored(candidates(linked(windows, signatures, passage_words, size)), "passage-candidates")
     needed = found.select("doc_id").unionByName(found.select(F.col("rep_id").alias("doc_id"))).distinct()
     wanted = texts.join(size_checked(stored(needed, "passage-documents")), "doc_id", "left_semi")
     held = stored(shingle_rows(wanted, size), "passage-texts")

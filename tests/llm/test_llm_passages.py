@@ -153,3 +153,28 @@ def test_odd_rows_and_empty_tables(spark):
     assert op.passages(frame(spark, rows([text(random.Random(1), 20)] * 3))).count() == 0
     many = "\n".join(["be be be"] * 200)
     assert {r.doc_id for r in found(spark, [many, many, "be " * 400])} == {0, 1, 2}
+
+
+def test_signatures_alone_are_those_of_the_windows(spark):
+    rng = random.Random(31)
+    data = rows([text(rng, n) for n in (0, 3, 54, 55, 400, 900)] + ["same " * 300])
+    df = frame(spark, data).selectExpr("cast(doc_id as long) as doc_id", "text").where("text is not null")
+    whole = op.all_windows(df, 46).select("signature", "doc_id")
+    alone = op.all_signatures(df, 46)
+    assert alone.columns == ["signature", "doc_id"]
+    assert sorted(map(tuple, alone.collect())) == sorted(map(tuple, whole.collect())) != []
+
+
+def test_shingles_near_their_place_as_by_search():
+    rng = np.random.default_rng(32)
+    for n, m, kinds, shift in [(60, 80, 40, 0), (50, 50, 5, 17), (120, 30, 400, 90), (30, 120, 9, -95), (7, 0, 3, 0), (5, 9, 2, 40)]:
+        for kind in (np.uint16, np.uint64):
+            a, b = rng.integers(0, kinds, n).astype(kind), rng.integers(0, kinds, m).astype(kind)
+            near = [
+                any(b[j] == a[i] for j in range(max(i - shift - op.DRIFT, 0), max(min(i - shift + op.DRIFT + 1, m), 0)))
+                for i in range(n)
+            ]
+            assert op._present(a, b, shift).tolist() == near
+            assert op._held(a, b).tolist() == np.isin(a, b).tolist()
+            both = len(np.intersect1d(a, b))
+            assert op._jaccard(a, b) == both / (len(np.unique(a)) + len(np.unique(b)) - both)
