@@ -22,6 +22,8 @@ BATCH_BYTES = 8 * 1024 * 1024
 #: Bytes of text that are turned into arrays at a time; one longer text is a slice of its own.
 SLICE_BYTES = 2 * 1024 * 1024
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
@@ -75,10 +77,17 @@ def new_folder(spark: SparkSession, name: str) -> str:
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write to the shared folder and read back: cuts lineage, survives lost executors."""
-    path = new_folder(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Write to the shared folder and read back: cuts lineage, survives lost executors. What was
+    shuffled for it is removed once it is written."""
+    spark = df.sparkSession
+    path = new_folder(spark, name)
+    before = spark.conf.get(SHUFFLE_CLEANUP)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def first_by_hash(rows: DataFrame, by: str, key: str, most: dict) -> DataFrame:

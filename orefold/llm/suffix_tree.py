@@ -236,7 +236,7 @@ def _signed(x: np.ndarray) -> pa.Array:
 
 # the tree
 
-PAIRS = "ctx long, suffix long, next long, n long"
+PAIRS = "ctx long, next long, n long"
 
 
 def _merged(held: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
@@ -250,7 +250,8 @@ def _merged(held: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
 
 def pair_counts(rows: DataFrame, depth: int, wanted: np.ndarray | None, least: int) -> DataFrame:
     """``PAIRS`` of contexts of one length (of ``wanted`` alone, if given) that occur ``least``
-    times or more. A task adds up what it can hold before the shuffle. Stored."""
+    times or more. A task adds up what it can hold before the shuffle; most pairs occur once, so
+    nothing travels but the pair and its count."""
 
     def found(symbols: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, ...]:
         at = np.flatnonzero(place >= depth)
@@ -264,9 +265,9 @@ def pair_counts(rows: DataFrame, depth: int, wanted: np.ndarray | None, least: i
             at, context = at[held], context[held]
         key, first, n = np.unique(pair_key(context, symbols[at]), return_index=True, return_counts=True)
         at = at[first]
-        return key, n, context[first], contexts_at(symbols, at, depth - 1), symbols[at]
+        return key, n, context[first], symbols[at]
 
-    names = ["key", "n"] if depth == 1 else ["key", "n", "ctx", "suffix", "next"]
+    names = ["key", "n"] if depth == 1 else ["n", "ctx", "next"]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forget_all_but(None)
@@ -287,21 +288,19 @@ def pair_counts(rows: DataFrame, depth: int, wanted: np.ndarray | None, least: i
             yield batch_of(_merged(held))
 
     def batch_of(made: tuple[np.ndarray, ...]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([_signed(c) for c in made], names=names)
+        return pa.RecordBatch.from_arrays([_signed(c) for c in made[-len(names) :]], names=names)
 
     def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             key = batch.column("key").to_numpy().view(np.uint64)
             context = after(np.full(len(key), _EMPTY, np.uint64), key >> np.uint64(32))
-            columns = [context, np.zeros(len(key), np.uint64), key & np.uint64(0xFFFFFFFF), batch.column("n").to_numpy()]
-            yield pa.RecordBatch.from_arrays([_signed(c) for c in columns], names=["ctx", "suffix", "next", "n"])
+            columns = [context, key & np.uint64(0xFFFFFFFF), batch.column("n").to_numpy()]
+            yield pa.RecordBatch.from_arrays([_signed(c) for c in columns], names=["ctx", "next", "n"])
 
     counted = rows.select("symbols").mapInArrow(work, ", ".join(f"{c} long" for c in names))
-    others = [F.first(c).alias(c) for c in names[2:]]
-    counted = counted.groupBy("key").agg(F.sum("n").alias("n"), *others).where(F.col("n") >= least)
-    if depth == 1:
-        return stored(counted.mapInArrow(named, PAIRS), "tree-pairs")
-    return stored(counted.select("ctx", "suffix", "next", "n"), "tree-pairs")
+    keys = [c for c in names if c != "n"]
+    counted = counted.groupBy(*keys).agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    return counted.mapInArrow(named, PAIRS) if depth == 1 else counted.select("ctx", "next", "n")
 
 
 def _among(x: np.ndarray, held: np.ndarray) -> np.ndarray:
@@ -357,8 +356,7 @@ def grown(
         if length > 1 and candidates.count() <= most_sent:
             wanted = np.sort(candidates.select("ctx").toArrow().column(0).to_numpy().view(np.uint64))
         pairs = pair_counts(rows, length, wanted, least_next)
-        if wanted is None:
-            pairs = pairs.join(candidates.select("ctx"), "ctx", "left_semi")
+        pairs = stored(pairs.join(candidates.select("ctx", "suffix"), "ctx"), "tree-pairs")
         levels.append((candidates, pairs))
         candidates = _next_contexts(pairs, length, least_context)
         if candidates.isEmpty():

@@ -4,6 +4,7 @@ import math
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -204,3 +205,30 @@ def test_words_and_contexts_seen_twice_are_learned(spark):
     got = {r.doc_id: r for r in suffix_tree.scored(frame(spark, rows([twice])), model).collect()}
     check(got, plain, [twice])
     assert got[0].score > got[0].base_score + 20
+
+
+def test_nothing_but_pairs_and_counts_travels(spark):
+    symbols = np.array([[2, 3, 4, 2, 3, 4, 1], [5, 3, 4, 2, 3, 9, 1]], "<u4")
+    rows_ = spark.createDataFrame([(bytearray(s.tobytes()),) for s in symbols], "symbols binary")
+    for depth in (1, 2, 3):
+        made = suffix_tree.pair_counts(rows_, depth, None, 2)
+        assert made.columns == ["ctx", "next", "n"]
+        wanted = {}
+        for s in symbols.astype(np.uint64):
+            at = np.arange(depth, len(s))
+            for c, x in zip(suffix_tree.contexts_at(s, at, depth).view(np.int64).tolist(), s[at].tolist()):
+                wanted[c, x] = wanted.get((c, x), 0) + 1
+        assert {(r.ctx, r.next): r.n for r in made.collect()} == {k: n for k, n in wanted.items() if n >= 2}
+
+
+def test_shuffles_of_a_stored_table_are_removed(spark, tmp_path):
+    from orefold.llm import common
+
+    before = spark.conf.get(common.SHUFFLE_CLEANUP)
+    tracker = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker()
+    held = lambda: tracker.shuffleStatuses().size()
+    n = held()
+    made = common.stored(spark.range(1000).repartition(3, "id").groupBy("id").count(), "removed")
+    assert made.count() == 1000
+    assert held() <= n + 1  # that of the count here
+    assert spark.conf.get(common.SHUFFLE_CLEANUP) == before
