@@ -17,8 +17,11 @@ from pyspark.sql import functions as F
 
 from orefold.session import shared_folder
 
-#: Bytes that Spark hands to a worker at a time, or a single row.
-BATCH_BYTES = 8 * 1024 * 1024
+#: Bytes that Spark hands to a worker at a time, or a single row: buffers on both sides of the
+#: pipe hold a few times as much.
+BATCH_BYTES = 4 * 1024 * 1024
+#: Rows that a Parquet reader holds at a time, whole texts in one array.
+READER_ROWS = 1024
 #: Bytes of text that are turned into arrays at a time; one longer text is a slice of its own.
 SLICE_BYTES = 2 * 1024 * 1024
 
@@ -31,6 +34,8 @@ LOWER[65:91] += 32
 
 _POWER_BASE = np.uint64(0x9E3779B97F4A7C15)
 _POWER_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+#: Powers are made in steps of so many.
+_POWERS_MORE = 128 * 1024
 _powers = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
 _LETTERS = np.random.default_rng(7).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
 
@@ -57,6 +62,7 @@ def with_workers(query: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
     def run(spark: SparkSession, *args) -> DataFrame:
         on_workers(spark)
         spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+        spark.conf.set("spark.sql.parquet.columnarReaderBatchSize", str(READER_ROWS))
         return query(spark, *args)
 
     return run
@@ -179,17 +185,21 @@ class Words:
         if not len(data):
             return np.zeros(0, np.uint64)
         up, down = powers(len(data))
-        sums = np.cumsum(_LETTERS[data] * up[: len(data)])
+        sums = _LETTERS[data]
+        sums *= up[: len(data)]
+        np.cumsum(sums, out=sums)
         before = np.where(self.starts > 0, sums[self.starts - 1], np.uint64(0))
         return mixed((sums[self.ends - 1] - before) * down[self.starts])
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """At least the first ``n``; no more are kept than the slices so far needed, rounded up."""
     if len(_powers["up"]) < n:
+        room = -(-n // _POWERS_MORE) * _POWERS_MORE
         for key, base in (("up", _POWER_BASE), ("down", _POWER_INVERSE)):
-            steps = np.full(max(n, SLICE_BYTES), base, np.uint64)
+            steps = np.full(room, base, np.uint64)
             steps[0] = 1
-            _powers[key] = np.cumprod(steps)
+            _powers[key] = np.cumprod(steps, out=steps)
     return _powers["up"], _powers["down"]
 
 

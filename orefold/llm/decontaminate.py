@@ -50,7 +50,8 @@ SEED = 1
 
 SYMBOL = np.zeros(256, bool)
 SYMBOL[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
-_TABLE_BITS = 20
+#: Bits of a key that look it up: at least 32 places for each key, at most so many bits.
+_SPARE_BITS, _TABLE_BITS = 5, 20
 
 SCHEMA = "doc_id long, item_id long, start_word int, end_word int, edits int, item_words int"
 
@@ -275,9 +276,10 @@ class Items:
             tables[steps] = []
             for key, who, off in repeats:
                 order = np.argsort(key, kind="stable")
-                seen = np.zeros(1 << _TABLE_BITS, bool)
-                seen[(key >> np.uint64(64 - _TABLE_BITS)).astype(np.int64)] = True
-                tables[steps].append((seen, key[order], who[order], off[order]))
+                unused = np.uint64(64 - min(len(key).bit_length() + _SPARE_BITS, _TABLE_BITS))
+                seen = np.zeros(1 << (64 - int(unused)), bool)
+                seen[(key >> unused).astype(np.int64)] = True
+                tables[steps].append((seen, unused, key[order], who[order], off[order]))
         return tables
 
     def candidates(self, h: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -293,8 +295,8 @@ class Items:
         found = []
         for steps, repeats in self.tables.items():
             keys = self.sampling.keys(padded, begin.astype(np.uint32), steps)
-            for key, (seen, sorted_keys, who, off) in zip(keys, repeats):
-                hit = np.flatnonzero(seen[(key >> np.uint64(64 - _TABLE_BITS)).astype(np.int64)])
+            for key, (seen, unused, sorted_keys, who, off) in zip(keys, repeats):
+                hit = np.flatnonzero(seen[(key >> unused).astype(np.int64)])
                 low = np.searchsorted(sorted_keys, key[hit], "left")
                 n = np.searchsorted(sorted_keys, key[hit], "right") - low
                 hit, low, n = hit[n > 0], low[n > 0], n[n > 0]

@@ -354,7 +354,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_I
                     }
                 )
                 segment, base, start = segment + 1, base + len(own), stop
-            del ids, lengths, batch, texts
+            del ids, lengths, own, held, batch, texts
             give_back()
 
     made = ordered.mapInArrow(work, WRITTEN)
