@@ -58,6 +58,8 @@ BESIDE = 4
 STEPS = 15
 #: Links of two documents go to one candidate if their shifts differ by at most this.
 DRIFT = 16
+#: Places that are compared with their surroundings at a time.
+_PLACES = 8192
 SEED = 9
 
 WINDOWS = "signature long, doc_id long, centre int, left int, right int, after long, before long"
@@ -94,11 +96,11 @@ def window_centres(h: np.ndarray, doc: np.ndarray, width: int) -> tuple[np.ndarr
         return np.zeros(0, np.int64), h
     low = np.uint64(0xFFFF)
     key = (h & ~low) | (mixed(np.arange(n, dtype=np.uint64), 77) & low)
-    least, reach = np.arange(n), 1
-    while reach < width:  # places of sliding minima, by doubling
+    least, value, reach = np.arange(n), key, 1
+    while reach < width:  # sliding minima and their places, by doubling
         step = min(reach, width - reach)
-        a, b = least[: len(least) - step], least[step:]
-        least = np.where(key[a] <= key[b], a, b)
+        least = np.where(value[:-step] <= value[step:], least[:-step], least[step:])
+        value = np.minimum(value[:-step], value[step:])
         reach += step
     least = least[doc[: n - width + 1] == doc[width - 1 :]]
     if not len(least):
@@ -306,21 +308,38 @@ def similar_places(a: np.ndarray, b: np.ndarray, width: int, least: float, shift
     starts = np.arange(max(0, shift), min(len(a) - width, len(b) - width + shift) + 1)
     if not len(starts):
         return starts
-    in_b = np.concatenate([[0], np.cumsum(_present(a, b, shift))])
-    in_a = np.concatenate([[0], np.cumsum(_present(b, a, -shift))])
-    beside = starts - shift
-    shared = np.minimum(in_b[starts + width] - in_b[starts], in_a[beside + width] - in_a[beside])
+    shared = _sliding(_present(a, b, shift), width)[starts]
+    # what one text holds of the other is the most that both share
+    enough = shared >= least * (2 * width - shared) - 1e-9
+    starts, shared = starts[enough], shared[enough]
+    if not len(starts):
+        return starts
+    shared = np.minimum(shared, _sliding(_present(b, a, -shift), width)[starts - shift])
     return starts[shared >= least * (2 * width - shared) - 1e-9]
 
 
 def _present(a: np.ndarray, b: np.ndarray, shift: int) -> np.ndarray:
     """Whether ``b`` has each shingle of ``a`` at most ``DRIFT`` places from where it would be."""
-    out = np.zeros(len(a), bool)
-    for back in range(shift - DRIFT, shift + DRIFT + 1):
-        begin, end = max(0, back), min(len(a), len(b) + back)
-        if begin < end:
-            out[begin:end] |= a[begin:end] == b[begin - back : end - back]
-    return out
+    if len(a) > _PLACES:
+        parts = range(0, len(a), _PLACES)
+        return np.concatenate([_present(a[i : i + _PLACES], b, shift - i) for i in parts])
+    # what lies around each place, one row for each distance
+    begin = max(shift + DRIFT, 0)
+    end = min(len(a) + 2 * DRIFT, len(b) + shift + DRIFT)
+    if not len(a) or begin >= end:
+        return np.zeros(len(a), bool)
+    around, there = np.zeros(len(a) + 2 * DRIFT, b.dtype), np.zeros(len(a) + 2 * DRIFT, bool)
+    around[begin:end] = b[begin - shift - DRIFT : end - shift - DRIFT]
+    there[begin:end] = True
+    same = _shifted(around, len(a)) == a
+    if end - begin < len(there):
+        same &= _shifted(there, len(a))
+    return same.any(axis=0)
+
+
+def _shifted(values: np.ndarray, n: int) -> np.ndarray:
+    """A view of ``n`` values from each of the first places on, a row for each place."""
+    return np.ndarray((len(values) - n + 1, n), values.dtype, values, 0, 2 * values.strides)
 
 
 def verified(

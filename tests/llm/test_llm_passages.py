@@ -178,3 +178,18 @@ def test_shingles_near_their_place_as_by_search():
             assert op._held(a, b).tolist() == np.isin(a, b).tolist()
             both = len(np.intersect1d(a, b))
             assert op._jaccard(a, b) == both / (len(np.unique(a)) + len(np.unique(b)) - both)
+
+
+def test_shingles_near_their_place_equal_those_found_one_distance_at_a_time():
+    rng = np.random.default_rng(3)
+    sizes = [(int(n), int(m)) for n, m in rng.integers(0, 90, (300, 2))] + [(20_000, 17_000), (9_000, 40)]
+    for n, m in sizes:
+        a, b = (rng.integers(0, 60, k).astype(np.uint16) for k in (n, m))
+        for shift in (0, 7, -n // 2, m // 3, n + 20, -m - 20):
+            near = np.zeros(n, bool)
+            for back in range(shift - op.DRIFT, shift + op.DRIFT + 1):
+                begin, end = max(0, back), min(n, m + back)
+                if begin < end:
+                    near[begin:end] |= a[begin:end] == b[begin - back : end - back]
+            assert (op._present(a, b, shift) == near).all()
+            assert (op._present(a.astype(np.uint64), b.astype(np.uint64), shift) == near).all()
