@@ -47,12 +47,16 @@ def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return tokens.encoded(docs, tokenizer_file())
 
 
+#: Buffers on both sides of the pipe to a worker hold a few times as much, and stages follow one
+#: another in the same executors.
+STAGE_BATCH_BYTES = 4 * 1024 * 1024
+
 STAGES = [
-    ("language_id", with_workers(language_id)),
-    ("near_dedup", with_workers(near_dedup)),
-    ("decontamination", with_workers(decontamination)),
-    ("mix", with_workers(mix)),
-    ("token_ids", with_workers(token_ids)),
+    ("language_id", with_workers(language_id, STAGE_BATCH_BYTES)),
+    ("near_dedup", with_workers(near_dedup, STAGE_BATCH_BYTES)),
+    ("decontamination", with_workers(decontamination, STAGE_BATCH_BYTES)),
+    ("mix", with_workers(mix, STAGE_BATCH_BYTES)),
+    ("token_ids", with_workers(token_ids, STAGE_BATCH_BYTES)),
 ]
 
 #: Trained models, hashes and the tokenizer have no SQL form; the tests use brute force.

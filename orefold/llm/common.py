@@ -17,9 +17,8 @@ from pyspark.sql import functions as F
 
 from orefold.session import shared_folder
 
-#: Bytes that Spark hands to a worker at a time, or a single row: buffers on both sides of the
-#: pipe hold a few times as much.
-BATCH_BYTES = 4 * 1024 * 1024
+#: Bytes that Spark hands to a worker at a time, or a single row.
+BATCH_BYTES = 8 * 1024 * 1024
 #: Rows that a Parquet reader holds at a time, whole texts in one array.
 READER_ROWS = 1024
 #: Bytes of text that are turned into arrays at a time; one longer text is a slice of its own.
@@ -54,14 +53,14 @@ def on_workers(spark: SparkSession) -> None:
             sc.environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
 
 
-def with_workers(query: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+def with_workers(query: Callable[..., DataFrame], batch_bytes: int = BATCH_BYTES) -> Callable[..., DataFrame]:
     """A query or stage whose first argument is the session, see ``on_workers``; workers get
-    batches of bounded size."""
+    batches of bounded size, and so do readers."""
 
     @functools.wraps(query)
     def run(spark: SparkSession, *args) -> DataFrame:
         on_workers(spark)
-        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(batch_bytes))
         spark.conf.set("spark.sql.parquet.columnarReaderBatchSize", str(READER_ROWS))
         return query(spark, *args)
 

@@ -31,9 +31,8 @@ def test_few_items_travel_as_few_bytes():
 
 
 def test_readers_and_workers_get_bounded_batches(spark):
-    held = with_workers(
-        lambda s: [int(s.conf.get(k)) for k in (
-            "spark.sql.parquet.columnarReaderBatchSize", "spark.sql.execution.arrow.maxBytesPerBatch"
-        )]
-    )(spark)
-    assert held[0] <= 1024 and held[1] <= 4 * 1024 * 1024
+    keys = "spark.sql.parquet.columnarReaderBatchSize", "spark.sql.execution.arrow.maxBytesPerBatch"
+    rows, size = with_workers(lambda s: [int(s.conf.get(k)) for k in keys], 1 << 20)(spark)
+    assert rows <= 1024 and size == 1 << 20
+    rows, size = with_workers(lambda s: [int(s.conf.get(k)) for k in keys])(spark)
+    assert rows <= 1024 and size == common.BATCH_BYTES
