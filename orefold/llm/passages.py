@@ -41,11 +41,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from orefold.llm.common import LOWER, SPACE, Words, mixed, over_slices, raw, stored
-from orefold.operators.joins import attach_large, size_checked
+from orefold.llm.common import LOWER, SPACE, Words, mixed, over_slices, powers, ragged, raw, stored
+from orefold.operators.joins import size_checked
 
 SHINGLE = 5
 PASSAGE_WORDS = 50
@@ -56,10 +56,14 @@ BESIDE = 4
 #: Lengths of context on each side of a window's least shingle, up to a passage; a hash of
 #: four bits each, one number for a side.
 STEPS = 15
+#: A signature with a larger share of the windows meets its first one by a broadcast.
+HOT_SHARE = 0.001
 #: Links of two documents go to one candidate if their shifts differ by at most this.
 DRIFT = 16
 #: Places that are compared with their surroundings at a time.
 _PLACES = 8192
+#: Places of many pairs that are compared at a time.
+_FLAT = 1 << 16
 SEED = 9
 
 WINDOWS = "signature long, doc_id long, centre int, left int, right int, after long, before long"
@@ -74,19 +78,31 @@ OWN = ("start_word", "end_word", "rep_doc_id", "rep_start_word", "rep_end_word",
 def shingles(texts: pa.Array, size: int = SHINGLE) -> tuple[Words, np.ndarray, np.ndarray]:
     """Words, word hashes, and the hash of the shingle that begins at each word (only those
     that end in the same text are of use)."""
+    words, h = _words(texts)
+    return words, h, run_hash(h, size)
+
+
+def _words(texts: pa.Array) -> tuple[Words, np.ndarray]:
     data, at = raw(texts)
     words = Words(data, at, ~SPACE)
-    h = words.hashes(LOWER[data])
-    return words, h, run_hash(h, size)
+    return words, words.hashes(LOWER[data])
 
 
 def run_hash(h: np.ndarray, size: int) -> np.ndarray:
     """A hash of ``size`` successive hashes, from each place on; zero padded."""
-    padded = np.concatenate([h, np.zeros(size, np.uint64)])
-    out = np.zeros(len(h), np.uint64)
-    for k in range(size):
-        out = out * np.uint64(0x9E3779B97F4A7C15) + padded[k : k + len(h)]
-    return mixed(out, SEED)
+    return run_hashes(h, [size])[0]
+
+
+def run_hashes(h: np.ndarray, sizes: list[int]) -> list[np.ndarray]:
+    """``run_hash`` of each of ascending sizes."""
+    padded = np.concatenate([h, np.zeros(sizes[-1], np.uint64)])
+    own, out = np.zeros(len(h), np.uint64), []
+    for k in range(sizes[-1]):
+        own *= np.uint64(0x9E3779B97F4A7C15)
+        own += padded[k : k + len(h)]
+        if k + 1 in sizes:
+            out.append(mixed(own, SEED))
+    return out
 
 
 def window_centres(h: np.ndarray, doc: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -142,28 +158,44 @@ def context_lengths(passage_words: int) -> list[int]:
     return [step * k for k in range(1, -(-passage_words // step) + 1)]
 
 
-def contexts(h: np.ndarray, at: np.ndarray, size: int, lengths: list[int], side: int) -> np.ndarray:
-    """For each place four bits for each length of context, the shortest one first: equal up
-    to a length if the words after (``side`` 1) or before (-1) the shingle are."""
-    out, own, done = np.zeros(len(at), np.uint64), np.zeros(len(at), np.uint64), 0
-    padded = np.concatenate([np.zeros(lengths[-1], np.uint64), h, np.zeros(lengths[-1] + size, np.uint64)])
-    edge = at + lengths[-1] + (size - 1 if side > 0 else 0)
-    for length in lengths:
-        for k in range(done + 1, length + 1):
-            own = own * np.uint64(0x9E3779B97F4A7C15) + padded[edge + side * k]
-        out = (out << np.uint64(4)) | (mixed(own, length) >> np.uint64(60))
-        done = length
-    return out.view(np.int64)
+class Contexts:
+    """Hashes of what lies beside shingles of ``size`` words, from running sums of the words by
+    powers: that of a run is a difference and a factor."""
+
+    def __init__(self, h: np.ndarray, size: int, lengths: list[int], side: int) -> None:
+        self.size, self.lengths, self.side = size, lengths, side
+        none = np.zeros(lengths[-1] + size, np.uint64)
+        self.sums = np.concatenate([none, h, none])
+        self.up, self.down = powers(len(self.sums))
+        self.sums *= (self.down if side > 0 else self.up)[: len(self.sums)]
+        np.cumsum(self.sums, out=self.sums)
+
+    def at(self, places: np.ndarray) -> np.ndarray:
+        """For each place four bits for each length of context, the shortest one first: equal up
+        to a length if the words after (``side`` 1) or before (-1) the shingle are."""
+        out = np.zeros(len(places), np.uint64)
+        edge = places + self.lengths[-1] + self.size + (self.size - 1 if self.side > 0 else 0)
+        own = self.sums[edge if self.side > 0 else edge - 1]
+        for length in self.lengths:
+            if self.side > 0:
+                words = (self.sums[edge + length] - own) * self.up[edge + length]
+            else:
+                words = (own - self.sums[edge - length - 1]) * self.down[edge - length]
+            out = (out << np.uint64(4)) | (mixed(words, length) >> np.uint64(60))
+        return out.view(np.int64)
 
 
 def _hashed(texts: pa.Array, size: int) -> tuple[Words, np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]] | None:
     """Words, word hashes, the shingles that end in their own text (their place among all
     words, and hash), and the hashes of what lies after and before each."""
-    words, h, own = shingles(texts, size)
+    words, h = _words(texts)
     whole = np.flatnonzero(words.doc[size - 1 :] == words.doc[: len(h) - size + 1])
     if not len(whole):
         return None
-    return words, h, whole, own[whole], [run_hash(h, BESIDE + size)[whole], _before(h, BESIDE, size)[whole]]
+    own, after = run_hashes(h, [size, size + BESIDE])
+    # the words from so many before a place to the end of its shingle
+    before = np.concatenate([mixed(h[:BESIDE], 5), after[: max(len(h) - BESIDE, 0)]])
+    return words, h, whole, own[whole], [after[whole], before[whole]]
 
 
 def _signature(beside: list[np.ndarray], centres: np.ndarray, f: int) -> np.ndarray:
@@ -182,6 +214,7 @@ def all_windows(docs: DataFrame, width: int, hashes: int = HASHES, size: int = S
         words, h, whole, mine, beside = hashed
         doc = words.doc[whole]
         ids, place = batch.column("doc_id").to_numpy(), whole - words.first[doc]
+        contexts = [Contexts(h, size, lengths, side) for side in (1, -1)]
         parts: list[list[np.ndarray]] = [[] for _ in range(7)]
         for f in range(hashes):
             centres, left, right = compact_windows(mixed(mine, 1000 + f), doc, width)
@@ -190,7 +223,7 @@ def all_windows(docs: DataFrame, width: int, hashes: int = HASHES, size: int = S
                 (
                     _signature(beside, centres, f), ids[doc[centres]],
                     place[centres], place[left], place[right],
-                    *(contexts(h, whole[centres], size, lengths, side) for side in (1, -1)),
+                    *(c.at(whole[centres]) for c in contexts),
                 ),
             ):
                 part.append(column)
@@ -224,12 +257,6 @@ def all_signatures(docs: DataFrame, width: int, hashes: int = HASHES, size: int
     return docs.mapInArrow(over_slices(work), "signature long, doc_id long")
 
 
-def _before(h: np.ndarray, beside: int, size: int) -> np.ndarray:
-    """The hash of the words from ``beside`` before a place to the end of its shingle."""
-    out = run_hash(h, beside + size)
-    return np.concatenate([mixed(h[:beside], 5), out[: len(h) - beside]]) if len(h) > beside else mixed(h, 5)
-
-
 def linked(windows: DataFrame, signatures: DataFrame, passage_words: int, size: int = SHINGLE) -> DataFrame:
     """Each window beside the first one with its signature, and beside the first ones with
     its contexts where those differ; windows whose signature is in a single document are
@@ -242,34 +269,80 @@ def linked(windows: DataFrame, signatures: DataFrame, passage_words: int, size:
         .where("lo < hi").select("signature")
     )
     held = stored(windows.join(shared, "signature"), "shared-windows")
-    window = F.struct(*WINDOW)
-    first = held.groupBy("signature").agg(
-        F.min(F.struct(*WINDOW, "after", "before")).alias("rep")
-    )
-    # a signature that many windows have meets its first window without a shuffle
-    met = attach_large(held, first, "signature", "signature", "inner")
+    met = _beside_first(held)
     lengths = context_lengths(passage_words)
-    apart = []
-    for side, name in enumerate(("after", "before")):
-        for k in range(1, len(lengths) + 1):
-            unused = 4 * (len(lengths) - k)
-            own, other = F.shiftright(name, unused), F.shiftright(f"rep.{name}", unused)
-            apart.append(F.when(own != other, F.struct(F.lit(2 * k + side).alias("length"), own.alias("context"))))
-    apart = F.filter(F.array(*apart), lambda x: x.isNotNull())
+    apart = [_unlike(F.col(side), F.col(f"rep.{side}"), len(lengths)) for side in ("after", "before")]
     # words beside the shingle that agree, less two lengths that four bits may have let pass
-    agreed = (2 * len(lengths) - F.size(apart) - 2) * lengths[0] + size
-    open_ = (
-        met.where(agreed < passage_words)
-        .select("signature", *WINDOW, F.explode(apart).alias("at"))
-        .select("signature", "at.length", "at.context", *WINDOW)
+    agreed = (2 * len(lengths) - sum(apart) - 2) * lengths[0] + size
+    met = met.withColumns({f"{c}_apart": a for c, a in zip(("after", "before"), apart)})
+    met = met.withColumn("open", agreed < passage_words)
+    met = met.where(F.col("open") | (F.col("rep.doc_id") < F.col("doc_id")))
+    beyond = ("signature", "after", "before", "after_apart", "before_apart")
+    beyond = [F.when(F.col("open"), F.col(c)).alias(c) for c in beyond]
+    met = stored(met.select(*WINDOW, *_of_rep(), "open", *beyond), "met-windows")
+    links = met.select(*WINDOW, "rep_id", "rep_centre", "rep_left", "rep_right")
+    return links.unionByName(_closer(met.where("open"), len(lengths))).where("rep_id < doc_id")
+
+
+def _beside_first(windows: DataFrame) -> DataFrame:
+    """Each window with the first one that has its signature, as ``rep``.
+
+    Those of a signature with more than ``HOT_SHARE`` of the windows know it by a broadcast and
+    are dealt out by place; all others meet in one exchange. ``windows`` is a written table.
+    """
+    first = F.min(F.struct(*WINDOW, "after", "before"))
+    counts = windows.groupBy("signature").agg(F.count(F.lit(1)).alias("n"))
+    most = HOT_SHARE * windows.count()
+    hot = [r[0] for r in counts.where(F.col("n") > most).select("signature").collect()]
+    if not hot:
+        return windows.withColumn("rep", first.over(Window.partitionBy("signature")))
+    firsts = windows.where(F.col("signature").isin(hot)).groupBy("signature").agg(first.alias("known"))
+    known = windows.join(F.broadcast(firsts), "signature", "left")
+    cell = F.when(F.col("known").isNotNull(), F.xxhash64("doc_id", "centre"))
+    rep = F.coalesce("known", first.over(Window.partitionBy("signature", cell)))
+    return known.withColumn("rep", rep).drop("known")
+
+
+def _unlike(a: Column, b: Column, lengths: int) -> Column:
+    """At how many lengths of context two hashes differ: all from the first such on."""
+    return sum((F.shiftright(a.bitwiseXOR(b), 4 * k) != 0).cast("int") for k in range(lengths))
+
+
+def _closer(open_: DataFrame, lengths: int) -> DataFrame:
+    """Each open window beside the first ones with its contexts, at the lengths at which it
+    departs from the first of its signature.
+
+    What agrees at a length agrees at all shorter ones. So only windows that meet another
+    document's at their shortest such length go on, and lengths at which all that meet there
+    still agree would give the same link and count as one.
+    """
+    sides = F.array(
+        *[
+            F.struct(F.lit(k).alias("side"), F.col(f"{name}_apart").alias("apart"), F.col(name).alias("context"))
+            for k, name in enumerate(("after", "before"))
+        ]
+    )
+    rows = open_.select("signature", *WINDOW, F.explode(sides).alias("at")).select("signature", *WINDOW, "at.*")
+    rows = rows.where("apart > 0").withColumn("shortest", F.expr("shiftright(context, 4 * (apart - 1))"))
+    keys = ["signature", "side", "apart", "shortest"]
+    met = rows.groupBy(*keys).agg(
+        F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"),
+        (_unlike(F.min("context"), F.max("context"), lengths) + 1).alias("levels"),
+    )
+    met = met.where("lo < hi").select(*keys, "levels")
+    # a level is how many of the longest lengths are left out, from 1
+    flat = (
+        rows.join(met, keys)
+        .select("signature", "side", *WINDOW, "context", F.explode(F.sequence(F.lit(1), "levels")).alias("level"))
+        .withColumn("context", F.expr("shiftright(context, 4 * (level - 1))"))
     )
-    keys = ["signature", "length", "context"]
+    flat = stored(flat, "open-contexts")
+    keys = ["signature", "side", "level", "context"]
     closer = (
-        open_.groupBy(*keys).agg(F.min(window).alias("rep"), F.max("doc_id").alias("hi"))
+        flat.groupBy(*keys).agg(F.min(F.struct(*WINDOW)).alias("rep"), F.max("doc_id").alias("hi"))
         .where("rep.doc_id < hi").drop("hi")
     )
-    links = [met.select(*WINDOW, *_of_rep()), open_.join(closer, keys).select(*WINDOW, *_of_rep())]
-    return links[0].unionByName(links[1]).where("rep_id < doc_id")
+    return flat.join(closer, keys).select(*WINDOW, *_of_rep())
 
 
 def _of_rep() -> list[Column]:
@@ -354,9 +427,9 @@ def verified(
     this leaves out hold enough shingles that the other text has near them, all are compared
     with shingles that have moved.
     """
-    found: list[tuple[int, int, int, int, float]] = []
+    found: list[tuple[int, int, int, int]] = []
     if len(a) < width or len(b) < width:
-        return found
+        return []
     # bounds of what can touch the span
     bounds = {}
     for shift in shifts:
@@ -376,8 +449,7 @@ def verified(
             # without the unlike shingles at either end
             alike = np.flatnonzero(_held(a[s:e], b[s - shift : e - shift]))
             s, e = s + int(alike[0]), s + int(alike[-1]) + 1
-            t, u = s - shift, e - shift
-            found.append((s, e, t, u, _jaccard(a[s:e], b[t:u])))
+            found.append((s, e, s - shift, e - shift))
 
     for shift, (begin, end) in bounds.items():
         shared = _sliding(a[begin:end] == b[begin - shift : end - shift], width)
@@ -398,11 +470,19 @@ def verified(
         add(starts[(starts >= begin) & (starts + width <= end)], shift)
     out: list[tuple[int, int, int, int, float]] = []
     taken = np.zeros(len(a), bool)
-    for p in sorted(found, key=lambda p: (p[0] - p[1], -p[4], p[0])):  # longest first
+
+    def own(p: tuple) -> bool:
         free = int(np.count_nonzero(~taken[p[0] : p[1]]))
-        if free == p[1] - p[0] or free > DRIFT:
-            out.append(p)
-            taken[p[0] : p[1]] = True
+        return free == p[1] - p[0] or free > DRIFT
+
+    # longest first, of those the most similar; only what can stay is compared
+    found.sort(key=lambda p: p[0] - p[1])
+    for _, same in itertools.groupby(found, key=lambda p: p[0] - p[1]):
+        like = [(*p, _jaccard(a[p[0] : p[1]], b[p[2] : p[3]])) for p in same if own(p)]
+        for p in sorted(like, key=lambda p: (-p[4], p[0])):
+            if own(p):
+                out.append(p)
+                taken[p[0] : p[1]] = True
     return sorted(out)
 
 
@@ -440,14 +520,84 @@ def _jaccard(a: np.ndarray, b: np.ndarray) -> float:
 def of_pair(
     a: np.ndarray, b: np.ndarray, spans: list[dict], width: int, least: float
 ) -> list[tuple[int, int, int, int, float]]:
-    """All passages of two documents. A span that lies in a passage found before is settled."""
+    """All passages of two documents. A span that lies in a passage found before is settled.
+    Where a span has ``fitting``, those of its shifts that can have a similar window, only these
+    are looked at."""
     out: set[tuple[int, int, int, int, float]] = set()
     for s in sorted(spans, key=lambda s: (s["low"] - s["high"], s["low"], s["shifts"])):
-        if not any(p[0] <= s["low"] and s["high"] < p[1] for p in out):
-            out.update(verified(a, b, s["low"], s["high"], s["shifts"], width, least))
+        shifts = s.get("fitting", s["shifts"])
+        if shifts and not any(p[0] <= s["low"] and s["high"] < p[1] for p in out):
+            out.update(verified(a, b, s["low"], s["high"], shifts, width, least))
     return sorted(out)
 
 
+def fitting(batch: pa.RecordBatch, width: int, least: float) -> np.ndarray:
+    """For each shift of each span of each pair (``spans, shingles, rep_shingles``), in order,
+    whether any window of ``width`` near the span has the needed similarity by ``similar_places``.
+
+    Most pairs have none, and are settled here, many at a time.
+    """
+    spans = batch.column("spans")
+    flat = spans.flatten()
+    shifts = flat.field("shifts")
+    pair = np.repeat(np.arange(len(spans)), spans.value_lengths().to_numpy())
+    times = shifts.value_lengths().to_numpy()
+    pair, shift = np.repeat(pair, times), shifts.flatten().to_numpy().astype(np.int64)
+    low, high = (np.repeat(flat.field(c).to_numpy().astype(np.int64), times) for c in ("low", "high"))
+    sides = []
+    for name in ("shingles", "rep_shingles"):
+        data, at = raw(batch.column(name).cast(pa.large_binary()))
+        sides.append((np.frombuffer(data.tobytes(), np.uint16).astype(np.int32), at[:-1][pair] // 2, np.diff(at)[pair] // 2))
+    (a, a_at, a_len), (b, b_at, b_len) = sides
+    begin = np.maximum(np.maximum(shift, low - width), 0)
+    end = np.minimum(np.minimum(a_len, b_len + shift), high + width + 1)
+    out = np.zeros(len(pair), bool)
+    some = np.flatnonzero(end - begin >= width)
+    room = end[some] - begin[some] + 2 * DRIFT
+    part = np.cumsum(room) // _FLAT
+    for k in np.split(np.arange(len(some)), np.flatnonzero(np.diff(part)) + 1) if len(some) else ():
+        e, n = some[k], room[k]
+        at = np.cumsum(n) - n
+        place = ragged(begin[e] - DRIFT, n)
+        x = _cut(a, place, np.repeat(a_at[e], n), np.repeat(a_len[e], n), -1)
+        y = _cut(b, place - np.repeat(shift[e], n), np.repeat(b_at[e], n), np.repeat(b_len[e], n), -2)
+        in_b, in_a = np.zeros(len(x), bool), np.zeros(len(x), bool)
+        for d in range(-DRIFT, DRIFT + 1):
+            i, j = max(0, -d), max(0, d)  # a place of one and the one at distance d of the other
+            same = x[i : len(x) - j] == y[j : len(y) - i]
+            in_b[i : len(x) - j] |= same
+            in_a[j : len(x) - i] |= same
+        shared = np.minimum(_sliding(in_b, width), _sliding(in_a, width))
+        ok = np.concatenate([[0], np.cumsum(shared >= least * (2 * width - shared) - 1e-9)])
+        first = at + DRIFT
+        out[e] = ok[first + n - 2 * DRIFT - width + 1] > ok[first]
+    return out
+
+
+def _cut(values: np.ndarray, place: np.ndarray, at: np.ndarray, n: np.ndarray, none: int) -> np.ndarray:
+    """The values at places of texts of ``n`` values from ``at`` on, ``none`` outside of them."""
+    inside = (place >= 0) & (place < n)
+    out = np.full(len(place), none, values.dtype)
+    out[inside] = values[(place + at)[inside]]
+    return out
+
+
+def settled(batch: pa.RecordBatch, width: int, least: float) -> Iterator[tuple[int, list[tuple]]]:
+    """The row and passages of each pair of a batch that can have any."""
+    fits, spans = fitting(batch, width, least), batch.column("spans")
+    times = spans.flatten().field("shifts").value_lengths().to_numpy()
+    of_span = np.concatenate([[0], np.cumsum(times)])
+    of_pair_ = np.concatenate([[0], np.cumsum(spans.value_lengths().to_numpy())])
+    before = np.concatenate([[0], np.cumsum(fits)])
+    ends = of_span[of_pair_]
+    for k in np.flatnonzero(before[ends[1:]] > before[ends[:-1]]).tolist():
+        own = spans[k].as_py()
+        for i, s in enumerate(own, of_pair_[k]):
+            s["fitting"] = [x for x, fit in zip(s["shifts"], fits[of_span[i] : of_span[i + 1]]) if fit]
+        a, b = (np.frombuffer(batch.column(c)[k].as_py(), np.uint16) for c in ("shingles", "rep_shingles"))
+        yield k, of_pair(a, b, own, width, least)
+
+
 def passages(
     docs: DataFrame,
     passage_words: int = PASSAGE_WORDS,
@@ -515,13 +665,10 @@ def _passages(
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            columns = [
-                batch.column(c) for c in ("doc_id", "rep_id", "skip", "spans", "shingles", "rep_shingles")
-            ]
-            for k in range(batch.num_rows):
-                doc, rep, skip, spans, own, other = (c[k].as_py() for c in columns)
-                a, b = np.frombuffer(own, np.uint16), np.frombuffer(other, np.uint16)
-                for s, e, t, u, j in of_pair(a, b, spans, width, similarity):
+            names = [batch.column(c).to_numpy() for c in ("doc_id", "rep_id", "skip")]
+            for k, found in settled(batch, width, similarity):
+                doc, rep, skip = (int(c[k]) for c in names)
+                for s, e, t, u, j in found:
                     out.append((doc, skip + s, skip + e + size - 1, rep, t, u + size - 1, j))
             yield _passage_batch(out)
 

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 
 from corpus import frame, odd_rows, rows, text, words
 from orefold.llm import passages as op
@@ -193,3 +194,81 @@ def test_shingles_near_their_place_equal_those_found_one_distance_at_a_time():
                     near[begin:end] |= a[begin:end] == b[begin - back : end - back]
             assert (op._present(a, b, shift) == near).all()
             assert (op._present(a.astype(np.uint64), b.astype(np.uint64), shift) == near).all()
+
+
+def test_open_windows_meet_the_first_with_their_context_at_each_length(spark):
+    rng = random.Random(5)
+    lengths, windows = 13, []
+    for signature in range(30):
+        stems = [rng.getrandbits(52) for _ in range(3)]
+        for _ in range(rng.randrange(1, 12)):
+            sides = []
+            for _ in range(2):
+                kept = 4 * rng.randrange(lengths + 1)  # bits of a stem that are changed at the far end
+                sides.append(rng.choice(stems) >> kept << kept | rng.getrandbits(kept) if kept else rng.choice(stems))
+            at = rng.randrange(500)
+            windows.append((signature, rng.randrange(40), at, at - 9, at + 50, *sides))
+    # the first one of a signature has the contexts 7 * signature
+    apart = lambda w, c: sum((c ^ 7 * w[0]) >> 4 * k != 0 for k in range(lengths))
+    windows = [(*w, apart(w, w[5]), apart(w, w[6])) for w in windows]
+    names = "signature long, doc_id long, centre int, left int, right int, after long, before long"
+    open_ = spark.createDataFrame(windows, names + ", after_apart int, before_apart int")
+    groups = {}
+    for w in windows:
+        for side in (0, 1):
+            for k in range(w[7 + side]):
+                groups.setdefault((w[0], side, k, w[5 + side] >> 4 * k), []).append(w[1:5])
+    want = {(w, min(g)) for g in groups.values() for w in g if min(g)[0] < max(g)[0]}
+    got = [tuple(r) for r in op._closer(open_, lengths).collect()]
+    assert {(r[:4], r[4:]) for r in got} == want and len(want) > 20
+
+
+def test_lengths_with_one_link_are_one_row(spark):
+    # two open windows that agree at all 13 lengths on both sides
+    rows_ = [(1, d, 100, 60, 150, 5 << 48, 9 << 48, 13, 13) for d in (7, 8)]
+    names = "signature long, doc_id long, centre int, left int, right int, after long, before long"
+    open_ = spark.createDataFrame(rows_, names + ", after_apart int, before_apart int")
+    got = op._closer(open_, 13).where("rep_id < doc_id").collect()
+    assert [(r.doc_id, r.rep_id) for r in got] == [(8, 7)] * 2  # one for each side
+
+
+def test_pairs_settled_many_at_a_time_have_the_passages_of_each_alone():
+    rng = np.random.default_rng(3)
+    records = []
+    for _ in range(200):
+        a = rng.integers(0, 1 << 16, rng.integers(30, 400)).astype(np.uint16)
+        b = np.concatenate([rng.integers(0, 1 << 16, rng.integers(0, 60)).astype(np.uint16), a])
+        changed = rng.random(len(b)) < rng.choice([0, 0.05, 0.2, 1])
+        b[changed] = rng.integers(0, 1 << 16, changed.sum())
+        b = np.delete(b, rng.integers(0, len(b), rng.integers(0, 4)))
+        spans = []
+        for _ in range(rng.integers(1, 4)):
+            low = int(rng.integers(0, len(a)))
+            high = int(rng.integers(low, len(a)))
+            shifts = sorted({len(a) - len(b) + int(x) for x in rng.integers(-8, 9, rng.integers(1, 4))})
+            spans.append({"low": low, "high": high, "shifts": shifts})
+        records.append({"spans": spans, "shingles": a.tobytes(), "rep_shingles": b.tobytes()})
+    batch = pa.RecordBatch.from_pylist(records)
+    alone = {}
+    for k, r in enumerate(records):
+        a, b = (np.frombuffer(r[c], np.uint16) for c in ("shingles", "rep_shingles"))
+        alone[k] = op.of_pair(a, b, [dict(s) for s in r["spans"]], 46, 0.8)
+    for skip, n in ((0, 200), (37, 90)):
+        got = dict(op.settled(batch.slice(skip, n), 46, 0.8))
+        assert [got.get(k, []) for k in range(n)] == [alone[skip + k] for k in range(n)]
+    assert 20 < len(dict(op.settled(batch, 46, 0.8))) < 180  # most of those without any are left out
+
+
+def test_contexts_are_the_hashes_of_the_words_beside():
+    rng = np.random.default_rng(4)
+    h, size, lengths = rng.integers(0, 1 << 63, 90).astype(np.uint64), 5, op.context_lengths(50)
+    for side in (1, -1):
+        got = op.Contexts(h, size, lengths, side).at(np.arange(len(h) - size + 1))
+        for at in range(len(h) - size + 1):
+            own = want = 0
+            for k in range(1, lengths[-1] + 1):
+                place = at + size - 1 + k if side > 0 else at - k
+                own = (own * 0x9E3779B97F4A7C15 + (int(h[place]) if 0 <= place < len(h) else 0)) % (1 << 64)
+                if k in lengths:
+                    want = want << 4 | int(mixed(np.array([own], np.uint64), k)[0]) >> 60
+            assert got[at] == want
