@@ -547,7 +547,8 @@ def fitting(batch: pa.RecordBatch, width: int, least: float) -> np.ndarray:
     sides = []
     for name in ("shingles", "rep_shingles"):
         data, at = raw(batch.column(name).cast(pa.large_binary()))
-        sides.append((np.frombuffer(data.tobytes(), np.uint16).astype(np.int32), at[:-1][pair] // 2, np.diff(at)[pair] // 2))
+        values = np.frombuffer(data.tobytes(), np.uint16).astype(np.int32)
+        sides.append((values, at[:-1][pair] // 2, np.diff(at)[pair] // 2))
     (a, a_at, a_len), (b, b_at, b_len) = sides
     begin = np.maximum(np.maximum(shift, low - width), 0)
     end = np.minimum(np.minimum(a_len, b_len + shift), high + width + 1)
