@@ -84,15 +84,29 @@ def new_folder(spark: SparkSession, name: str) -> str:
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write to the shared folder and read back: cuts lineage, survives lost executors. What was
     shuffled for it is removed once it is written."""
+    return df.sparkSession.read.schema(df.schema).parquet(written(df, name))
+
+
+def written(df: DataFrame, name: str, *by: str) -> str:
+    """The folder of a stored table, with one below for each value of ``by``."""
     spark = df.sparkSession
     path = new_folder(spark, name)
     before = spark.conf.get(SHUFFLE_CLEANUP)
     spark.conf.set(SHUFFLE_CLEANUP, "true")
     try:
-        df.write.parquet(path)
+        df.write.partitionBy(*by).parquet(path)
     finally:
         spark.conf.set(SHUFFLE_CLEANUP, before)
-    return spark.read.schema(df.schema).parquet(path)
+    return path
+
+
+def remove(spark: SparkSession, folder: str, prefix: str) -> None:
+    """Delete what begins so in a folder that a query has made for itself."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in files.listStatus(path):
+        if status.getPath().getName().startswith(prefix):
+            files.delete(status.getPath(), True)
 
 
 def first_by_hash(rows: DataFrame, by: str, key: str, most: dict) -> DataFrame:
@@ -180,15 +194,19 @@ class Words:
 
     def hashes(self, data: np.ndarray | None = None) -> np.ndarray:
         """A 64-bit hash of each word's bytes (of ``data`` if given, e.g. in lower case)."""
-        data = self.data if data is None else data
-        if not len(data):
-            return np.zeros(0, np.uint64)
-        up, down = powers(len(data))
-        sums = _LETTERS[data]
-        sums *= up[: len(data)]
-        np.cumsum(sums, out=sums)
-        before = np.where(self.starts > 0, sums[self.starts - 1], np.uint64(0))
-        return mixed((sums[self.ends - 1] - before) * down[self.starts])
+        return hashed(self.data if data is None else data, self.starts, self.ends)
+
+
+def hashed(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of the bytes in each stretch of ``data``; none is empty."""
+    if not len(data):
+        return np.zeros(0, np.uint64)
+    up, down = powers(len(data))
+    sums = _LETTERS[data]
+    sums *= up[: len(data)]
+    np.cumsum(sums, out=sums)
+    before = np.where(starts > 0, sums[starts - 1], np.uint64(0))
+    return mixed((sums[ends - 1] - before) * down[starts])
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:

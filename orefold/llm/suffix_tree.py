@@ -13,16 +13,19 @@ of retained contexts are states too. What a state has not stored, and ``SMOOTHIN
 to the distribution of its suffix. All limits are counts: a larger corpus has more symbols,
 longer contexts and more next symbols.
 
-Word counts, candidates, contexts and next symbols are tables, made by shuffles and never
-gathered in one place. Texts are dealt into chunks of bounded size; each chunk asks for the
-counts and symbols of its distinct words by a join, and gets them back in one group with its
-texts, which are written as symbols. Levels are counted from the symbols. A level's candidates
-and the finished tree are sent to the tasks as sorted arrays while they have at most
-``MOST_SENT`` rows; beyond that everything is counted and the candidates chosen afterwards,
-and chunks ask for the states they need by a join, with the same result.
-
-Symbols are 32-bit codes of words; of words with one code the most frequent keeps it. Contexts
-are 64-bit hashes of codes.
+``cross_scored`` scores the texts that make the tree, and others with them. Texts are cut into
+chunks of bounded size and stay there as symbols. What is counted over all of training (words,
+pairs of a context and a next symbol, evidence of contexts, suffixes of retained ones) is asked
+for by ``exchange``: sorted arrays of distinct keys go to buckets and answers come back, so that
+no key is a row. Words, contexts and pairs are 64-bit hashes. Contexts that cannot be states, by
+a bound that follows from counts at hand, are not counted further.
+
+``learned`` makes a model to be kept, as tables that shuffles make. Chunks of texts ask for the
+counts and symbols of their distinct words by a join. A level's candidates and the finished tree
+are sent to the tasks as sorted arrays while they have at most ``MOST_SENT`` rows; beyond that
+everything is counted and the candidates chosen afterwards, and chunks ask for the states they
+need by a join, with the same result. Symbols are 32-bit codes of words there; of words with one
+code the most frequent keeps it.
 
 Base: the sum over tokens of log10((c + 0.5) / (N + 0.5 (V + 1))).
 
@@ -39,10 +42,15 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orefold.llm.common import binary, forget_all_but, give_back, mixed, over_slices, raw, slices, split_words, stored, text_bytes
+from orefold.llm import exchange as ex
+from orefold.llm.common import (
+    SLICE_BYTES, at_rest, binary, forget_all_but, give_back, hashed, mixed, over_slices, raw, slices, split_words, stored,
+    text_bytes,
+)
 
 DEPTH = 3
 #: What occurs once says nothing beyond its own text; all else may be a context.
@@ -61,6 +69,8 @@ SYMBOL_BYTES = 4 * 1024 * 1024
 ASKING_BYTES = 1024 * 1024
 #: Rows of a sorted array that tasks get (8 bytes each, with values 24).
 MOST_SENT = 1_500_000
+#: Tokens of a chunk that is scored by the tree it helps to make, or a single text.
+CHUNK_TOKENS = 900_000
 #: Pairs that a task holds before it hands them on.
 HELD_PAIRS = 1_500_000
 
@@ -94,11 +104,9 @@ def word_counts(texts: DataFrame) -> DataFrame:
 
 
 @dataclass
-class Words:
-    """Counts of training: ``counts`` (word, n), ``symbols`` (word, n, code), and totals."""
+class Totals:
+    """Of training, the end included."""
 
-    counts: DataFrame
-    symbols: DataFrame
     tokens: int
     distinct: int
     documents: int
@@ -111,6 +119,22 @@ class Words:
         return self.tokens + 0.5 * (self.distinct + 1)
 
 
+@dataclass
+class Words(Totals):
+    """Counts of training: ``counts`` (word, n), ``symbols`` (word, n, code), and totals."""
+
+    counts: DataFrame
+    symbols: DataFrame
+
+
+def totals(n: int, distinct: int, documents: int, held: int, kinds: int) -> Totals:
+    """Of ``n`` words in ``documents`` texts, of which ``kinds`` symbols have ``held``."""
+    out = Totals(n + documents, distinct + (documents > 0), documents, n - held, 1.0)
+    if documents:  # what symbols and the end leave
+        out.share = 1 - (held + 0.5 * kinds + documents + 0.5) / out.whole
+    return out
+
+
 def learned_words(texts: DataFrame, least: int = LEAST_CONTEXT) -> Words:
     counts = stored(word_counts(texts), "word-counts")
     n, v = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
@@ -121,12 +145,8 @@ def learned_words(texts: DataFrame, least: int = LEAST_CONTEXT) -> Words:
         .groupBy("code").agg(F.max(first).alias("w")).select("w.word", "w.n", "code"),
         "symbols",
     )
-    documents = texts.count()
     held, kinds = symbols.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    words = Words(counts, symbols, n + documents, v + (documents > 0), documents, n - held, 1.0)
-    if documents:  # what symbols and the end leave
-        words.share = 1 - (held + 0.5 * kinds + documents + 0.5) / words.whole
-    return words
+    return Words(**vars(totals(n, v, texts.count(), held, kinds)), counts=counts, symbols=symbols)
 
 
 # texts as symbols
@@ -543,10 +563,395 @@ def scored(docs: DataFrame, model: Model, extra: dict[str, Column] | None = None
     return score_rows(symbolized(docs, model.words, extra), model)
 
 
-def cross_scored(docs: DataFrame, usable: Column, extra: dict[str, Column] | None = None, **limits) -> DataFrame:
-    """As ``scored`` by what is ``learned`` from the rows where ``usable`` holds; all texts
-    are turned into symbols once."""
-    words = learned_words(docs.where(usable), limits.get("least_context", LEAST_CONTEXT))
-    rows = symbolized(docs, words, {**(extra or {}), "_usable": usable})
-    model = grown(rows.where("_usable").select("symbols"), words, **limits)
-    return score_rows(rows.drop("_usable"), model)
+# texts scored by the tree that some of them make, chunk by chunk
+
+@dataclass
+class Limits:
+    depth: int = DEPTH
+    least_context: int = LEAST_CONTEXT
+    least_next: int = LEAST_NEXT
+    evidence: float = EVIDENCE
+
+    @property
+    def bound(self) -> float:
+        """What an upper bound of the evidence must reach; rounding must not decide."""
+        return self.evidence - 1e-6 * max(1.0, abs(self.evidence))
+
+
+def token_rows(docs: DataFrame, usable: Column, extra: dict[str, Column]) -> ex.Stage:
+    """Chunks of texts as rows of ``exchange.ROWS``: ``docs``, the columns to keep, with how many
+    texts are ``usable``; ``words``, hashes of the distinct ones and how often usable texts have
+    them; ``tokens``, which word each is, and words per text. Stored."""
+    held = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), *[c.alias(n) for n, c in extra.items()],
+        F.coalesce(usable, F.lit(False)).alias("_usable"), F.col("text"),
+    )
+    kept = [c for c in held.columns if c != "text"]
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_all_but(None)
+        chunk = TaskContext.get().partitionId() << 32
+        parts: list[tuple[np.ndarray, ...]] = []
+        rows: list[bytes] = []
+        for batch, texts in slices(batches, "text", SLICE_BYTES):
+            parts.append(_tokens(batch, texts))
+            rows.append(_table_bytes(batch.select(kept)))
+            if sum(len(p[1]) for p in parts) >= CHUNK_TOKENS:
+                yield from _chunk_rows(chunk, parts, rows).to_batches()
+                chunk, parts, rows = chunk + 1, [], []
+                give_back()
+        if parts:
+            yield from _chunk_rows(chunk, parts, rows).to_batches()
+        at_rest()
+
+    return ex.Stage(held.mapInArrow(work, ex.ROWS), "token-rows")
+
+
+def _tokens(batch: pa.RecordBatch, texts: pa.Array) -> tuple[np.ndarray, ...]:
+    """Hashes of distinct words, which of them each word is, words per text, usable texts."""
+    words, which, counts = lower_words(texts)
+    data, at = raw(words.cast(pa.large_binary()))
+    return hashed(data, at[:-1], at[1:]), which, counts, batch.column("_usable").to_numpy(zero_copy_only=False)
+
+
+def _table_bytes(batch: pa.RecordBatch) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema) as out:
+        out.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def _chunk_rows(chunk: int, parts: list[tuple[np.ndarray, ...]], rows: list[bytes]) -> pa.Table:
+    hashes, first = np.concatenate([p[0] for p in parts]), np.cumsum([0, *[len(p[0]) for p in parts]])
+    words, of = np.unique(hashes, return_inverse=True)
+    which = np.concatenate([of[at + p[1]] for at, p in zip(first, parts)]).astype(np.uint32)
+    counts, usable = (np.concatenate([p[i] for p in parts]) for i in (2, 3))
+    n = np.bincount(which[np.repeat(usable, counts)], minlength=len(words)).astype(np.uint32)
+    ends = np.cumsum([0, *[len(r) for r in rows]])
+    return ex.table_of([
+        (chunk, "docs", 0, int(usable.sum()), ex.packed(ends, np.frombuffer(b"".join(rows), np.uint8))),
+        (chunk, "words", 0, len(words), ex.packed(words, n)),
+        (chunk, "tokens", 0, len(which) + len(counts), ex.packed(which, counts.astype(np.uint32), usable)),
+    ])
+
+
+def _kept_rows(held: ex.Held) -> pa.Table:
+    """The table whose batches ``_table_bytes`` has written."""
+    ends, data = held["docs"]
+    data = pa.py_buffer(data)
+    return pa.concat_tables([pa.ipc.open_stream(data.slice(a, b - a)).read_all() for a, b in zip(ends[:-1], ends[1:])])
+
+
+def word_answers(least: int) -> ex.Answer:
+    """How often training has each word, and whether it is a symbol."""
+
+    def answer(words: np.ndarray, n: np.ndarray):
+        distinct, of = np.unique(words, return_inverse=True)
+        total = np.bincount(of, n, len(distinct)).astype(np.int64)
+        symbol = (total >= least) & (distinct > END)
+        return (total[of], symbol[of]), (total.sum(), (total > 0).sum(), total[symbol].sum(), symbol.sum())
+
+    return answer
+
+
+def _small(n: np.ndarray) -> np.ndarray:
+    return n.astype(np.uint32) if not len(n) or n.max() < 1 << 32 else n
+
+
+class Chunk:
+    """The symbols of a chunk's texts, back to back, and what training has of them.
+
+    ``seen[k]`` says for each place how often training has the symbols there and at the ``k``
+    places before; it is 0 where that cannot matter, and where it is not stored (``least_next``).
+    """
+
+    def __init__(self, held: ex.Held, limits: Limits) -> None:
+        self.limits = limits
+        self.codes, self.count, self.which, total, usable = held["symbols"]
+        self.starts = np.cumsum(total, dtype=np.int64) - total
+        self.place = np.arange(len(self.which), dtype=np.int32) - np.repeat(self.starts.astype(np.int32), total)
+        self.train = np.repeat(usable, total)
+        self.single = after(np.full(len(self.codes), _EMPTY, np.uint64), self.codes)
+        self.seen = [_small(self.count)[self.which]]
+        while f"seen{len(self.seen)}" in held.bodies:
+            self.seen += held[f"seen{len(self.seen)}"]
+
+    def contexts(self, at: np.ndarray, length: int) -> np.ndarray:
+        """As ``contexts_at``."""
+        out = self.single[self.which[at - length]]
+        for k in range(length - 1, 0, -1):
+            out = after(out, self.codes[self.which[at - k]])
+        return out
+
+    def at(self, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Places after contexts of one length that may be candidates: the place, how often
+        training has the context, and its suffix (of one symbol: none, the context again)."""
+        at = np.flatnonzero(self.place >= length).astype(np.int32)
+        tokens = self.seen[length - 1][at - 1]
+        held = tokens >= max(self.limits.least_context, 1)
+        at, tokens = at[held], tokens[held]
+        return at, tokens, self.seen[length - 2][at - 1] if length > 1 else tokens
+
+    def may_be_states(self, length: int, tokens: np.ndarray, suffix: np.ndarray) -> np.ndarray:
+        """Contexts that can be retained, or be the suffix of one that is.
+
+        A next symbol that t tokens of a context have n times, and s tokens of its suffix m
+        times, has n <= m: ln((n / t) / (m / s)) is at most ln(s / t), and the evidence of the
+        whole context at most t ln(s / t). For contexts with this one as suffix s is its own
+        count, and x ln(s / x) is at most s / e.
+        """
+        if length == 1:
+            return np.ones(len(tokens), bool)
+        own = tokens * np.log(np.maximum(suffix, 1) / tokens) >= self.limits.bound
+        return own | (tokens >= np.e * self.limits.bound) if length < self.limits.depth else own
+
+    def asked(self, length: int) -> np.ndarray:
+        """Places whose symbol must be counted after the context of this length: the context may
+        be a state, or with the symbol the beginning of one. Training has that at most as often
+        as the context, and its suffix as often as the suffix's pair, by which its evidence is
+        bounded as above."""
+        at, tokens, suffix = self.at(length)
+        may = self.may_be_states(length, tokens, suffix)
+        if 1 < length < self.limits.depth:
+            pair = self.seen[length - 1][at]
+            most = np.maximum(np.minimum(tokens, pair / np.e), 1e-9)
+            may |= (pair > 0) & (most * np.log(np.maximum(pair, 1) / most) >= self.limits.bound)
+        return at[may]
+
+    def pairs(self, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct keys of contexts and next symbols, which each place has, and the places."""
+        at = self.asked(length)
+        key, of = np.unique(pair_key(self.contexts(at, length), self.codes[self.which[at]]), return_inverse=True)
+        return key, of.astype(np.int32), at
+
+    def states(self, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct keys of contexts that may be states, which each place has, the places, and
+        how often training has the context."""
+        at, tokens, suffix = self.at(length)
+        may = self.may_be_states(length, tokens, suffix)
+        at, tokens = at[may], tokens[may]
+        if length == 1:
+            there = np.bincount(self.which[at - 1], minlength=len(self.codes)) > 0
+            key, of = np.unique(context_key(self.single[there]), return_inverse=True)
+            return key, of.astype(np.int32)[(np.cumsum(there) - 1)[self.which[at - 1]]], at, tokens
+        key, of = np.unique(context_key(self.contexts(at, length)), return_inverse=True)
+        return key, of.astype(np.int32), at, tokens
+
+    def roots(self, whole: float, share: float) -> np.ndarray:
+        p = (self.count + 0.5) / whole
+        p[self.codes == OTHER] = share
+        return p[self.which]
+
+
+def _pair_asks(held: ex.Held, chunk: Chunk, length: int, buckets: int) -> list[ex.Row]:
+    key, of, at = chunk.pairs(length)
+    n = np.bincount(of, chunk.train[at], len(key)).astype(np.uint32)
+    return ex.asking(held.chunk, buckets, "pairs", key, n)
+
+
+def _evidence_asks(held: ex.Held, chunk: Chunk, length: int, words: Totals, buckets: int) -> list[ex.Row]:
+    """What the chunk's places add to the evidence of contexts, and how many of them have a
+    stored next symbol. That counts at each of its places, so as often as training has it."""
+    key, of, at, tokens = chunk.states(length)
+    n = chunk.seen[length][at]
+    counted = np.flatnonzero(chunk.train[at] & (n > 0))
+    of, at, tokens, n = of[counted], at[counted], tokens[counted], n[counted]
+    base = chunk.roots(words.whole, words.share)[at] if length == 1 else chunk.seen[length - 1][at] / chunk.seen[length - 2][at - 1]
+    apart = np.bincount(of, np.log(n / tokens / base), len(key))
+    return ex.asking(held.chunk, buckets, f"tests{length}", key, apart, np.bincount(of, minlength=len(key)).astype(np.uint32))
+
+
+def pair_answers(least: int) -> ex.Answer:
+    def answer(key: np.ndarray, n: np.ndarray):
+        distinct, of = np.unique(key, return_inverse=True)
+        total = np.bincount(of, n, len(distinct)).astype(np.int64)
+        return (np.where(total >= least, total, 0)[of],), None
+
+    return answer
+
+
+def _symbol_rows_of(words: Totals):
+    """Symbols, base scores and what words of the class add."""
+    whole, share, documents, others = words.whole, words.share, words.documents, words.others
+
+    def work(held: ex.Held) -> pa.Table:
+        n, symbol = held.answer("words", np.int64, bool)
+        distinct, _ = held["words"]
+        which, counts, usable = held["tokens"]
+        common = np.flatnonzero(symbol)[np.argsort(-n[symbol])]  # small numbers take less room
+        codes = np.concatenate([np.array([OTHER, END], np.uint64), distinct[common]])
+        count = np.concatenate([np.array([others, documents], np.int64), n[common]])
+        of = np.zeros(len(distinct), np.uint32)
+        of[common] = np.arange(2, len(codes))
+        total = counts.astype(np.int64) + 1
+        ends = np.cumsum(total)
+        inside = np.ones(int(total.sum()), bool)
+        inside[ends - 1] = False
+        symbols = np.full(len(inside), END, np.uint32)
+        symbols[inside] = of[which]
+        of_token = np.full(len(inside), documents, np.int64)
+        of_token[inside] = n[which]
+        base = np.log10((of_token + 0.5) / whole)
+        rest = np.where(symbols == OTHER, base - np.log10(share), 0.0)
+        per = lambda x: np.add.reduceat(x, ends - total)
+        return ex.table_of([
+            (held.chunk, "docs", 0, 0, held.bodies["docs"].to_pybytes()),
+            (held.chunk, "symbols", 0, len(symbols), ex.packed(codes, count, symbols, total.astype(np.uint32), usable)),
+            (held.chunk, "base", 0, 0, ex.packed(total, per((of_token > 0).astype(np.int64)), per(base), per(rest))),
+        ])
+
+    return work
+
+
+def _first_asks(limits: Limits, buckets: int):
+    return lambda held: ex.table_of(_pair_asks(held, Chunk(held, limits), 1, buckets))
+
+
+def _seen_rows(length: int, words: Totals, limits: Limits, buckets: int):
+    """How often training has the pairs of one level; asks for those of the next, and tests
+    contexts: those of the level before, and after the last level its own."""
+
+    def work(held: ex.Held) -> pa.Table:
+        chunk = Chunk(held, limits)
+        _, of, at = chunk.pairs(length)
+        seen = np.zeros(len(chunk.which), np.int64)
+        seen[at] = held.answer("pairs", np.int64)[0][of]
+        chunk.seen.append(_small(seen))
+        rows = [(held.chunk, f"seen{length}", 0, len(at), ex.packed(chunk.seen[-1]))]
+        del of, at, seen
+        if length > 2:
+            rows.append((held.chunk, f"tests{length - 2}", 0, 0, ex.packed(*_tests(held, length - 2))))
+        if length < limits.depth:
+            rows += _pair_asks(held, chunk, length + 1, buckets)
+        for k in range(max(length - 1, 1), length + (length == limits.depth)):
+            rows += _evidence_asks(held, chunk, k, words, buckets)
+        return ex.table_of(rows)
+
+    return work
+
+
+def _tests(held: ex.Held, length: int) -> list[np.ndarray]:
+    """Which contexts are retained, and how many of their tokens have a stored next symbol."""
+    return held[f"tests{length}"] if f"tests{length}" in held.bodies else held.answer(f"tests{length}", bool, np.int64)
+
+
+def evidence_answers(evidence: float) -> ex.Answer:
+    """See ``_tests``."""
+
+    def answer(key: np.ndarray, apart: np.ndarray, held: np.ndarray):
+        distinct, of = np.unique(key, return_inverse=True)
+        held = np.bincount(of, held, len(distinct)).astype(np.int64)
+        kept = (np.bincount(of, apart, len(distinct)) >= evidence) & (held > 0)
+        return (kept[of], held[of]), None
+
+    return answer
+
+
+def _tested_rows(limits: Limits, buckets: int):
+    """Contexts retained; asks which of the others are suffixes of such a context."""
+
+    def work(held: ex.Held) -> pa.Table:
+        chunk = Chunk(held, limits)
+        states = [chunk.states(k) for k in range(1, limits.depth + 1)]
+        tests = [_tests(held, k) for k in range(1, limits.depth + 1)]
+        kept, stored_next = (np.concatenate(x) for x in zip(*tests))
+        below = np.zeros(len(chunk.which), bool)  # a longer context is retained here
+        suffixes = [np.zeros(len(s[0]), bool) for s in states]
+        for (_, of, at, _), (mine, _), suffix in zip(states[::-1], tests[::-1], suffixes[::-1]):
+            suffix[of[below[at]]] = True
+            below[at[mine[of]]] = True
+        keys, at = _open_states(states, kept, limits)
+        rows = [(held.chunk, "tests", 0, len(kept), ex.packed(kept, stored_next))]
+        return ex.table_of(rows + ex.asking(held.chunk, buckets, "suffixes", keys, np.concatenate(suffixes)[at]))
+
+    return work
+
+
+def _open_states(states: list, kept: np.ndarray, limits: Limits) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted keys of contexts that are not retained, but may be suffixes of one that is; the
+    place of each among all keys."""
+    tokens = []
+    for key, of, _, n in states:
+        tokens.append(np.zeros(len(key), n.dtype))
+        tokens[-1][of] = n
+    tokens[-1][:] = 0  # the longest are no suffixes
+    keys, tokens = np.concatenate([s[0] for s in states]), np.concatenate(tokens)
+    at = np.flatnonzero(~kept & (tokens >= np.e * limits.bound) & (tokens > 0))
+    at = at[np.argsort(keys[at])]
+    return keys[at], at
+
+
+def suffix_answers(key: np.ndarray, suffix: np.ndarray):
+    distinct, of = np.unique(key, return_inverse=True)
+    return ((np.bincount(of, suffix, len(distinct)) > 0)[of],), None
+
+
+def _scored_rows(words: Totals, limits: Limits, kept_columns: list[str]):
+    def work(held: ex.Held) -> pa.Table:
+        docs = _kept_rows(held)
+        n, known, base, rest = held["base"]
+        own = base
+        if words.documents:
+            own = rest + _log_likelihoods(held, words, limits)
+        columns = [n, known, np.full(len(n), words.tokens, np.int64), base, own]
+        names = [*kept_columns, *[c.split()[0] for c in SCORED.split(", ")]]
+        return pa.table([*[docs.column(c) for c in kept_columns], *[pa.array(c) for c in columns]], names=names)
+
+    return work
+
+
+def _log_likelihoods(held: ex.Held, words: Totals, limits: Limits) -> np.ndarray:
+    chunk = Chunk(held, limits)
+    states = [chunk.states(k) for k in range(1, limits.depth + 1)]
+    state, stored_next = held["tests"]
+    state = state.copy()
+    _, at = _open_states(states, state, limits)
+    state[at] = held.answer("suffixes", bool)[0]
+    p, first = chunk.roots(words.whole, words.share), 0
+    for k, (key, of, at, tokens) in enumerate(states, 1):
+        mine = state[first : first + len(key)][of]
+        at, of, tokens = at[mine], of[mine], tokens[mine]
+        left = tokens - stored_next[first : first + len(key)][of] + SMOOTHING
+        p[at] = (chunk.seen[k][at] + left * p[at]) / (tokens + SMOOTHING)
+        first += len(key)
+    return np.add.reduceat(np.log10(p), chunk.starts)
+
+
+def cross_scored(
+    docs: DataFrame, usable: Column, extra: dict[str, Column] | None = None, depth: int = DEPTH,
+    least_context: int = LEAST_CONTEXT, least_next: int = LEAST_NEXT, evidence: float = EVIDENCE,
+) -> DataFrame:
+    """As ``scored`` by what is ``learned`` from the rows where ``usable`` holds. All texts are
+    turned into symbols once and stay where they are; level by level, chunks send the keys of
+    their contexts and next symbols to be added up and get back what scoring needs."""
+    limits = Limits(depth, least_context, least_next, evidence)
+    kept = ["doc_id", *(extra or {})]
+    named = [c.alias(n) for n, c in (extra or {}).items()]
+    types = ", ".join(f"`{c}` {t}" for c, t in docs.select(F.col("doc_id").cast("long").alias("doc_id"), *named).dtypes)
+    tokens = token_rows(docs, usable, extra or {})
+    sizes = {r[0]: r[1] for r in tokens.rows.groupBy("kind").agg(F.sum("n")).collect()}
+    buckets = ex.buckets_for(sizes.get("tokens", 0))
+
+    words_asked = lambda held: ex.table_of(ex.asking(held.chunk, buckets, "words", *held["words"]))
+    found = ex.Stage(ex.answers(ex.each(tokens.of("words"), words_asked), {"words": word_answers(least_context)}), "answers")
+    sums = sum((ex.unpacked(r.body)[0] for r in found.of(ex.TOTAL).select("body").collect()), np.zeros(4, np.int64))
+    n, distinct, held, kinds = (int(x) for x in sums)
+    words = totals(n, distinct, sizes.get("docs", 0), held, kinds)
+    symbols = ex.Stage(ex.received([tokens.rows, found.rows.where(F.col("to") >= 0)], _symbol_rows_of(words)), "symbol-rows")
+    tokens.remove()
+    found.remove()
+    last = [symbols.of("docs", "base")]
+    if words.documents:
+        by = {"pairs": pair_answers(least_next), "suffixes": suffix_answers}
+        by |= {f"tests{k}": evidence_answers(evidence) for k in range(1, depth + 1)}
+        found = ex.Stage(ex.answers(ex.each(symbols.of("symbols"), _first_asks(limits, buckets)), by), "answers")
+        parts = [symbols.of("symbols")]
+        for length in range(1, depth + 2):
+            work = _seen_rows(length, words, limits, buckets) if length <= depth else _tested_rows(limits, buckets)
+            stage = ex.Stage(ex.received([*parts, found.rows], work), "tree-level")
+            found.remove()
+            found = ex.Stage(ex.answers(stage.asks(), by), "answers")
+            stage.remove(ex.ASK)
+            parts.append(stage.rest())
+        last += [*parts, found.rows]
+    return ex.received(last, _scored_rows(words, limits, kept), f"{types}, {SCORED}")

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpus import frame, odd_rows, rows, text
-from orefold.llm import suffix_tree
+from orefold.llm import common, exchange, suffix_tree
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 OTHER, END = "<other>", "<end>"
@@ -232,3 +232,88 @@ def test_shuffles_of_a_stored_table_are_removed(spark, tmp_path):
     assert made.count() == 1000
     assert held() <= n + 1  # that of the count here
     assert spark.conf.get(common.SHUFFLE_CLEANUP) == before
+
+
+def cross(spark, train, docs, **limits):
+    df = frame(spark, rows(train + docs)).repartition(3)
+    usable = F.col("doc_id") < len(train)
+    return {r.doc_id: r for r in suffix_tree.cross_scored(df, usable, **limits).collect()}
+
+
+@pytest.mark.parametrize("depth, evidence", [(1, 4.0), (2, 4.0), (3, 0.5), (3, 4.0), (3, 30.0), (4, 4.0), (5, 2.0)])
+def test_cross_scores_over_chunks_and_buckets(spark, monkeypatch, depth, evidence):
+    """What cannot be retained is not counted; nothing else may be missing, at any depth."""
+    monkeypatch.setattr(suffix_tree, "CHUNK_TOKENS", 200)
+    monkeypatch.setattr(suffix_tree, "SLICE_BYTES", 500)
+    monkeypatch.setattr(exchange, "LEAST_TOKENS", 300)
+    train, docs = corpus(11, 50)
+    limits = {"depth": depth, "least_context": 3, "least_next": 2, "evidence": evidence}
+    plain = Plain(train, **limits)
+    assert {len(c) for c in plain.states} == set(range(1, depth + 1))
+    check(cross(spark, train, docs, **limits), plain, train + docs)
+
+
+def test_suffixes_of_retained_contexts_are_states(spark, monkeypatch):
+    """Contexts that are states only as suffixes of others, which other chunks hold."""
+    monkeypatch.setattr(suffix_tree, "CHUNK_TOKENS", 100)
+    rng = random.Random(5)
+    train = []
+    for _ in range(120):
+        first = rng.choice(["north", "south"])
+        train.append(" ".join([first, "x", "y", {"north": "up", "south": "down"}[first], *rng.choices("abcd", k=12)]))
+    plain = Plain(train, least_context=3, least_next=2, evidence=30.0)
+    # y follows x alone, so that "x y" says nothing that "y" does not
+    assert {("north", "x", "y"), ("x", "y")} <= set(plain.states)
+    assert plain.states["x", "y"][1] == plain.states["y",][1]
+    docs = ["x y up", "south x y down", "q x y down x y", "y"]
+    check(cross(spark, train, docs, least_context=3, least_next=2, evidence=30.0), plain, train + docs)
+
+
+def test_arrays_are_stored_and_travel_not_rows(spark, monkeypatch, tmp_path):
+    """Tables of the stages hold few rows, whatever the number of words, pairs and contexts; those
+    that ask are gone once they are answered."""
+    monkeypatch.setattr(common, "shared_folder", lambda spark: f"file://{tmp_path}")
+    rng = random.Random(8)
+    train = [text(rng, 400) for _ in range(40)]
+    assert len(cross(spark, train, train[:2])) == 42
+    folders = [str(p) for p in tmp_path.iterdir() if any(p.rglob("*.parquet"))]
+    assert folders
+    assert sum(spark.read.parquet(f).count() for f in folders) < 200
+    assert not list(tmp_path.rglob("kind=ask-*"))
+
+
+def test_words_with_one_32_bit_hash_are_symbols_of_their_own(spark):
+    """``w49551`` and ``w124913`` have the same upper half of xxhash64."""
+    rng = random.Random(6)
+    train = [" ".join(rng.choices(["w49551 up", "w124913 down", "a b", "c"], k=30)) for _ in range(60)]
+    docs = ["w49551 up w124913 down", "w124913 up"]
+    check(cross(spark, train, docs), Plain(train, least_context=2, least_next=2), train + docs)
+
+
+def test_cross_scores_of_odd_rows(spark):
+    docs = odd_rows()
+    df = frame(spark, docs, clash=True)
+    texts = [d[1] for d in docs]
+    got = suffix_tree.cross_scored(df, F.lit(True), {"part": F.col("part")}, **SMALL).collect()
+    plain = Plain(texts, **SMALL)
+    assert sorted((r.n_tokens, round(r.base_score, 6), round(r.score, 6)) for r in got) == sorted(
+        (w[0], round(w[3], 6), round(w[4], 6)) for w in map(plain.scores, texts)
+    )
+    assert {r.part for r in got} == {6}
+    for usable in (F.lit(False), F.lit(None).cast("boolean")):
+        got = suffix_tree.cross_scored(df, usable, **SMALL).collect()
+        assert len(got) == len(docs) and all(r.score == r.base_score == 0 and r.n_known == r.train_tokens == 0 for r in got)
+    assert suffix_tree.cross_scored(frame(spark, []), F.lit(True)).count() == 0
+
+
+def test_arrays_are_packed_and_dealt_whole():
+    rng = np.random.default_rng(2)
+    arrays = [rng.integers(0, 1 << 64, 1000, np.uint64), np.zeros(0, np.int64), rng.random(7), rng.random(9) < 0.5, np.arange(5, dtype=np.uint32)]
+    for a, b in zip(arrays, exchange.unpacked(exchange.packed(*arrays)), strict=True):
+        assert a.dtype == b.dtype and a.tolist() == b.tolist()
+    keys = np.unique(arrays[0])
+    asked = exchange.asking(3, 7, "x", keys, np.arange(len(keys)))
+    assert {r[0] for r in asked} <= set(range(7)) and all(r[1:3] == ("ask-x", 3) for r in asked)
+    parts = [exchange.unpacked(r[-1]) for r in sorted(asked)]
+    assert np.concatenate([np.cumsum(p[0], dtype=np.uint64) for p in parts]).tolist() == keys.tolist()
+    assert np.concatenate([p[1] for p in parts]).tolist() == list(range(len(keys)))
