@@ -84,20 +84,20 @@ def new_folder(spark: SparkSession, name: str) -> str:
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write to the shared folder and read back: cuts lineage, survives lost executors. What was
     shuffled for it is removed once it is written."""
-    return df.sparkSession.read.schema(df.schema).parquet(written(df, name))
+    path = new_folder(df.sparkSession, name)
+    add_to(path, df)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def written(df: DataFrame, name: str, *by: str) -> str:
-    """The folder of a stored table, with one below for each value of ``by``."""
+def add_to(path: str, df: DataFrame, *by: str) -> None:
+    """Write more rows of a table, into one folder for each value of ``by``."""
     spark = df.sparkSession
-    path = new_folder(spark, name)
     before = spark.conf.get(SHUFFLE_CLEANUP)
     spark.conf.set(SHUFFLE_CLEANUP, "true")
     try:
-        df.write.partitionBy(*by).parquet(path)
+        df.write.mode("append").partitionBy(*by).parquet(path)
     finally:
         spark.conf.set(SHUFFLE_CLEANUP, before)
-    return path
 
 
 def remove(spark: SparkSession, folder: str, prefix: str) -> None:

@@ -13,28 +13,29 @@ that answers, ``n`` a count.
 
 from __future__ import annotations
 
-import json
 from collections import defaultdict
 from collections.abc import Callable, Iterable, Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orefold.llm.common import forget_all_but, give_back, remove, written
+from orefold.llm.common import add_to, forget_all_but, give_back, new_folder, remove
 
 ROWS = "to long, kind string, part long, n long, body binary"
 ASK, ANSWER, TOTAL = "ask-", "answer-", "total"
 _NAMES = [c.split()[0] for c in ROWS.split(", ")]
 _TYPES = pa.schema(list(zip(_NAMES, [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.binary()])))
-_CODEC = "zstd"
+_COMPRESS = pa.Codec("zstd", 1)
 
 #: Tokens for each bucket, once there are so many; before that more buckets, for more tasks.
-BUCKET_TOKENS = 8_000_000
+BUCKET_TOKENS = 6_000_000
 FEW_BUCKETS, LEAST_TOKENS = 24, 100_000
 
+#: Chunks can be done in so many turns, so that what is shuffled takes less disk at a time.
+PARTS = 2
+
 Row = tuple[int, str, int, int, bytes]
 
 
@@ -43,27 +44,61 @@ def buckets_for(tokens: int) -> int:
 
 
 def packed(*arrays: np.ndarray) -> bytes:
-    """Compressed, all first bytes of an array's numbers before all second ones."""
-    head = json.dumps([[a.dtype.str, len(a)] for a in arrays]).encode()
-    planes = [np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.itemsize).T.tobytes() for a in arrays]
-    body = b"".join([len(head).to_bytes(4, "little"), head, *planes])
-    return len(body).to_bytes(8, "little") + pa.Codec(_CODEC, 1).compress(body, asbytes=True)
+    """Compressed, all first bytes of an array's numbers before all second ones, as many as the
+    largest needs; before them each type in three letters, that number of bytes and each length."""
+    heads, planes = [bytes([len(arrays)])], []
+    for a in arrays:
+        width = a.itemsize
+        if a.dtype.kind in "iu" and len(a) and a.min() >= 0:
+            width = (int(a.max()).bit_length() + 7) // 8
+        heads.append(a.dtype.str.encode() + bytes([width]) + len(a).to_bytes(8, "little"))
+        data = np.ascontiguousarray(a).view(np.uint8)
+        planes += [data[i :: a.itemsize].tobytes() for i in range(width)]
+    body = b"".join(heads + planes)
+    return len(body).to_bytes(8, "little") + _COMPRESS.compress(body, asbytes=True)
 
 
 def unpacked(body: bytes | pa.Buffer) -> list[np.ndarray]:
     body = memoryview(body)
-    size = int.from_bytes(body[:8], "little")
-    body = pa.Codec(_CODEC).decompress(body[8:], size, asbytes=True)
-    at = 4 + int.from_bytes(body[:4], "little")
-    out = []
-    for kind, n in json.loads(body[4:at]):
-        width = np.dtype(kind).itemsize
+    body = _COMPRESS.decompress(body[8:], int.from_bytes(body[:8], "little"), asbytes=True)
+    heads = [body[i : i + 12] for i in range(1, 1 + 12 * body[0], 12)]
+    at, out = 1 + 12 * body[0], []
+    for head in heads:
+        kind, width, n = np.dtype(head[:3].decode()), head[3], int.from_bytes(head[4:], "little")
         planes = np.frombuffer(body, np.uint8, n * width, at).reshape(width, n)
-        out.append(np.ascontiguousarray(planes.T).reshape(-1).view(kind))
+        if width == kind.itemsize:
+            out.append(np.ascontiguousarray(planes.T).reshape(-1).view(kind))
+        else:
+            out.append(np.zeros(n, kind))
+            for i in range(width):
+                out[-1] |= planes[i].astype(kind) << kind.type(8 * i)
         at += n * width
     return out
 
 
+def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct keys, and which of them each is. Sorting numbers made of the upper bits
+    of a key and its place is faster than sorting places; lower bits hardly ever decide."""
+    n = len(keys)
+    if not n:
+        return keys, np.zeros(0, np.int32)
+    bits = np.uint64(max((n - 1).bit_length(), 1))
+    order = keys >> bits << bits
+    order |= np.arange(n, dtype=np.uint64)
+    order.sort()
+    order &= (np.uint64(1) << bits) - np.uint64(1)
+    order = order.view(np.int64)
+    ordered = keys[order]
+    if (ordered[1:] < ordered[:-1]).any():
+        order = np.argsort(keys, kind="stable")
+        ordered = keys[order]
+    heads = np.ones(n, bool)
+    np.not_equal(ordered[1:], ordered[:-1], out=heads[1:])
+    of = np.empty(n, np.int32 if n < 1 << 31 else np.int64)
+    of[order] = np.cumsum(heads, dtype=of.dtype) - of.dtype.type(1)
+    return ordered[heads], of
+
+
 def table_of(rows: Iterable[Row]) -> pa.Table:
     columns = list(zip(*rows)) or [()] * len(_NAMES)
     return pa.table([pa.array(c, t) for c, t in zip(columns, _TYPES.types)], schema=_TYPES)
@@ -136,10 +171,14 @@ class Held:
 
 
 class Stage:
-    """Rows written to a folder of their own, by kind, so that what has been answered can go."""
-
-    def __init__(self, rows: DataFrame, name: str) -> None:
-        self.spark, self.folder = rows.sparkSession, written(rows, name, "kind")
+    """Rows written to a folder of their own, by kind, so that what has been answered can go;
+    tables are written one after another, each without what was shuffled for those before."""
+
+    def __init__(self, name: str, *tables: DataFrame) -> None:
+        self.spark = tables[0].sparkSession
+        self.folder = new_folder(self.spark, name)
+        for rows in tables:
+            add_to(self.folder, rows, "kind")
         self.rows = self.spark.read.schema(ROWS).parquet(self.folder).select(*_NAMES)
 
     def of(self, *kinds: str) -> DataFrame:
@@ -156,6 +195,11 @@ class Stage:
         remove(self.spark, self.folder, f"kind={prefix}")
 
 
+def parts(rows: DataFrame) -> list[DataFrame]:
+    """The rows of some chunks, and those of the others."""
+    return [rows.where(F.pmod(F.xxhash64("to"), F.lit(PARTS)) == i) for i in range(PARTS)]
+
+
 def each(rows: DataFrame, work: Callable[[Held], pa.Table]) -> DataFrame:
     """``work`` done for each row alone, without a shuffle."""
 
@@ -169,8 +213,8 @@ def each(rows: DataFrame, work: Callable[[Held], pa.Table]) -> DataFrame:
     return rows.mapInArrow(rows_, ROWS)
 
 
-def received(tables: list[DataFrame], work: Callable[[Held], pa.Table], schema: str = ROWS) -> DataFrame:
-    """``work`` done for each chunk with its rows of all tables."""
+def received(rows: DataFrame, work: Callable[[Held], pa.Table], schema: str = ROWS) -> DataFrame:
+    """``work`` done for each chunk with all its rows."""
 
     def chunk(group: pa.Table) -> pa.Table:
         forget_all_but(None)
@@ -178,4 +222,4 @@ def received(tables: list[DataFrame], work: Callable[[Held], pa.Table], schema:
         give_back()
         return out
 
-    return reduce(DataFrame.unionByName, tables).groupBy("to").applyInArrow(chunk, schema)
+    return rows.groupBy("to").applyInArrow(chunk, schema)

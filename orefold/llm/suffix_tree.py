@@ -70,7 +70,7 @@ ASKING_BYTES = 1024 * 1024
 #: Rows of a sorted array that tasks get (8 bytes each, with values 24).
 MOST_SENT = 1_500_000
 #: Tokens of a chunk that is scored by the tree it helps to make, or a single text.
-CHUNK_TOKENS = 900_000
+CHUNK_TOKENS = 1_200_000
 #: Pairs that a task holds before it hands them on.
 HELD_PAIRS = 1_500_000
 
@@ -604,7 +604,7 @@ def token_rows(docs: DataFrame, usable: Column, extra: dict[str, Column]) -> ex.
             yield from _chunk_rows(chunk, parts, rows).to_batches()
         at_rest()
 
-    return ex.Stage(held.mapInArrow(work, ex.ROWS), "token-rows")
+    return ex.Stage("token-rows", held.mapInArrow(work, ex.ROWS))
 
 
 def _tokens(batch: pa.RecordBatch, texts: pa.Array) -> tuple[np.ndarray, ...]:
@@ -623,7 +623,7 @@ def _table_bytes(batch: pa.RecordBatch) -> bytes:
 
 def _chunk_rows(chunk: int, parts: list[tuple[np.ndarray, ...]], rows: list[bytes]) -> pa.Table:
     hashes, first = np.concatenate([p[0] for p in parts]), np.cumsum([0, *[len(p[0]) for p in parts]])
-    words, of = np.unique(hashes, return_inverse=True)
+    words, of = ex.distinct(hashes)
     which = np.concatenate([of[at + p[1]] for at, p in zip(first, parts)]).astype(np.uint32)
     counts, usable = (np.concatenate([p[i] for p in parts]) for i in (2, 3))
     n = np.bincount(which[np.repeat(usable, counts)], minlength=len(words)).astype(np.uint32)
@@ -646,9 +646,9 @@ def word_answers(least: int) -> ex.Answer:
     """How often training has each word, and whether it is a symbol."""
 
     def answer(words: np.ndarray, n: np.ndarray):
-        distinct, of = np.unique(words, return_inverse=True)
-        total = np.bincount(of, n, len(distinct)).astype(np.int64)
-        symbol = (total >= least) & (distinct > END)
+        word, of = ex.distinct(words)
+        total = np.bincount(of, n, len(word)).astype(np.int64)
+        symbol = (total >= least) & (word > END)
         return (total[of], symbol[of]), (total.sum(), (total > 0).sum(), total[symbol].sum(), symbol.sum())
 
     return answer
@@ -721,8 +721,7 @@ class Chunk:
     def pairs(self, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Distinct keys of contexts and next symbols, which each place has, and the places."""
         at = self.asked(length)
-        key, of = np.unique(pair_key(self.contexts(at, length), self.codes[self.which[at]]), return_inverse=True)
-        return key, of.astype(np.int32), at
+        return *ex.distinct(pair_key(self.contexts(at, length), self.codes[self.which[at]])), at
 
     def states(self, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Distinct keys of contexts that may be states, which each place has, the places, and
@@ -732,10 +731,9 @@ class Chunk:
         at, tokens = at[may], tokens[may]
         if length == 1:
             there = np.bincount(self.which[at - 1], minlength=len(self.codes)) > 0
-            key, of = np.unique(context_key(self.single[there]), return_inverse=True)
-            return key, of.astype(np.int32)[(np.cumsum(there) - 1)[self.which[at - 1]]], at, tokens
-        key, of = np.unique(context_key(self.contexts(at, length)), return_inverse=True)
-        return key, of.astype(np.int32), at, tokens
+            key, of = ex.distinct(context_key(self.single[there]))
+            return key, of[(np.cumsum(there) - 1)[self.which[at - 1]]], at, tokens
+        return *ex.distinct(context_key(self.contexts(at, length))), at, tokens
 
     def roots(self, whole: float, share: float) -> np.ndarray:
         p = (self.count + 0.5) / whole
@@ -763,8 +761,8 @@ def _evidence_asks(held: ex.Held, chunk: Chunk, length: int, words: Totals, buck
 
 def pair_answers(least: int) -> ex.Answer:
     def answer(key: np.ndarray, n: np.ndarray):
-        distinct, of = np.unique(key, return_inverse=True)
-        total = np.bincount(of, n, len(distinct)).astype(np.int64)
+        key, of = ex.distinct(key)
+        total = np.bincount(of, n, len(key)).astype(np.int64)
         return (np.where(total >= least, total, 0)[of],), None
 
     return answer
@@ -839,9 +837,9 @@ def evidence_answers(evidence: float) -> ex.Answer:
     """See ``_tests``."""
 
     def answer(key: np.ndarray, apart: np.ndarray, held: np.ndarray):
-        distinct, of = np.unique(key, return_inverse=True)
-        held = np.bincount(of, held, len(distinct)).astype(np.int64)
-        kept = (np.bincount(of, apart, len(distinct)) >= evidence) & (held > 0)
+        key, of = ex.distinct(key)
+        held = np.bincount(of, held, len(key)).astype(np.int64)
+        kept = (np.bincount(of, apart, len(key)) >= evidence) & (held > 0)
         return (kept[of], held[of]), None
 
     return answer
@@ -882,8 +880,8 @@ def _open_states(states: list, kept: np.ndarray, limits: Limits) -> tuple[np.nda
 
 
 def suffix_answers(key: np.ndarray, suffix: np.ndarray):
-    distinct, of = np.unique(key, return_inverse=True)
-    return ((np.bincount(of, suffix, len(distinct)) > 0)[of],), None
+    key, of = ex.distinct(key)
+    return ((np.bincount(of, suffix, len(key)) > 0)[of],), None
 
 
 def _scored_rows(words: Totals, limits: Limits, kept_columns: list[str]):
@@ -933,25 +931,27 @@ def cross_scored(
     buckets = ex.buckets_for(sizes.get("tokens", 0))
 
     words_asked = lambda held: ex.table_of(ex.asking(held.chunk, buckets, "words", *held["words"]))
-    found = ex.Stage(ex.answers(ex.each(tokens.of("words"), words_asked), {"words": word_answers(least_context)}), "answers")
+    asks = ex.each(tokens.of("words"), words_asked)
+    found = ex.Stage("answers", ex.answers(asks, {"words": word_answers(least_context)}))
     sums = sum((ex.unpacked(r.body)[0] for r in found.of(ex.TOTAL).select("body").collect()), np.zeros(4, np.int64))
     n, distinct, held, kinds = (int(x) for x in sums)
     words = totals(n, distinct, sizes.get("docs", 0), held, kinds)
-    symbols = ex.Stage(ex.received([tokens.rows, found.rows.where(F.col("to") >= 0)], _symbol_rows_of(words)), "symbol-rows")
+    rows = tokens.rows.unionByName(found.rows.where(F.col("to") >= 0))
+    symbols = ex.Stage("symbol-rows", ex.received(rows, _symbol_rows_of(words)))
     tokens.remove()
     found.remove()
-    last = [symbols.of("docs", "base")]
+    last = symbols.of("docs", "base")
     if words.documents:
         by = {"pairs": pair_answers(least_next), "suffixes": suffix_answers}
         by |= {f"tests{k}": evidence_answers(evidence) for k in range(1, depth + 1)}
-        found = ex.Stage(ex.answers(ex.each(symbols.of("symbols"), _first_asks(limits, buckets)), by), "answers")
-        parts = [symbols.of("symbols")]
+        found = ex.Stage("answers", ex.answers(ex.each(symbols.of("symbols"), _first_asks(limits, buckets)), by))
+        known = symbols.of("symbols")
         for length in range(1, depth + 2):
             work = _seen_rows(length, words, limits, buckets) if length <= depth else _tested_rows(limits, buckets)
-            stage = ex.Stage(ex.received([*parts, found.rows], work), "tree-level")
+            stage = ex.Stage("tree-level", *[ex.received(p, work) for p in ex.parts(known.unionByName(found.rows))])
             found.remove()
-            found = ex.Stage(ex.answers(stage.asks(), by), "answers")
+            found = ex.Stage("answers", ex.answers(stage.asks(), by))
             stage.remove(ex.ASK)
-            parts.append(stage.rest())
-        last += [*parts, found.rows]
+            known = known.unionByName(stage.rest())
+        last = last.unionByName(known).unionByName(found.rows)
     return ex.received(last, _scored_rows(words, limits, kept), f"{types}, {SCORED}")
