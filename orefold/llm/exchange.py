@@ -33,7 +33,7 @@ _COMPRESS = pa.Codec("zstd", 1)
 BUCKET_TOKENS = 6_000_000
 FEW_BUCKETS, LEAST_TOKENS = 24, 100_000
 
-#: Chunks can be done in so many turns, so that what is shuffled takes less disk at a time.
+#: Chunks and buckets can be done in so many turns, so that what is shuffled takes less disk at a time.
 PARTS = 2
 
 Row = tuple[int, str, int, int, bytes]
@@ -196,7 +196,7 @@ class Stage:
 
 
 def parts(rows: DataFrame) -> list[DataFrame]:
-    """The rows of some chunks, and those of the others."""
+    """The rows of some chunks or buckets, and those of the others."""
     return [rows.where(F.pmod(F.xxhash64("to"), F.lit(PARTS)) == i) for i in range(PARTS)]
 
 

@@ -937,7 +937,7 @@ def cross_scored(
     n, distinct, held, kinds = (int(x) for x in sums)
     words = totals(n, distinct, sizes.get("docs", 0), held, kinds)
     rows = tokens.rows.unionByName(found.rows.where(F.col("to") >= 0))
-    symbols = ex.Stage("symbol-rows", ex.received(rows, _symbol_rows_of(words)))
+    symbols = ex.Stage("symbol-rows", *[ex.received(p, _symbol_rows_of(words)) for p in ex.parts(rows)])
     tokens.remove()
     found.remove()
     last = symbols.of("docs", "base")
@@ -950,7 +950,7 @@ def cross_scored(
             work = _seen_rows(length, words, limits, buckets) if length <= depth else _tested_rows(limits, buckets)
             stage = ex.Stage("tree-level", *[ex.received(p, work) for p in ex.parts(known.unionByName(found.rows))])
             found.remove()
-            found = ex.Stage("answers", ex.answers(stage.asks(), by))
+            found = ex.Stage("answers", *[ex.answers(p, by) for p in ex.parts(stage.asks())])
             stage.remove(ex.ASK)
             known = known.unionByName(stage.rest())
         last = last.unionByName(known).unionByName(found.rows)
