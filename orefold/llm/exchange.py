@@ -33,6 +33,8 @@ _COMPRESS = pa.Codec("zstd", 1)
 BUCKET_TOKENS = 6_000_000
 FEW_BUCKETS, LEAST_TOKENS = 24, 100_000
 
+#: Beyond so many, some share their upper bits.
+FEW_KEYS = 1 << 21
 #: Chunks and buckets can be done in so many turns, so that what is shuffled takes less disk at a time.
 PARTS = 2
 
@@ -78,18 +80,20 @@ def unpacked(body: bytes | pa.Buffer) -> list[np.ndarray]:
 
 def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct keys, and which of them each is. Sorting numbers made of the upper bits
-    of a key and its place is faster than sorting places; lower bits hardly ever decide."""
+    of a key and its place is faster than sorting places, as long as lower bits hardly decide."""
     n = len(keys)
     if not n:
         return keys, np.zeros(0, np.int32)
-    bits = np.uint64(max((n - 1).bit_length(), 1))
-    order = keys >> bits << bits
-    order |= np.arange(n, dtype=np.uint64)
-    order.sort()
-    order &= (np.uint64(1) << bits) - np.uint64(1)
-    order = order.view(np.int64)
-    ordered = keys[order]
-    if (ordered[1:] < ordered[:-1]).any():
+    ordered = None
+    if n < FEW_KEYS:
+        bits = np.uint64(max((n - 1).bit_length(), 1))
+        order = keys >> bits << bits
+        order |= np.arange(n, dtype=np.uint64)
+        order.sort()
+        order &= (np.uint64(1) << bits) - np.uint64(1)
+        order = order.view(np.int64)
+        ordered = keys[order]
+    if ordered is None or (ordered[1:] < ordered[:-1]).any():
         order = np.argsort(keys, kind="stable")
         ordered = keys[order]
     heads = np.ones(n, bool)

@@ -306,14 +306,16 @@ def test_cross_scores_of_odd_rows(spark):
     assert suffix_tree.cross_scored(frame(spark, []), F.lit(True)).count() == 0
 
 
-def test_arrays_are_packed_and_dealt_whole():
+def test_arrays_are_packed_and_dealt_whole(monkeypatch):
     rng = np.random.default_rng(2)
     arrays = [rng.integers(0, 1 << 64, 1000, np.uint64), np.zeros(0, np.int64), rng.random(7), rng.random(9) < 0.5, np.arange(5, dtype=np.uint32), np.arange(-3, 600)]
     for a, b in zip(arrays, exchange.unpacked(exchange.packed(*arrays)), strict=True):
         assert a.dtype == b.dtype and a.tolist() == b.tolist()
     for few in (rng.integers(0, 9, 500, np.uint64), arrays[0], arrays[0][:0], arrays[0] % np.uint64(300)):
-        key, of = exchange.distinct(few)
-        assert key.tolist() == np.unique(few).tolist() and key[of].tolist() == few.tolist()
+        for most in (0, 1 << 21):
+            monkeypatch.setattr(exchange, "FEW_KEYS", most)
+            key, of = exchange.distinct(few)
+            assert key.tolist() == np.unique(few).tolist() and key[of].tolist() == few.tolist()
     keys = np.unique(arrays[0])
     asked = exchange.asking(3, 7, "x", keys, np.arange(len(keys)))
     assert {r[0] for r in asked} <= set(range(7)) and all(r[1:3] == ("ask-x", 3) for r in asked)
